@@ -47,5 +47,5 @@ def event_date_text(c: Column) -> Column:
 
 
 def rolling_year_start(as_of: date) -> Column:
-    """First instant of the twelve months that end on ``as_of``."""
-    return F.add_months(F.lit(as_of), -12).cast("timestamp")
+    """First day of the twelve months that end on ``as_of``."""
+    return F.add_months(F.lit(as_of), -12)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from activlake.functions.rules import sport_bonus, wellbeing_eligible
 from activlake.functions.text import normalize_headers
 from activlake.functions.timing import rolling_year_start
-from activlake.operators.silver import reference_lookup, unique_activities
+from activlake.operators.bronze import DAY
+from activlake.operators.silver import DEDUP_KEYS, reference_lookup
 from activlake.rules import BusinessRules
 
 
@@ -18,7 +19,10 @@ def rolling_year(silver: DataFrame, as_of: date | None) -> DataFrame:
     """Activities of the twelve months before ``as_of``; all of them when it is None."""
     if as_of is None:
         return silver
-    return silver.filter(F.col("date_debut") >= rolling_year_start(as_of))
+    first = rolling_year_start(as_of)
+    if DAY in silver.columns:  # a table partitioned by day: skip the older partitions
+        silver = silver.filter(F.col(DAY) >= first)
+    return silver.filter(F.col("date_debut") >= first.cast("timestamp"))
 
 
 def activity_counts(silver: DataFrame) -> DataFrame:
@@ -38,11 +42,13 @@ def activity_counts_from_bronze(bronze: DataFrame, reference: DataFrame) -> Data
 
     The alert depends on the employee alone, so activities are counted before
     the join: it then carries one row per employee instead of one per activity.
-    An employee with several lookup rows counts each activity once per row, as
-    the Silver join would.
+    Counting needs only the distinct keys, not the surviving rows, so nothing is
+    sorted and no other column is read. An employee with several lookup rows
+    counts each activity once per row, as the Silver join would.
     """
     per_employee = (
-        unique_activities(bronze)
+        bronze.groupBy(*DEDUP_KEYS)
+        .agg(F.max("id").alias("id"))
         .groupBy("id_salarie")
         .agg(F.count("id").alias("activities"))
     )

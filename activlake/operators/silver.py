@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from activlake.functions.casting import integer, micros_timestamp, number
+from activlake.functions.casting import micros_timestamp, number
 from activlake.functions.rules import transport_alert
 from activlake.functions.timing import whole_minutes
+from activlake.schemas import REFERENCE
+from activlake.sources.tables import conform
 
 DEDUP_KEYS = ("id_salarie", "type_sport", "date_debut")
 UNKNOWN_ALERT = "INCONNU"
@@ -27,10 +29,10 @@ def deduplicate(
 
 def reference_lookup(reference: DataFrame) -> DataFrame:
     """Declared transport, home distance and alert per employee, without repeated rows."""
-    distinct = reference.select(
-        integer(F.col("employee_id")).alias("id_salarie_rh"),
+    distinct = conform(reference, REFERENCE).select(
+        F.col("employee_id").alias("id_salarie_rh"),
         F.col("moyen_transport").alias("mode_transport_declare"),
-        number(F.col("distance_domicile_entreprise_km")).alias("distance_domicile_travail_km"),
+        F.col("distance_domicile_entreprise_km").alias("distance_domicile_travail_km"),
         F.coalesce(F.col("erreur_declaration_transport"), F.lit(False)).alias("erreur_flag"),
     ).distinct()
     return distinct.withColumn("alerte_transport", transport_alert(F.col("erreur_flag"))).drop(

@@ -147,7 +147,7 @@ def run_gold(
     rows_per_file: int = 1_000_000,
 ) -> DataFrame:
     """Rebuild Gold, then export the stored table; the export does not recompute it."""
-    silver = read_table(spark, located(spark, paths.silver), SILVER)
+    silver = read_table(spark, located(spark, paths.silver))
     path = _replace(
         spark, gold.to_gold(silver, load_reference(spark, paths), as_of, rules), paths.gold
     )

@@ -33,12 +33,22 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
+def _by_partition(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Bring the rows of a partition together, so that each task writes few files.
+
+    Rebalancing splits a partition value that is too large for one task, where
+    a plain repartition by the column would not.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def overwrite_table(
     df: DataFrame, path: str, fmt: str | None = None, partition_by: tuple[str, ...] = ()
 ) -> None:
     """Replace a whole table; its schema may change."""
     writer = (
-        df.write.format(fmt or lake_format(df.sparkSession))
+        _by_partition(df, partition_by)
+        .write.format(fmt or lake_format(df.sparkSession))
         .mode("overwrite")
         .option("overwriteSchema", True)
         .option("partitionOverwriteMode", "static")
@@ -51,7 +61,8 @@ def overwrite_partitions(
 ) -> None:
     """Replace only the partitions present in ``df``."""
     (
-        df.write.format(fmt or lake_format(df.sparkSession))
+        _by_partition(df, partition_by)
+        .write.format(fmt or lake_format(df.sparkSession))
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)

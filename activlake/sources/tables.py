@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,16 @@ from activlake.functions.text import strip_headers
 from activlake.schemas import DISTANCE_CACHE, REFERENCE
 from activlake.session import lake_format
 
-_CASTS = {"int": integer, "double": number, "boolean": lambda c: c.try_cast("boolean")}
+_FROM_TEXT = {"int": integer, "double": number}
+
+
+def _cast(df: DataFrame, field: T.StructField) -> Column:
+    column, wanted = F.col(f"`{field.name}`"), field.dataType.simpleString()
+    if dict(df.dtypes)[field.name] == "string" and wanted in _FROM_TEXT:
+        return _FROM_TEXT[wanted](column)
+    if wanted == "double":
+        return number(column)
+    return column.try_cast(field.dataType)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -20,12 +29,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     Values that do not fit become null, and NaN becomes null with them.
     """
-    typed = {
-        f.name: _CASTS[f.dataType.simpleString()](F.col(f"`{f.name}`"))
-        for f in schema
-        if f.name in df.columns and f.dataType.simpleString() in _CASTS
-    }
-    return df.withColumns(typed)
+    return df.withColumns({f.name: _cast(df, f) for f in schema if f.name in df.columns})
 
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:

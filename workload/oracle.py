@@ -134,7 +134,7 @@ SELECT event_id::INTEGER AS id, user_id::INTEGER AS id_salarie, upper(event_type
             ELSE (epoch_us(ts) + {K}::BIGINT * 61500000)::VARCHAR END AS date_fin,
        'U' || user_id || ' - ' || upper(event_type) AS commentaire,
        CASE WHEN event_type = 'click' AND {K} < 10 THEN NULL
-            ELSE ({K}::BIGINT * 61500000) // 1000000 END AS duration_sec
+            ELSE (({K}::BIGINT * 61500000) // 1000000)::VARCHAR END AS duration_sec
 FROM events WHERE event_type <> 'error'"""
 
 _NOTIFY = f"""
@@ -289,7 +289,7 @@ ORACLE: dict[str, str] = {
                value / 1000 AS km
         FROM ended""",
     "casts": """
-        SELECT event_id, CASE WHEN event_type <> 'error' THEN user_id::INTEGER END AS id_salarie,
+        SELECT event_id, CASE WHEN event_type <> 'error' THEN user_id::VARCHAR END AS id_salarie,
                CASE WHEN event_type <> 'view' THEN value END AS km,
                upper(event_type) AS categorie
         FROM events""",

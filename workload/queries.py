@@ -49,6 +49,11 @@ def ntz(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
+def as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Integers with gaps as text: pandas would turn them into floats on one side only."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 # --- shared stages -------------------------------------------------------------------
 
 
@@ -68,6 +73,13 @@ def _silver_orders(spark: SparkSession, sf: str) -> DataFrame:
     return silver.to_silver(t.bronze_orders(spark, sf), _customers(spark, sf))
 
 
+def _stored_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver of the orders as the pipeline leaves it: a stored table."""
+    path = scratch(spark, "silver")
+    overwrite_table(_silver_orders(spark, sf), path, "parquet")
+    return read_table(spark, path, SILVER, "parquet")
+
+
 def _silver_events(spark: SparkSession, sf: str) -> DataFrame:
     return silver.to_silver(t.bronze_events(spark, sf), _suppliers(spark, sf))
 
@@ -86,18 +98,18 @@ def gold_kpi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_kpi_from_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.to_gold(_silver_orders(spark, sf), _customers(spark, sf))
+    return gold.to_gold(_stored_silver(spark, sf), _customers(spark, sf))
 
 
 def gold_kpi_rolling(spark: SparkSession, sf: str) -> DataFrame:
-    rolled = gold.to_gold(_silver_orders(spark, sf), _customers(spark, sf), as_of=AS_OF)
+    rolled = gold.to_gold(_stored_silver(spark, sf), _customers(spark, sf), as_of=AS_OF)
     return rolled.select(
         "id_salarie", "nb_total_activites", "nb_activites_valides", "eligible_jours_bien_etre"
     )
 
 
 def gold_distance(spark: SparkSession, sf: str) -> DataFrame:
-    totals = gold.distance_totals(_silver_orders(spark, sf))
+    totals = gold.distance_totals(_stored_silver(spark, sf))
     return totals.withColumn("distance_totale_metres", F.round("distance_totale_metres", 3))
 
 
@@ -173,7 +185,8 @@ def distance_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cdc_bronze(spark: SparkSession, sf: str) -> DataFrame:
-    return bronze.to_bronze(t.cdc_messages(t.table(spark, sf, "events")))
+    rows = bronze.to_bronze(t.cdc_messages(t.table(spark, sf, "events")))
+    return as_text(rows, "duration_sec")
 
 
 def ingest_validate(spark: SparkSession, sf: str) -> DataFrame:
@@ -249,12 +262,13 @@ def casts(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.col("user_id").cast("string"))
     )
     written_km = F.when(kind == "view", F.lit("nan")).otherwise(F.col("value").cast("string"))
-    return t.table(spark, sf, "events").select(
+    typed = t.table(spark, sf, "events").select(
         "event_id",
         integer(written_id).alias("id_salarie"),
         number(written_km).alias("km"),
         label(F.concat(F.lit(" \t"), kind, F.lit(" "))).alias("categorie"),
     )
+    return as_text(typed, "id_salarie")
 
 
 def preview_limit(spark: SparkSession, sf: str) -> DataFrame:
@@ -282,7 +296,7 @@ def stream_bronze(spark: SparkSession, sf: str) -> DataFrame:
             by_day=True,
             fmt="parquet",
         ).awaitTermination()
-    return read_table(spark, f"{base}/table", BRONZE, "parquet")
+    return as_text(read_table(spark, f"{base}/table", BRONZE, "parquet"), "duration_sec")
 
 
 def stream_notifications(spark: SparkSession, sf: str) -> DataFrame:
