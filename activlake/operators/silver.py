@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from activlake.functions.casting import micros_timestamp, number
@@ -15,16 +15,21 @@ DEDUP_KEYS = ("id_salarie", "type_sport", "date_debut")
 UNKNOWN_ALERT = "INCONNU"
 
 
-def deduplicate(
-    df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]
-) -> DataFrame:
-    """Keep the row that sorts first among those with equal keys.
+def deduplicate(df: DataFrame, keys: tuple[str, ...], first_by: tuple[str, ...]) -> DataFrame:
+    """One row per key: the smallest, compared by ``first_by`` and then by every other column.
 
-    Spark limits each group inside the map tasks before it shuffles, so a group
-    of any number of copies reaches the reducer as one row per map task.
+    The minimum combines inside the map tasks before the shuffle, so a group of
+    any number of copies reaches the reducer as one row per map task. Comparing
+    whole rows makes the survivor the same on every run and retry.
     """
-    within = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return df.withColumn("_rank", F.row_number().over(within)).filter("_rank = 1").drop("_rank")
+    rest = [c for c in df.columns if c not in keys and c not in first_by]
+    smallest = F.min(F.struct(*first_by, *rest)).alias("_row")
+    return df.groupBy(*keys).agg(smallest).select(*keys, "_row.*").select(*df.columns)
+
+
+def unique_activities(bronze: DataFrame) -> DataFrame:
+    """One Bronze row per employee, sport and start; the lowest id survives."""
+    return deduplicate(bronze, DEDUP_KEYS, ("id",))
 
 
 def reference_lookup(reference: DataFrame) -> DataFrame:
@@ -40,12 +45,6 @@ def reference_lookup(reference: DataFrame) -> DataFrame:
     )
 
 
-def unique_activities(bronze: DataFrame) -> DataFrame:
-    """One Bronze row per employee, sport and start; the lowest id survives."""
-    rest = [c for c in bronze.columns if c not in (*DEDUP_KEYS, "id")]
-    return deduplicate(bronze, DEDUP_KEYS, ("id", *rest))
-
-
 def to_silver(bronze: DataFrame, reference: DataFrame) -> DataFrame:
     """Silver rows. Employees missing from the reference keep their activities.
 

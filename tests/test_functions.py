@@ -1,0 +1,239 @@
+import math
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from activlake.functions import casting, distance, messages, rules, text, timing
+from activlake.rules import BusinessRules
+
+RULES = BusinessRules()
+
+
+@pytest.mark.parametrize(
+    "written, expected", [("7", 7), ("7.0", 7), ("x", None), (None, None), ("9999999999", None)]
+)
+def test_integer(evaluate, written, expected):
+    assert evaluate(casting.integer(F.col("x")), x=written) == expected
+
+
+@pytest.mark.parametrize(
+    "written, expected", [("nan", None), ("12.5", 12.5), (None, None), ("abc", None)]
+)
+def test_number(evaluate, written, expected):
+    assert evaluate(casting.number(F.col("x")), x=written) == expected
+
+
+def test_micros_timestamp_keeps_microseconds(evaluate):
+    value = evaluate(
+        casting.micros_timestamp(F.col("x")).cast("string"), x="1743898597123457"
+    )
+    assert value == "2025-04-06 00:16:37.123457"
+    assert evaluate(casting.micros_timestamp(F.col("x")), x="soon") is None
+
+
+def test_label_strips_every_white_space(evaluate):
+    assert evaluate(text.label(F.col("x")), x="\t\xa0vélo  \n") == "VÉLO"
+    assert evaluate(text.label(F.col("x")), x=None) is None
+
+
+def test_headers(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], ["Prénom", "Taux (h)", "Été", " A "])
+    assert text.normalize_headers(df).columns == ["prenom", "taux_h", "éte", "_a_"]
+    assert text.strip_headers(df).columns == ["Prénom", "Taux (h)", "Été", "A"]
+
+
+@pytest.mark.parametrize("value", [2.25, 0.35, 2.35, 12345.65, 0.0, 1.05, 999.95, 7.243])
+def test_one_decimal_rounds_ties_to_even(evaluate, value):
+    assert evaluate(text.one_decimal(F.col("x")), "x double", x=value) == f"{value:.1f}"
+
+
+@pytest.mark.parametrize(
+    "comment, expected",
+    [
+        ("A B - BOXE", "A B"),
+        ("A B - C - D", "A B"),
+        ("A B", "A B"),
+        (" - X", ""),
+        ("", "salarié 9"),
+        (None, "salarié 9"),
+    ],
+)
+def test_name_from_comment(evaluate, comment, expected):
+    assert evaluate(text.name_from_comment(F.col("x"), F.lit("9")), x=comment) == expected
+
+
+def test_activity_comment(evaluate):
+    built = text.activity_comment(F.lit("Ana"), F.lit("Bo"), F.col("x"))
+    assert evaluate(built, x="JUDO") == "Ana Bo - JUDO"
+
+
+@pytest.mark.parametrize(
+    "start, end, expected",
+    [
+        ("1743898597000000", "1743899995000000", 1398),
+        ("0", "1999999", 1),
+        ("1999999", "0", -1),
+        ("abc", "5", None),
+        (None, "5", None),
+        ("-9223372036854775808", "9223372036854775807", None),
+    ],
+)
+def test_duration_seconds(evaluate, start, end, expected):
+    got = evaluate(
+        timing.duration_seconds(F.col("a"), F.col("b")), "a string, b string", a=start, b=end
+    )
+    assert got == expected
+
+
+@pytest.mark.parametrize("seconds, expected", [(1398, 23), (59, 0), (-61, -1), (None, None)])
+def test_whole_minutes_truncates(evaluate, seconds, expected):
+    assert evaluate(timing.whole_minutes(F.col("x")), "x bigint", x=seconds) == expected
+
+
+@pytest.mark.parametrize(
+    "written, expected",
+    [
+        ("2025-04-06 00:16:37", datetime(2025, 4, 6, 0, 16, 37)),
+        ("2025-4-6 0:6:7", datetime(2025, 4, 6, 0, 6, 7)),
+        ("06/04/2025 00:16", datetime(2025, 4, 6, 0, 16)),
+        ("1743898597000000", datetime(2025, 4, 6, 0, 16, 37)),
+        ("2025-02-30 00:00:00", None),
+        ("hier", None),
+        ("", None),
+    ],
+)
+def test_parse_event_date(evaluate, written, expected):
+    got = evaluate(timing.parse_event_date(F.col("x")).cast("timestamp_ntz"), x=written)
+    assert got == expected
+
+
+@pytest.mark.parametrize(
+    "start, end, expected",
+    [
+        ("2025-01-01 00:01:01", "2025-01-01 00:00:00", -2),
+        ("2025-01-01 00:00:00", "2025-01-01 00:01:59", 1),
+        (None, "2025-01-01 00:00:00", 0),
+    ],
+)
+def test_minutes_between_floors(evaluate, start, end, expected):
+    got = evaluate(
+        timing.minutes_between(F.col("a").cast("timestamp"), F.col("b").cast("timestamp")),
+        "a string, b string",
+        a=start,
+        b=end,
+    )
+    assert got == expected
+
+
+def test_end_time_and_text(evaluate):
+    end = timing.end_time(F.col("x").cast("timestamp"), F.lit(7182))
+    assert evaluate(timing.event_date_text(end), x="2025-11-09 09:51:52") == "2025-11-09 11:51:34"
+
+
+def test_rolling_year_start(evaluate):
+    got = evaluate(timing.rolling_year_start(date(2024, 2, 29)), x=None)
+    assert got == date(2023, 2, 28)
+
+
+@pytest.mark.parametrize(
+    "transport, km, expected",
+    [
+        ("MARCHE", 15.0, False),
+        ("MARCHE", 15.1, True),
+        ("COURSE À PIED", 15.1, True),
+        ("RUNNING", 15.1, True),
+        ("VÉLO", 25.0, False),
+        ("VÉLO", 25.1, True),
+        ("TROTTINETTE", 25.1, True),
+        ("MARCHE/RUNNING", 99.0, False),
+        ("MARCHE", None, False),
+        ("MARCHE", math.nan, False),
+        (None, 99.0, False),
+    ],
+)
+def test_transport_anomaly(evaluate, transport, km, expected):
+    rule = rules.transport_anomaly(F.col("t"), F.col("km"), RULES)
+    assert evaluate(rule, "t string, km double", t=transport, km=km) is expected
+
+
+def test_rule_labels_are_parameters(evaluate):
+    both = BusinessRules(walk_modes=("MARCHE/RUNNING",), walk_limit_km=1.0)
+    rule = rules.transport_anomaly(F.col("t"), F.col("km"), both)
+    assert evaluate(rule, "t string, km double", t="MARCHE/RUNNING", km=2.0) is True
+
+
+@pytest.mark.parametrize(
+    "transport, expected",
+    [("VÉLO", "bicycling"), ("RUNNING", "walking"), ("VOITURE", "driving"), (None, "driving")],
+)
+def test_travel_mode(evaluate, transport, expected):
+    assert evaluate(rules.travel_mode(F.col("x"), RULES), x=transport) == expected
+
+
+@pytest.mark.parametrize(
+    "transport, salary, expected",
+    [
+        ("VÉLO/TROTTINETTE/AUTRES", 1000.0, 50.0),
+        ("MARCHE/RUNNING", 1000.0, 50.0),
+        ("VÉLO", 1000.0, 0.0),
+        (None, 1000.0, 0.0),
+        ("MARCHE/RUNNING", None, None),
+    ],
+)
+def test_sport_bonus(evaluate, transport, salary, expected):
+    rule = rules.sport_bonus(F.col("t"), F.col("s"), RULES)
+    assert evaluate(rule, "t string, s double", t=transport, s=salary) == expected
+
+
+@pytest.mark.parametrize("count, expected", [(14, False), (15, True), (None, False)])
+def test_wellbeing(evaluate, count, expected):
+    assert evaluate(rules.wellbeing_eligible(F.col("x"), RULES), "x bigint", x=count) is expected
+
+
+@pytest.mark.parametrize("sport, expected", [("YOGA", 0.0), ("MUSCULATION", 0.0), ("BOXE", 9.0)])
+def test_activity_distance(evaluate, sport, expected):
+    assert evaluate(rules.activity_distance(F.col("x"), F.lit(9.0)), x=sport) == expected
+
+
+@pytest.mark.parametrize(
+    "response, expected",
+    [
+        ('{"status":"OK","rows":[{"elements":[{"status":"OK","distance":{"value":12345}}]}]}', 12.345),
+        ('{"status":"OK","rows":[{"elements":[{"status":"ZERO_RESULTS"}]}]}', None),
+        ('{"status":"OVER_QUERY_LIMIT","rows":[]}', None),
+        ('{"status":"OK","rows":[]}', None),
+        ('{"status":"OK","rows":[{"elements":[]}]}', None),
+        ('{"status":"OK","rows":[{"elements":[{"status":"OK"}]}]}', None),
+        ("not json", None),
+        (None, None),
+    ],
+)
+def test_provider_distance(evaluate, response, expected):
+    assert evaluate(distance.provider_distance_km(F.col("x")), x=response) == expected
+
+
+@pytest.mark.parametrize("metres, expected", [("7243", 7.243), ("abc", 0.0), (None, 0.0), ("", 0.0)])
+def test_metres_to_km(evaluate, metres, expected):
+    assert evaluate(distance.metres_to_km(F.col("x")), x=metres) == expected
+
+
+@pytest.mark.parametrize("sport", [*messages.TEMPLATES, "PÉTANQUE"])
+@pytest.mark.parametrize("pick", [0, 1, 7])
+def test_messages_match_python_formatting(evaluate, sport, pick):
+    known = messages.TEMPLATES.get(sport, messages.TEMPLATES["DEFAULT"])
+    expected = known[pick % len(known)].format(
+        name="A {sport} B", sport=sport, distance=7.25, duration=-2
+    )
+    rendered = messages.render(
+        messages.pick_template(F.col("x"), F.lit(pick)),
+        F.lit("A {sport} B"),
+        F.col("x"),
+        F.lit(7.25),
+        F.lit(-2),
+    )
+    assert evaluate(rendered, x=sport) == expected
+
+
+def test_template_without_id(evaluate):
+    assert "Bravo" in evaluate(messages.pick_template(F.col("x"), F.lit(None)), x="BOXE")
