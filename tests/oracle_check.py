@@ -40,9 +40,8 @@ def _rows(columns: list[str], rows) -> list[tuple]:
     return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
-def difference(spark, con, sf_dir: str, name: str, query, sql: str) -> str | None:
+def difference(con, name: str, frame, sql: str) -> str | None:
     """None when both sides agree, else what differs."""
-    frame = query(spark, sf_dir)
     got = _rows(frame.columns, [tuple(r) for r in frame.collect()])
     cursor = con.execute(sql)
     columns = [d[0] for d in cursor.description]
@@ -73,7 +72,7 @@ def main() -> None:
         if sys.argv[2:] and name not in sys.argv[2:]:
             continue
         try:
-            problem = difference(spark, con, sf_dir, name, query, sqls[name])
+            problem = difference(con, name, query(spark, sf_dir), sqls[name])
         except Exception as error:  # report and go on with the next query
             problem = f"{name}: {type(error).__name__} {str(error)[:1500]}"
         print(problem or f"{name}: equal", flush=True)

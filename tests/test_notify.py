@@ -1,0 +1,60 @@
+import json
+
+from conftest import rows
+
+from activlake.operators.notify import to_notifications
+from activlake.schemas import NOTIFICATION
+
+
+def send(spark, *afters):
+    texts = [a if isinstance(a, str) or a is None else json.dumps({"payload": {"after": a}}) for a in afters]
+    return spark.createDataFrame([(t.encode() if t is not None else None,) for t in texts], "value binary")
+
+
+def test_empty_events_are_skipped(spark):
+    skipped = send(spark, None, "garbage", "{}", '{"payload": {}}', '{"payload": {"after": null}}',
+                   '{"payload": {"after": {}}}', '{"payload": {"after": 5}}')
+    assert to_notifications(skipped).count() == 0
+
+
+def test_fallbacks(spark):
+    events = send(
+        spark,
+        {"id": 1, "id_salarie": 7, "type_sport": " boxe ", "distance": "abc", "commentaire": "A B - BOXE"},
+        {"id": 2, "id_salarie": 7, "type_sport": None, "distance": 2500, "commentaire": "A B"},
+        {"id": 3, "id_salarie": 0, "commentaire": ""},
+        {"id": 4, "id salarié": 8, "id_salarie": 7, "type": "Judo", "type_sport": "boxe"},
+        {"unknown": 1},
+    )
+    result = to_notifications(events)
+    assert [(f.name, f.dataType) for f in result.schema] == [
+        (f.name, f.dataType) for f in NOTIFICATION
+    ]
+    assert rows(result, "id", "id_salarie", "type_sport", "nom", "distance_km", "duration_min") == [
+        (None, "inconnu", "UNKNOWN", "salarié inconnu", 0.0, 0),
+        (1, "7", "BOXE", "A B", 0.0, 0),
+        (2, "7", "UNKNOWN", "A B", 2.5, 0),
+        (3, "inconnu", "UNKNOWN", "salarié inconnu", 0.0, 0),
+        (4, "8", "JUDO", "salarié 8", 0.0, 0),
+    ]
+
+
+def test_dates_and_message(spark):
+    events = send(
+        spark,
+        {"id": 2, "type_sport": "running", "distance": 7250, "commentaire": "A B - x",
+         "date_debut": 1743898597000000, "date_fin": 1743899995000000},
+        {"id": 4, "type_sport": "running", "distance": 7250, "commentaire": "A B - x",
+         "date_debut": "2025-01-01 10:01:01", "date_fin": "2025-01-01 10:00:00"},
+        {"id": 6, "type_sport": "running", "distance": 1234567, "commentaire": "A B - x",
+         "Date de début de l'activité": "06/04/2025 00:16", "date_debut": "hier",
+         "Date de fin de l'activité": "06/04/2025 01:16"},
+        {"id": 8, "type_sport": "running", "date_debut": "hier", "date_fin": "2025-01-01 10:00:00"},
+    )
+    text = "🏃‍♂️ Incroyable {} ! Tu viens de courir {} km en {} min ! Quelle énergie ! 🔥🏅"
+    assert rows(to_notifications(events), "id", "message") == [
+        (2, text.format("A B", "7.2", 23)),
+        (4, text.format("A B", "7.2", -2)),
+        (6, text.format("A B", "1234.6", 60)),
+        (8, text.format("salarié inconnu", "0.0", 0)),
+    ]
