@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from activlake.functions.casting import bigint
 
-# The date layouts accepted in an event.
-EVENT_DATE_FORMATS = ("yyyy-M-d H:m:s", "d/M/yyyy H:m")
+# The date layouts accepted in an event, each with the shape that announces it.
+EVENT_DATE_FORMATS = {"____-%": "yyyy-M-d H:m:s", "%/%": "d/M/yyyy H:m"}
 EVENT_DATE_OUTPUT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -26,9 +26,15 @@ def whole_minutes(seconds: Column) -> Column:
 
 
 def parse_event_date(c: Column) -> Column:
-    """First layout that fits, else an epoch-microsecond number, else null."""
-    layouts = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in EVENT_DATE_FORMATS]
-    return F.coalesce(*layouts, F.timestamp_micros(c.try_cast("bigint")))
+    """Date in an accepted layout or as an epoch-microsecond number, else null.
+
+    The shape is tested first because a text that does not fit a layout costs an
+    exception inside the parser.
+    """
+    parsed = F.timestamp_micros(c.try_cast("bigint"))
+    for shape, layout in EVENT_DATE_FORMATS.items():
+        parsed = F.when(c.like(shape), F.try_to_timestamp(c, F.lit(layout))).otherwise(parsed)
+    return parsed
 
 
 def minutes_between(start: Column, end: Column) -> Column:

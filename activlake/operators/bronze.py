@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from activlake.functions.casting import micros_timestamp
+from activlake.functions.json import decode
 from activlake.functions.timing import duration_seconds
 from activlake.schemas import CDC_ENVELOPE
 
@@ -14,12 +15,8 @@ DAY = "jour_debut"
 
 def decode_envelopes(messages: DataFrame) -> DataFrame:
     """Row images after the change. Deletes, tombstones and broken JSON have no id and drop out."""
-    text = F.col("value").cast("string")
-    return (
-        messages.select(F.from_json(text, CDC_ENVELOPE).alias("data"))
-        .select("data.payload.after.*")
-        .filter(F.col("id").isNotNull())
-    )
+    envelopes = decode(messages, F.col("value").cast("string"), CDC_ENVELOPE)
+    return envelopes.select("payload.after.*").filter(F.col("id").isNotNull())
 
 
 def to_bronze(messages: DataFrame) -> DataFrame:

@@ -6,18 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from activlake.functions.casting import integer, number
-from activlake.schemas import ACTIVITES, INGEST_REQUIRED
+from activlake.schemas import ACTIVITES, INGEST_BODY, INGEST_REQUIRED
 
 STORED = "activity stored"
 
 
-def _text(name: str) -> Column:
-    return F.get_json_object("body", f"$.{name}")
-
-
 def _first_missing() -> Column:
     """First required key, in order, that the body lacks. A key with a null value is present."""
-    keys = F.json_object_keys("body")
+    keys = F.col("_keys")
     return F.coalesce(
         F.when(keys.isNull(), F.lit("Invalid body")),
         *[
@@ -27,55 +23,71 @@ def _first_missing() -> Column:
     )
 
 
+def _typed(name: str) -> Column:
+    """The value of a key in the type of the activity table."""
+    text, wanted = F.col(f"_body.{name}"), ACTIVITES[name].dataType.simpleString()
+    if wanted == "int":
+        return integer(text)
+    return number(text) if wanted == "double" else text.try_cast(wanted)
+
+
 def _first_refused() -> Column:
     """First value the activity table cannot hold."""
-    readable = {
-        "id_salarie": integer(_text("id_salarie")),
-        "distance": number(_text("distance")),
-        "date_debut": _text("date_debut").try_cast("timestamp"),
-        "date_fin": _text("date_fin").try_cast("timestamp"),
-    }
-    required = [
-        F.when(_text(f.name).isNull(), F.lit(f"Null value: {f.name}"))
-        for f in ACTIVITES
-        if not f.nullable and f.name in INGEST_REQUIRED
+    nulls = [
+        F.when(F.col(f"_body.{name}").isNull(), F.lit(f"Null value: {name}"))
+        for name in INGEST_REQUIRED
+        if not ACTIVITES[name].nullable
     ]
-    typed = [
-        F.when(_text(name).isNotNull() & value.isNull(), F.lit(f"Invalid value: {name}"))
-        for name, value in readable.items()
+    unreadable = [
+        F.when(
+            F.col(f"_body.{name}").isNotNull() & _typed(name).isNull(),
+            F.lit(f"Invalid value: {name}"),
+        )
+        for name in INGEST_REQUIRED
+        if ACTIVITES[name].dataType.simpleString() != "string"
     ]
-    return F.coalesce(*required, *typed)
+    return F.coalesce(*nulls, *unreadable)
+
+
+def _judged(bodies: DataFrame) -> DataFrame:
+    """Bodies with their keys, decoded values and the first problem, each JSON text read once."""
+    parts = F.struct(
+        F.json_object_keys("body").alias("_keys"),
+        F.from_json("body", INGEST_BODY).alias("_body"),
+    )
+    decoded = bodies.select("*", F.inline(F.array(parts)))
+    return decoded.withColumn("_problem", F.coalesce(_first_missing(), _first_refused()))
 
 
 def validate(bodies: DataFrame) -> DataFrame:
     """Add ``status`` and ``message`` to JSON ``body`` rows."""
-    problem = F.coalesce(_first_missing(), _first_refused())
-    return bodies.withColumns(
-        {
-            "status": F.when(problem.isNull(), F.lit("ok")).otherwise(F.lit("error")),
-            "message": F.coalesce(problem, F.lit(STORED)),
-        }
-    )
+    problem = F.col("_problem")
+    answers = {
+        "status": F.when(problem.isNull(), F.lit("ok")).otherwise(F.lit("error")),
+        "message": F.coalesce(problem, F.lit(STORED)),
+    }
+    return _judged(bodies).withColumns(answers).drop("_keys", "_body", "_problem")
 
 
-def stored_rows(validated: DataFrame) -> DataFrame:
+def stored_rows(bodies: DataFrame) -> DataFrame:
     """Accepted bodies as activity-table rows.
 
     ``id`` comes with the input (its offset or sequence number): a gap-free
     counter would need a single writer. The duration is not stored; Bronze
     derives it from the dates.
     """
-    keys = F.json_object_keys("body")
-    comment = F.when(F.array_contains(keys, "commentaire"), _text("commentaire")).otherwise("")
-    distance = F.when(F.array_contains(keys, "distance"), number(_text("distance"))).otherwise(0.0)
-    return validated.filter(F.col("status") == "ok").select(
+
+    def given(name: str, value: Column, default: str | float) -> Column:
+        return F.when(F.array_contains("_keys", name), value).otherwise(F.lit(default))
+
+    return _judged(bodies).filter(F.col("_problem").isNull()).select(
         F.col("id").cast("int").alias("id"),
-        integer(_text("id_salarie")).alias("id_salarie"),
-        _text("type_sport").alias("type_sport"),
-        distance.alias("distance"),
+        _typed("id_salarie").alias("id_salarie"),
+        _typed("type_sport").alias("type_sport"),
+        given("distance", _typed("distance"), 0.0).alias("distance"),
         F.lit(None).cast("int").alias("duration_sec"),
-        _text("date_debut").try_cast("timestamp").alias("date_debut"),
-        _text("date_fin").try_cast("timestamp").alias("date_fin"),
-        comment.alias("commentaire"),
+        _typed("date_debut").alias("date_debut"),
+        _typed("date_fin").alias("date_fin"),
+        given("commentaire", F.col("_body.commentaire"), "").alias("commentaire"),
         F.current_timestamp().alias("created_at"),
     )

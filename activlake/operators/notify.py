@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from activlake.functions.distance import metres_to_km
+from activlake.functions.json import decode
 from activlake.functions.messages import pick_template, render
 from activlake.functions.text import label, name_from_comment
 from activlake.functions.timing import minutes_between, parse_event_date
-from activlake.schemas import NOTIFY_AFTER
+from activlake.schemas import NOTIFY_AFTER, NOTIFY_ENVELOPE
 
 
 def _first_given(*columns: str, default: str, missing: tuple[str, ...] = ("",)) -> Column:
@@ -20,13 +21,9 @@ def _first_given(*columns: str, default: str, missing: tuple[str, ...] = ("",))
 
 def row_images(messages: DataFrame) -> DataFrame:
     """Non-empty row images after the change; deletes, tombstones and broken JSON drop out."""
-    after = F.get_json_object(F.col("value").cast("string"), "$.payload.after")
-    return (
-        messages.select(after.alias("after"))
-        .filter(F.col("after").startswith("{") & (F.col("after") != "{}"))
-        .select(F.from_json("after", NOTIFY_AFTER).alias("row"))
-        .select("row.*")
-    )
+    envelopes = decode(messages, F.col("value").cast("string"), NOTIFY_ENVELOPE)
+    after = F.col("payload.after")
+    return decode(envelopes.filter(after.startswith("{") & (after != "{}")), after, NOTIFY_AFTER)
 
 
 def to_notifications(messages: DataFrame) -> DataFrame:

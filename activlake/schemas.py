@@ -86,8 +86,9 @@ ACTIVITES = _struct(
     required=("id", "id_salarie", "type_sport"),
 )
 
-# Ingest bodies: dates stay text until they are validated.
+# Ingest bodies: every value stays text until it is validated.
 INGEST_REQUIRED = ("id_salarie", "type_sport", "distance", "date_debut", "date_fin")
+INGEST_BODY = _struct(*[(name, TEXT) for name in (*INGEST_REQUIRED, "commentaire")])
 
 CDC_AFTER = _struct(
     ("id", INT),
@@ -138,6 +139,8 @@ NOTIFY_AFTER = _struct(
     ("date_debut", TEXT),
     ("date_fin", TEXT),
 )
+# The image stays text at first: an empty object has to be told from unknown fields.
+NOTIFY_ENVELOPE = _struct(("payload", _struct(("after", TEXT))))
 NOTIFICATION = _struct(
     ("id", INT),
     ("id_salarie", TEXT),

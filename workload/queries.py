@@ -195,7 +195,7 @@ def ingest_validate(spark: SparkSession, sf: str) -> DataFrame:
 
 def ingest_store(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "activites")
-    append_table(ingest.stored_rows(ingest.validate(t.ingest_bodies(spark, sf))), path, "parquet")
+    append_table(ingest.stored_rows(t.ingest_bodies(spark, sf)), path, "parquet")
     stored = read_table(spark, path, fmt="parquet").drop("created_at", "duration_sec")
     return ntz(stored, "date_debut", "date_fin")
 
@@ -242,9 +242,9 @@ def notify_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 def time_rules(spark: SparkSession, sf: str) -> DataFrame:
     start = F.col("ts").cast("timestamp")
-    end = end_time(F.date_trunc("second", start), (t.k() - 50) * 7)
+    end = end_time(F.date_trunc("second", start), (F.col("k") - 50) * 7)
     text = event_date_text(end)
-    return t.table(spark, sf, "events").select(
+    return t.with_k(t.table(spark, sf, "events")).select(
         "event_id",
         text.alias("date_fin"),
         minutes_between(start, parse_event_date(text)).alias("minutes"),

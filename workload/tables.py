@@ -44,9 +44,9 @@ def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def k() -> Column:
-    """The integer carried by an event's JSON properties."""
-    return F.get_json_object("props", "$.k").cast("int")
+def with_k(events: DataFrame) -> DataFrame:
+    """Events with ``k``, the integer carried by their JSON properties."""
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
 # --- employees -----------------------------------------------------------------------
@@ -166,8 +166,8 @@ def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Some distances are negative, some ends precede their start, some sports are null.
     """
     start = _micros(F.date_trunc("day", F.col("ts").cast("timestamp")))
-    seconds = ((k() - 5) * 61).cast("bigint")
-    return table(spark, sf_dir, "events").select(
+    seconds = ((F.col("k") - 5) * 61).cast("bigint")
+    return with_k(table(spark, sf_dir, "events")).select(
         F.col("event_id").cast("int").alias("id"),
         F.col("user_id").cast("int").alias("id_salarie"),
         F.upper(F.nullif(F.col("event_type"), F.lit("error"))).alias("type_sport"),
@@ -189,14 +189,14 @@ def cdc_messages(events: DataFrame) -> DataFrame:
     click events have a date that is not a number.
     """
     start = _micros(F.col("ts"))
-    end = (start + k().cast("bigint") * 61_500_000).cast("string")
+    end = (start + F.col("k").cast("bigint") * 61_500_000).cast("string")
     after = F.struct(
         F.col("event_id").alias("id"),
         F.col("user_id").alias("id_salarie"),
         F.upper("event_type").alias("type_sport"),
         F.col("value").alias("distance"),
         start.alias("date_debut"),
-        F.when((F.col("event_type") == "click") & (k() < 10), F.lit("soon"))
+        F.when((F.col("event_type") == "click") & (F.col("k") < 10), F.lit("soon"))
         .otherwise(end)
         .alias("date_fin"),
         F.concat(F.lit("U"), F.col("user_id"), F.lit(" - "), F.upper("event_type")).alias(
@@ -209,16 +209,16 @@ def cdc_messages(events: DataFrame) -> DataFrame:
     )
     deleted = F.lit('{"payload": {"before": {"id": 1}, "after": null, "op": "d"}}')
     error = (
-        F.when(k() < 40, deleted).when(k() < 70, F.lit("garbage")).otherwise(F.lit(None))
+        F.when(F.col("k") < 40, deleted).when(F.col("k") < 70, F.lit("garbage")).otherwise(F.lit(None))
     )
     text = F.when(F.col("event_type") == "error", error).otherwise(envelope)
-    return events.select(text.cast("binary").alias("value"))
+    return with_k(events).select(text.cast("binary").alias("value"))
 
 
 def notification_messages(events: DataFrame) -> DataFrame:
     """Change envelopes with the spellings and gaps a notification has to cope with."""
     kind, when = F.col("event_type"), F.col("ts").cast("timestamp")
-    later = when + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (k() - 9) * 31)
+    later = when + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("k") - 9) * 31)
     layout = {"click": "yyyy-MM-dd HH:mm:ss", "purchase": "dd/MM/yyyy HH:mm"}
 
     def shown(c: Column) -> Column:
@@ -249,10 +249,10 @@ def notification_messages(events: DataFrame) -> DataFrame:
         shown(later).alias("date_fin"),
     )
     deleted = F.lit('{"payload": {"before": null, "after": {}}}')
-    text = F.when((kind == "error") & (k() < 20), deleted).otherwise(
+    text = F.when((kind == "error") & (F.col("k") < 20), deleted).otherwise(
         F.to_json(F.struct(F.struct(after.alias("after")).alias("payload")))
     )
-    return events.select(text.cast("binary").alias("value"))
+    return with_k(events).select(text.cast("binary").alias("value"))
 
 
 def ingest_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,10 +260,10 @@ def ingest_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     start = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
     body = F.struct(
-        F.when((kind != "signup") | (k() >= 30), F.col("user_id")).alias("id_salarie"),
-        F.when((kind != "error") | (k() >= 30), F.upper(kind)).alias("type_sport"),
+        F.when((kind != "signup") | (F.col("k") >= 30), F.col("user_id")).alias("id_salarie"),
+        F.when((kind != "error") | (F.col("k") >= 30), F.upper(kind)).alias("type_sport"),
         F.when(kind != "error", F.col("value")).alias("distance"),
-        F.when((kind == "click") & (k() < 20), F.lit("demain")).otherwise(start).alias(
+        F.when((kind == "click") & (F.col("k") < 20), F.lit("demain")).otherwise(start).alias(
             "date_debut"
         ),
         F.when(kind != "signup", start).alias("date_fin"),
@@ -271,14 +271,14 @@ def ingest_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # View events send explicit nulls, the others leave the key out.
     with_nulls = F.to_json(
-        body.withField("distance", F.when(k() >= 50, F.col("value"))).withField(
-            "id_salarie", F.when(k() != 77, F.col("user_id"))
+        body.withField("distance", F.when(F.col("k") >= 50, F.col("value"))).withField(
+            "id_salarie", F.when(F.col("k") != 77, F.col("user_id"))
         ),
         {"ignoreNullFields": "false"},
     )
     text = F.when(kind == "view", with_nulls).when(
-        (kind == "purchase") & (k() == 13), F.lit("not json")
+        (kind == "purchase") & (F.col("k") == 13), F.lit("not json")
     )
-    return table(spark, sf_dir, "events").select(
+    return with_k(table(spark, sf_dir, "events")).select(
         F.col("event_id").alias("id"), F.coalesce(text, F.to_json(body)).alias("body")
     )
