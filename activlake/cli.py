@@ -9,20 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from activlake.plans import medallion
 from activlake.plans.medallion import LakePaths
-from activlake.session import get_session
+from activlake.session import get_session, shuffle_partitions
 from activlake.sources.cdc import read_cdc_files, read_cdc_kafka
 from activlake.streaming import start_bronze, start_notifications
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.kafka:
-        return read_cdc_kafka(spark, args.kafka, args.topic)
-    return read_cdc_files(spark, args.source, args.source_format)
+        return read_cdc_kafka(spark, args.kafka, args.topic, max_per_trigger=args.max_per_trigger)
+    return read_cdc_files(spark, args.source, args.source_format, args.max_per_trigger)
 
 
 def _show(frames: dict[str, DataFrame]) -> None:
     for title, frame in frames.items():
         print(f"--- {title}")
+        frame.printSchema()
         frame.show(truncate=False)
 
 
@@ -31,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--lake", required=True, help="root folder of the lake (shared storage)")
     parser.add_argument("--master", help="Spark master; leave out under spark-submit")
     parser.add_argument("--delta", action="store_true", help="use Delta tables (needs its jar)")
+    parser.add_argument("--input-gb", type=int, help="input size, to size the shuffles")
     commands = parser.add_subparsers(dest="command", required=True)
 
     reference = commands.add_parser("reference", help="build the employee reference")
@@ -45,7 +47,8 @@ def _parser() -> argparse.ArgumentParser:
         stream.add_argument("--source", help="folder of envelopes when there is no Kafka")
         stream.add_argument("--source-format", default="parquet", choices=["parquet", "text"])
         stream.add_argument("--trigger", help='interval such as "1 minute", or "available"')
-        stream.add_argument("--by-day", action="store_true")
+        stream.add_argument("--max-per-trigger", type=int, help="messages or files per batch")
+    commands.choices["bronze"].add_argument("--by-day", action="store_true")
 
     silver = commands.add_parser("silver", help="rebuild Silver")
     silver.add_argument("--by-day", action="store_true")
@@ -63,7 +66,10 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = get_session(f"activlake-{args.command}", args.master, delta=args.delta)
+    conf = {}
+    if args.input_gb:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions(args.input_gb * 1024**3))
+    spark = get_session(f"activlake-{args.command}", args.master, conf, args.delta)
     paths = LakePaths(args.lake)
     match args.command:
         case "reference":

@@ -34,7 +34,7 @@ def merge_sources(hr: DataFrame, sport: DataFrame) -> DataFrame:
 
     An employee absent from the sport table has no declared sport.
     """
-    clashes = [c for c in hr.columns if c in sport.columns and c != "employee_id"]
+    clashes = (set(hr.columns) & set(sport.columns)) - {"employee_id"}
     hr = hr.withColumnsRenamed({c: f"{c}_x" for c in clashes})
     sport = sport.withColumnsRenamed({c: f"{c}_y" for c in clashes})
     merged = hr.join(sport, "employee_id", "left")

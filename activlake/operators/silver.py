@@ -22,9 +22,10 @@ def deduplicate(df: DataFrame, keys: tuple[str, ...], first_by: tuple[str, ...])
     any number of copies reaches the reducer as one row per map task. Comparing
     whole rows makes the survivor the same on every run and retry.
     """
-    rest = [c for c in df.columns if c not in keys and c not in first_by]
+    columns = df.columns
+    rest = [c for c in columns if c not in keys and c not in first_by]
     smallest = F.min(F.struct(*first_by, *rest)).alias("_row")
-    return df.groupBy(*keys).agg(smallest).select(*keys, "_row.*").select(*df.columns)
+    return df.groupBy(*keys).agg(smallest).select(*keys, "_row.*").select(*columns)
 
 
 def unique_activities(bronze: DataFrame) -> DataFrame:

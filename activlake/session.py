@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import SparkSession
 
-# Settings that hold at any scale. The number of initial shuffle partitions is
-# left to the caller: AQE merges small ones but cannot split an even shuffle.
+# Settings that hold at any scale; the partition count comes from the input size.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -13,8 +14,6 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join is split even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Overwriting a partitioned table replaces only the partitions written.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 DELTA_CONF = {
@@ -23,6 +22,15 @@ DELTA_CONF = {
 }
 
 
+def shuffle_partitions(input_bytes: int, target_bytes: int = 128 * 1024**2) -> int:
+    """Shuffle partitions for an input, so that one task's share stays near ``target_bytes``.
+
+    AQE merges partitions that turn out small but cannot split an even shuffle,
+    so the count has to be high enough from the start.
+    """
+    return min(max(200, math.ceil(input_bytes / target_bytes)), 200_000)
+
+
 def get_session(
     app_name: str = "activlake",
     master: str | None = None,

@@ -13,15 +13,14 @@ from activlake.schemas import DISTANCE_CACHE, REFERENCE
 from activlake.session import lake_format
 
 _FROM_TEXT = {"int": integer, "double": number}
+_AS_IS = {("int", "int"), ("string", "string"), ("boolean", "boolean")}
 
 
-def _cast(df: DataFrame, field: T.StructField) -> Column:
-    column, wanted = F.col(f"`{field.name}`"), field.dataType.simpleString()
-    if dict(df.dtypes)[field.name] == "string" and wanted in _FROM_TEXT:
-        return _FROM_TEXT[wanted](column)
-    if wanted == "double":
-        return number(column)
-    return column.try_cast(field.dataType)
+def _cast(name: str, given: str, wanted: T.DataType) -> Column:
+    column, kind = F.col(f"`{name}`"), wanted.simpleString()
+    if given == "string" and kind in _FROM_TEXT:
+        return _FROM_TEXT[kind](column)
+    return number(column) if kind == "double" else column.try_cast(wanted)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -29,7 +28,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     Values that do not fit become null, and NaN becomes null with them.
     """
-    return df.withColumns({f.name: _cast(df, f) for f in schema if f.name in df.columns})
+    given = dict(df.dtypes)
+    return df.withColumns(
+        {
+            f.name: _cast(f.name, given[f.name], f.dataType)
+            for f in schema
+            if f.name in given and (given[f.name], f.dataType.simpleString()) not in _AS_IS
+        }
+    )
 
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from activlake.schemas import BRONZE
 
@@ -31,8 +32,15 @@ EVENT_SPORT = {
 }
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Its footer is read the first time only."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _lookup(key: Column, pairs: dict[str, str]) -> Column:
