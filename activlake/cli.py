@@ -43,7 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     for name, text in (("bronze", "stream changes to Bronze"), ("notify", "stream messages")):
         stream = commands.add_parser(name, help=text)
         stream.add_argument("--kafka", help="bootstrap servers")
-        stream.add_argument("--topic", default="dbserver1.public.activites_sportives")
+        stream.add_argument("--topic", help="topic of change envelopes")
         stream.add_argument("--source", help="folder of envelopes when there is no Kafka")
         stream.add_argument("--source-format", default="parquet", choices=["parquet", "text"])
         stream.add_argument("--trigger", help='interval such as "1 minute", or "available"')

@@ -20,10 +20,17 @@ def _first_given(*columns: str, default: str, missing: tuple[str, ...] = ("",))
 
 
 def row_images(messages: DataFrame) -> DataFrame:
-    """Non-empty row images after the change; deletes, tombstones and broken JSON drop out."""
-    envelopes = decode(messages, F.col("value").cast("string"), NOTIFY_ENVELOPE)
-    after = F.col("payload.after")
-    return decode(envelopes.filter(after.startswith("{") & (after != "{}")), after, NOTIFY_AFTER)
+    """Non-empty row images after the change; deletes, tombstones and broken JSON drop out.
+
+    An image with no field this table knows may still have others, so only then
+    is the text looked at again.
+    """
+    text = F.col("value").cast("string")
+    envelopes = decode(messages, text, NOTIFY_ENVELOPE, "value")
+    known = F.coalesce(*[F.col(f"payload.after.`{f.name}`").cast("string") for f in NOTIFY_AFTER])
+    other = F.get_json_object(text, "$.payload.after") != "{}"
+    present = F.col("payload.after").isNotNull() & (known.isNotNull() | other)
+    return envelopes.filter(present).select("payload.after.*")
 
 
 def to_notifications(messages: DataFrame) -> DataFrame:

@@ -139,8 +139,7 @@ NOTIFY_AFTER = _struct(
     ("date_debut", TEXT),
     ("date_fin", TEXT),
 )
-# The image stays text at first: an empty object has to be told from unknown fields.
-NOTIFY_ENVELOPE = _struct(("payload", _struct(("after", TEXT))))
+NOTIFY_ENVELOPE = _struct(("payload", _struct(("after", NOTIFY_AFTER))))
 NOTIFICATION = _struct(
     ("id", INT),
     ("id_salarie", TEXT),
