@@ -32,14 +32,17 @@ def clean_sport(sport: DataFrame) -> DataFrame:
 def merge_sources(hr: DataFrame, sport: DataFrame) -> DataFrame:
     """Every HR row with its sport rows; clashing names get ``_x`` (HR) and ``_y`` (sport).
 
-    An employee absent from the sport table has no declared sport.
+    An employee absent from the sport table has no declared sport. The left join
+    is written as its two halves because Spark splits a hot key on either side of
+    an inner join, but only on the left side of a left join.
     """
     clashes = (set(hr.columns) & set(sport.columns)) - {"employee_id"}
     hr = hr.withColumnsRenamed({c: f"{c}_x" for c in clashes})
     sport = sport.withColumnsRenamed({c: f"{c}_y" for c in clashes})
-    merged = hr.join(sport, "employee_id", "left")
-    if "pratique_sport" not in merged.columns:
-        return merged
+    declared = sport.select("employee_id").distinct()
+    merged = hr.join(sport, "employee_id").unionByName(
+        hr.join(declared, "employee_id", "left_anti"), allowMissingColumns=True
+    )
     return merged.withColumn("pratique_sport", F.coalesce("pratique_sport", F.lit(NO_SPORT)))
 
 

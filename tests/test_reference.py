@@ -12,7 +12,7 @@ CACHE = "employee_id int, distance_domicile_entreprise_km double"
 
 def hr(spark, *people):
     return spark.createDataFrame(
-        [(i, f"N{i}", f"P{i}", 1000.0 * i, f"rue {i}", mode) for i, mode in people], HR
+        [(i, f"N{i}", f"P{i}", 1000.0 * (i or 0), f"rue {i}", mode) for i, mode in people], HR
     )
 
 
@@ -87,3 +87,18 @@ def test_modes_and_athletes(spark):
     assert rows(ref.transport_modes(people)) == [("BUS", "driving"), ("MARCHE", "walking")]
     sports = spark.createDataFrame([(1, " aucun "), (2, "JUDO"), (3, None)], "id int, pratique_sport string")
     assert rows(ref.declared_athletes(sports), "id") == [(2,)]
+
+
+def test_merge_with_a_hot_employee_on_each_side(spark):
+    from pyspark.sql import functions as F
+
+    people = hr(spark, (1, "VÉLO"), (2, "VÉLO"), (None, "VÉLO"))
+    sport = spark.range(0, 3000, 1, 4).select(
+        F.when(F.col("id") < 2000, 1).otherwise(F.col("id")).cast("int").alias("ID salarié"),
+        F.col("id").cast("string").alias("Pratique d'un sport"),
+    )
+    merged = ref.merge_sources(ref.clean_hr(people), ref.clean_sport(sport))
+    counts = merged.groupBy("employee_id").agg(
+        F.count("*"), F.count_if(F.col("pratique_sport") == "AUCUN")
+    )
+    assert rows(counts) == [(None, 1, 1), (1, 2000, 0), (2, 1, 1)]
