@@ -129,7 +129,8 @@ def refresh_silver(spark: SparkSession, paths: LakePaths, days: list[date]) -> D
 
     Duplicates share their start, so they share a day: the result equals a full
     rebuild as long as the reference has not changed. Both tables must be
-    partitioned by day.
+    partitioned by day. Activities without a readable start have no day and wait
+    for the next full rebuild.
     """
     touched = read_table(spark, paths.bronze).filter(F.col(DAY).isin(*days))
     silver = to_silver(touched.select(*BRONZE.fieldNames()), load_reference(spark, paths))
