@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from activlake.llm import chat
+from activlake.llm import chat, quality
 
 QUERIES = {
+    "op5_quality_rules": quality.op5_quality_rules,
     "op9_chat_format": chat.op9_chat_format,
 }
 
 ORACLE = {
+    "op5_quality_rules": quality.OP5_SQL,
     "op9_chat_format": chat.OP9_SQL,
 }
