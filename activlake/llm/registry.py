@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from activlake.llm import chat, quality
+from activlake.llm import chat, html_text, packing, quality, token_counts, toxicity
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1_token_counts,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op8_html_text": html_text.op8_html_text,
     "op9_chat_format": chat.op9_chat_format,
 }
 
