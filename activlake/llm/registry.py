@@ -2,18 +2,32 @@
 
 from __future__ import annotations
 
-from activlake.llm import chat, html_text, packing, quality, token_counts, toxicity
+from activlake.llm import (
+    chat,
+    decontamination,
+    html_text,
+    packing,
+    pii,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+)
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
+    "op10_personal_data": pii.op10_personal_data,
+    "op2_decontamination": decontamination.op2_decontamination,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op6_simhash_dedup": simhash.op6_simhash_dedup,
     "op8_html_text": html_text.op8_html_text,
     "op9_chat_format": chat.op9_chat_format,
 }
 
 ORACLE = {
+    "op2_decontamination": decontamination.OP2_SQL,
     "op5_quality_rules": quality.OP5_SQL,
     "op9_chat_format": chat.OP9_SQL,
 }
