@@ -6,6 +6,7 @@ from activlake.llm import (
     chat,
     decontamination,
     html_text,
+    lm_scoring,
     packing,
     pii,
     quality,
@@ -22,6 +23,7 @@ QUERIES = {
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_simhash_dedup": simhash.op6_simhash_dedup,
+    "op7_lm_scoring": lm_scoring.op7_lm_scoring,
     "op8_html_text": html_text.op8_html_text,
     "op9_chat_format": chat.op9_chat_format,
 }
