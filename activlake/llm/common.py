@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,17 +63,25 @@ def crc32_mod(key: Column, modulus: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % modulus
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share.
 
-    The folder is ``spark.checkpoint.dir``; a session without it (as in tests) gets a folder
-    beside its warehouse.
+    It is ``spark.checkpoint.dir``; a session without it (as in tests) uses its warehouse.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    return found or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(
-            shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        )
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table as Parquet to a new folder of the shared one and read it again."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activlake.llm.common import by_name, checkpointed, free_name, once, table
+from activlake.llm.common import by_name, checkpointed, once, table
 
 #: Base kinds in their order, with the pattern and a cheaper test that a text may hold it.
 BASE = {
@@ -160,8 +160,13 @@ LABELERS = tuple(_labelers())
 def candidates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """For each document its ``base`` spans (kind, start, end; sorted) and its ``candidates``
     (the same with ``votes``, ``long`` and ``mixed``)."""
+    return _searched(documents, text, {"doc_id": doc_id})
+
+
+def _searched(documents: DataFrame, text: str, kept: dict[str, str]) -> DataFrame:
+    """``base``, ``candidates`` and the columns ``kept``, new names for columns of documents."""
     df = documents.select(
-        by_name(documents, doc_id).alias("doc_id"),
+        *(by_name(documents, c).alias(new) for new, c in kept.items()),
         F.coalesce(by_name(documents, text), F.lit("")).alias("text"),
     )
     df = once(df, has_digit=F.col("text").rlike("[0-9]"))
@@ -193,7 +198,7 @@ def candidates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text")
     ]
     df = once(
         df.select(
-            "doc_id",
+            *kept,
             base.alias("base"),
             F.concat(F.expr(f"transform(other, x -> {named.format(kind)})"), *failed).alias("c"),
         ),
@@ -207,7 +212,7 @@ def candidates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     free = "NOT exists(base_, b -> b.start < x.end AND x.start < b.end)"
     return df.select(
-        "doc_id",
+        *kept,
         F.col("base_").alias("base"),
         F.expr(
             f"transform(filter(c, x -> {free}), x -> struct(x.start AS start, x.kind AS kind,"
@@ -356,15 +361,10 @@ def _spans(classifier: Classifier) -> tuple[Column, Column]:
 def redact(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with every span replaced by its kind in angle brackets."""
     _, classifier = fit(checkpointed(candidates(documents, doc_id, text)))
-    mark, given = free_name(documents, "redacted_text"), by_name(documents, text)
-    # The same row-wise search again, next to the whole row: no join, no shuffle.
-    row = free_name(documents, "whole_row")
-    df = candidates(
-        documents.select(
-            F.struct(*(by_name(documents, c) for c in documents.columns)).alias("doc_id"),
-            given.alias("text"),
-        )
-    ).select(F.col("doc_id").alias(row), _spans(classifier)[1])
+    # The same row-wise search again, with the whole row beside it: no join, no shuffle.
+    kept = {f"own_{i}": c for i, c in enumerate(documents.columns)}
+    given = next(new for new, c in kept.items() if c.lower() == text.lower())
+    df = _searched(documents, text, kept).select(*kept, _spans(classifier)[1])
     merged = (
         "aggregate(spans, CAST(array() AS array<struct<kind:string,start:int,end:int>>), (m, x) ->"
         " CASE WHEN size(m) > 0 AND element_at(m, -1).end > x.start"
@@ -372,7 +372,7 @@ def redact(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         " 'start', element_at(m, -1).start, 'end', greatest(element_at(m, -1).end, x.end))))"
         " ELSE concat(m, array(x)) END)"
     )
-    df = once(df.withColumn("t", F.col(f"{row}.`{text}`")), s=F.expr(merged))
+    df = once(df.withColumn("t", F.col(given)), s=F.expr(merged))
     parts = (
         "transform(s, (x, i) -> concat(substring(t, coalesce(get(s, i - 1).end, 0) + 1,"
         " x.start - coalesce(get(s, i - 1).end, 0)), '<', upper(x.kind), '>'))"
@@ -381,12 +381,8 @@ def redact(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         f"CASE WHEN size(s) = 0 THEN t ELSE concat(array_join({parts}, ''),"
         " substring(t, element_at(s, -1).end + 1)) END"
     )
-    df = df.withColumn(mark, F.expr(joined))
     return df.select(
-        *(
-            F.col(mark if c == text else f"{row}.`{c}`").alias(c)
-            for c in documents.columns
-        )
+        *((F.expr(joined) if new == given else F.col(new)).alias(c) for new, c in kept.items())
     )
 
 
