@@ -1,0 +1,82 @@
+"""The stages one by one against brute force, over the driver's smallest table."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from activlake.llm.common import stored
+from activlake.llm.simhash import fingerprint
+from test_decontamination import brute
+from test_pii import brute as personal
+
+FULL = (1 << 64) - 1
+
+
+@pytest.fixture(scope="module")
+def stages(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    kept = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        kept.append(stored(stage(spark, kept[-1], small), f"test_{name}"))
+    return kept
+
+
+def ids(df):
+    return sorted(r.doc_id for r in df.select("doc_id").collect())
+
+
+def test_columns_and_order(stages):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "near_duplicates", "decontamination", "personal_data", "best_fit_packing",
+    ]
+    assert all(k.columns == stages[0].columns for k in stages[:-1])
+
+
+def test_toxicity_rejects_by_its_score(spark, small, stages):
+    from activlake.llm.registry import QUERIES
+
+    rejected = QUERIES["op4_toxicity"](spark, small).where("predicted = 1")
+    assert set(ids(stages[0])) - set(ids(stages[1])) == set(ids(rejected))
+
+
+def test_one_document_of_each_group_stays(stages):
+    prints = {r.doc_id: fingerprint(r.text) for r in stages[1].collect()}
+    parent = {d: d for d in prints}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in prints:
+        for b in prints:
+            if a < b and ((prints[a] ^ prints[b]) & FULL).bit_count() <= 2:
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    assert ids(stages[2]) == sorted({find(d) for d in prints})
+
+
+def test_contaminated_documents_go_and_clean_ones_stay(spark, small, stages):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    clean = sorted(r.doc_id for r in stages[2].collect() if not brute(r.text, items)[1])
+    assert ids(stages[3]) == clean
+
+
+def test_personal_data_is_replaced(stages):
+    assert ids(stages[4]) == ids(stages[3])
+    for r in stages[4].collect():
+        assert personal(r.text) == []
+        assert r.n_chars == len(r.text)
+
+
+def test_all_that_is_left_is_packed(stages):
+    packed = stages[5]
+    assert set(ids(packed)) == set(ids(stages[4]))
+    sizes = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    assert sizes.where("n != end OR n > 2048").count() == 0
+
+
+def test_run_equals_the_stages(spark, small, stages):
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    got = corpus_pipeline.run(spark, small).select(columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, stages[5].select(columns).collect()))
