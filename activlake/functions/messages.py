@@ -66,7 +66,7 @@ def pick_template(
     choices = F.coalesce(
         F.try_element_at(by_sport, sport), F.try_element_at(by_sport, F.lit(DEFAULT_KEY))
     )
-    index = F.pmod(F.coalesce(pick, F.lit(0)).cast("int"), F.size(choices))
+    index = F.pmod(F.coalesce(pick, F.lit(0)).cast("bigint"), F.size(choices)).cast("int")
     return F.coalesce(F.get(choices, index), F.lit(FALLBACK))
 
 

@@ -39,7 +39,7 @@ def parse_event_date(c: Column) -> Column:
 
 def minutes_between(start: Column, end: Column) -> Column:
     """Minutes between two timestamps, rounded down (also below zero); 0 when unknown."""
-    span = F.unix_micros(end) - F.unix_micros(start)
+    span = F.try_subtract(F.unix_micros(end), F.unix_micros(start))
     return F.coalesce(F.floor(span / F.lit(60_000_000)), F.lit(0).cast("bigint"))
 
 

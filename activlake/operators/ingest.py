@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activlake.functions.casting import integer, number
+from activlake.functions.casting import bigint, integer, number
 from activlake.schemas import ACTIVITES, INGEST_BODY, INGEST_REQUIRED
 
+# The answers of the endpoint, here and in the checks below.
 STORED = "activity stored"
 
 
@@ -26,9 +27,8 @@ def _first_missing() -> Column:
 def _typed(name: str) -> Column:
     """The value of a key in the type of the activity table."""
     text, wanted = F.col(f"_body.{name}"), ACTIVITES[name].dataType.simpleString()
-    if wanted == "int":
-        return integer(text)
-    return number(text) if wanted == "double" else text.try_cast(wanted)
+    readers = {"int": integer, "bigint": bigint, "double": number}
+    return readers[wanted](text) if wanted in readers else text.try_cast(wanted)
 
 
 def _first_refused() -> Column:
@@ -81,7 +81,7 @@ def stored_rows(bodies: DataFrame) -> DataFrame:
         return F.when(F.array_contains("_keys", name), value).otherwise(F.lit(default))
 
     return _judged(bodies).filter(F.col("_problem").isNull()).select(
-        F.col("id").cast("int").alias("id"),
+        F.col("id").try_cast("bigint").alias("id"),
         _typed("id_salarie").alias("id_salarie"),
         _typed("type_sport").alias("type_sport"),
         given("distance", _typed("distance"), 0.0).alias("distance"),

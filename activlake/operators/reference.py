@@ -54,7 +54,7 @@ def known_distances(cache: DataFrame) -> DataFrame:
     """
     km = number(F.col(DISTANCE))
     return (
-        cache.groupBy(F.col("employee_id").cast("int").alias("employee_id"))
+        cache.groupBy(F.col("employee_id").try_cast("bigint").alias("employee_id"))
         .agg(F.max(km).alias("km"))
         .filter(F.col("employee_id").isNotNull() & F.col("km").isNotNull())
     )

@@ -24,9 +24,9 @@ SPORT_RENAMES = {
     "Pratique d'un sport": "pratique_sport",
 }
 
-# Known columns of the employee reference; other columns pass through as text.
+# The known columns of the employee reference; other columns pass through as text.
 REFERENCE = _struct(
-    ("employee_id", INT),
+    ("employee_id", LONG),
     ("Nom", TEXT),
     ("Prénom", TEXT),
     ("salaire_brut", DOUBLE),
@@ -38,7 +38,7 @@ REFERENCE = _struct(
 )
 
 DISTANCE_CACHE = _struct(
-    ("employee_id", INT),
+    ("employee_id", LONG),
     ("distance_domicile_entreprise_km", DOUBLE),
 )
 
@@ -60,10 +60,10 @@ DISTANCE_RESPONSE = _struct(
     ),
 )
 
-# Operational tables: primary keys and NOT NULL columns are the non-nullable fields,
+# The operational tables. Primary keys and NOT NULL columns are the non-nullable fields,
 # and the quality rules check them because no Spark file format enforces them.
 EMPLOYES = _struct(
-    ("employee_id", INT),
+    ("employee_id", LONG),
     ("nom", TEXT),
     ("prenom", TEXT),
     ("salaire_brut", DOUBLE),
@@ -74,8 +74,8 @@ EMPLOYES = _struct(
     required=("employee_id",),
 )
 ACTIVITES = _struct(
-    ("id", INT),
-    ("id_salarie", INT),
+    ("id", LONG),
+    ("id_salarie", LONG),
     ("type_sport", TEXT),
     ("distance", DOUBLE),
     ("duration_sec", INT),
@@ -86,13 +86,14 @@ ACTIVITES = _struct(
     required=("id", "id_salarie", "type_sport"),
 )
 
-# Ingest bodies: every value stays text until it is validated.
+# The required keys of an ingest body. Every value stays text until it is validated.
 INGEST_REQUIRED = ("id_salarie", "type_sport", "distance", "date_debut", "date_fin")
 INGEST_BODY = _struct(*[(name, TEXT) for name in (*INGEST_REQUIRED, "commentaire")])
 
+# The row image of a change. Identifiers are 64 bits wide in every layer.
 CDC_AFTER = _struct(
-    ("id", INT),
-    ("id_salarie", INT),
+    ("id", LONG),
+    ("id_salarie", LONG),
     ("type_sport", TEXT),
     ("distance", DOUBLE),
     ("date_debut", TEXT),
@@ -104,8 +105,8 @@ CDC_ENVELOPE = _struct(("payload", _struct(("after", CDC_AFTER))))
 BRONZE = T.StructType([*CDC_AFTER.fields, T.StructField("duration_sec", LONG)])
 
 SILVER = _struct(
-    ("id_evenement", INT),
-    ("id_salarie", INT),
+    ("id_evenement", LONG),
+    ("id_salarie", LONG),
     ("type_sport", TEXT),
     ("distance_metres", DOUBLE),
     ("duration_min", INT),
@@ -117,17 +118,10 @@ SILVER = _struct(
     ("commentaire", TEXT),
 )
 
-# Columns that Gold adds around the reference columns.
-GOLD_KPI = _struct(
-    ("id_salarie", INT),
-    ("nb_total_activites", LONG),
-    ("nb_activites_valides", LONG),
-)
-
-# The row image a notification reads. Two spellings exist for sport, employee and
+# The row image a notification reads. Two spellings exist for sport, employee and
 # dates; ``distance`` is text because the amount may be unreadable.
 NOTIFY_AFTER = _struct(
-    ("id", INT),
+    ("id", LONG),
     ("type", TEXT),
     ("type_sport", TEXT),
     ("distance", TEXT),
@@ -141,7 +135,7 @@ NOTIFY_AFTER = _struct(
 )
 NOTIFY_ENVELOPE = _struct(("payload", _struct(("after", NOTIFY_AFTER))))
 NOTIFICATION = _struct(
-    ("id", INT),
+    ("id", LONG),
     ("id_salarie", TEXT),
     ("type_sport", TEXT),
     ("nom", TEXT),
