@@ -26,9 +26,10 @@ def shuffle_partitions(input_bytes: int, target_bytes: int = 128 * 1024**2) -> i
     """Shuffle partitions for an input, so that one task's share stays near ``target_bytes``.
 
     AQE merges partitions that turn out small but cannot split an even shuffle,
-    so the count has to be high enough from the start.
+    so the count has to be high enough from the start. It grows with the input
+    without a limit; raise ``target_bytes`` where fewer, larger tasks are wanted.
     """
-    return min(max(200, math.ceil(input_bytes / target_bytes)), 200_000)
+    return max(200, math.ceil(input_bytes / target_bytes))
 
 
 def get_session(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from activlake.session import lake_format
-from activlake.sources.tables import read_table
 
 _RUN_LOG = T.StructType(
     [
         T.StructField("path", T.StringType(), False),
         T.StructField("published_at", T.TimestampType(), False),
+        T.StructField("days", T.ArrayType(T.DateType()), True),
     ]
 )
 
@@ -82,51 +82,124 @@ def create_table(
     spark.createDataFrame([], schema).write.format(fmt).mode("ignore").save(path)
 
 
-def export_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> int:
-    """Export a stored table as CSV in as few files as ``rows_per_file`` allows.
+def export_csv(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Export a table as CSV: as many files as its plan has tasks, or exactly ``files``.
 
-    A per-employee table fits one file, which is what a spreadsheet or dashboard
-    wants. A larger one is spread over several files, so no single task has to
-    write it all. Give it a table read back from storage: the count is then
-    answered from file metadata and the export does not recompute the table.
+    One file is what a spreadsheet wants, and one task then writes it; that is
+    the caller's choice, not something the number of rows decides.
     """
-    files = max(1, math.ceil(df.count() / rows_per_file))
-    write_csv(df.repartition(files), path)
-    return files
+    write_csv(df if files is None else df.repartition(files), path)
 
 
 def compact_table(
-    spark: SparkSession,
-    source: str,
+    df: DataFrame,
     target: str,
     files: int,
-    schema: T.StructType | None = None,
+    partition_by: tuple[str, ...] = (),
     fmt: str | None = None,
 ) -> None:
-    """Rewrite a table of many small files into ``files`` files at a new path."""
-    fmt = fmt or lake_format(spark)
-    overwrite_table(read_table(spark, source, schema, fmt).repartition(files), target, fmt)
+    """Write the rows of many small files as fewer ones at a new path, partitions kept.
+
+    A table without partitions gets ``files`` files. With partitions each value
+    gets up to ``files``, so that a value with most of the rows has several writers.
+    """
+    if not partition_by:
+        return overwrite_table(df.repartition(files), target, fmt)
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+    spread = df.repartition(*partition_by, part)
+    (
+        spread.write.format(fmt or lake_format(df.sparkSession))
+        .mode("overwrite")
+        .partitionBy(*partition_by)
+        .save(target)
+    )
 
 
-def publish(spark: SparkSession, table: str, run_path: str) -> None:
-    """Make ``run_path`` the current version of ``table``.
+# --- published versions ---------------------------------------------------------------
+#
+# Replacing Parquet in place is not atomic, so each run writes its own folder and one appended
+# row makes it current. A run may replace some days only: the other days stay where they are.
 
-    Replacing Parquet in place is not atomic, so each run writes its own folder
-    and readers switch only once it is complete.
-    """
+
+def publish(
+    spark: SparkSession, table: str, run_path: str, days: list[date] | None = None
+) -> None:
+    """Make ``run_path`` the current version of ``table``, or of some of its ``days``."""
     row = spark.range(0, 1, 1, 1).select(
-        F.lit(run_path).alias("path"), F.current_timestamp().alias("published_at")
+        F.lit(run_path).alias("path"),
+        F.current_timestamp().alias("published_at"),
+        F.lit(None if days is None else [str(d) for d in days]).cast("array<date>").alias("days"),
     )
     row.write.mode("append").parquet(f"{table}/_runs_log")
 
 
-def current_path(spark: SparkSession, table: str) -> str | None:
-    """Folder of the latest published run, or None before the first one."""
+def versions(spark: SparkSession, table: str) -> list[tuple[str, list[date] | None]]:
+    """Published runs that are still current: the latest full one, then refreshed days."""
     try:
         log = spark.read.schema(_RUN_LOG).parquet(f"{table}/_runs_log")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-    latest = log.orderBy(F.col("published_at").desc(), F.col("path").desc()).first()
-    return latest["path"] if latest else None
+        return []
+    current: list[tuple[str, list[date] | None]] = []
+    for run in log.orderBy("published_at", "path").collect():  # one small row per run
+        if run.days is None:
+            current = [(run.path, None)]
+        else:
+            left = [
+                (p, d if d is None else [x for x in d if x not in run.days]) for p, d in current
+            ]
+            current = [v for v in left if v[1] is None or v[1]] + [(run.path, list(run.days))]
+    return current
+
+
+def current_path(spark: SparkSession, table: str) -> str | None:
+    """Folder of the latest full run, or None before the first one."""
+    return next((path for path, days in versions(spark, table) if days is None), None)
+
+
+def read_current(
+    spark: SparkSession, table: str, schema: T.StructType | None = None, day: str | None = None
+) -> DataFrame:
+    """The current version of a Parquet table, refreshed days in place of the older ones.
+
+    The day filters are on the partition column, so a replaced day is never read.
+    """
+    runs = versions(spark, table) or [(table, None)]
+    replaced = sorted({d for _, days in runs if days for d in days})
+    found = None
+    for path, days in runs:
+        # A refresh that found no rows left no file to infer from.
+        reader = spark.read if found is None else spark.read.schema(found.schema)
+        part = reader.parquet(path)
+        if days is not None:
+            part = part.filter(F.col(day).isin(days))
+        elif replaced:
+            part = part.filter(~F.col(day).isin(replaced) | F.col(day).isNull())
+        found = part if found is None else found.unionByName(part)
+    return found if schema is None else found.select(*schema.fieldNames())
+
+
+def _folder(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def retire_runs(spark: SparkSession, table: str, keep: int = 1) -> list[str]:
+    """Delete run folders of ``table`` that are not current, except the ``keep`` newest of them."""
+    files, root = _folder(spark, table)
+    if not files.exists(root):
+        return []
+    current = {path.rstrip("/").rsplit("/", 1)[-1] for path, _ in versions(spark, table)}
+    runs = sorted(
+        s.getPath().getName()
+        for s in files.listStatus(root)
+        if s.isDirectory() and s.getPath().getName().startswith("run=")
+    )
+    old = [name for name in runs if name not in current]
+    gone = old[: max(0, len(old) - keep)]
+    for name in gone:
+        where = _folder(spark, f"{table}/{name}")[1]
+        files.delete(where, True)
+    return gone

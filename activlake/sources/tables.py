@@ -7,13 +7,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from activlake.functions.casting import integer, number
+from activlake.functions.casting import bigint, integer, number
 from activlake.functions.text import strip_headers
 from activlake.schemas import DISTANCE_CACHE, REFERENCE
 from activlake.session import lake_format
 
-_FROM_TEXT = {"int": integer, "double": number}
-_AS_IS = {("int", "int"), ("string", "string"), ("boolean", "boolean")}
+_FROM_TEXT = {"int": integer, "bigint": bigint, "double": number}
+_AS_IS = {(kind, kind) for kind in ("int", "bigint", "string", "boolean")}
 
 
 def _cast(name: str, given: str, wanted: T.DataType) -> Column:
@@ -38,11 +38,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """CSV with a header row, all columns as text; quotes are doubled inside quotes.
 
-    ``multiline`` keeps line breaks inside quoted fields, at the price that one
-    file is one task. Turn it off for a single very large file without them.
+    A large file is split over many tasks. ``multiline`` keeps line breaks inside
+    quoted fields instead, at the price that one file is one task.
     """
     return (
         spark.read.option("header", True)
@@ -53,20 +53,27 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFram
     )
 
 
-def read_sheet(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """An exported HR or sport sheet."""
-    return read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
+def read_sheet(
+    spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = False
+) -> DataFrame:
+    """An exported HR or sport sheet; white space around its headers is dropped."""
+    sheet = read_csv(spark, path, multiline) if fmt == "csv" else spark.read.format(fmt).load(path)
+    return strip_headers(sheet)
 
 
-def read_reference(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_reference(
+    spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = False
+) -> DataFrame:
     """Employee reference with typed known columns, extra columns passed through."""
-    return conform(strip_headers(read_sheet(spark, path, fmt)), REFERENCE)
+    return conform(read_sheet(spark, path, fmt, multiline), REFERENCE)
 
 
-def read_distance_cache(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_distance_cache(
+    spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = False
+) -> DataFrame:
     """Distances of an earlier reference build; empty when there is none yet."""
     try:
-        known = read_reference(spark, path, fmt)
+        known = read_reference(spark, path, fmt, multiline)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

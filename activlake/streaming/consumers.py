@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from activlake.operators.bronze import DAY, to_bronze, with_start_day
@@ -17,13 +18,23 @@ def start_bronze(
     trigger: str | None = None,
     by_day: bool = False,
     fmt: str | None = None,
+    files_per_day: int = 4,
+    writers: int | None = None,
 ) -> StreamingQuery:
-    """Append decoded changes to Bronze; ``by_day`` partitions it by start day."""
+    """Append decoded changes to Bronze; ``by_day`` partitions it by start day.
+
+    A batch then writes at most ``files_per_day`` files for each of its days: rows are brought
+    together by day and a salt, so that a day with most of the rows has several writers.
+    ``writers`` is the number of tasks, by default the session's shuffle partitions.
+    """
     rows = to_bronze(messages)
     if by_day:
-        return append_stream(
-            with_start_day(rows), path, checkpoint, trigger, fmt, (DAY,), "bronze"
+        salt = F.pmod(F.xxhash64("id"), F.lit(files_per_day))
+        dealt = with_start_day(rows)
+        dealt = (
+            dealt.repartition(writers, DAY, salt) if writers else dealt.repartition(DAY, salt)
         )
+        return append_stream(dealt, path, checkpoint, trigger, fmt, (DAY,), "bronze")
     return append_stream(rows, path, checkpoint, trigger, fmt, name="bronze")
 
 
