@@ -32,13 +32,27 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--lake", required=True, help="root folder of the lake (shared storage)")
     parser.add_argument("--master", help="Spark master; leave out under spark-submit")
     parser.add_argument("--delta", action="store_true", help="use Delta tables (needs its jar)")
-    parser.add_argument("--input-gb", type=int, help="input size, to size the shuffles")
+    parser.add_argument(
+        "--input-gb", type=float, required=True, help="input size, which sizes the shuffles"
+    )
     commands = parser.add_subparsers(dest="command", required=True)
 
     reference = commands.add_parser("reference", help="build the employee reference")
     reference.add_argument("--hr", required=True)
     reference.add_argument("--sport", required=True)
     reference.add_argument("--format", default="csv")
+    reference.add_argument(
+        "--multiline", action="store_true", help="quoted line breaks in CSV; one task per file"
+    )
+    reference.add_argument("--responses", help="Parquet of stored distance responses")
+
+    commands.add_parser("create", help="create the operational tables")
+    ingest = commands.add_parser("ingest", help="validate posted bodies and store them")
+    ingest.add_argument("--bodies", required=True, help="Parquet of id and body")
+    compact = commands.add_parser("compact", help="merge the small files of Bronze")
+    compact.add_argument("--files", type=int, required=True, help="files, or files per day")
+    clean = commands.add_parser("clean", help="delete runs that are no longer current")
+    clean.add_argument("--keep", type=int, default=1, help="older runs to keep per table")
 
     for name, text in (("bronze", "stream changes to Bronze"), ("notify", "stream messages")):
         stream = commands.add_parser(name, help=text)
@@ -55,25 +69,45 @@ def _parser() -> argparse.ArgumentParser:
     silver.add_argument("--days", nargs="*", type=date.fromisoformat, help="refresh these only")
 
     gold = commands.add_parser("gold", help="rebuild Gold and its CSV export")
-    gold.add_argument("--as-of", type=date.fromisoformat, help="keep the twelve months before")
-    gold.add_argument("--columns", nargs="*", help="columns of the CSV export")
+    run = commands.add_parser("run", help="Silver, then Gold and the distances")
+    run.add_argument("--by-day", action="store_true")
+    for stage in (gold, run):
+        stage.add_argument("--as-of", type=date.fromisoformat, help="keep the twelve months before")
+        stage.add_argument("--columns", nargs="*", help="columns of the CSV export")
+        stage.add_argument("--export-files", type=int, help="CSV files; one per task by default")
+    gold.add_argument("--from-bronze", action="store_true", help="count without a Silver table")
 
     for layer in ("bronze", "silver", "gold"):
         commands.add_parser(f"check-{layer}", help=f"quality report of {layer}")
-    commands.add_parser("run", help="Silver, then Gold")
     return parser
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    conf = {}
-    if args.input_gb:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions(args.input_gb * 1024**3))
+    partitions = shuffle_partitions(int(args.input_gb * 1024**3))
+    conf = {"spark.sql.shuffle.partitions": str(partitions)}
     spark = get_session(f"activlake-{args.command}", args.master, conf, args.delta)
     paths = LakePaths(args.lake)
     match args.command:
         case "reference":
-            medallion.run_reference(spark, paths, args.hr, args.sport, args.format)
+            responses = spark.read.parquet(args.responses) if args.responses else None
+            medallion.run_reference(
+                spark,
+                paths,
+                args.hr,
+                args.sport,
+                args.format,
+                responses,
+                multiline=args.multiline,
+            )
+        case "create":
+            medallion.create_tables(spark, paths)
+        case "ingest":
+            medallion.run_ingest(spark, paths, spark.read.parquet(args.bodies))
+        case "compact":
+            medallion.compact_bronze(spark, paths, args.files)
+        case "clean":
+            medallion.clean_up(spark, paths, args.keep)
         case "bronze":
             start_bronze(
                 _messages(spark, args),
@@ -94,7 +128,14 @@ def main(argv: list[str] | None = None) -> None:
         case "silver":
             medallion.run_silver(spark, paths, args.by_day)
         case "gold":
-            medallion.run_gold(spark, paths, args.as_of, export_columns=args.columns)
+            medallion.run_gold(
+                spark,
+                paths,
+                args.as_of,
+                export_columns=args.columns,
+                export_files=args.export_files,
+                from_bronze=args.from_bronze,
+            )
         case "check-bronze":
             _show(medallion.check_bronze(spark, paths))
         case "check-silver":
@@ -102,5 +143,12 @@ def main(argv: list[str] | None = None) -> None:
         case "check-gold":
             _show(medallion.check_gold(spark, paths))
         case "run":
-            medallion.run_silver(spark, paths)
-            medallion.run_gold(spark, paths)
+            medallion.run_silver(spark, paths, args.by_day)
+            medallion.run_gold(
+                spark,
+                paths,
+                args.as_of,
+                export_columns=args.columns,
+                export_files=args.export_files,
+            )
+            medallion.run_distances(spark, paths)

@@ -7,11 +7,12 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from activlake.functions.casting import micros_timestamp, number
 from activlake.functions.rules import sport_bonus, wellbeing_eligible
 from activlake.functions.text import normalize_headers
 from activlake.functions.timing import rolling_year_start
 from activlake.operators.bronze import DAY
-from activlake.operators.silver import DEDUP_KEYS, reference_lookup
+from activlake.operators.silver import DEDUP_KEYS, reference_lookup, unique_activities
 from activlake.rules import BusinessRules
 
 
@@ -25,6 +26,17 @@ def rolling_year(silver: DataFrame, as_of: date | None) -> DataFrame:
     return silver.filter(F.col("date_debut") >= first.cast("timestamp"))
 
 
+def rolling_year_of_bronze(bronze: DataFrame, as_of: date | None) -> DataFrame:
+    """The same choice on Bronze. The start is part of the deduplication key, so whole groups of
+    copies are in or out and the filter may come before the deduplication."""
+    if as_of is None:
+        return bronze
+    first = rolling_year_start(as_of)
+    if DAY in bronze.columns:
+        bronze = bronze.filter(F.col(DAY) >= first)
+    return bronze.filter(micros_timestamp(F.col("date_debut")) >= first.cast("timestamp"))
+
+
 def activity_counts(silver: DataFrame) -> DataFrame:
     """Activities and valid activities per employee.
 
@@ -37,6 +49,17 @@ def activity_counts(silver: DataFrame) -> DataFrame:
     )
 
 
+def employee_counts(bronze: DataFrame) -> DataFrame:
+    """Distinct activities per employee: keys of rows with an id, as Silver keeps them."""
+    return (
+        bronze.filter(F.col("id").isNotNull())
+        .select(*DEDUP_KEYS)
+        .distinct()
+        .groupBy("id_salarie")
+        .agg(F.count(F.lit(1)).alias("activities"))
+    )
+
+
 def activity_counts_from_bronze(bronze: DataFrame, reference: DataFrame) -> DataFrame:
     """The counts of :func:`activity_counts` without building Silver first.
 
@@ -46,12 +69,7 @@ def activity_counts_from_bronze(bronze: DataFrame, reference: DataFrame) -> Data
     sorted and no other column is read. An employee with several lookup rows
     counts each activity once per row, as the Silver join would.
     """
-    per_employee = (
-        bronze.groupBy(*DEDUP_KEYS)
-        .agg(F.max("id").alias("id"))
-        .groupBy("id_salarie")
-        .agg(F.count("id").alias("activities"))
-    )
+    per_employee = employee_counts(bronze)
     alerts = (
         reference_lookup(reference)
         .groupBy("id_salarie_rh")
@@ -99,11 +117,33 @@ def to_gold(
     return indicators(activity_counts(rolling_year(silver, as_of)), reference, rules)
 
 
+def gold_from_bronze(
+    bronze: DataFrame,
+    reference: DataFrame,
+    as_of: date | None = None,
+    rules: BusinessRules = BusinessRules(),
+) -> DataFrame:
+    """The rows of :func:`to_gold` without a Silver table. ``reference`` is read twice, so give
+    it a stored one."""
+    recent = rolling_year_of_bronze(bronze, as_of)
+    return indicators(activity_counts_from_bronze(recent, reference), reference, rules)
+
+
 def distance_totals(silver: DataFrame) -> DataFrame:
     """Metres covered per employee."""
     return silver.groupBy("id_salarie").agg(F.sum("distance_metres").alias("distance_totale_metres"))
 
 
+def distance_totals_from_bronze(bronze: DataFrame) -> DataFrame:
+    """The same from Bronze: deduplicated on the columns it needs, without join or stored table.
+
+    An employee with several lookup rows counts each activity once here.
+    """
+    unique = unique_activities(bronze.select("id", *DEDUP_KEYS, "distance"))
+    metres = F.coalesce(number(F.col("distance")), F.lit(0.0))
+    return unique.groupBy("id_salarie").agg(F.sum(metres).alias("distance_totale_metres"))
+
+
 def financial_report(gold: DataFrame) -> DataFrame:
     """One row of totals; an empty Gold table costs 0."""
     return gold.agg(

@@ -29,8 +29,11 @@ def deduplicate(df: DataFrame, keys: tuple[str, ...], first_by: tuple[str, ...])
 
 
 def unique_activities(bronze: DataFrame) -> DataFrame:
-    """One Bronze row per employee, sport and start; the lowest id survives."""
-    return deduplicate(bronze, DEDUP_KEYS, ("id",))
+    """One Bronze row per employee, sport and start; the lowest id survives.
+
+    A row without id is no activity (Bronze never stores one), so it cannot survive.
+    """
+    return deduplicate(bronze.filter(F.col("id").isNotNull()), DEDUP_KEYS, ("id",))
 
 
 def reference_lookup(reference: DataFrame) -> DataFrame:
@@ -46,25 +49,48 @@ def reference_lookup(reference: DataFrame) -> DataFrame:
     )
 
 
-def to_silver(bronze: DataFrame, reference: DataFrame) -> DataFrame:
+# Bronze columns behind Silver ones, beyond the key and the id, in the order they settle ties.
+_SOURCES = {
+    "distance": "distance_metres",
+    "date_fin": "date_fin",
+    "commentaire": "commentaire",
+    "duration_sec": "duration_min",
+}
+
+
+def _needed(bronze: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The Bronze columns that some Silver columns need, and those that settle ties before them."""
+    wanted = [i for i, name in enumerate(_SOURCES.values()) if name in columns]
+    kept = list(_SOURCES)[: max(wanted, default=-1) + 1]
+    return bronze.select("id", *DEDUP_KEYS, *kept)
+
+
+def to_silver(
+    bronze: DataFrame, reference: DataFrame, columns: tuple[str, ...] | None = None
+) -> DataFrame:
     """Silver rows. Employees missing from the reference keep their activities.
 
+    With ``columns`` only these are made, and the deduplication carries no others: a report
+    never sorts or shuffles comments that it does not read.
+
     The lookup is broadcast only while Spark's own size check allows it. Past
     that the join shuffles, and AQE splits a partition that one employee fills.
     """
-    activities = unique_activities(bronze)
+    activities = unique_activities(_needed(bronze, columns) if columns else bronze)
     lookup = reference_lookup(reference)
     joined = activities.join(lookup, activities.id_salarie == lookup.id_salarie_rh, "left")
-    return joined.select(
-        F.col("id").alias("id_evenement"),
-        F.col("id_salarie").cast("int").alias("id_salarie"),
-        "type_sport",
-        F.coalesce(number(F.col("distance")), F.lit(0.0)).alias("distance_metres"),
-        whole_minutes(F.col("duration_sec")).alias("duration_min"),
-        micros_timestamp(F.col("date_debut")).alias("date_debut"),
-        micros_timestamp(F.col("date_fin")).alias("date_fin"),
-        "mode_transport_declare",
-        "distance_domicile_travail_km",
-        "alerte_transport",
-        "commentaire",
-    ).fillna({"duration_min": 0, "alerte_transport": UNKNOWN_ALERT})
+    unknown, none = F.lit(UNKNOWN_ALERT), F.lit(0)
+    made = {
+        "id_evenement": F.col("id"),
+        "id_salarie": F.col("id_salarie").try_cast("bigint"),
+        "type_sport": F.col("type_sport"),
+        "distance_metres": F.coalesce(number(F.col("distance")), F.lit(0.0)),
+        "duration_min": F.coalesce(whole_minutes(F.col("duration_sec")), none),
+        "date_debut": micros_timestamp(F.col("date_debut")),
+        "date_fin": micros_timestamp(F.col("date_fin")),
+        "mode_transport_declare": F.col("mode_transport_declare"),
+        "distance_domicile_travail_km": F.col("distance_domicile_travail_km"),
+        "alerte_transport": F.coalesce("alerte_transport", unknown),
+        "commentaire": F.col("commentaire"),
+    }
+    return joined.select(*(c.alias(n) for n, c in made.items() if not columns or n in columns))

@@ -11,20 +11,28 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from activlake.operators import gold, quality
 from activlake.operators.bronze import DAY
+from activlake.operators.ingest import stored_rows, validate
 from activlake.operators.reference import build_reference
 from activlake.operators.silver import to_silver
 from activlake.rules import BusinessRules
-from activlake.schemas import BRONZE, SILVER
+from activlake.schemas import ACTIVITES, BRONZE, EMPLOYES, SILVER
 from activlake.session import lake_format
 from activlake.sinks.tables import (
+    append_table,
+    compact_table,
+    create_table,
     current_path,
     export_csv,
     overwrite_partitions,
     overwrite_table,
     publish,
+    read_current,
+    retire_runs,
+    versions,
     write_csv,
 )
 from activlake.sources.tables import (
@@ -34,6 +42,9 @@ from activlake.sources.tables import (
     read_table,
 )
 
+#: Parts of a run that holds more than its table.
+TABLE, FILES = "table", "files"
+
 
 @dataclass(frozen=True)
 class LakePaths:
@@ -61,6 +72,26 @@ class LakePaths:
     def gold(self) -> str:
         return f"{self.root}/gold/indicateurs_rh"
 
+    @property
+    def compacted(self) -> str:
+        return f"{self.root}/bronze/compacted"
+
+    @property
+    def employees(self) -> str:
+        return f"{self.root}/operations/employes"
+
+    @property
+    def activities(self) -> str:
+        return f"{self.root}/operations/activites_sportives"
+
+    @property
+    def refused(self) -> str:
+        return f"{self.root}/operations/refused"
+
+    @property
+    def distances(self) -> str:
+        return f"{self.root}/gold/distances"
+
     @property
     def export(self) -> str:
         return f"{self.root}/gold/export_csv"
@@ -89,6 +120,26 @@ def located(spark: SparkSession, table: str) -> str:
     return table if lake_format(spark) == "delta" else current_path(spark, table) or table
 
 
+def load(spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
+    """The current version of a table, refreshed days included."""
+    if lake_format(spark) == "delta":
+        return read_table(spark, table, schema)
+    return read_current(spark, table, schema, DAY)
+
+
+def create_tables(spark: SparkSession, paths: LakePaths) -> None:
+    """The empty operational tables, unless they are there already."""
+    create_table(spark, paths.employees, EMPLOYES)
+    create_table(spark, paths.activities, ACTIVITES)
+
+
+def run_ingest(spark: SparkSession, paths: LakePaths, bodies: DataFrame) -> None:
+    """Store accepted bodies (``id``, ``body``) as activities and keep refused ones with the reason."""
+    create_table(spark, paths.activities, ACTIVITES)
+    append_table(stored_rows(bodies), paths.activities)
+    append_table(validate(bodies).filter(F.col("status") != "ok"), paths.refused)
+
+
 def run_reference(
     spark: SparkSession,
     paths: LakePaths,
@@ -97,46 +148,108 @@ def run_reference(
     fmt: str = "csv",
     responses: DataFrame | None = None,
     rules: BusinessRules = BusinessRules(),
+    multiline: bool = False,
 ) -> DataFrame:
-    """Build the reference, reusing the distances of the version before it."""
-    cache = read_distance_cache(spark, located(spark, paths.reference))
+    """Build the reference, reusing the distances of the version before it.
+
+    The version is a lake table, which the later stages read, and a CSV beside it.
+    """
+    before = current_path(spark, paths.reference)
+    cache = read_distance_cache(spark, f"{before}/{TABLE}", "parquet") if before else None
     reference = build_reference(
-        read_sheet(spark, hr_path, fmt), read_sheet(spark, sport_path, fmt), cache, responses, rules
+        read_sheet(spark, hr_path, fmt, multiline),
+        read_sheet(spark, sport_path, fmt, multiline),
+        cache,
+        responses,
+        rules,
     )
     path = _new_run(paths.reference)
-    write_csv(reference, path)
+    overwrite_table(reference, f"{path}/{TABLE}", "parquet")
+    stored = read_table(spark, f"{path}/{TABLE}", fmt="parquet")
+    write_csv(stored, f"{path}/csv")
     publish(spark, paths.reference, path)
-    return read_reference(spark, path)
+    return stored
 
 
 def load_reference(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    return read_reference(spark, current_path(spark, paths.reference) or paths.reference)
+    """The stored reference; a folder without versions is a CSV from elsewhere."""
+    path = current_path(spark, paths.reference)
+    if path is None:
+        return read_reference(spark, paths.reference)
+    return read_table(spark, f"{path}/{TABLE}", fmt="parquet")
+
+
+def load_bronze(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """Bronze with its compacted part in place of the small files that went into it."""
+    bronze = read_table(spark, paths.bronze)
+    done = versions(spark, paths.compacted)
+    if not done:
+        return bronze
+    path = done[-1][0]
+    compacted = spark.read.parquet(f"{path}/{TABLE}")
+    files = spark.read.parquet(f"{path}/{FILES}")
+    fresh = (
+        bronze.withColumn("_file", F.col("_metadata.file_path"))
+        .join(files, "_file", "left_anti")
+        .drop("_file")
+    )
+    return fresh.unionByName(compacted.select(*fresh.columns))
+
+
+def compact_bronze(spark: SparkSession, paths: LakePaths, files: int) -> str:
+    """Rewrite Bronze as ``files`` files (for each day, if it has days) and publish them.
+
+    The stream goes on writing where it did. The compacted version names the files it holds;
+    readers take these rows from it and all other files, late days included, from the stream.
+    """
+    bronze = read_table(spark, paths.bronze).withColumn("_file", F.col("_metadata.file_path"))
+    path = _new_run(paths.compacted)
+    overwrite_table(bronze.select("_file").distinct(), f"{path}/{FILES}", "parquet")
+    listed = spark.read.parquet(f"{path}/{FILES}")
+    held = bronze.join(listed, "_file", "left_semi").drop("_file")
+    by = (DAY,) if DAY in held.columns else ()
+    compact_table(held, f"{path}/{TABLE}", files, by, "parquet")
+    publish(spark, paths.compacted, path)
+    return path
 
 
 def run_silver(spark: SparkSession, paths: LakePaths, by_day: bool = False) -> DataFrame:
     """Rebuild Silver from the whole of Bronze."""
-    silver = to_silver(
-        read_table(spark, paths.bronze, BRONZE), load_reference(spark, paths)
-    )
+    bronze = load_bronze(spark, paths).select(*BRONZE.fieldNames())
+    silver = to_silver(bronze, load_reference(spark, paths))
     if by_day:
         silver = silver.withColumn(DAY, F.to_date("date_debut"))
     path = _replace(spark, silver, paths.silver, (DAY,) if by_day else ())
     return read_table(spark, path, SILVER)
 
 
+def _with_days(df: DataFrame, name: str) -> DataFrame:
+    if DAY not in df.columns:
+        raise ValueError(f"{name} is not partitioned by {DAY}: rebuild it by day first")
+    return df
+
+
 def refresh_silver(spark: SparkSession, paths: LakePaths, days: list[date]) -> DataFrame:
     """Rebuild the Silver partitions of some start days, reading only those of Bronze.
 
     Duplicates share their start, so they share a day: the result equals a full
     rebuild as long as the reference has not changed. Both tables must be
-    partitioned by day. Activities without a readable start have no day and wait
+    partitioned by day, which is checked. The refreshed days are a new run;
+    readers see them all at once when it is published, and the other days stay
+    where they are. Activities without a readable start have no day and wait
     for the next full rebuild.
     """
-    touched = read_table(spark, paths.bronze).filter(F.col(DAY).isin(*days))
-    silver = to_silver(touched.select(*BRONZE.fieldNames()), load_reference(spark, paths))
-    path = located(spark, paths.silver)
-    overwrite_partitions(silver.withColumn(DAY, F.to_date("date_debut")), path, (DAY,))
-    return read_table(spark, path, SILVER)
+    _with_days(load(spark, paths.silver), "Silver")
+    bronze = _with_days(load_bronze(spark, paths), "Bronze").filter(F.col(DAY).isin(*days))
+    silver = to_silver(bronze.select(*BRONZE.fieldNames()), load_reference(spark, paths))
+    silver = silver.withColumn(DAY, F.to_date("date_debut"))
+    if lake_format(spark) == "delta":
+        overwrite_partitions(silver, paths.silver, (DAY,))
+    else:
+        path = _new_run(paths.silver)
+        overwrite_table(silver, path, partition_by=(DAY,))
+        publish(spark, paths.silver, path, list(days))
+    return load(spark, paths.silver, SILVER)
 
 
 def run_gold(
@@ -145,27 +258,44 @@ def run_gold(
     as_of: date | None = None,
     rules: BusinessRules = BusinessRules(),
     export_columns: list[str] | None = None,
-    rows_per_file: int = 1_000_000,
+    export_files: int | None = None,
+    from_bronze: bool = False,
 ) -> DataFrame:
-    """Rebuild Gold, then export the stored table; the export does not recompute it."""
-    silver = read_table(spark, located(spark, paths.silver))
-    path = _replace(
-        spark, gold.to_gold(silver, load_reference(spark, paths), as_of, rules), paths.gold
-    )
-    stored = read_table(spark, path)
+    """Rebuild Gold, then export the stored table; the export does not recompute it.
+
+    ``from_bronze`` counts straight from Bronze, which reads four columns and
+    needs no Silver; the rows are the same.
+    """
+    reference = load_reference(spark, paths)
+    if from_bronze:
+        made = gold.gold_from_bronze(load_bronze(spark, paths), reference, as_of, rules)
+    else:
+        made = gold.to_gold(load(spark, paths.silver), reference, as_of, rules)
+    stored = read_table(spark, _replace(spark, made, paths.gold))
     export_csv(
-        stored.select(*export_columns) if export_columns else stored, paths.export, rows_per_file
+        stored.select(*export_columns) if export_columns else stored, paths.export, export_files
     )
     return stored
 
 
+def run_distances(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """Store the metres covered per employee."""
+    totals = gold.distance_totals_from_bronze(load_bronze(spark, paths))
+    return read_table(spark, _replace(spark, totals, paths.distances))
+
+
+def clean_up(spark: SparkSession, paths: LakePaths, keep: int = 1) -> dict[str, list[str]]:
+    """Delete runs that no reader can reach, except the ``keep`` newest of each table."""
+    tables = (paths.reference, paths.silver, paths.gold, paths.distances, paths.compacted)
+    return {table: retire_runs(spark, table, keep) for table in tables}
+
+
 def check_silver(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
-    silver = read_table(spark, located(spark, paths.silver), SILVER)
+    silver = load(spark, paths.silver, SILVER)
     report = quality.silver_report(silver)
-    conformity = quality.count_violations(silver, quality.silver_rules())
     return {
         "rapport": report,
-        "bilan": quality.issue_total(conformity),
+        "bilan": quality.issue_total(report.filter(F.col("rule").isin(*quality.silver_rules()))),
         "alertes": quality.alert_split(silver),
         "fraudes": quality.flagged_activities(silver).orderBy("id_evenement").limit(5),
     }
@@ -173,15 +303,19 @@ def check_silver(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
 
 def check_gold(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
     stored = read_table(spark, located(spark, paths.gold))
-    return {
+    reports = {
         "bilan": gold.financial_report(stored),
         "top": gold.most_active(stored),
         "rapport": quality.gold_report(stored),
     }
+    if current_path(spark, paths.distances):
+        totals = read_table(spark, located(spark, paths.distances))
+        reports["distances"] = totals.orderBy(F.desc("distance_totale_metres"), "id_salarie").limit(10)
+    return reports
 
 
 def check_bronze(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
-    bronze = read_table(spark, paths.bronze, BRONZE)
+    bronze = load_bronze(spark, paths).select(*BRONZE.fieldNames())
     return {
         "apercu": bronze.limit(20),
         "rapport": quality.bronze_report(bronze),
