@@ -13,7 +13,7 @@ _FLAG = """
 
 _SPORT = """
 sport AS (
-    SELECT s_suppkey::INTEGER AS employee_id,
+    SELECT s_suppkey::BIGINT AS employee_id,
            CASE WHEN s_nationkey < 5 THEN 'AUCUN' WHEN s_nationkey < 10 THEN 'RUNNING'
                 WHEN s_nationkey < 15 THEN 'YOGA' WHEN s_nationkey < 20 THEN 'TENNIS DE TABLE'
                 ELSE 'RANDONNÉE' END AS pratique_sport
@@ -21,7 +21,7 @@ sport AS (
 
 _HR_CUSTOMERS = """
 hr AS (
-    SELECT c_custkey::INTEGER AS employee_id, split_part(c_name, '#', 2) AS nom,
+    SELECT c_custkey::BIGINT AS employee_id, split_part(c_name, '#', 2) AS nom,
            split_part(c_name, '#', 1) AS prenom, c_acctbal AS salaire_brut,
            'rue ' || c_nationkey || ', "Bât. A"' AS domicile_address,
            CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'VOITURE' WHEN 'BUILDING' THEN 'MARCHE'
@@ -31,11 +31,11 @@ hr AS (
            c_nationkey AS code_secteur
     FROM customer),
 cache AS (
-    SELECT user_id::INTEGER AS employee_id, max(value / 10) AS cached FROM events GROUP BY 1)"""
+    SELECT user_id::BIGINT AS employee_id, max(value / 10) AS cached FROM events GROUP BY 1)"""
 
 _RESPONSES = """
 responses AS (
-    SELECT c_custkey::INTEGER AS employee_id,
+    SELECT c_custkey::BIGINT AS employee_id,
            CASE WHEN c_mktsegment = 'AUTOMOBILE' OR (c_mktsegment = 'MACHINERY' AND c_nationkey >= 5)
                 THEN floor(c_acctbal) / 1000 END AS decoded
     FROM customer)"""
@@ -51,7 +51,7 @@ ref AS (
 
 _SUPPLIERS = f"""{_SPORT},
 merged AS (
-    SELECT s_suppkey::INTEGER AS employee_id, s_name AS nom, n_name AS prenom,
+    SELECT s_suppkey::BIGINT AS employee_id, s_name AS nom, n_name AS prenom,
            s_acctbal AS salaire_brut,
            CASE r_name WHEN 'AFRICA' THEN 'VOITURE' WHEN 'AMERICA' THEN 'MARCHE'
                 WHEN 'ASIA' THEN 'VÉLO' WHEN 'EUROPE' THEN 'MARCHE/RUNNING'
@@ -70,14 +70,14 @@ ref AS (
 
 _ORDERS = """
 bronze AS (
-    SELECT o_orderkey::INTEGER AS id, o_custkey::INTEGER AS id_salarie,
+    SELECT o_orderkey::BIGINT AS id, o_custkey::BIGINT AS id_salarie,
            o_orderstatus AS type_sport, o_totalprice / 10 AS distance, o_orderdate AS debut,
            floor(o_totalprice)::BIGINT % 7200 AS duration_sec, o_orderpriority AS commentaire
     FROM orders)"""
 
 _EVENTS = f"""
 bronze AS (
-    SELECT event_id::INTEGER AS id, user_id::INTEGER AS id_salarie,
+    SELECT event_id::BIGINT AS id, user_id::BIGINT AS id_salarie,
            upper(nullif(event_type, 'error')) AS type_sport, value - 5 AS distance,
            date_trunc('day', ts)::TIMESTAMP AS debut, (({K} - 5) * 61)::BIGINT AS duration_sec,
            props AS commentaire
@@ -128,8 +128,8 @@ report AS (
 # Messages -----------------------------------------------------------------------------
 
 _CDC_BRONZE = f"""
-SELECT event_id::INTEGER AS id, user_id::INTEGER AS id_salarie, upper(event_type) AS type_sport,
-       value AS distance, epoch_us(ts)::VARCHAR AS date_debut,
+SELECT event_id + 3000000000 AS id, user_id + 3000000000 AS id_salarie,
+       upper(event_type) AS type_sport, value AS distance, epoch_us(ts)::VARCHAR AS date_debut,
        CASE WHEN event_type = 'click' AND {K} < 10 THEN 'soon'
             ELSE (epoch_us(ts) + {K}::BIGINT * 61500000)::VARCHAR END AS date_fin,
        'U' || user_id || ' - ' || upper(event_type) AS commentaire,
@@ -142,7 +142,7 @@ WITH base AS (
     SELECT *, {K} AS k, ts + to_seconds(({K} - 9) * 31) AS later FROM events
     WHERE NOT (event_type = 'error' AND {K} < 20)),
 facts AS (
-    SELECT event_id::INTEGER AS id,
+    SELECT event_id + 3000000000 AS id,
            CASE WHEN user_id = 0 THEN 'inconnu' ELSE user_id::VARCHAR END AS id_salarie,
            CASE event_type WHEN 'click' THEN 'RUNNING' WHEN 'error' THEN 'UNKNOWN'
                 WHEN 'purchase' THEN 'NATATION' WHEN 'signup' THEN 'YOGA'
@@ -152,10 +152,10 @@ facts AS (
                 ELSE 'U' || user_id END AS nom,
            CASE WHEN event_type = 'error' THEN 0.0::DOUBLE
                 ELSE (value * 1000) / 1000 END AS distance_km,
-           CASE event_type WHEN 'error' THEN 0
+           CASE WHEN event_type = 'view' AND k = 50 THEN 0 ELSE CASE event_type WHEN 'error' THEN 0
                 WHEN 'purchase' THEN (epoch_us(date_trunc('minute', later))
                     - epoch_us(date_trunc('minute', ts))) // 60000000
-                ELSE floor((k - 9) * 31 / 60.0) END::BIGINT AS duration_min
+                ELSE floor((k - 9) * 31 / 60.0) END END::BIGINT AS duration_min
     FROM base)
 SELECT *,
     CASE type_sport
@@ -210,12 +210,22 @@ ORACLE: dict[str, str] = {
         FROM gold ORDER BY nb_total_activites DESC, id_salarie LIMIT 10""",
     "silver_activities": f"{_SILVER_EVENTS} SELECT * FROM silver",
     "silver_table": f"{_SILVER_EVENTS} SELECT * FROM silver",
+    "silver_refresh": f"{_SILVER_EVENTS} SELECT * FROM silver",
     "silver_lookup": f"{_SILVER_ORDERS} SELECT * FROM lookup",
     "silver_dedup": f"""{_SILVER_EVENTS}
         SELECT id, id_salarie, type_sport, epoch_us(debut)::VARCHAR AS date_debut, duration_sec
         FROM uniq""",
     "reference_build": f"WITH {_CUSTOMERS} SELECT * FROM ref",
     "reference_csv": f"WITH {_CUSTOMERS} SELECT * FROM ref",
+    "reference_from_sheets": f"""WITH {_SPORT}, {_HR_CUSTOMERS}, {_RESPONSES},
+        merged AS (
+            SELECT employee_id, nom, moyen_transport,
+                   coalesce(pratique_sport, 'AUCUN') AS pratique_sport,
+                   coalesce(decoded, 12.5) AS km
+            FROM hr LEFT JOIN sport USING (employee_id) LEFT JOIN responses USING (employee_id))
+        SELECT employee_id, nom, moyen_transport, pratique_sport,
+               km AS distance_domicile_entreprise_km, {_FLAG} AS erreur_declaration_transport
+        FROM merged""",
     "reference_provider": f"""WITH {_HR_CUSTOMERS}, {_RESPONSES},
         merged AS (
             SELECT employee_id, moyen_transport, coalesce(cached, decoded) AS km
@@ -241,17 +251,22 @@ ORACLE: dict[str, str] = {
     "cdc_bronze": _CDC_BRONZE,
     "stream_bronze": _CDC_BRONZE,
     "ingest_validate": f"""{_VALIDATED}
-        SELECT event_id AS id, CASE WHEN problem IS NULL THEN 'ok' ELSE 'error' END AS status,
+        SELECT event_id + 3000000000 AS id, CASE WHEN problem IS NULL THEN 'ok' ELSE 'error' END AS status,
                coalesce(problem, 'activity stored') AS message
         FROM validated""",
     "ingest_store": f"""{_VALIDATED}
-        SELECT event_id::INTEGER AS id, user_id::INTEGER AS id_salarie,
+        SELECT event_id + 3000000000 AS id, user_id + 3000000000 AS id_salarie,
                upper(event_type) AS type_sport,
                CASE WHEN event_type = 'view' AND k < 50 THEN NULL ELSE value END AS distance,
                date_trunc('second', ts)::TIMESTAMP AS date_debut,
                date_trunc('second', ts)::TIMESTAMP AS date_fin,
                CASE WHEN event_type = 'purchase' THEN '' ELSE 'U' || user_id END AS commentaire
         FROM validated WHERE problem IS NULL""",
+    "ingest_pipeline": f"""{_VALIDATED}
+        SELECT event_id + 3000000000 AS id,
+               CASE WHEN problem IS NULL THEN 'ok' ELSE 'error' END AS status,
+               coalesce(problem, 'activity stored') AS message
+        FROM validated, (SELECT unnest([1, 2]))""",
     "dq_silver": f"""{_REPORT_SILVER}
         SELECT * FROM report
         UNION ALL SELECT 'id_salarie_null', count_if(id_salarie IS NULL)::BIGINT FROM silver
@@ -260,19 +275,28 @@ ORACLE: dict[str, str] = {
         SELECT count_if(n_bad > 0)::BIGINT AS nb_regles_en_echec,
                CASE WHEN count_if(n_bad > 0) = 0 THEN 'OK' ELSE 'ALERTE' END AS statut
         FROM report""",
-    "dq_bronze_bounds": f"""WITH {_ORDERS}
+    "dq_bronze_bounds": f"""WITH {_ORDERS},
+        faulty AS (
+            SELECT type_sport, distance, CASE WHEN id % 13 <> 0 THEN debut END AS debut,
+                   CASE WHEN id % 17 <> 0 THEN duration_sec END AS seconds,
+                   epoch_us(debut) + duration_sec * 1000000
+                       + CASE WHEN id % 11 = 0 THEN 1 ELSE 0 END AS fin
+            FROM bronze)
         SELECT 'duree_hors_bornes' AS rule,
-               count_if(duration_sec NOT BETWEEN 1200 AND 7200)::BIGINT AS n_bad FROM bronze
+               count_if(coalesce(seconds NOT BETWEEN 1200 AND 7200, true))::BIGINT AS n_bad
+        FROM faulty
         UNION ALL SELECT 'distance_hors_bornes', count_if(CASE WHEN type_sport = 'F'
-            THEN distance <> 0 ELSE distance NOT BETWEEN 2000 AND 15000 END)::BIGINT FROM bronze
-        UNION ALL SELECT 'debut_hors_periode', count_if(debut NOT BETWEEN TIMESTAMP '1996-01-01'
-            AND TIMESTAMP '2000-12-31')::BIGINT FROM bronze
-        UNION ALL SELECT 'fin_differente_du_debut_plus_duree', 0::BIGINT""",
+            THEN distance <> 0 ELSE distance NOT BETWEEN 2000 AND 15000 END)::BIGINT FROM faulty
+        UNION ALL SELECT 'debut_hors_periode', count_if(coalesce(debut NOT BETWEEN
+            TIMESTAMP '1996-01-01' AND TIMESTAMP '2000-12-31', true))::BIGINT FROM faulty
+        UNION ALL SELECT 'fin_differente_du_debut_plus_duree',
+            count_if(coalesce(fin - epoch_us(debut) <> seconds * 1000000, true))::BIGINT
+        FROM faulty""",
     "dq_unique": f"""WITH {_EVENTS}
         SELECT id_salarie, type_sport, epoch_us(debut)::VARCHAR AS date_debut, count(*) AS n
         FROM bronze GROUP BY ALL HAVING count(*) > 1""",
     "dq_gold": f"""{_gold()}
-        SELECT 'id_salarie_null' AS rule, count_if(id_salarie IS NULL)::BIGINT AS n_bad
+        SELECT 'id_salarie_null' AS rule, count_if(id_salarie % 7 = 0)::BIGINT AS n_bad
         FROM gold""",
     "alert_split": f"""{_SILVER_EVENTS}
         SELECT alerte_transport, count(*) AS nb_activites FROM silver GROUP BY alerte_transport""",

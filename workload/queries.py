@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
@@ -16,9 +15,18 @@ from activlake.functions.rules import activity_distance
 from activlake.functions.text import activity_comment, label, normalize_headers
 from activlake.functions.timing import end_time, event_date_text, minutes_between, parse_event_date
 from activlake.operators import bronze, gold, ingest, notify, quality, reference, silver
+from activlake.plans.medallion import (
+    LakePaths,
+    create_tables,
+    load_reference,
+    refresh_silver,
+    run_ingest,
+    run_reference,
+    run_silver,
+)
 from activlake.rules import GeneratorBounds
-from activlake.schemas import BRONZE, NOTIFICATION, SILVER
-from activlake.sinks.tables import append_table, export_csv, overwrite_table, write_csv
+from activlake.schemas import ACTIVITES, BRONZE, NOTIFICATION, SILVER
+from activlake.sinks.tables import append_table, export_csv, overwrite_table, publish, write_csv
 from activlake.sources.tables import preview, read_csv, read_reference, read_table
 from activlake.streaming import start_bronze, start_notifications
 from workload import tables as t
@@ -35,13 +43,12 @@ ORDER_BOUNDS = GeneratorBounds(
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """New folder for a query that stores its result, on the cluster's shared storage."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="activlake-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    """New folder for a query that stores its result, on the cluster's shared storage.
+
+    It is ``spark.checkpoint.dir``, or the warehouse of a session without one.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def ntz(df: DataFrame, *columns: str) -> DataFrame:
@@ -80,14 +87,23 @@ def _stored_silver(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, path, SILVER, "parquet")
 
 
-def _silver_events(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.to_silver(t.bronze_events(spark, sf), _suppliers(spark, sf))
+def _silver_events(
+    spark: SparkSession, sf: str, columns: tuple[str, ...] | None = None
+) -> DataFrame:
+    return silver.to_silver(t.bronze_events(spark, sf), _suppliers(spark, sf), columns)
+
 
+def _stored_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """The reference as the pipeline leaves it: built once, a stored table."""
+    path = scratch(spark, "reference-table")
+    overwrite_table(_customers(spark, sf), path, "parquet")
+    return read_table(spark, path, fmt="parquet")
 
-def _gold(spark: SparkSession, sf: str) -> DataFrame:
-    employees = _customers(spark, sf)
-    counts = gold.activity_counts_from_bronze(t.bronze_orders(spark, sf), employees)
-    return gold.indicators(counts, employees)
+
+def _gold(spark: SparkSession, sf: str, as_of: date | None = None) -> DataFrame:
+    return gold.gold_from_bronze(
+        t.bronze_orders(spark, sf), _stored_customers(spark, sf), as_of
+    )
 
 
 # --- Gold ----------------------------------------------------------------------------
@@ -102,14 +118,14 @@ def gold_kpi_from_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_kpi_rolling(spark: SparkSession, sf: str) -> DataFrame:
-    rolled = gold.to_gold(_stored_silver(spark, sf), _customers(spark, sf), as_of=AS_OF)
+    rolled = _gold(spark, sf, AS_OF)
     return rolled.select(
         "id_salarie", "nb_total_activites", "nb_activites_valides", "eligible_jours_bien_etre"
     )
 
 
 def gold_distance(spark: SparkSession, sf: str) -> DataFrame:
-    totals = gold.distance_totals(_stored_silver(spark, sf))
+    totals = gold.distance_totals_from_bronze(t.bronze_orders(spark, sf))
     return totals.withColumn("distance_totale_metres", F.round("distance_totale_metres", 3))
 
 
@@ -204,16 +220,16 @@ def ingest_store(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.silver_report(_silver_events(spark, sf))
+    return quality.silver_report(_silver_events(spark, sf, quality.REPORT_COLUMNS))
 
 
 def dq_issue_total(spark: SparkSession, sf: str) -> DataFrame:
-    report = quality.count_violations(_silver_events(spark, sf), quality.silver_rules())
-    return quality.issue_total(report)
+    rows = _silver_events(spark, sf, quality.REPORT_COLUMNS)
+    return quality.issue_total(quality.count_violations(rows, quality.silver_rules()))
 
 
 def dq_bronze_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.bronze_report(t.bronze_orders(spark, sf), ORDER_BOUNDS)
+    return quality.bronze_report(t.faulty_orders(spark, sf), ORDER_BOUNDS)
 
 
 def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
@@ -222,15 +238,17 @@ def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_gold(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.gold_report(_gold(spark, sf))
+    """Gold as a faulty load would leave it: some employees lost their id."""
+    lost = F.when(F.col("id_salarie") % 7 != 0, F.col("id_salarie"))
+    return quality.gold_report(_gold(spark, sf).withColumn("id_salarie", lost))
 
 
 def alert_split(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.alert_split(_silver_events(spark, sf))
+    return quality.alert_split_from_bronze(t.bronze_events(spark, sf), _suppliers(spark, sf))
 
 
 def fraud_list(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.flagged_activities(_silver_events(spark, sf))
+    return quality.flagged_activities(_silver_events(spark, sf, quality.FRAUD_COLUMNS))
 
 
 # --- notifications and times ---------------------------------------------------------
@@ -318,6 +336,56 @@ def reference_csv(spark: SparkSession, sf: str) -> DataFrame:
     return stored.withColumn("code_secteur", integer(F.col("code_secteur")))
 
 
+def reference_from_sheets(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw sheets as CSV with padded headers, built twice: the second run reads the distances of
+    the first and has no provider."""
+    base = scratch(spark, "sheets")
+    for name, sheet in (("hr", t.hr_customers(spark, sf)), ("sport", t.sport_suppliers(spark, sf))):
+        write_csv(sheet.withColumnsRenamed({c: f" {c} " for c in sheet.columns}), f"{base}/{name}")
+    paths = LakePaths(f"{base}/lake")
+    for responses in (t.provider_responses(spark, sf), None):
+        run_reference(spark, paths, f"{base}/hr", f"{base}/sport", responses=responses)
+    stored = normalize_headers(load_reference(spark, paths))
+    return stored.select(
+        "employee_id",
+        "nom",
+        "moyen_transport",
+        "pratique_sport",
+        "distance_domicile_entreprise_km",
+        "erreur_declaration_transport",
+    )
+
+
+def ingest_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables created, the same bodies ingested twice, refused ones kept beside the stored ones."""
+    paths = LakePaths(scratch(spark, "operations"))
+    create_tables(spark, paths)
+    for _ in range(2):
+        run_ingest(spark, paths, t.ingest_bodies(spark, sf))
+    stored = read_table(spark, paths.activities, ACTIVITES, "parquet").select(
+        "id", F.lit("ok").alias("status"), F.lit(ingest.STORED).alias("message")
+    )
+    refused = read_table(spark, paths.refused, fmt="parquet").select("id", "status", "message")
+    return stored.unionByName(refused)
+
+
+def silver_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver built in full from half of Bronze, then refreshed for the days of the other half."""
+    paths = LakePaths(scratch(spark, "refresh"))
+    rows = bronze.with_start_day(t.bronze_events(spark, sf))
+    days = sorted(
+        r[0] for r in rows.select(bronze.DAY).distinct().collect() if r[0] and r[0].day % 2
+    )  # calendar days, a few at any size of the table
+    early = rows.filter(~F.col(bronze.DAY).isin(days) | (F.col("id") % 2 == 0))
+    overwrite_table(early, paths.bronze, "parquet", (bronze.DAY,))
+    path = f"{paths.reference}/run=0"
+    overwrite_table(_suppliers(spark, sf), f"{path}/table", "parquet")
+    publish(spark, paths.reference, path)
+    run_silver(spark, paths, by_day=True)
+    overwrite_table(rows, paths.bronze, "parquet", (bronze.DAY,))
+    return ntz(refresh_silver(spark, paths, days), "date_debut", "date_fin")
+
+
 def silver_table(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "silver")
     overwrite_table(_silver_events(spark, sf), path, "parquet")
@@ -347,17 +415,20 @@ QUERIES: dict[str, Query] = {
         silver_lookup,
         silver_dedup,
         silver_table,
+        silver_refresh,
         reference_build,
         reference_provider,
         reference_anomaly,
         reference_modes,
         reference_athletes,
         reference_csv,
+        reference_from_sheets,
         distance_decode,
         cdc_bronze,
         stream_bronze,
         ingest_validate,
         ingest_store,
+        ingest_pipeline,
         dq_silver,
         dq_issue_total,
         dq_bronze_bounds,

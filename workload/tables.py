@@ -32,6 +32,9 @@ EVENT_SPORT = {
 }
 
 
+#: Added to identifiers of messages and bodies, which have to fit whatever their size.
+WIDE = 3_000_000_000
+
 _SCHEMAS: dict[str, T.StructType] = {}
 
 
@@ -141,7 +144,7 @@ def provider_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(body)
     )
     return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("int").alias("employee_id"), response.alias("response")
+        F.col("c_custkey").alias("employee_id"), response.alias("response")
     )
 
 
@@ -155,8 +158,8 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
         .select(
-            F.col("o_orderkey").cast("int").alias("id"),
-            F.col("o_custkey").cast("int").alias("id_salarie"),
+            F.col("o_orderkey").alias("id"),
+            F.col("o_custkey").alias("id_salarie"),
             F.col("o_orderstatus").alias("type_sport"),
             (F.col("o_totalprice") / 10).alias("distance"),
             start.cast("string").alias("date_debut"),
@@ -168,6 +171,19 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows of orders, of which some end at another time than they say, some have an
+    unreadable start and some have no duration."""
+    end = F.col("date_fin").cast("bigint")
+    return bronze_orders(spark, sf_dir).withColumns(
+        {
+            "date_fin": F.when(F.col("id") % 11 == 0, end + 1).otherwise(end).cast("string"),
+            "date_debut": F.when(F.col("id") % 13 != 0, F.col("date_debut")).otherwise("soon"),
+            "duration_sec": F.when(F.col("id") % 17 != 0, F.col("duration_sec")),
+        }
+    )
+
+
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows: one activity per event, starting at the event's day so that some repeat.
 
@@ -176,8 +192,8 @@ def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = _micros(F.date_trunc("day", F.col("ts").cast("timestamp")))
     seconds = ((F.col("k") - 5) * 61).cast("bigint")
     return with_k(table(spark, sf_dir, "events")).select(
-        F.col("event_id").cast("int").alias("id"),
-        F.col("user_id").cast("int").alias("id_salarie"),
+        F.col("event_id").alias("id"),
+        F.col("user_id").alias("id_salarie"),
         F.upper(F.nullif(F.col("event_type"), F.lit("error"))).alias("type_sport"),
         (F.col("value") - 5).alias("distance"),
         start.cast("string").alias("date_debut"),
@@ -199,8 +215,8 @@ def cdc_messages(events: DataFrame) -> DataFrame:
     start = _micros(F.col("ts"))
     end = (start + F.col("k").cast("bigint") * 61_500_000).cast("string")
     after = F.struct(
-        F.col("event_id").alias("id"),
-        F.col("user_id").alias("id_salarie"),
+        (F.col("event_id") + WIDE).alias("id"),
+        (F.col("user_id") + WIDE).alias("id_salarie"),
         F.upper("event_type").alias("type_sport"),
         F.col("value").alias("distance"),
         start.alias("date_debut"),
@@ -245,16 +261,21 @@ def notification_messages(events: DataFrame) -> DataFrame:
         .when(kind == "purchase", F.lit(None))
         .otherwise(F.concat(user, F.lit(" - "), F.upper(kind), F.lit(" - x")))
     )
+    # Some dates are as far apart as numbers can be.
+    def placed(c: Column, extreme: int) -> Column:
+        far = (kind == "view") & (F.col("k") == 50)
+        return F.when(far, F.lit(str(extreme))).otherwise(shown(c))
+
     after = F.struct(
-        F.col("event_id").alias("id"),
+        (F.col("event_id") + WIDE).alias("id"),
         F.col("user_id").alias("id_salarie"),
         _lookup(kind, EVENT_SPORT).alias("type_sport"),
         F.when(kind == "error", F.lit("abc"))
         .otherwise((F.col("value") * 1000).cast("string"))
         .alias("distance"),
         comment.alias("commentaire"),
-        shown(when).alias("date_debut"),
-        shown(later).alias("date_fin"),
+        placed(when, -(2**63) + 1).alias("date_debut"),
+        placed(later, 2**63 - 1).alias("date_fin"),
     )
     deleted = F.lit('{"payload": {"before": null, "after": {}}}')
     text = F.when((kind == "error") & (F.col("k") < 20), deleted).otherwise(
@@ -268,7 +289,9 @@ def ingest_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     start = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
     body = F.struct(
-        F.when((kind != "signup") | (F.col("k") >= 30), F.col("user_id")).alias("id_salarie"),
+        F.when((kind != "signup") | (F.col("k") >= 30), F.col("user_id") + WIDE).alias(
+            "id_salarie"
+        ),
         F.when((kind != "error") | (F.col("k") >= 30), F.upper(kind)).alias("type_sport"),
         F.when(kind != "error", F.col("value")).alias("distance"),
         F.when((kind == "click") & (F.col("k") < 20), F.lit("demain")).otherwise(start).alias(
@@ -280,7 +303,7 @@ def ingest_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     # View events send explicit nulls, the others leave the key out.
     with_nulls = F.to_json(
         body.withField("distance", F.when(F.col("k") >= 50, F.col("value"))).withField(
-            "id_salarie", F.when(F.col("k") != 77, F.col("user_id"))
+            "id_salarie", F.when(F.col("k") != 77, F.col("user_id") + WIDE)
         ),
         {"ignoreNullFields": "false"},
     )
@@ -288,5 +311,5 @@ def ingest_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         (kind == "purchase") & (F.col("k") == 13), F.lit("not json")
     )
     return with_k(table(spark, sf_dir, "events")).select(
-        F.col("event_id").alias("id"), F.coalesce(text, F.to_json(body)).alias("body")
+        (F.col("event_id") + WIDE).alias("id"), F.coalesce(text, F.to_json(body)).alias("body")
     )
