@@ -42,14 +42,14 @@ def activity(i, who, day=0):
 
 def test_command_line_end_to_end(spark, lake):
     paths, tmp = lake
-    root = ["--lake", paths.root]
+    root = ["--lake", paths.root, "--input-gb", "0.1"]
     cli.main([*root, "reference", "--hr", str(tmp / "hr.csv"), "--sport", str(tmp / "sport.csv")])
     inbox = str(tmp / "in")
     land(spark, inbox, [activity(i, 1, day=i) for i in range(16)])
     land(spark, inbox, [activity(100, 2), activity(101, 2), activity(102, 9)])
     for command in ("bronze", "notify"):
         cli.main([*root, command, "--source", inbox, "--trigger", "available"])
-    cli.main([*root, "run"])
+    cli.main([*root, "run", "--by-day"])
     for layer in ("bronze", "silver", "gold"):
         cli.main([*root, f"check-{layer}"])
 
@@ -85,7 +85,7 @@ def test_refreshing_days_equals_a_full_rebuild(spark, lake):
     inbox = str(tmp / "in")
 
     def ingest():
-        cli.main(["--lake", paths.root, "bronze", "--source", inbox, "--trigger", "available", "--by-day"])
+        cli.main(["--lake", paths.root, "--input-gb", "1", "bronze", "--source", inbox, "--trigger", "available", "--by-day"])
 
     land(spark, inbox, [activity(1, 1, 0), activity(2, 2, 0), activity(3, 1, 1), activity(4, 3, 2)])
     ingest()
@@ -103,7 +103,7 @@ def test_gold_of_the_last_year_and_chosen_columns(spark, lake):
     medallion.run_reference(spark, paths, str(tmp / "hr.csv"), str(tmp / "sport.csv"))
     inbox = str(tmp / "in")
     land(spark, inbox, [activity(i, 1, day=i * 100) for i in range(5)])
-    cli.main(["--lake", paths.root, "bronze", "--source", inbox, "--trigger", "available"])
+    cli.main(["--lake", paths.root, "--input-gb", "1", "bronze", "--source", inbox, "--trigger", "available"])
     for by_day in (False, True):
         medallion.run_silver(spark, paths, by_day=by_day)
         gold = medallion.run_gold(
@@ -111,3 +111,92 @@ def test_gold_of_the_last_year_and_chosen_columns(spark, lake):
         )
         assert rows(gold, "id_salarie", "nb_total_activites") == [(1, 4)]
     assert medallion.read_sheet(spark, paths.export).columns == ["id_salarie", "nb_total_activites"]
+
+
+def stream(spark, paths, inbox, *options):
+    cli.main(["--lake", paths.root, "--input-gb", "1", "bronze", "--source", inbox,
+              "--trigger", "available", *options])
+
+
+def test_refresh_refuses_tables_without_days(spark, lake):
+    paths, tmp = lake
+    medallion.run_reference(spark, paths, str(tmp / "hr.csv"), str(tmp / "sport.csv"))
+    inbox = str(tmp / "in")
+    land(spark, inbox, [activity(1, 1, 0), activity(2, 2, 1), activity(3, 3, 2)])
+    stream(spark, paths, inbox, "--by-day")
+    medallion.run_silver(spark, paths)
+    with pytest.raises(ValueError, match="Silver"):
+        medallion.refresh_silver(spark, paths, [date(2025, 4, 6)])
+    assert medallion.load(spark, paths.silver).count() == 3
+
+
+def test_a_reader_during_a_refresh_sees_one_version(spark, lake):
+    paths, tmp = lake
+    medallion.run_reference(spark, paths, str(tmp / "hr.csv"), str(tmp / "sport.csv"))
+    inbox = str(tmp / "in")
+    land(spark, inbox, [activity(1, 1, 0), activity(2, 2, 1)])
+    stream(spark, paths, inbox, "--by-day")
+    medallion.run_silver(spark, paths, by_day=True)
+    reader = medallion.load(spark, paths.silver, SILVER)
+    land(spark, inbox, [activity(3, 3, 0)])
+    stream(spark, paths, inbox, "--by-day")
+    after = medallion.refresh_silver(spark, paths, [date(2025, 4, 6)])
+    assert sorted(r.id_evenement for r in reader.collect()) == [1, 2]
+    assert sorted(r.id_evenement for r in after.collect()) == [1, 2, 3]
+    assert medallion.load(spark, paths.silver, SILVER).count() == 3
+
+
+def test_compacted_bronze_holds_late_days_too(spark, lake):
+    paths, tmp = lake
+    medallion.run_reference(spark, paths, str(tmp / "hr.csv"), str(tmp / "sport.csv"))
+    inbox = str(tmp / "in")
+    for i in range(4):
+        land(spark, inbox, [activity(10 * i + d, 1 + d, d) for d in range(3)])
+        stream(spark, paths, inbox, "--by-day")
+    before = rows(medallion.load_bronze(spark, paths))
+    path = medallion.compact_bronze(spark, paths, 1)
+    days = list((tmp / "lake").joinpath(*path.split("/lake/")[1].split("/"), "table").glob("jour_debut=*"))
+    assert len(days) == 3 and all(len(list(d.glob("*.parquet"))) == 1 for d in days)
+    assert rows(medallion.load_bronze(spark, paths)) == before
+    land(spark, inbox, [activity(99, 2, 1)])
+    stream(spark, paths, inbox, "--by-day")
+    assert medallion.load_bronze(spark, paths).count() == len(before) + 1
+    medallion.compact_bronze(spark, paths, 1)
+    assert medallion.load_bronze(spark, paths).count() == len(before) + 1
+    assert medallion.run_silver(spark, paths, by_day=True).count() == 3  # four copies of each
+
+
+def test_from_bodies_to_gold(spark, lake):
+    paths, tmp = lake
+    root = ["--lake", paths.root, "--input-gb", "0.1"]
+    body = {"id_salarie": 3_000_000_001, "type_sport": "JUDO", "distance": 2500,
+            "date_debut": "2025-04-06 00:16:37", "date_fin": "2025-04-06 01:16:37"}
+    bodies = [(2**40, json.dumps(body)), (2, json.dumps({**body, "id_salarie": None})), (None, "x")]
+    spark.createDataFrame(bodies, "id long, body string").write.parquet(str(tmp / "bodies"))
+    ok = '{"status":"OK","rows":[{"elements":[{"status":"OK","distance":{"value":4000}}]}]}'
+    spark.createDataFrame([(3_000_000_001, ok)], "employee_id long, response string").write.parquet(
+        str(tmp / "responses")
+    )
+    (tmp / "hr.csv").write_text(HR.replace("1,N1", "3000000001,N1"), encoding="utf-8")
+    cli.main([*root, "create"])
+    cli.main([*root, "ingest", "--bodies", str(tmp / "bodies")])
+    cli.main([*root, "reference", "--hr", str(tmp / "hr.csv"), "--sport", str(tmp / "sport.csv"),
+              "--responses", str(tmp / "responses")])
+    stored = medallion.read_table(spark, paths.activities)
+    assert rows(stored, "id", "id_salarie") == [(2**40, 3_000_000_001)]
+    refused = medallion.read_table(spark, paths.refused)
+    assert rows(refused, "id", "message") == [(None, "Invalid body"), (2, "Null value: id_salarie")]
+    land(spark, str(tmp / "in"), [
+        {**activity(r.id, 0), "id_salarie": r.id_salarie} for r in stored.collect()
+    ])
+    stream(spark, paths, str(tmp / "in"))
+    cli.main([*root, "run"])
+    direct = rows(medallion.load(spark, paths.gold))
+    cli.main([*root, "gold", "--from-bronze", "--export-files", "1"])
+    assert rows(medallion.load(spark, paths.gold)) == direct
+    gold = medallion.load(spark, paths.gold).first()
+    assert (gold.id_salarie, gold.distance_domicile_entreprise_km) == (3_000_000_001, 4.0)
+    assert rows(medallion.check_gold(spark, paths)["distances"]) == [(3_000_000_001, 2500.0)]
+    cli.main([*root, "clean", "--keep", "0"])
+    assert rows(medallion.load(spark, paths.gold)) == direct
+    assert len(list((tmp / "lake" / "gold" / "indicateurs_rh").glob("run=*"))) == 1

@@ -42,9 +42,24 @@ def test_counts_read_only_the_key_columns(spark, small):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_orderdate:timestamp_ntz>" in plan
 
 
-def test_rolling_filter_reaches_the_stored_table(spark, small):
+def test_rolling_filter_is_below_the_deduplication(spark, small):
     plan = plan_of(queries()["gold_kpi_rolling"](spark, small))
-    assert "GreaterThanOrEqual(date_debut" in plan
+    tree = plan[: plan.index("(1)")]
+    assert "timestamp_micros" in plan
+    # The filter on the start sits between the scan of the orders and the first aggregate.
+    scan = tree.rindex("Scan parquet", 0, tree.rindex("HashAggregate") + 4000)
+    assert "Filter" in tree[tree.rindex("HashAggregate", 0, scan) : scan]
+
+
+def test_reports_carry_no_comments(spark, small):
+    for name in ("dq_silver", "fraud_list", "alert_split"):
+        plan = plan_of(queries()[name](spark, small))
+        assert "commentaire" not in plan and "min(struct(id, id, distance, distance, date_fin, date_fin, comm" not in plan
+
+
+def test_the_reference_is_built_once(spark, small):
+    plan = plan_of(queries()["gold_kpi"](spark, small))
+    assert "customer.parquet" not in plan and "supplier.parquet" not in plan
 
 
 def test_top_is_not_a_full_sort(spark, small):

@@ -13,7 +13,7 @@ def test_session_settings(spark):
 def test_shuffle_partitions_follow_the_input():
     assert shuffle_partitions(0) == 200
     assert shuffle_partitions(10 * 1024**4) == 81920
-    assert shuffle_partitions(100 * 1024**4) == 200_000
+    assert shuffle_partitions(100 * 1024**4) == 819_200
 
 
 def test_stored_results_go_to_the_shared_folder(spark):

@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ AWKWARD = [
 def test_reference_round_trip(spark, tmp_path):
     df = spark.createDataFrame(AWKWARD, PEOPLE)
     sinks.write_csv(df, str(tmp_path / "ref"))
-    again = sources.read_reference(spark, str(tmp_path / "ref"))
+    again = sources.read_reference(spark, str(tmp_path / "ref"), multiline=True)
     assert rows(again) == rows(df)
     assert dict(again.dtypes)["Code (secteur)"] == "string"
 
@@ -52,7 +54,22 @@ def test_distance_cache(spark, tmp_path):
     assert missing.count() == 0
     assert missing.columns == ["employee_id", "distance_domicile_entreprise_km"]
     sinks.write_csv(spark.createDataFrame(AWKWARD, PEOPLE), str(tmp_path / "ref"))
-    assert rows(sources.read_distance_cache(spark, str(tmp_path / "ref"))) == [(1, 3.25), (2, None)]
+    known = sources.read_distance_cache(spark, str(tmp_path / "ref"), multiline=True)
+    assert rows(known) == [(1, 3.25), (2, None)]
+
+
+def test_one_large_csv_is_read_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "big")
+    sinks.write_csv(spark.range(200_000).selectExpr("id AS employee_id", "'x' AS Nom").coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        assert sources.read_sheet(spark, path).rdd.getNumPartitions() > 3
+        assert sources.read_reference(spark, path).rdd.getNumPartitions() > 3
+        assert sources.read_sheet(spark, path, multiline=True).rdd.getNumPartitions() == 1
+        assert sources.read_reference(spark, path).count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_overwrite_may_change_the_schema(spark, tmp_path):
@@ -97,25 +114,53 @@ def test_create_table_if_absent(spark, tmp_path):
     assert sources.read_table(spark, path).count() == 1
 
 
-@pytest.mark.parametrize("per_file, files", [(1000, 1), (30, 4)])
-def test_export_spreads_over_files(spark, tmp_path, per_file, files):
-    path = tmp_path / f"export{per_file}"
-    assert sinks.export_csv(spark.range(100), str(path), per_file) == files
+@pytest.mark.parametrize("asked, files", [(None, 3), (1, 1), (4, 4)])
+def test_export_files_are_the_callers_choice(spark, tmp_path, asked, files):
+    path = tmp_path / f"export{asked}"
+    sinks.export_csv(spark.range(0, 100, 1, 3), str(path), asked)
     assert len(list(path.glob("*.csv"))) == files
     assert sources.read_csv(spark, str(path)).count() == 100
 
 
-def test_export_of_nothing_is_one_file(spark, tmp_path):
-    assert sinks.export_csv(spark.range(0), str(tmp_path / "e")) == 1
-
-
 def test_compaction(spark, tmp_path):
-    sinks.overwrite_table(spark.range(0, 50, 1, 10), str(tmp_path / "many"))
-    sinks.compact_table(spark, str(tmp_path / "many"), str(tmp_path / "few"), 2)
+    many = spark.range(0, 50, 1, 10)
+    sinks.compact_table(many, str(tmp_path / "few"), 2)
     assert len(list((tmp_path / "few").glob("*.parquet"))) == 2
     assert sources.read_table(spark, str(tmp_path / "few")).count() == 50
 
 
+def test_compaction_keeps_the_partitions(spark, tmp_path):
+    days = spark.range(0, 300, 1, 10).selectExpr("id", "if(id < 200, 0, id % 3) AS day")
+    sinks.compact_table(days, str(tmp_path / "few"), 2, ("day",))
+    per_day = [len(list(d.glob("*.parquet"))) for d in (tmp_path / "few").glob("day=*")]
+    assert len(per_day) == 3 and max(per_day) <= 2
+    assert rows(sources.read_table(spark, str(tmp_path / "few"))) == rows(days)
+
+
+def test_versions_of_days(spark, tmp_path):
+    table, first, second = str(tmp_path / "t"), date(2025, 1, 1), date(2025, 1, 2)
+    shape = "id long, day date"
+
+    def run(name, data, days=None):
+        path = f"{table}/run={name}"
+        sinks.overwrite_table(spark.createDataFrame(data, shape), path, partition_by=("day",))
+        sinks.publish(spark, table, path, days)
+
+    run("a", [(1, first), (2, second), (3, None)])
+    before = sinks.read_current(spark, table, day="day")
+    run("b", [(20, second)], [second])
+    assert rows(before) == [(1, first), (2, second), (3, None)]  # a reader of the older version
+    current = sinks.read_current(spark, table, day="day")
+    assert rows(current) == [(1, first), (20, second), (3, None)]
+    run("c", [], [first])
+    assert rows(sinks.read_current(spark, table, day="day")) == [(20, second), (3, None)]
+    assert sinks.retire_runs(spark, table, keep=0) == []
+    run("d", [(9, first)])
+    assert rows(sinks.read_current(spark, table, day="day")) == [(9, first)]
+    assert sinks.retire_runs(spark, table, keep=1) == ["run=a", "run=b"]
+    assert rows(sinks.read_current(spark, table, day="day")) == [(9, first)]
+
+
 def test_publish_switches_readers(spark, tmp_path):
     table = str(tmp_path / "t")
     assert sinks.current_path(spark, table) is None

@@ -76,3 +76,37 @@ def test_text_source_and_interval_trigger(spark, tmp_path):
     finally:
         query.stop()
     assert rows(read_table(spark, str(tmp_path / "b"), BRONZE), "id", "duration_sec") == [(1, 2)]
+
+
+def test_identifiers_beyond_32_bits_survive(spark):
+    texts = [json.dumps({"payload": {"after": {"id": i, "id_salarie": i + 1}}}) for i in (3_000_000_000, 1)]
+    messages = spark.createDataFrame([(t.encode(),) for t in texts], "value binary")
+    assert rows(to_bronze(messages), "id", "id_salarie") == [(1, 2), (3_000_000_000, 3_000_000_001)]
+    assert rows(to_notifications(messages), "id") == [(1,), (3_000_000_000,)]
+
+
+def test_dates_that_are_far_apart_do_not_stop_a_stream(spark, tmp_path):
+    inbox = str(tmp_path / "in")
+
+    def send(i, start, end):
+        text = json.dumps({"payload": {"after": {"id": i, "date_debut": start, "date_fin": end}}})
+        spark.createDataFrame([(text.encode(),)], "value binary").write.mode("append").parquet(inbox)
+
+    def run():
+        drain(start_notifications(read_cdc_files(spark, inbox), str(tmp_path / "n"), str(tmp_path / "c"), "available"))
+        return rows(read_table(spark, str(tmp_path / "n"), NOTIFICATION), "id", "duration_min")
+
+    send(1, str(-(2**63) + 1), str(2**63 - 1))
+    assert run() == [(1, 0)]
+    send(2, "60000000", "180000000")
+    assert run() == [(1, 0), (2, 2)]
+
+
+def test_a_backlog_writes_few_files_per_day(spark, tmp_path):
+    inbox, table = str(tmp_path / "in"), tmp_path / "bronze"
+    for i in range(6):
+        land(spark, inbox, 1 + 3 * (i % 2), 4 + 3 * (i % 2))
+    source = read_cdc_files(spark, inbox)
+    drain(start_bronze(source, str(table), str(tmp_path / "c"), "available", by_day=True, files_per_day=2))
+    per_day = [len(list(d.glob("*.parquet"))) for d in table.glob("jour_debut=*")]
+    assert len(per_day) == 6 and max(per_day) <= 2
