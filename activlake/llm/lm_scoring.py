@@ -14,10 +14,10 @@ all bytes not yet seen are equally likely. The probabilities of the tokens sum t
 
 Jobs: count tokens (partial counts in the tasks); count byte strings of the vocabulary; join the
 table with its own suffixes for totals and remainders; walk the escape chain for strings that
-training never saw; sum over each token; and sum over each document. In the last, the tokens with
-at least one part in ``head`` of all tokens (so at most ``head`` of them) travel with the tasks,
-and only rarer ones are shuffled, so that no frequent token makes a hot key. All tables grow with
-the corpus and stay in Spark.
+training never saw; sum over each token; and sum over each document. In the two sums, what makes up
+at least one part in ``head`` of all rows (so at most ``head`` strings or tokens) travels with the
+tasks, and only rarer ones are shuffled: most rows never move, and no frequent key is hot. All
+tables grow with the corpus, stay in Spark and are written to the shared folder between the jobs.
 
 Edge cases: a null, empty or blank text is the end alone; rows with a null id are training rows;
 repeated rows are scored each; with no training rows all bytes are equally likely and the base
@@ -30,15 +30,15 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from activlake.llm.common import by_name, checkpointed, crc32_mod, once, table
+from activlake.llm.common import by_name, crc32_mod, once, stored, table
 
 ORDER = 6
-HEAD = 200_000
+HEAD = 400_000
 END = b"\n"
 #: Tokens that a task counts before it hands its counts on.
 MOST_COUNTED = 400_000
@@ -53,93 +53,117 @@ def tokens(text: str | None) -> list[bytes]:
 def vocabulary(documents: DataFrame, text: str, training: Column) -> DataFrame:
     """``word``, ``c`` (count in training rows) and ``n`` (count in all rows)."""
 
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[bool, Counter] = {True: Counter(), False: Counter()}
-
-        def counted() -> pd.DataFrame:
-            words, c, n = [], [], []
-            for learned, counts in seen.items():
-                words += counts.keys()
-                n += counts.values()
-                c += counts.values() if learned else [0] * len(counts)
-                counts.clear()
-            return pd.DataFrame({"word": words, "c": c, "n": n})
-
-        for part in parts:
-            for text, learned in zip(part["text"], part["training"], strict=True):
-                seen[bool(learned)].update(tokens(text))
-                if len(seen[True]) + len(seen[False]) > MOST_COUNTED:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every: Counter = Counter()
+        learned: Counter = Counter()
+
+        def counted() -> pa.RecordBatch:
+            words, n = list(every.keys()), list(every.values())
+            c = [learned[w] for w in words]
+            every.clear(), learned.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array(c, pa.int64()), pa.array(n, pa.int64())],
+                names=["word", "c", "n"],
+            )
+
+        for batch in batches:
+            for text, own in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
+                found = tokens(text)
+                every.update(found)
+                if own:
+                    learned.update(found)
+                if len(every) > MOST_COUNTED:
                     yield counted()
         yield counted()
 
     given = documents.select(by_name(documents, text).alias("text"), training.alias("training"))
     return (
-        given.mapInPandas(count, "word binary, c long, n long")
+        given.mapInArrow(count, "word binary, c long, n long")
         .groupBy("word")
         .agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
     )
 
 
+def closed(word: bytes) -> bytes:
+    """The bytes of a coded token, with the space before it."""
+    return b" " + word if word == END else b" " + word + b" "
+
+
 def _strings(words: DataFrame, order: int) -> DataFrame:
     """The longest byte string (context and symbol) at every place of every token."""
-    closed = F.expr("CASE WHEN word = X'0A' THEN X'200A' ELSE concat(X'20', word, X'20') END")
+    whole = F.expr("CASE WHEN word = X'0A' THEN X'200A' ELSE concat(X'20', word, X'20') END")
     cut = (
         "transform(sequence(2, octet_length(b)), i -> substring(b, greatest(1, i - {k}),"
         " least({k}, i - 1) + 1))"
     )
-    return once(words, b=closed).select(
+    return once(words, b=whole).select(
         *words.columns, F.explode(F.expr(cut.format(k=order))).alias("g")
     )
 
 
 def trie(vocab: DataFrame, order: int = ORDER) -> DataFrame:
-    """``g`` and ``n``: every context followed by a symbol, of all lengths, with its count."""
-    longest = _strings(vocab.where("c > 0").select("word", "c"), order).groupBy("g").agg(
-        F.sum("c").alias("n")
+    """``g``, ``n`` and ``k``: every context followed by a symbol, of all lengths, with its count
+    and with the number of places of distinct tokens where it is the longest string."""
+    longest = (
+        _strings(vocab.where("c > 0").select("word", "c"), order)
+        .groupBy("g")
+        .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("k"))
     )
     suffixes = F.expr("transform(sequence(1, octet_length(g)), j -> substring(g, j))")
-    return longest.select(F.explode(suffixes).alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n"))
+    return (
+        longest.select(F.posexplode(suffixes).alias("j", "g"), "n", "k")
+        .groupBy("g")
+        .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("j") == 0, F.col("k")).otherwise(0)).alias("k"))
+    )
 
 
-def contexts(grams: DataFrame) -> DataFrame:
-    """``ctx`` with its totals ``t`` and ``d``, and ``tx`` and ``dx``: what the next shorter
-    context holds besides the symbols seen in this one."""
+def placed(grams: DataFrame) -> DataFrame:
+    """The strings with the totals of their context: ``t`` symbols, ``d`` distinct ones, and ``s``,
+    the count of these in the next shorter context. A context has 256 strings at most."""
     split = grams.select(
         "g",
         "n",
+        "k",
         F.expr("substring(g, 1, octet_length(g) - 1)").alias("ctx"),
         F.expr("substring(g, 2)").alias("shorter"),
     )
     below = grams.select(F.col("g").alias("shorter"), F.col("n").alias("n_shorter"))
-    # A string of one byte has the empty context, which has no shorter one.
-    own = (
-        split.where("octet_length(g) > 1")
-        .join(below, "shorter", "left")
-        .unionByName(
-            split.where("octet_length(g) = 1").withColumn("n_shorter", F.lit(0).cast("long"))
-        )
-        .groupBy("ctx")
-        .agg(
-            F.sum("n").alias("t"),
-            F.count(F.lit(1)).alias("d"),
-            F.sum("n_shorter").alias("s"),
+    of = Window.partitionBy("ctx")
+    return (
+        split.join(below, "shorter", "left")  # of one byte, the shorter one is empty: no match
+        .withColumns(
+            {
+                "t": F.sum("n").over(of),
+                "d": F.count(F.lit(1)).over(of),
+                "s": F.coalesce(F.sum("n_shorter").over(of), F.lit(0)),
+                "first": F.row_number().over(of.orderBy("g")) == 1,
+            }
         )
+        .select("g", "n", "k", "ctx", "t", "d", "s", "first")
     )
+
+
+def contexts(strings: DataFrame) -> DataFrame:
+    """``ctx`` with its totals ``t`` and ``d``, and ``tx`` and ``dx``: what the next shorter
+    context holds besides the symbols seen in this one."""
+    own = strings.where("first").select("ctx", "t", "d", "s")
     shorter = own.select(
         F.col("ctx").alias("shorter"), F.col("t").alias("t_below"), F.col("d").alias("d_below")
     )
-    joined = (
+    remainders = (
         own.where("octet_length(ctx) > 0")
         .withColumn("shorter", F.expr("substring(ctx, 2)"))
         .join(shorter, "shorter", "left")
-    )
-    remainders = joined.select(
-        "ctx", "t", "d", (F.col("t_below") - F.col("s")).alias("tx"), (F.col("d_below") - F.col("d")).alias("dx")
+        .select(
+            "ctx",
+            "t",
+            "d",
+            (F.col("t_below") - F.col("s")).alias("tx"),
+            (F.col("d_below") - F.col("d")).alias("dx"),
+        )
     )
     zero = F.lit(0).cast("long")
-    return remainders.union(
-        own.where("octet_length(ctx) = 0").select("ctx", "t", "d", zero, zero)
-    )
+    return remainders.union(own.where("octet_length(ctx) = 0").select("ctx", "t", "d", zero, zero))
 
 
 def _novel(strings: DataFrame, grams: DataFrame, held: DataFrame) -> DataFrame:
@@ -179,30 +203,61 @@ def _novel(strings: DataFrame, grams: DataFrame, held: DataFrame) -> DataFrame:
     return chain.select(F.col("whole").alias("g"), F.expr(walk).alias("lp"))
 
 
-def word_scores(vocab: DataFrame, order: int = ORDER) -> DataFrame:
-    """``word``, ``c``, ``n`` and ``lp``, the log10 probability of the token."""
-    grams = checkpointed(trie(vocab, order))
-    held = checkpointed(contexts(grams))
-    known = grams.withColumn("ctx", F.expr("substring(g, 1, octet_length(g) - 1)")).join(held, "ctx")
-    known = known.select(
-        "g", (F.log10(2 * F.col("n") - 1) - F.log10(2 * F.col("t"))).alias("lp")
+def _batch(ids: list[int], keys: list[bytes], lps: list[float]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(lps, pa.float64())],
+        names=["id", "g", "own"],
     )
+
+
+def word_scores(vocab: DataFrame, order: int = ORDER, head: int = HEAD) -> DataFrame:
+    """``word``, ``c``, ``n`` and ``lp``, the log10 probability of the token; ``vocab`` is stored
+    with a number ``id`` for each token."""
+    strings = stored(placed(stored(trie(vocab, order), "lm_trie")), "lm_strings")
     unseen = (
         _strings(vocab.where("c = 0").select("word"), order)
         .select("g")
         .distinct()
-        .join(grams.select("g"), "g", "left_anti")
+        .join(strings.select("g"), "g", "left_anti")
+    )
+    known = strings.select(
+        "g", "k", (F.log10(2 * F.col("n") - 1) - F.log10(2 * F.col("t"))).alias("lp")
+    )
+    novel = _novel(unseen, strings.select("g", "n"), contexts(strings)).select(
+        "g", F.lit(0).cast("long").alias("k"), "lp"
     )
-    strings = known.union(_novel(unseen, grams, held))
-    numbered = vocab.withColumn("id", F.monotonically_increasing_id())
-    sums = (
-        _strings(numbered.select("id", "word"), order)
-        .select("id", "g")
-        .join(strings, "g")
+    places = strings.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first().k
+    frequent = (F.col("k") > 0) & (F.col("k") * head >= places)  # at most ``head`` strings
+    top = known.where(frequent).select("g", "lp").toPandas()
+    common = {bytes(g): lp for g, lp in zip(top["g"], top["lp"], strict=True)}
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys, lps = [], [], []
+            for number, word in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
+                b, total = closed(word), 0.0
+                for i in range(1, len(b)):
+                    g = b[max(0, i - order) : i + 1]
+                    lp = common.get(g)
+                    if lp is None:
+                        ids.append(number), keys.append(g), lps.append(0.0)
+                    else:
+                        total += lp
+                # No string starts with two spaces: this key joins nothing and spreads well.
+                ids.append(number), keys.append(b"  %d" % number), lps.append(total)
+                if len(ids) > MOST_COUNTED:
+                    yield _batch(ids, keys, lps)
+                    ids, keys, lps = [], [], []
+            yield _batch(ids, keys, lps)
+
+    summed = (
+        vocab.select("id", "word")
+        .mapInArrow(sums, "id long, g binary, own double")
+        .join(known.where(~frequent).union(novel).select("g", "lp"), "g", "left")
         .groupBy("id")
-        .agg(F.sum("lp").alias("lp"))
+        .agg(F.sum(F.col("own") + F.coalesce("lp", F.lit(0.0))).alias("lp"))
     )
-    return numbered.join(sums, "id").select("word", "c", "n", "lp")
+    return vocab.join(summed, "id").select("word", "c", "n", "lp")
 
 
 def score(
@@ -215,14 +270,15 @@ def score(
 ) -> DataFrame:
     """For each document ``doc_id, n_tokens, n_known, train_tokens, base_score, score`` and
     ``training``; ``training`` marks the rows to learn from."""
-    vocab = checkpointed(vocabulary(documents, text, training))
+    vocab = vocabulary(documents, text, training)
+    vocab = stored(vocab.withColumn("id", F.monotonically_increasing_id()), "lm_vocabulary")
     totals = vocab.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("c"),
         F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0)).alias("v"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
     ).first()
     below = totals.c + totals.v + 1
-    scored = checkpointed(word_scores(vocab, order))
+    scored = stored(word_scores(vocab, order, head), "lm_words")
     frequent = F.col("n") * head >= totals.n  # at most ``head`` words can be that frequent
     top = scored.where(frequent).select("word", "c", "lp").toPandas()
     common = {
@@ -230,49 +286,50 @@ def score(
         for w, c, lp in zip(top["word"], top["c"], top["lp"], strict=True)
     }
 
-    def sums(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = []
-            for own, mark, learned, text in part.itertuples(index=False, name=None):
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, texts = (batch.column(i).to_pylist() for i in (1, 2))
+            ids: list[int] = []
+            words: list[bytes] = []
+            counts: list[int] = []
+            heads: list[tuple] = []  # place, number of tokens, known ones, base and model score
+            for i, (row, text) in enumerate(zip(rows, texts, strict=True)):
                 found = tokens(text)
-                counts = Counter(found)
                 known, base, lp = 0, 0.0, 0.0
-                rare = []
-                for word, n in counts.items():
+                for word, n in Counter(found).items():
                     held = common.get(word)
                     if held is None:
-                        rare.append((own, mark, learned, word, n, 0, 0, 0.0, 0.0, 0))
+                        ids.append(row), words.append(word), counts.append(n)
                     else:
                         known += n * held[0]
                         base += n * held[1]
                         lp += n * held[2]
                 # No token has a line feed and more: this key joins nothing and spreads well.
-                key = END + str(mark).encode()
-                rows.append((own, mark, learned, key, 0, len(found), known, base, lp, 1))
-                rows += rare
-                if len(rows) > MOST_COUNTED:
-                    yield pd.DataFrame(rows, columns=schema.names)
-                    rows = []
-            yield pd.DataFrame(rows, columns=schema.names)
-
+                heads.append((len(ids), i, len(found), known, base, lp))
+                ids.append(row), words.append(b"\n%d" % row), counts.append(0)
+                if len(ids) > MOST_COUNTED:
+                    yield _sums_batch(batch, ids, words, counts, heads)
+                    ids, words, counts, heads = [], [], [], []
+            yield _sums_batch(batch, ids, words, counts, heads)
+
+    # A row is numbered by its place in the scan, which a repeated task finds again.
     given = documents.select(
         by_name(documents, doc_id).alias("doc_id"),
-        F.xxhash64(by_name(documents, doc_id), by_name(documents, text)).alias("mark"),
-        training.alias("training"),
+        F.monotonically_increasing_id().alias("row"),
         by_name(documents, text).alias("text"),
+        training.alias("training"),
     )
     schema = T.StructType(
         [
-            T.StructField("doc_id", given.schema["doc_id"].dataType),
-            T.StructField("mark", T.LongType()),
-            T.StructField("training", T.BooleanType()),
+            T.StructField("row", T.LongType()),
             T.StructField("word", T.BinaryType()),
             T.StructField("n", T.LongType()),
+            T.StructField("doc_id", given.schema["doc_id"].dataType),
+            T.StructField("training", T.BooleanType()),
             T.StructField("n_tokens", T.LongType()),
             T.StructField("known", T.LongType()),
             T.StructField("base", T.DoubleType()),
             T.StructField("lp", T.DoubleType()),
-            T.StructField("rows", T.LongType()),
         ]
     )
     rare = scored.where(~frequent).select(
@@ -281,30 +338,56 @@ def score(
         (F.log10(F.col("c") + 1) - math.log10(below)).alias("w_base"),
         F.col("lp").alias("w_lp"),
     )
-    n = F.col("n")
-    rows = F.sum("rows")  # repeated rows have equal sums
-    summed = (
-        given.mapInPandas(sums, schema)
+
+    def total(own: str) -> Column:
+        return F.sum(F.coalesce(F.col(own), F.col("n") * F.col(f"w_{own}"))).alias(own)
+
+    return (
+        given.mapInArrow(sums, schema)
         .join(rare, "word", "left")
-        .groupBy("doc_id", "mark", "training")
+        .groupBy("row")
         .agg(
-            rows.alias("rows"),
-            F.sum("n_tokens").alias("n_tokens"),
-            F.sum(F.col("known") + F.coalesce(n * F.col("w_known"), F.lit(0))).alias("known"),
-            F.sum(F.col("base") + F.coalesce(n * F.col("w_base"), F.lit(0.0))).alias("base"),
-            F.sum(F.col("lp") + F.coalesce(n * F.col("w_lp"), F.lit(0.0))).alias("lp"),
+            F.max("doc_id").alias("doc_id"),
+            F.max("training").alias("training"),
+            F.max("n_tokens").alias("n_tokens"),
+            *(total(own) for own in ("known", "base", "lp")),
+        )
+        .select(
+            "doc_id",
+            "training",
+            "n_tokens",
+            F.col("known").alias("n_known"),
+            F.lit(totals.c).cast("long").alias("train_tokens"),
+            F.col("base").alias("base_score"),
+            F.col("lp").alias("score"),
         )
     )
-    return summed.select(
-        "doc_id",
-        "training",
-        F.expr("n_tokens div rows").alias("n_tokens"),
-        F.expr("known div rows").alias("n_known"),
-        F.lit(totals.c).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("rows")).alias("base_score"),
-        (F.col("lp") / F.col("rows")).alias("score"),
-        F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("_row"),
-    ).drop("_row")
+
+
+def _sums_batch(
+    batch: pa.RecordBatch, ids: list[int], words: list[bytes], counts: list[int], heads: list[tuple]
+) -> pa.RecordBatch:
+    """Rows of rare tokens, and one row for each document with what the frequent ones add up to;
+    the columns of the latter are null in the former."""
+    places: list[int | None] = [None] * len(ids)
+    sums: list[list] = [[None] * len(ids) for _ in range(4)]
+    for at, place, *own in heads:
+        places[at] = place
+        for column, value in zip(sums, own, strict=True):
+            column[at] = value
+    taken = pa.array(places, pa.int64())
+    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(ids, pa.int64()),
+            pa.array(words, pa.binary()),
+            pa.array(counts, pa.int64()),
+            batch.column(0).take(taken),
+            batch.column(3).take(taken),
+            *(pa.array(c, k) for c, k in zip(sums, kinds, strict=True)),
+        ],
+        names=["row", "word", "n", "doc_id", "training", "n_tokens", "known", "base", "lp"],
+    )
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
