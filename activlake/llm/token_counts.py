@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +33,8 @@ from activlake.llm.common import by_name, table
 from activlake.llm.tokens import char_spans, encode, vocabulary_path
 
 RULES = ("majority", "start", "split")
+#: Sections that a task holds before it hands them on.
+MOST_HELD = 200_000
 
 
 def allocate(
@@ -90,30 +92,6 @@ def count_tokens(
     names = list(fields)
     number = T.DoubleType() if rule == "split" else T.LongType()
 
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = []
-            for own, *given in part.itertuples(index=False, name=None):
-                texts = [t if isinstance(t, str) else "" for t in given]
-                text = "".join(texts)
-                bounds, owner = section_bounds(texts, by_line)
-                counts = np.zeros(len(owner))
-                if text:
-                    starts, ends = char_spans(text, encode(text, path), path)
-                    counts = allocate(starts, ends, np.array(bounds), rule)
-                rows.append((own, owner, bounds, counts))
-            sizes = [len(o) for _, o, _, _ in rows]
-            yield pd.DataFrame(
-                {
-                    "doc_id": pd.Series([r[0] for r in rows], dtype=object).repeat(sizes).values,
-                    "field": [names[i] for r in rows for i in r[1]],
-                    "section": [i for n in sizes for i in range(n)],
-                    "start": [b for r in rows for b in r[2][:-1]],
-                    "end": [b for r in rows for b in r[2][1:]],
-                    "n_tokens": np.concatenate([np.zeros(0), *(r[3] for r in rows)]),
-                }
-            )
-
     given = documents.select(
         by_name(documents, key).alias("doc_id"),
         *(by_name(documents, f).cast("string").alias(f"f{i}") for i, f in enumerate(names)),
@@ -128,7 +106,40 @@ def count_tokens(
             T.StructField("n_tokens", T.DoubleType()),
         ]
     )
-    counted = given.mapInPandas(count, schema)
+
+    def rows_of(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+        sizes = [len(owner) for _, owner, _, _ in rows]
+        places = np.repeat(np.array([r[0] for r in rows], dtype=np.int64), sizes)
+        columns = [
+            ids.take(pa.array(places)),  # ids never leave Arrow: nulls and wide numbers stay exact
+            pa.array([names[i] for r in rows for i in r[1]], pa.string()),
+            pa.array([i for n in sizes for i in range(n)], pa.int32()),
+            pa.array([b for r in rows for b in r[2][:-1]], pa.int64()),
+            pa.array([b for r in rows for b in r[2][1:]], pa.int64()),
+            pa.array(np.concatenate([np.zeros(0), *(r[3] for r in rows)])),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, held = [], 0
+            columns = (batch.column(1 + i).to_pylist() for i in range(len(names)))
+            for place, given_texts in enumerate(zip(*columns, strict=True)):
+                texts = [t or "" for t in given_texts]
+                text = "".join(texts)
+                bounds, owner = section_bounds(texts, by_line)
+                counts = np.zeros(len(owner))
+                if text:
+                    starts, ends = char_spans(text, encode(text, path), path)
+                    counts = allocate(starts, ends, np.array(bounds), rule)
+                rows.append((place, owner, bounds, counts))
+                held += len(owner)
+                if held > MOST_HELD:
+                    yield rows_of(batch.column(0), rows)
+                    rows, held = [], 0
+            yield rows_of(batch.column(0), rows)
+
+    counted = given.mapInArrow(count, schema)
     return counted.withColumn("n_tokens", F.col("n_tokens").cast(number))
 
 

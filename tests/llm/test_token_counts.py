@@ -50,14 +50,14 @@ def test_sections_tile_the_fields():
 def test_counts_add_up_to_whole_documents(spark, rule):
     texts = ["Two lines\nof text", "", None, "🙂\n\n\n  indented\n", "x" * 300_000 + "\n" + "y z " * 9]
     rows = [(i, "Title", t, 5, 1) for i, t in enumerate(texts)] + [(None, None, "a b", 5, 1)]
-    rows.append(rows[0])
+    rows += [rows[0], (2**60 + 1, None, "wide", 5, 1)]
     df = spark.createDataFrame(rows, "doc_id long, title string, text string, n_tokens int, start int")
     got = count_tokens(df, fields=("title", "text"), rule=rule)
     sums = {r.doc_id: r.n_tokens for r in totals(got, "doc_id").collect()}
     for i, t in enumerate(texts):
         n = len(TOKENIZER.encode("Title" + (t or ""), add_special_tokens=False).ids)
         assert sums[i] == pytest.approx(n * (2 if i == 0 else 1))
-    assert sums[None] == 2
+    assert sums[None] == 2 and sums[2**60 + 1] == 1
     fields = {(r.doc_id, r.field) for r in got.collect()}
     assert (2, "text") in fields and (2, "title") in fields
 
