@@ -7,7 +7,7 @@ candidate with 1, 0 or abstain (-1): patterns look at its shape, gazetteers at t
 it, context rules at the characters around it. Expectation-maximisation over the vote patterns
 estimates how reliable each labeler is and how likely each pattern is personal; a logistic
 classifier over votes, kind and shape is trained on these likelihoods and decides. Base spans
-always stay; candidates that pass and touch no base span are added.
+always stay; candidates that pass and lie in no base span are added.
 
 The texts are read once. Their spans and candidates are stored (checkpoint), which is small
 against the texts, and all else works on that table. The model sees counts by pattern only: votes,
@@ -193,7 +193,11 @@ def _searched(documents: DataFrame, text: str, kept: dict[str, str]) -> DataFram
     )
     named = "named_struct('start', x.start, 'end', x.end, 'value', x.value, 'before', x.before, 'after', x.after, 'kind', {})"
     failed = [
-        F.expr(f"transform(filter({k}, x -> length(x.value) > 9 AND NOT ({_valid(k)})), x -> {named.format(repr('failed'))})")
+        F.expr(
+            f"transform(filter({k}, x -> length(x.value) > 9 AND NOT ({_valid(k)})"
+            " AND NOT (x.before RLIKE '[A-Za-z0-9]$' OR x.after RLIKE '^[A-Za-z0-9]')),"
+            f" x -> {named.format(repr('failed'))})"
+        )
         for k in ("card", "phone")
     ]
     df = once(
@@ -210,7 +214,7 @@ def _searched(documents: DataFrame, text: str, kept: dict[str, str]) -> DataFram
         " CASE WHEN x.value RLIKE '^[^A-Za-z]*$' THEN 0"
         " WHEN x.value RLIKE '[a-z]' AND x.value RLIKE '[A-Z]' THEN 1 ELSE 2 END AS mixed"
     )
-    free = "NOT exists(base_, b -> b.start < x.end AND x.start < b.end)"
+    free = "NOT exists(base_, b -> b.start <= x.start AND x.end <= b.end)"
     return df.select(
         *kept,
         F.col("base_").alias("base"),

@@ -110,7 +110,10 @@ def test_estimation_equals_a_row_wise_run(spark):
     for r in found.collect():
         for c in r.candidates:
             counted[tuple(c.votes)] = counted.get(tuple(c.votes), 0) + 1
-    assert reliability == estimate(counted)
+    again = estimate(counted)
+    assert reliability.share == pytest.approx(again.share)
+    for (a, b), (c, d) in zip(reliability.votes, again.votes, strict=True):
+        assert (*a, *b) == pytest.approx((*c, *d))
     assert len(reliability.votes) == len(LABELERS)
 
 
@@ -121,7 +124,8 @@ def test_redaction_keeps_rows_and_columns(spark):
     assert got.columns == df.columns
     want = sorted([(1, "mail <EMAIL> now", 14, "x"), *rows[1:]], key=str)
     assert sorted(map(tuple, got.collect()), key=str) == want
-    overlapping = spark.createDataFrame([(1, "+5500000000000004 end")], "doc_id long, text string")
+    # The digits are a phone number and, one character later, a card number.
+    overlapping = spark.createDataFrame([(1, "+378282246310005 end")], "doc_id long, text string")
     assert redact(overlapping).first().text == "<PHONE> end"
 
 
