@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activlake.llm.common import by_name, checkpointed, lower_ascii, once, table
+from activlake.llm.common import by_name, checkpointed, free_name, lower_ascii, once, table
 
 WINDOW = 10
 SHINGLE = 3
@@ -227,17 +227,23 @@ def _described(hits: DataFrame, windows: DataFrame) -> DataFrame:
     )
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+def decontaminate(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    **options,
+) -> DataFrame:
     """The documents without those that hold a benchmark window."""
-    found = contamination(documents, benchmark, doc_id=key, **options)
-    bad = found.where(F.size("spans") > 0).select("doc_id", "t").distinct()
-    text = options.get("text", "text")
-    own, row = by_name(documents, key), F.xxhash64(by_name(documents, key), by_name(documents, text))
-    return documents.join(
-        bad.select(F.col("doc_id").alias("bad_id"), F.col("t").alias("bad_t")),
-        (row == F.col("bad_t")) & own.eqNullSafe(F.col("bad_id")),
-        "left_anti",
+    found = contamination(documents, benchmark, doc_id=key, text=text, **options)
+    bad_id, bad_row = free_name(documents, "bad_id"), free_name(documents, "bad_row")
+    bad = found.where(F.size("spans") > 0).select(
+        F.col("doc_id").alias(bad_id), F.col("t").alias(bad_row)
     )
+    own = by_name(documents, key)
+    row = F.xxhash64(own, by_name(documents, text))
+    same = (row == F.col(bad_row)) & own.eqNullSafe(F.col(bad_id))
+    return documents.join(bad.distinct(), same, "left_anti")
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -192,12 +192,12 @@ def deduplicate(documents: DataFrame, key: str = "doc_id", **options) -> DataFra
         .groupBy("doc_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    mark = free_name(documents, "n_rows_of_id")
+    mark, same = free_name(documents, "n_rows_of_id"), free_name(documents, "kept_id")
     own = by_name(documents, key)
     kept = documents.join(
-        survivors.select(F.col("doc_id").alias("kept_id"), F.col("n").alias(mark)),
-        own.eqNullSafe(F.col("kept_id")),
-    ).drop("kept_id")
+        survivors.select(F.col("doc_id").alias(same), F.col("n").alias(mark)),
+        own.eqNullSafe(F.col(same)),
+    ).drop(same)
     if survivors.where("n > 1").isEmpty():
         return kept.drop(mark)
     # Rows that share an id are rare; only they are grouped, whole rows as keys.

@@ -32,10 +32,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activlake.llm.common import by_name, checkpointed, crc32_mod, table
+from activlake.llm.common import by_name, checkpointed, crc32_mod, free_name, table
 
 TOKEN = re.compile(r"[^\W\d_]+")
 BEGINNINGS = range(4, 9)
@@ -191,6 +191,8 @@ def _lexicon(
                 own = {f for w in set(TOKEN.findall((text or "").lower())) for f in features(w)}
                 seen[int(toxic)].update(own)
             names = list(seen[0].keys() | seen[1].keys())
+            if not names:  # only texts without tokens
+                continue
             yield pd.DataFrame(
                 {
                     "f": names,
@@ -237,7 +239,8 @@ def _windows(sample: DataFrame, lexicon: dict[str, float], most: int) -> list:
                     end = min(n, max(place, start) + AROUND + 1)
                     if end > start:
                         rows.append((key, start, tokens[start:end], int(toxic)))
-            yield pd.DataFrame(rows, columns=["key", "start", "tokens", "toxic"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["key", "start", "tokens", "toxic"])
 
     schema = "key long, start int, tokens array<string>, toxic int"
     return sample.mapInPandas(cut, schema).orderBy("key", "start").limit(most).collect()
@@ -369,31 +372,45 @@ def train(
 SPANS = "array<struct<start:int,end:int,marginal:double>>"
 
 
-def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of the documents with ``toxicity``: a struct of ``score`` and ``spans``."""
+def score(
+    documents: DataFrame, model: Model, text: str = "text", into: str = "toxicity"
+) -> DataFrame:
+    """All columns of the documents and ``into``, a struct of ``score`` and ``spans``; a column
+    that has this name already is replaced."""
 
     @F.pandas_udf(f"score double, spans {SPANS}")
     def scored(texts: pd.Series) -> pd.DataFrame:
         found = [model.score(t or "") for t in texts]
         return pd.DataFrame({"score": [s for s, _ in found], "spans": [p for _, p in found]})
 
-    kept = [by_name(documents, c) for c in documents.columns if c.lower() != "toxicity"]
-    return documents.select(*kept, scored(by_name(documents, text)).alias("toxicity"))
+    kept = [by_name(documents, c) for c in documents.columns if c.lower() != into.lower()]
+    return documents.select(*kept, scored(by_name(documents, text)).alias(into))
+
+
+def held_out() -> Column:
+    """Documents whose labels the corpus model never sees."""
+    return F.coalesce(crc32_mod(F.col("doc_id"), 5) == 0, F.lit(False))
+
+
+def corpus_model(documents: DataFrame, labels: DataFrame) -> Model:
+    """The model of a corpus, from all labels that are not held out."""
+    return train(documents, labels.where(~held_out()))
 
 
-def scored_corpus(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with their score, by a model that never saw held-out labels."""
-    held_out = F.coalesce(crc32_mod(F.col("doc_id"), 5) == 0, F.lit(False))
-    model = train(documents, labels.where(~held_out))
-    return score(documents, model).withColumn("held_out", held_out)
+def reject(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The documents that score below the threshold, with their own columns."""
+    mark = free_name(documents, "toxicity")
+    scored = score(documents, corpus_model(documents, labels), into=mark)
+    return scored.where(F.col(f"{mark}.score") < threshold).drop(mark)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score, verdict and offending spans of every document."""
-    rows = scored_corpus(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    documents = table(spark, sf_dir, "documents")
+    rows = score(documents, corpus_model(documents, table(spark, sf_dir, "labels")))
     return rows.select(
         "doc_id",
-        "held_out",
+        held_out().alias("held_out"),
         F.col("toxicity.score").alias("score"),
         (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"),
         F.transform("toxicity.spans", lambda s: F.struct(s["start"], s["end"])).alias("spans"),

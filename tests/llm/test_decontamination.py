@@ -57,7 +57,7 @@ def frames(spark):
     docs = [(i, t, 7, "w") for i, t in enumerate(DOCS)] + [(None, "solo", 7, "w"), (3, DOCS[3], 7, "w")]
     docs.append((3, "clean", 7, "w"))
     return (
-        spark.createDataFrame(docs, "doc_id long, text string, n_words int, w string"),
+        spark.createDataFrame(docs, "doc_id long, text string, n_words int, bad_id string"),
         spark.createDataFrame([(*i, "z") for i in ITEMS], "item_id long, text string, items string"),
         docs,
     )

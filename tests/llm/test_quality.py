@@ -56,10 +56,10 @@ def test_same_hash_of_different_windows_is_settled_by_the_words(spark, monkeypat
     seen = F.expr
 
     def colliding(sql):
-        return seen(sql.replace("xxhash64(x, w[i + 1], w[i + 2])", "CAST(i % 2 AS BIGINT)"))
+        return seen(sql.replace("xxhash64(x, w[i + 1], w[i + 2])", "CAST(length(x) AS BIGINT)"))
 
     monkeypatch.setattr(quality.F, "expr", colliding)
-    texts = ["a b c d e f g", "a b c a b c d", "p q r s p q r t", "a a a a"]
+    texts = ["a b c d e f g", "a b c a b c d", "p q r s p q r t", "a a a a", "aa b cc b aa b cc"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.n_repeat_words for r in quality.ledger(df).collect()}
     assert got == {i: measured(t)[5] for i, t in enumerate(texts)}

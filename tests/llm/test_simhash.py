@@ -102,7 +102,7 @@ def corpus(spark):
     return [(i * 7 % 1000, t, i, "x") for i, t in enumerate(rows)]
 
 
-SCHEMA = "doc_id long, text string, fp long, component_id string"
+SCHEMA = "doc_id long, text string, fp long, kept_id string"
 
 
 def test_near_duplicates_against_all_pairs(spark):

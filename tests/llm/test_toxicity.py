@@ -3,7 +3,7 @@ import math
 
 import pytest
 
-from activlake.llm.toxicity import Model, op4_toxicity, score, scored_corpus, train
+from activlake.llm.toxicity import Model, corpus_model, held_out, op4_toxicity, reject, score, train
 
 
 def brute(model, places, scores, n):
@@ -45,10 +45,12 @@ def test_spans_are_code_points_of_the_text():
 
 def labelled(spark):
     rows, labels = [], []
-    for i in range(400):
+    for i in range(400):  # every fourth is toxic
         bad = i % 4 == 0
         text = " ".join(f"w{chr(97 + (i * j) % 26)}{chr(97 + j % 26)}" for j in range(40))
-        rows.append((i, text + (" grumblefoo you grumblebar" if bad else ""), 7, "s"))
+        ends = (chr(97 + i % 23) + chr(97 + i % 19), chr(97 + i % 17) + chr(97 + i % 13))
+        more = f" grumble{ends[0]} you grumble{ends[1]}" if bad else " you"
+        rows.append((i, text + more, 7, "s"))
         labels.append((i, int(bad)))
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxicity int, held_out string")
     return docs, spark.createDataFrame(labels, "doc_id long, toxic int")
@@ -65,13 +67,17 @@ def test_nulls_repeats_labels_that_differ_and_empty_tables(spark):
     docs, labels = labelled(spark)
     odd = spark.createDataFrame([(None, None, 1, "x"), (1, "", 1, "x"), (1, "", 1, "x")], docs.schema)
     more = spark.createDataFrame([(None, 1), (1, None), (2, 1), (2, 0)], labels.schema)
-    got = scored_corpus(docs.union(odd), labels.union(more))
+    every = docs.union(odd)
+    got = score(every, corpus_model(every, labels.union(more)))
     assert got.count() == 403
-    nulls = [r for r in got.collect() if r.doc_id is None]
-    assert [(r.held_out, 0 <= r.toxicity.score <= 1) for r in nulls] == [(False, True)]
-    assert scored_corpus(docs.limit(0), labels).count() == 0
-    unlabelled = scored_corpus(docs, labels.limit(0))
+    nulls = got.where("doc_id IS NULL").select("toxicity.score", held_out().alias("out")).collect()
+    assert [(r.out, 0 <= r.score <= 1) for r in nulls] == [(False, True)]
+    assert score(docs.limit(0), corpus_model(docs.limit(0), labels)).count() == 0
+    unlabelled = score(docs, corpus_model(docs, labels.limit(0)))
     assert {r.toxicity.score for r in unlabelled.collect()} == {0.0}
+    kept = reject(every, labels)
+    assert kept.columns == docs.columns and kept.where("toxicity = 7").count() == 300
+    assert kept.where("doc_id IS NULL").count() == 1
     one_kind = train(docs, labels.where("toxic = 1"))
     assert one_kind.score("anything")[0] == 1.0
 
