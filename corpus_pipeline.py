@@ -15,13 +15,12 @@ from activlake.llm.common import stored, table
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the toxicity model scores one half or more."""
-    scored = toxicity.scored_corpus(docs, table(spark, sf_dir, "labels"))
-    return scored.where(F.col("toxicity.score") < 0.5).select(*docs.columns)
+    return toxicity.reject(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
-    return simhash.deduplicate(docs).select(*docs.columns)
+    return simhash.deduplicate(docs)
 
 
 def decontamination_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
