@@ -80,3 +80,33 @@ def test_run_equals_the_stages(spark, small, stages):
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     got = corpus_pipeline.run(spark, small).select(columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, stages[5].select(columns).collect()))
+
+
+CLASHING = (
+    "doc_id long, text string, lang string, source string, n_chars int, toxicity string, "
+    "bad_row int, kept_id int, fp int, base string, n_rows_of_id int, `a.b` string"
+)
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_take_nulls_repeats_clashing_names_and_empty_tables(spark, small, number):
+    name, stage = corpus_pipeline.STAGES[number]
+    long = " ".join(f"w{i}" for i in range(5000))
+    rows = [
+        (1, "write to a@b.org", None, None, None),
+        (1, "write to a@b.org", None, None, None),
+        (None, None, "en", "s", 0),
+        (None, "no id here", None, "s", 10),
+        (4, "", "fr", None, 0),
+        (2**60 + 1, long, "en", "s", len(long)),
+    ]
+    docs = spark.createDataFrame([(*r, "t", 1, 2, 3, "b", 4, "dot") for r in rows], CLASHING)
+    for table in (docs, docs.limit(0)):
+        got = stage(spark, table, small)
+        found = got.collect()
+        if number < 4:
+            assert got.columns == docs.columns
+            assert all(r["toxicity"] == "t" and r["a.b"] == "dot" for r in found)
+        assert bool(found) == (table is docs)
+    ids = [r.doc_id for r in stage(spark, docs, small).collect()]
+    assert {None, 4, 2**60 + 1} <= set(ids) and ids.count(1) == (1 if number == 1 else 2)
