@@ -40,8 +40,8 @@ from activlake.llm.common import by_name, crc32_mod, once, stored, table
 ORDER = 6
 HEAD = 400_000
 END = b"\n"
-#: Tokens that a task counts before it hands its counts on.
-MOST_COUNTED = 400_000
+#: Tokens that a task holds before it hands them on.
+MOST_COUNTED = 500_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -54,13 +54,14 @@ def vocabulary(documents: DataFrame, text: str, training: Column) -> DataFrame:
     """``word``, ``c`` (count in training rows) and ``n`` (count in all rows)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every: Counter = Counter()
         learned: Counter = Counter()
+        other: Counter = Counter()
 
         def counted() -> pa.RecordBatch:
-            words, n = list(every.keys()), list(every.values())
+            words = list(learned.keys() | other.keys())
             c = [learned[w] for w in words]
-            every.clear(), learned.clear()
+            n = [x + other[w] for x, w in zip(c, words, strict=True)]
+            learned.clear(), other.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.binary()), pa.array(c, pa.int64()), pa.array(n, pa.int64())],
                 names=["word", "c", "n"],
@@ -68,11 +69,8 @@ def vocabulary(documents: DataFrame, text: str, training: Column) -> DataFrame:
 
         for batch in batches:
             for text, own in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
-                found = tokens(text)
-                every.update(found)
-                if own:
-                    learned.update(found)
-                if len(every) > MOST_COUNTED:
+                (learned if own else other).update(tokens(text))
+                if len(learned) + len(other) > MOST_COUNTED:
                     yield counted()
         yield counted()
 
@@ -344,7 +342,7 @@ def score(
 
     return (
         given.mapInArrow(sums, schema)
-        .join(rare, "word", "left")
+        .join(rare.hint("shuffle_hash"), "word", "left")  # distinct words: the rows need no sort
         .groupBy("row")
         .agg(
             F.max("doc_id").alias("doc_id"),
