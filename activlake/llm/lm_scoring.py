@@ -1,20 +1,26 @@
 """Language-model scoring by prediction by partial matching over bytes.
 
 A text is its lower-cased tokens (A to Z; words between white space) and one end. A token is coded
-as its bytes and a closing space, the end as a line feed, both in the context of the space before:
-contexts have up to ``order`` bytes and never reach beyond that space. A token's code length is
-therefore the same wherever it stands and is computed once for each distinct token.
+as its bytes and a closing space, the end as a line feed. In ``score_in_context``, which the query
+calls, a context is the last ``order`` bytes of the text whatever tokens they belong to; a text
+starts in the context of one space. In ``score`` contexts never reach beyond the space before a
+token, so that a text scores the same in any order of its tokens.
 
 The trie is a table: the count of every byte string of up to ``order + 1`` bytes in the training
-tokens. A symbol with count n in a context with T symbols in all and D distinct ones has
+texts. A symbol with count n in a context with T symbols in all and D distinct ones has
 probability (2n - 1) / 2T, the escape D / 2T (method D). After an escape the context loses its
 first byte, and the symbols seen in the longer context are excluded from the counts of the shorter
 one; as the seen sets are nested, these remainders are two numbers for each context. Below the empty context
 all bytes not yet seen are equally likely. The probabilities of the tokens sum to one.
 
-Jobs: count tokens (partial counts in the tasks); count byte strings of the vocabulary; join the
-table with its own suffixes for totals and remainders; walk the escape chain for strings that
-training never saw; sum over each token; and sum over each document. In the two sums, what makes up
+Jobs of ``score_in_context``: count tokens (for the base score) and windows, which are a context and
+its symbol (partial counts in the tasks; a window of up to seven bytes and its length are one 64-bit
+key); count the suffixes of the windows; join the table with itself for totals and remainders; walk
+the escape chain for windows that training never saw; and sum over each document. At most
+``window_head`` of the windows, the most frequent ones, travel with the tasks.
+
+Jobs of ``score``: count tokens; count byte strings of the vocabulary; join the table with its own
+suffixes; walk the escape chains; sum over each token; and sum over each document. In its sums, what makes up
 at least one part in ``head`` of all rows (so at most ``head`` strings or tokens) travels with the
 tasks, and only rarer ones are shuffled: most rows never move, and no frequent key is hot. All
 tables grow with the corpus, stay in Spark and are written to the shared folder between the jobs.
@@ -30,6 +36,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,6 +49,10 @@ HEAD = 400_000
 END = b"\n"
 #: Tokens that a task holds before it hands them on.
 MOST_COUNTED = 500_000
+#: Windows that travel with the tasks, 16 bytes each.
+WINDOW_HEAD = 2_000_000
+#: Bytes of text whose windows are made at once, and windows that are sorted at once.
+SLICE, SLAB = 1 << 20, 1 << 21
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -175,8 +186,14 @@ def _novel(strings: DataFrame, grams: DataFrame, held: DataFrame) -> DataFrame:
     chain = (
         links.join(grams, "g", "left")
         .join(held, "ctx", "left")
-        .groupBy("whole")
-        .agg(F.sort_array(F.collect_list(F.struct("j", "n", "t", "d", "tx", "dx"))).alias("chain"))
+    )
+    return _walked(chain)
+
+
+def _walked(links: DataFrame) -> DataFrame:
+    """``g`` and ``lp`` from the strings and contexts along the escape chain of each ``whole``."""
+    chain = links.groupBy("whole").agg(
+        F.sort_array(F.collect_list(F.struct("j", "n", "t", "d", "tx", "dx"))).alias("chain")
     )
     # The state: the log so far, whether the symbol was found, the totals left by the context
     # before (negative: no context yet, the own totals hold), and how many symbols are excluded.
@@ -310,6 +327,25 @@ def score(
                     ids, words, counts, heads = [], [], [], []
             yield _sums_batch(batch, ids, words, counts, heads)
 
+    rare = scored.where(~frequent).select(
+        "word",
+        (F.col("c") > 0).cast("long").alias("w_known"),
+        (F.log10(F.col("c") + 1) - math.log10(below)).alias("w_base"),
+        F.col("lp").alias("w_lp"),
+    )
+    return _document_sums(documents, training, doc_id, text, sums, rare, totals.c)
+
+
+def _document_sums(
+    documents: DataFrame,
+    training: Column,
+    doc_id: str,
+    text: str,
+    sums,
+    rare: DataFrame,
+    train_tokens: int,
+) -> DataFrame:
+    """Sums over each document of what ``sums`` makes of its batches, joined with ``rare``."""
     # A row is numbered by its place in the scan, which a repeated task finds again.
     given = documents.select(
         by_name(documents, doc_id).alias("doc_id"),
@@ -330,12 +366,6 @@ def score(
             T.StructField("lp", T.DoubleType()),
         ]
     )
-    rare = scored.where(~frequent).select(
-        "word",
-        (F.col("c") > 0).cast("long").alias("w_known"),
-        (F.log10(F.col("c") + 1) - math.log10(below)).alias("w_base"),
-        F.col("lp").alias("w_lp"),
-    )
 
     def total(own: str) -> Column:
         return F.sum(F.coalesce(F.col(own), F.col("n") * F.col(f"w_{own}"))).alias(own)
@@ -355,7 +385,7 @@ def score(
             "training",
             "n_tokens",
             F.col("known").alias("n_known"),
-            F.lit(totals.c).cast("long").alias("train_tokens"),
+            F.lit(train_tokens).cast("long").alias("train_tokens"),
             F.col("base").alias("base_score"),
             F.col("lp").alias("score"),
         )
@@ -388,10 +418,326 @@ def _sums_batch(
     )
 
 
+def coded(found: list[bytes]) -> bytes:
+    """The bytes of a text of these tokens, with the space before it."""
+    return b" " + b" ".join(found)
+
+
+def windows(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Number of the text and key of every place of coded texts but their first, in slices.
+
+    The low bytes of a key are the symbol and, above it, the context; the highest is their number.
+    """
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    edges = np.cumsum([0, *map(len, texts)])
+    for a in range(0, len(data), SLICE):
+        b = min(a + SLICE, len(data))
+        first, last = np.searchsorted(edges, a, "right") - 1, np.searchsorted(edges, b, "left")
+        held = np.diff(np.clip(edges[first : last + 1], a, b))
+        text = np.repeat(np.arange(first, last), held)
+        place = np.arange(a, b) - edges[text]
+        lead = min(a, order)
+        wide = data[a - lead : b].astype(np.uint64)
+        key = np.zeros(b - a, np.uint64)
+        for back in range(order + 1):
+            skip = max(0, back - lead)
+            if skip < b - a:
+                key[skip:] |= wide[lead + skip - back : lead + b - a - back] << np.uint64(8 * back)
+        length = (np.minimum(place, order) + 1).astype(np.uint64)
+        early = np.flatnonzero(place < order)
+        key[early] &= (np.uint64(1) << (np.uint64(8) * length[early])) - np.uint64(1)
+        key |= length << np.uint64(56)
+        coded_places = place > 0
+        yield text[coded_places], key[coded_places]
+
+
+def window_counts(documents: DataFrame, text: str, training: Column, order: int) -> DataFrame:
+    """``g`` (key of a window), ``c`` (count in training rows) and ``n`` (count in all rows)."""
+
+    def counted(texts: list[bytes], own: bool) -> Iterator[pa.RecordBatch]:
+        def batch() -> pa.RecordBatch:
+            keys = np.concatenate(held)
+            keys.sort()
+            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            n = np.diff(np.append(starts, len(keys)))
+            columns = [keys[starts].astype(np.int64), n if own else np.zeros_like(n), n]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["g", "c", "n"])
+
+        held: list[np.ndarray] = []
+        for _, key in windows(texts, order):
+            held.append(key)
+            if sum(map(len, held)) >= SLAB:
+                yield batch()
+                held = []
+        if held:
+            yield batch()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: dict[bool, list[bytes]] = {True: [], False: []}
+        sizes = {True: 0, False: 0}
+        for batch in batches:
+            for text, own in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
+                own = bool(own)
+                texts[own].append(coded(tokens(text)))
+                sizes[own] += len(texts[own][-1])
+                if sizes[own] >= SLAB:
+                    yield from counted(texts[own], own)
+                    texts[own], sizes[own] = [], 0
+        for own in (True, False):
+            yield from counted(texts[own], own)
+
+    given = documents.select(by_name(documents, text).alias("text"), training.alias("training"))
+    return (
+        given.mapInArrow(count, "g long, c long, n long")
+        .groupBy("g")
+        .agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
+    )
+
+
+def _length(g: str) -> str:
+    return f"CAST(shiftright({g}, 56) AS INT)"
+
+
+def _last(g: str, m: str) -> str:
+    """The key of the last ``m`` bytes."""
+    return f"(shiftleft(CAST({m} AS BIGINT), 56) | ({g} & (shiftleft(1L, 8 * ({m})) - 1L)))"
+
+
+def _context(g: str) -> str:
+    """The key without the last byte."""
+    below = f"shiftright({g} & (shiftleft(1L, 56) - 1L), 8)"
+    return f"(shiftleft(CAST({_length(g)} - 1 AS BIGINT), 56) | {below})"
+
+
+#: Keys of all suffixes of ``g``, the longest first.
+SUFFIXES = (
+    f"transform(sequence(0, {_length('g')} - 1), j -> {_last('g', _length('g') + ' - j')})"
+)
+
+
+def window_strings(counts: DataFrame) -> DataFrame:
+    """Every context followed by a symbol, ``g``, of all lengths, with its count ``n`` and the
+    columns ``ctx, t, d, s, first`` of ``placed``."""
+    grams = (
+        counts.where("c > 0")
+        .select(F.explode(F.expr(SUFFIXES)).alias("g"), "c")
+        .groupBy("g")
+        .agg(F.sum("c").alias("n"))
+    )
+    grams = stored(grams, "lm_trie")
+    split = grams.select(
+        "g",
+        "n",
+        F.expr(_context("g")).alias("ctx"),
+        F.expr(_last("g", _length("g") + " - 1")).alias("shorter"),
+    )
+    below = grams.select(F.col("g").alias("shorter"), F.col("n").alias("n_shorter"))
+    of = Window.partitionBy("ctx")
+    return split.join(below, "shorter", "left").select(
+        "g",
+        "n",
+        "ctx",
+        F.sum("n").over(of).alias("t"),
+        F.count(F.lit(1)).over(of).alias("d"),
+        F.coalesce(F.sum("n_shorter").over(of), F.lit(0)).alias("s"),
+        (F.row_number().over(of.orderBy("g")) == 1).alias("first"),
+    )
+
+
+def window_contexts(strings: DataFrame) -> DataFrame:
+    """``contexts`` for keys."""
+    own = strings.where("first").select("ctx", "t", "d", "s")
+    shorter = own.select(
+        F.col("ctx").alias("shorter"), F.col("t").alias("t_below"), F.col("d").alias("d_below")
+    )
+    remainders = (
+        own.where("ctx != 0")
+        .withColumn("shorter", F.expr(_last("ctx", _length("ctx") + " - 1")))
+        .join(shorter, "shorter", "left")
+        .select(
+            "ctx",
+            "t",
+            "d",
+            (F.col("t_below") - F.col("s")).alias("tx"),
+            (F.col("d_below") - F.col("d")).alias("dx"),
+        )
+    )
+    zero = F.lit(0).cast("long")
+    return remainders.union(own.where("ctx = 0").select("ctx", "t", "d", zero, zero))
+
+
+def window_scores(counts: DataFrame) -> DataFrame:
+    """``g``, ``n`` and ``lp``, the log10 probability of the symbol in its context."""
+    strings = stored(window_strings(counts), "lm_strings")
+    known = strings.select("g", (F.log10(2 * F.col("n") - 1) - F.log10(2 * F.col("t"))).alias("lp"))
+    unseen = counts.where("c = 0").select("g").join(strings.select("g"), "g", "left_anti")
+    links = unseen.select(
+        F.col("g").alias("whole"), F.posexplode(F.expr(SUFFIXES)).alias("j", "g")
+    ).withColumn("ctx", F.expr(_context("g")))
+    grams, held = strings.select("g", "n"), window_contexts(strings)
+    # All chains end in the same few short strings (65,792 at most): these are not shuffled.
+    short = [f"{_length(c)} <= {n}" for c, n in (("g", 2), ("ctx", 1))]
+    chain = (
+        links.where(short[0])
+        .join(F.broadcast(grams.where(short[0])), "g", "left")
+        .join(F.broadcast(held.where(short[1])), "ctx", "left")
+        .unionByName(
+            links.where(f"NOT {short[0]}").join(grams, "g", "left").join(held, "ctx", "left")
+        )
+    )
+    novel = _walked(chain)
+    return counts.select("g", "n").join(known.union(novel), "g")
+
+
+class Held:
+    """Numbers by key, in a table that looks up whole arrays (open addressing; no key is zero)."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, (2 * len(keys)).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.values = np.zeros(1 << self.bits)
+        at, left = self._slots(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[at[left]] == 0]
+            self.keys[at[free]] = keys[free]
+            placed = self.keys[at[left]] == keys[left]
+            self.values[at[left[placed]]] = values[left[placed]]
+            left = left[~placed]
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers, zero for absent keys, and which keys are absent."""
+        at = self._slots(keys)
+        seen = self.keys[at]
+        absent = seen != keys
+        found = np.where(absent, 0.0, self.values[at])
+        left = np.flatnonzero(absent & (seen != 0))
+        while len(left):
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+            seen = self.keys[at[left]]
+            hit = seen == keys[left]
+            found[left[hit]] = self.values[at[left[hit]]]
+            absent[left[hit]] = False
+            left = left[~hit & (seen != 0)]
+        return found, absent
+
+
+def _most_frequent(scored: DataFrame, head: int) -> Column:
+    """Marks rows of ``scored`` with the largest ``n``, at most ``head``, by steps of a ninth."""
+    step = F.floor(F.log2("n") * 8)
+    least, taken = 1 << 20, 0
+    for r in sorted(scored.groupBy(step.alias("step")).count().collect(), reverse=True):
+        taken += r["count"]
+        if taken > head:
+            break
+        least = r.step
+    return step >= least
+
+
+def score_in_context(
+    documents: DataFrame,
+    training: Column,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    order: int = ORDER,
+    head: int = HEAD,
+    window_head: int = WINDOW_HEAD,
+) -> DataFrame:
+    """The columns of ``score``, with contexts that reach across tokens; ``order`` is at most 6."""
+    if not 0 <= order <= 6:
+        raise ValueError("a window of order + 1 bytes and its length must fit in 64 bits")
+    vocab = stored(vocabulary(documents, text, training), "lm_vocabulary")
+    totals = vocab.agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("c"),
+        F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0)).alias("v"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+    ).first()
+    below = totals.c + totals.v + 1
+    counts = stored(window_counts(documents, text, training, order), "lm_windows")
+    scored = stored(window_scores(counts), "lm_scores")
+    frequent = F.col("n") * head >= totals.n  # at most ``head`` words can be that frequent
+    top = vocab.where(frequent).select("word", "c").toArrow()
+    common = {
+        w: (int(c > 0), math.log10((c + 1) / below))
+        for w, c in zip(*(top[x].to_pylist() for x in ("word", "c")), strict=True)
+    }
+    often = _most_frequent(scored, window_head)
+    top = scored.where(often).select("g", "lp").toArrow()  # as rows it would fill the driver
+    keys, lps = top["g"].to_numpy().astype(np.uint64), top["lp"].to_numpy()
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Held(keys, lps)
+        for batch in batches:
+            rows, texts = (batch.column(i).to_pylist() for i in (1, 2))
+            ids: list[int] = []
+            words: list[bytes] = []
+            numbers: list[int] = []
+            heads: list[tuple] = []  # place, row in batch, tokens, known ones, base and model score
+            group: list[tuple] = []  # row in batch, coded text, tokens, known ones, base score
+            size = 0
+            for i, (row, text) in enumerate(zip(rows, texts, strict=True)):
+                found = tokens(text)
+                known, base = 0, 0.0
+                for word, n in Counter(found).items():
+                    own = common.get(word)
+                    if own is None:
+                        ids.append(row), words.append(word), numbers.append(n)
+                    else:
+                        known += n * own[0]
+                        base += n * own[1]
+                group.append((i, coded(found), len(found), known, base))
+                size += len(group[-1][1])
+                if size < SLICE and i + 1 < len(rows):
+                    continue
+                total = np.zeros(len(group))
+                for at, key in windows([x[1] for x in group], order):
+                    lp, absent = held.find(key)
+                    total += np.bincount(at, lp, len(group))
+                    at, key = at[absent], key[absent]
+                    by = np.lexsort((key, at))
+                    at, key = at[by], key[by]
+                    new = (at[1:] != at[:-1]) | (key[1:] != key[:-1])
+                    starts = np.flatnonzero(np.append(True, new)) if len(at) else at
+                    ids.extend(rows[group[x][0]] for x in at[starts].tolist())
+                    whole = key[starts].astype(">u8").tobytes()
+                    # No token has a line feed and more.
+                    words.extend(b"\n\0" + whole[k : k + 8] for k in range(0, len(whole), 8))
+                    numbers.extend(np.diff(np.append(starts, len(at))).tolist())
+                for (j, _, *own), lp in zip(group, total.tolist(), strict=True):
+                    # This key joins nothing and spreads well.
+                    heads.append((len(ids), j, *own, lp))
+                    ids.append(rows[j]), words.append(b"\n%d" % rows[j]), numbers.append(0)
+                group, size = [], 0
+                if len(ids) > MOST_COUNTED:
+                    yield _sums_batch(batch, ids, words, numbers, heads)
+                    ids, words, numbers, heads = [], [], [], []
+            yield _sums_batch(batch, ids, words, numbers, heads)
+
+    rare_words = vocab.where(~frequent).select(
+        "word",
+        (F.col("c") > 0).cast("long").alias("w_known"),
+        (F.log10(F.col("c") + 1) - math.log10(below)).alias("w_base"),
+        F.lit(0.0).alias("w_lp"),
+    )
+    rare_windows = scored.where(~often).select(
+        F.expr("concat(X'0A00', unhex(lpad(hex(g), 16, '0')))").alias("word"),
+        F.lit(0).cast("long").alias("w_known"),
+        F.lit(0.0).alias("w_base"),
+        F.col("lp").alias("w_lp"),
+    )
+    return _document_sums(
+        documents, training, doc_id, text, sums, rare_words.union(rare_windows), totals.c
+    )
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram and byte-context scores of every document, learned from the training share."""
     held_out = F.coalesce(crc32_mod(F.col("doc_id"), 7) == 2, F.lit(False))
-    found = score(table(spark, sf_dir, "documents"), ~held_out)
+    found = score_in_context(table(spark, sf_dir, "documents"), ~held_out)
     return found.select(
         "doc_id",
         (~F.col("training")).alias("held_out"),

@@ -4,7 +4,17 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from activlake.llm.lm_scoring import ORDER, closed, score, tokens, vocabulary, word_scores
+from activlake.llm.lm_scoring import (
+    ORDER,
+    closed,
+    coded,
+    score,
+    score_in_context,
+    tokens,
+    vocabulary,
+    windows,
+    word_scores,
+)
 
 
 class Brute:
@@ -94,3 +104,74 @@ def test_without_training_rows_and_without_rows(spark):
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(1, 0, 0, 0.0)]
     assert got[0].score == pytest.approx(-math.log10(256))
     assert score(df.limit(0), F.lit(True)).count() == 0
+
+
+class InContext(Brute):
+    """The same model with contexts that reach across tokens."""
+
+    def __init__(self, texts, order=ORDER):
+        super().__init__([], order)
+        for t in texts:
+            self.words.update(tokens(t))
+            b = coded(tokens(t))
+            for i in range(1, len(b)):
+                for j in range(max(0, i - order), i + 1):
+                    self.seen[b[j:i]][b[i]] += 1
+
+    def row(self, text):
+        b = coded(tokens(text))
+        lp = sum(self.symbol(b[max(0, i - self.order) : i], b[i]) for i in range(1, len(b)))
+        return (*super().row(text)[:4], lp)
+
+
+@pytest.mark.parametrize(
+    "order,head,window_head", [(ORDER, 400_000, 2_000_000), (ORDER, 3, 20), (2, 0, 0), (0, 5, 5)]
+)
+def test_contexts_across_tokens_against_dictionaries(spark, order, head, window_head):
+    df, rows = frame(spark)
+    model = InContext(TRAIN, order)
+    got = score_in_context(df, F.col("learn"), order=order, head=head, window_head=window_head)
+    key = lambda r: (str(r[0]), r[1])
+    want = sorted(((i, *model.row(t)) for i, t, *_ in rows), key=key)
+    have = sorted(
+        (
+            (r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)
+            for r in got.collect()
+        ),
+        key=key,
+    )
+    assert [w[:4] for w in want] == [h[:4] for h in have]
+    for w, h in zip(want, have, strict=True):
+        assert h[4:] == pytest.approx(w[4:], rel=1e-9)
+
+
+def test_order_of_words_counts(spark):
+    rows = [(i, "the cat sat on the mat", True) for i in range(5)]
+    rows += [(10, "the cat sat on the mat", False), (11, "mat the on sat cat the", False)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    got = {r.doc_id: r.score for r in score_in_context(df, F.col("learn")).collect()}
+    assert got[10] > got[11] + 1
+
+
+def test_windows_in_slices(monkeypatch):
+    texts = [coded(tokens(t)) for t in TRAIN + OTHER]
+    want = [
+        (k, b[max(0, i - 6) : i + 1]) for k, b in enumerate(texts) for i in range(1, len(b))
+    ]
+    for size in (1, 5, 7, 1000, 1 << 20):
+        monkeypatch.setattr("activlake.llm.lm_scoring.SLICE", size)
+        got = []
+        for text, key in windows(texts if size > 7 else texts[:6], 6):
+            for k, g in zip(text.tolist(), key.tolist(), strict=True):
+                got.append((k, g.to_bytes(8, "big")[8 - (g >> 56) :]))
+        assert got == want[: len(got)] and len(got) == sum(
+            len(b) - 1 for b in (texts if size > 7 else texts[:6])
+        )
+
+
+def test_in_context_without_training_rows_and_without_rows(spark):
+    df, _ = frame(spark)
+    got = score_in_context(df, F.lit(False)).where("doc_id = 102").collect()
+    assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(1, 0, 0, 0.0)]
+    assert got[0].score == pytest.approx(-math.log10(256))
+    assert score_in_context(df.limit(0), F.lit(True)).count() == 0
