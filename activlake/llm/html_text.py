@@ -11,8 +11,9 @@ A node's sum is the sum of its children's densities. The threshold of a page is
 density on the path from its densest node to the body; of the nodes that reach it, the one with the
 largest sum is selected, together with the article or main element around it. Elements that are
 never article text (menus, headers and footers of the page, side bars, notices, adverts, forms,
-scripts, comments), told by tag, role, class or id, are left out of the tree beforehand, and so are
-blocks of the selected subtree that consist of links below the threshold.
+scripts, comments), told by tag, role, class or id, are left out of the tree beforehand. Nothing else
+of a selected article or main element is dropped; of another subtree, blocks of several links below
+the threshold are (menus without a name), but no headings, paragraphs, list items and cells.
 
 One page is one row and one call; pages are dealt by the scan, nothing is shuffled.
 
@@ -58,6 +59,8 @@ NEVER_TEXT = frozenset(
     "template svg math select button dialog menu object canvas audio video datalist".split()
 )
 HOLDS_ARTICLE = frozenset(("article", "main"))
+#: Never dropped for their links.
+TEXT = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th tr blockquote pre figcaption caption".split())
 ROOTS = frozenset(("html", "body"))
 NEVER_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
@@ -247,7 +250,14 @@ def select(root: Node) -> tuple[Node, float]:
     return outer, threshold
 
 
+def _menu(node: Node, threshold: float) -> bool:
+    """A block of several links without much else, as menus without a name are."""
+    links = 2 * node.link_chars > node.chars and node.link_tags > 1
+    return links and node.density < threshold and node.tag not in TEXT
+
+
 def _blocks(node: Node, threshold: float) -> Iterator[str]:
+    whole = node.tag in HOLDS_ARTICLE
     stack: list[Iterator] = [iter(node.parts)]
     run: list[str] = []
     while stack:
@@ -259,9 +269,7 @@ def _blocks(node: Node, threshold: float) -> Iterator[str]:
         run = []
         if part is None:
             stack.pop()
-        elif not part.dropped and not (
-            2 * part.link_chars > part.chars and part.density < threshold
-        ):
+        elif not part.dropped and (whole or not _menu(part, threshold)):
             stack.append(iter(part.parts))
     yield " ".join("".join(run).split())
 

@@ -76,3 +76,19 @@ def test_driver_pages_equal_their_articles(spark, small):
         texts = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in blocks)
         assert r.text == " ".join(t for t in texts if t)
         assert r.n_chars == len(r.text)
+
+
+def test_linked_blocks_of_the_article_stay():
+    text = "".join(f"<p>Sentence number {i} of a story that goes on.</p>" for i in range(5))
+    inner = (
+        "<h1><a href=/t>Title</a></h1>" + text + "<h2><a href=#s>Section</a></h2>"
+        "<p><a href=/p>Linked paragraph</a></p><table><tr><td><a href=/c>Cell</a></td></tr></table>"
+        "<ul><li><a href=/1>First source</a></li><li><a href=/2>Second source</a></li></ul>"
+    )
+    said = " ".join(f"Sentence number {i} of a story that goes on." for i in range(5))
+    wanted = f"Title {said} Section Linked paragraph Cell First source Second source"
+    menu = "<nav><a href=/>Home</a></nav>"
+    for tag in ("article", "main"):
+        assert main_text(f"<body>{menu}<{tag}>{inner}</{tag}></body>") == wanted
+    plain = "<h1><a href=/t>Title</a></h1>" + text + "<p><a href=/p>Linked paragraph</a></p>"
+    assert main_text(f"<body><div>{plain}</div></body>") == f"Title {said} Linked paragraph"
