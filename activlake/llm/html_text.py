@@ -11,7 +11,9 @@ A node's sum is the sum of its children's densities. The threshold of a page is
 density on the path from its densest node to the body; of the nodes that reach it, the one with the
 largest sum is selected, together with the article or main element around it. Elements that are
 never article text (menus, headers and footers of the page, side bars, notices, adverts, forms,
-scripts, comments), told by tag, role, class or id, are left out of the tree beforehand. Nothing else
+scripts, comments), told by tag, role or whole names in class or id, are left out of the tree
+beforehand, unless a form or a named element is the one around the page's text. Of sibling articles
+all that reach the threshold are returned. Nothing else
 of a selected article or main element is dropped; of another subtree, blocks of several links below
 the threshold are (menus without a name), but no headings, paragraphs, list items and cells.
 
@@ -74,6 +76,16 @@ NEVER_HINTS = frozenset(
     "share sharing sidebar signup social sponsor sponsored subscribe subscription taboola toolbar "
     "topbar widget".split()
 )
+#: Words that may stand beside a hint in one name, as in ``site-header`` or ``comment-list``.
+BESIDE_HINTS = frozenset(
+    "site main page global top bottom left right primary secondary bar box block section area "
+    "container wrapper list links items posts articles stories buttons button slot unit form".split()
+)
+#: Hints of elements that are not the article however long they are.
+NEVER_MOST = frozenset(
+    "ad ads adv advert adverts advertisement advertising comment comments consent cookie cookies "
+    "disqus gdpr replies reply respond responses".split()
+)
 ARTICLE_HINTS = frozenset("article content entry main post story".split())
 #: A start tag ends open elements of these kinds within the nearest barrier.
 ENDS = {
@@ -88,11 +100,12 @@ ENDS = {
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "dropped", "chars", "tags", "link_chars", "link_tags",
+    __slots__ = ("tag", "parent", "parts", "dropped", "named", "chars", "tags", "link_chars", "link_tags",
                  "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False):
         self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.named: frozenset[str] = frozenset()
         self.parts: list[str | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -101,28 +114,61 @@ class Node:
         return (p for p in self.parts if isinstance(p, Node))
 
 
-def _never_text(tag: str, attributes: str, in_article: bool) -> bool:
+def _never_text(tag: str, attributes: str, in_article: bool) -> tuple[bool, frozenset[str]]:
+    """Whether the element never is text, and the hints that it is none, which ``_settle`` weighs."""
     if tag in ROOTS:
-        return False
-    if tag in NEVER_TEXT or (tag == "header" and not in_article):
-        return True
-    if not attributes.strip():
-        return False
+        return False, frozenset()
+    if (tag in NEVER_TEXT and tag != "form") or (tag == "header" and not in_article):
+        return True, frozenset()
+    named = {"form"} if tag == "form" else set()
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return True, frozenset()
         if name == "role" and value in NEVER_ROLES:
-            return True
+            if value != "form":
+                return True, frozenset()
+            named.add(value)
         if name in ("class", "id") and tag not in HOLDS_ARTICLE:
             for token in value.split():
-                said = set(re.split(r"[-_]+", token))
-                if said & NEVER_HINTS and not (said & ARTICLE_HINTS and said & {"header"}):
-                    return True
+                said = set(re.split(r"[-_]+", token)) - {""}
+                hints = said & NEVER_HINTS
+                if said <= NEVER_HINTS | BESIDE_HINTS and not (
+                    said & ARTICLE_HINTS and said & {"header"}
+                ):
+                    named |= hints
         elif name in ("class", "id"):
             if {"comment", "comments", "reply"} & set(re.split(r"[-_\s]+", value)):
-                return True
-    return False
+                return True, frozenset()
+    return False, frozenset(named)
+
+
+def _settle(root: Node) -> None:
+    """Drop the elements that hints name, except the one around the page's article: it holds an
+    article or main with no less text than those outside of such elements or, without any of
+    these, most of the page's unlinked text."""
+    order = _in_order(root)
+    if not any(n.named for n in order):
+        return
+    text = {id(n): n.chars - n.link_chars for n in order}
+    held: dict[int, int] = dict.fromkeys(text, 0)
+    for n in reversed(order):
+        if n.tag in HOLDS_ARTICLE:
+            held[id(n)] = max(held[id(n)], text[id(n)])
+        if n.parent is not None:
+            text[id(n.parent)] += text[id(n)]
+            held[id(n.parent)] = max(held[id(n.parent)], held[id(n)])
+    free, under = 0, set()
+    for n in order:  # parents come first
+        if n.named or id(n.parent) in under:
+            under.add(id(n))
+        elif n.tag in HOLDS_ARTICLE:
+            free = max(free, text[id(n)])
+    for n in order:
+        if n.named:
+            around = held[id(n)] > 0 and held[id(n)] >= free
+            most = not free and not n.named & NEVER_MOST and 2 * text[id(n)] > text[id(root)]
+            n.dropped = not (around or most)
 
 
 def parse(page: str) -> Node:
@@ -141,6 +187,7 @@ def parse(page: str) -> Node:
             if link is not None:
                 node.link_chars += length
         if not found:
+            _settle(root)
             return root
         at = found.end()
         tag = found[2] or found[5]
@@ -159,6 +206,7 @@ def parse(page: str) -> Node:
                 node, link = above.parent, None
             continue
         if not page[found.end() - 1 : found.end()] == ">":
+            _settle(root)
             return root  # the page ends inside this tag
         if tag in VOID or tag in INLINE:
             if not node.dropped:
@@ -183,8 +231,9 @@ def parse(page: str) -> Node:
         while inside is not None and inside.tag not in HOLDS_ARTICLE:
             inside = inside.parent
         attributes = found[3] or found[6] or ""
-        dropped = node.dropped or _never_text(tag, attributes, inside is not None)
-        child = Node(tag, node, dropped)
+        never, named = _never_text(tag, attributes, inside is not None)
+        child = Node(tag, node, node.dropped or never)
+        child.named = named
         if not node.dropped:
             node.parts.append(child)
         if tag in RAW:
@@ -250,6 +299,15 @@ def select(root: Node) -> tuple[Node, float]:
     return outer, threshold
 
 
+def parts_of_text(node: Node, threshold: float) -> list[Node]:
+    """The selected subtree or, if it is one of several sibling articles, all that reach the
+    threshold, in page order."""
+    if node.tag not in HOLDS_ARTICLE or node.parent is None:
+        return [node]
+    beside = (n for n in node.parent.children() if n.tag in HOLDS_ARTICLE and n.chars)
+    return [n for n in beside if n is node or (not n.dropped and n.density >= threshold)]
+
+
 def _menu(node: Node, threshold: float) -> bool:
     """A block of several links without much else, as menus without a name are."""
     links = 2 * node.link_chars > node.chars and node.link_tags > 1
@@ -279,7 +337,8 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     node, threshold = select(parse(page))
-    return " ".join(b for b in _blocks(node, threshold) if b)
+    parts = parts_of_text(node, threshold)
+    return " ".join(b for part in parts for b in _blocks(part, threshold) if b)
 
 
 def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -92,3 +92,34 @@ def test_linked_blocks_of_the_article_stay():
         assert main_text(f"<body>{menu}<{tag}>{inner}</{tag}></body>") == wanted
     plain = "<h1><a href=/t>Title</a></h1>" + text + "<p><a href=/p>Linked paragraph</a></p>"
     assert main_text(f"<body><div>{plain}</div></body>") == f"Title {said} Linked paragraph"
+
+
+STORY = "".join(f"<p>Sentence number {i} of a story that goes on.</p>" for i in range(5))
+SAID = " ".join(f"Sentence number {i} of a story that goes on." for i in range(5))
+
+
+@pytest.mark.parametrize(
+    "around",
+    ["div class='layout has-sidebar'", "div class='page with-nav'", "div class='social-news'"]
+    + ["div id='discussion-page'", "form action=/", "div class=widget", "div role=form"],
+)
+@pytest.mark.parametrize("holder", ["article", "main", "div"])
+def test_hints_around_the_article_do_not_drop_it(around, holder):
+    side = "<div class=sidebar><p>Popular</p></div><div class='comment-list'><p>First!</p></div>"
+    close = around.split()[0]
+    page = f"<body><{around}>{side}<{holder}>{STORY}</{holder}></{close}></body>"
+    assert main_text(page) == SAID
+
+
+def test_hints_beside_the_article_still_drop():
+    long = "<p>What a long and thoughtful comment, longer than anything.</p>" * 20
+    for side in ("class=comments", "class='comments-area'", "id=related", "class='site-footer'"):
+        extra = f"<div {side}><article><p>Short.</p></article>{long}</div>"
+        assert main_text(f"<body><article>{STORY}</article>{extra}</body>") == SAID
+
+
+def test_sibling_articles_are_all_returned_in_page_order():
+    first = "Part one is a first text that goes on for a while, as such parts of stories mostly do."
+    one, two = f"<article><p>{first}</p></article>", f"<article>{STORY}</article>"
+    page = f"<body><nav><a href=/>Home</a></nav>{one}<div class=ads>Buy</div>{two}</body>"
+    assert main_text(page) == f"{first} {SAID}"
