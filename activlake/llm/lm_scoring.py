@@ -49,6 +49,8 @@ HEAD = 400_000
 END = b"\n"
 #: Tokens that a task holds before it hands them on.
 MOST_COUNTED = 500_000
+#: Bytes of a token that may travel with the tasks.
+LONGEST = 64
 #: Windows that travel with the tasks, 16 bytes each.
 WINDOW_HEAD = 2_000_000
 #: Bytes of text whose windows are made at once, and windows that are sorted at once.
@@ -93,6 +95,12 @@ def vocabulary(documents: DataFrame, text: str, training: Column) -> DataFrame:
     )
 
 
+def often_used(head: int, total: int) -> Column:
+    """Tokens that travel with the tasks: at most ``head`` can be that frequent, and long ones,
+    which would make their bytes unbounded, are joined."""
+    return (F.col("n") * head >= total) & (F.octet_length("word") <= LONGEST)
+
+
 def closed(word: bytes) -> bytes:
     """The bytes of a coded token, with the space before it."""
     return b" " + word if word == END else b" " + word + b" "
@@ -294,7 +302,7 @@ def score(
     ).first()
     below = totals.c + totals.v + 1
     scored = stored(word_scores(vocab, order, head), "lm_words")
-    frequent = F.col("n") * head >= totals.n  # at most ``head`` words can be that frequent
+    frequent = often_used(head, totals.n)
     top = scored.where(frequent).select("word", "c", "lp").toPandas()
     common = {
         bytes(w): (int(c > 0), math.log10((c + 1) / below), lp)
@@ -659,7 +667,7 @@ def score_in_context(
     below = totals.c + totals.v + 1
     counts = stored(window_counts(documents, text, training, order), "lm_windows")
     scored = stored(window_scores(counts), "lm_scores")
-    frequent = F.col("n") * head >= totals.n  # at most ``head`` words can be that frequent
+    frequent = often_used(head, totals.n)
     top = vocab.where(frequent).select("word", "c").toArrow()
     common = {
         w: (int(c > 0), math.log10((c + 1) / below))

@@ -8,6 +8,7 @@ from activlake.llm.lm_scoring import (
     ORDER,
     closed,
     coded,
+    often_used,
     score,
     score_in_context,
     tokens,
@@ -175,3 +176,10 @@ def test_in_context_without_training_rows_and_without_rows(spark):
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(1, 0, 0, 0.0)]
     assert got[0].score == pytest.approx(-math.log10(256))
     assert score_in_context(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_long_tokens_do_not_travel_with_the_tasks(spark):
+    rows = [(b"a" * 64, 9), (b"b" * 65, 9), (b"c", 1)]
+    df = spark.createDataFrame(rows, "word binary, n long")
+    got = df.where(often_used(10, 60)).collect()
+    assert [bytes(r.word) for r in got] == [b"a" * 64]
