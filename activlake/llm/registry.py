@@ -13,11 +13,13 @@ from activlake.llm import (
     simhash,
     token_counts,
     toxicity,
+    whitening,
 )
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op10_personal_data": pii.op10_personal_data,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op2_decontamination": decontamination.op2_decontamination,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_toxicity": toxicity.op4_toxicity,
@@ -29,6 +31,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op2_decontamination": decontamination.OP2_SQL,
     "op5_quality_rules": quality.OP5_SQL,
     "op9_chat_format": chat.OP9_SQL,

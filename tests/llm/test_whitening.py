@@ -1,0 +1,153 @@
+"""Whitening against exact integers and a dense eigensolver."""
+
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from activlake.llm.whitening import (
+    covariance,
+    fit,
+    one_sided_jacobi,
+    op11_embedding_whitening,
+    pivoted_cholesky,
+    transform,
+)
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def integers(vector):
+    return [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in vector]
+
+
+def brute(rows, components=32):
+    """Means and covariance in fractions, then numpy's eigenvectors."""
+    x = [integers(v) for _, v in rows]
+    n, d = len(x), len(x[0])
+    sums = [sum(v[j] for v in x) for j in range(d)]
+    centred = [[Fraction(v[j]) - Fraction(sums[j], n) for j in range(d)] for v in x]
+    v = np.array(
+        [[float(sum(c[i] * c[j] for c in centred) / n) for j in range(d)] for i in range(d)]
+    )
+    values, vectors = np.linalg.eigh(v)
+    order = np.argsort(-values)[:components]
+    z = np.array([[float(e) for e in c] for c in centred])
+    white = z @ vectors[:, order] / np.sqrt(values[order])
+    deviation = [sum((n * a - s) ** 2 for a, s in zip(u, sums, strict=True)) for u in x]
+    return white, values[order] / np.trace(v), deviation
+
+
+def vectors(n, d, seed):
+    rng = random.Random(seed)
+    base = [[rng.gauss(0, 1) for _ in range(d)] for _ in range(d)]
+    out = []
+    for i in range(n):
+        z = [rng.gauss(0, 2.0 / (k + 1)) for k in range(d)]
+        out.append((i, [sum(b[j] * w for b, w in zip(base, z, strict=True)) + 3 for j in range(d)]))
+    return out
+
+
+def test_against_fractions_and_a_dense_solver(spark):
+    rows = vectors(60, 6, 1)
+    rows += [(100 + i, rows[0][1]) for i in range(30)]  # a third of all rows
+    table = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA).repartition(7)
+    model = fit(table, 4)
+    white, shares, deviation = brute(rows, 4)
+    got = {}
+    for r in transform(table, model).collect():
+        got[r.vec_id] = (r.whitened, r.deviation)
+    assert [got[i][1] for i, _ in rows] == deviation
+    mine = np.array([got[i][0] for i, _ in rows])
+    signs = np.sign((mine * white).sum(axis=0))
+    assert np.allclose(mine * signs, white, atol=1e-9)
+    assert np.allclose(model.explained(), shares, rtol=1e-12)
+    assert np.abs(covariance(table, model, group=2) - np.eye(4)).max() < 1e-12
+
+
+def test_small_eigenvalues_keep_their_digits():
+    rng = np.random.default_rng(3)
+    lower = np.tril(rng.normal(size=(12, 12))) * 10.0 ** -np.arange(12)[:, None]
+    scatter = lower @ lower.T
+    factor = pivoted_cholesky(scatter)
+    assert np.allclose(factor @ factor.T, scatter, rtol=1e-12, atol=0)
+    values, found = one_sided_jacobi(factor)
+    assert (np.diff(values) <= 0).all()
+    assert np.allclose(found.T @ found, np.eye(12), atol=1e-12)
+    assert np.allclose(values, np.linalg.svd(factor, compute_uv=False) ** 2, rtol=1e-6)
+
+
+def test_constant_dimensions_and_copies_lower_the_rank():
+    base = np.array([[4.0, 8.0, 0.0], [8.0, 16.0, 0.0], [0.0, 0.0, 0.0]])
+    factor = pivoted_cholesky(base)
+    assert factor.shape == (3, 1)
+    values, found = one_sided_jacobi(factor)
+    assert values == pytest.approx([20.0]) and found[2, 0] == 0
+    assert pivoted_cholesky(np.zeros((3, 3))).shape == (3, 0)
+
+
+def test_nulls_odd_entries_repeats_and_names(spark):
+    rows = vectors(20, 3, 2)
+    good = [(i, v, 1) for i, v in rows] + [(None, rows[0][1], 1), (5, rows[5][1], 1)]
+    odd = [
+        (900, None, 1), (901, [], 1), (902, [1.0, None, 2.0], 1), (903, [1.0, math.nan, 2.0], 1),
+        (904, [math.inf, 1.0, 2.0], 1), (905, [1.0, 2.0], 1), (906, [3e38, 0.0, 0.0], 1),
+    ]
+    table = spark.createDataFrame(
+        [(*r, 9, 9) for r in good + odd], SCHEMA + ", deviation int, place int"
+    )
+    model = fit(table)
+    got = transform(table, model).collect()
+    assert model.n == 22 and len(got) == 22
+    ids = [r.vec_id for r in got]
+    assert ids.count(None) == 1 and ids.count(5) == 2 and max(i or 0 for i in ids) == 19
+    assert all(len(r.whitened) == 3 for r in got)
+    white, shares, deviation = brute([r[:2] for r in good])
+    assert sorted(r.deviation for r in got) == sorted(deviation)
+    assert np.allclose(model.explained(), shares, rtol=1e-12)
+
+
+def test_wide_entries_stay_exact(spark):
+    rows = [(0, [2.0**50, 1.0], 0), (1, [-(2.0**50), 2.0], 0), (2, [2.0**49, 7.0], 0)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    model = fit(table)
+    white, shares, deviation = brute([r[:2] for r in rows], 2)
+    got = {r.vec_id: r for r in transform(table, model).collect()}
+    assert [got[i].deviation for i in range(3)] == [d if d < 2**63 else None for d in deviation]
+    assert np.allclose([abs(got[i].whitened[0]) for i in range(3)], abs(white[:, 0]), rtol=1e-9)
+
+
+def test_few_vectors_and_empty_tables(spark):
+    one = spark.createDataFrame([(1, [1.0, 2.0], 0)], SCHEMA)
+    for table in (one, one.limit(0), one.union(one)):
+        model = fit(table)
+        assert transform(table, model).collect() == []
+        assert covariance(table, model).shape == (0, 0)
+    two = spark.createDataFrame([(1, [1.0, 2.0], 0), (2, [3.0, 1.0], 0)], SCHEMA)
+    assert sorted(r.whitened[0] for r in transform(two, fit(two)).collect()) == pytest.approx([-1, 1])
+
+
+def test_the_query_over_the_whole_table(spark, small):
+    got = op11_embedding_whitening(spark, small)
+    assert got.columns == [
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error",
+    ]
+    found = got.collect()
+    rows = [
+        (r.vec_id, r.embedding)
+        for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()
+    ]
+    assert len(found) == 32 * len(rows)
+    x = np.array([integers(v) for _, v in rows], dtype=float)
+    z = x - x.mean(axis=0)
+    values, vectors_ = np.linalg.eigh(z.T @ z / len(z))
+    by = {(r.vec_id, r.component): r for r in found}
+    for c in (1, 2, 17, 32):
+        mine = np.array([by[i, c].whitened for i, _ in rows])
+        want = z @ vectors_[:, -c] / math.sqrt(values[-c])
+        assert min(np.abs(mine - want).max(), np.abs(mine + want).max()) < 1e-7
+        assert by[rows[0][0], c].explained == pytest.approx(values[-c] / values.sum(), rel=1e-9)
+    assert {r.identity_error for r in found} == {found[0].identity_error}
+    assert found[0].identity_error < 1e-9 and {r.n for r in found} == {len(rows)}
