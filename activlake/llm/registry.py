@@ -11,6 +11,7 @@ from activlake.llm import (
     pii,
     quality,
     simhash,
+    substrings,
     token_counts,
     toxicity,
     whitening,
@@ -20,6 +21,7 @@ QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op10_personal_data": pii.op10_personal_data,
     "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_substring_dedup": substrings.op12_substring_dedup,
     "op2_decontamination": decontamination.op2_decontamination,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_toxicity": toxicity.op4_toxicity,
