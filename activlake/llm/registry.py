@@ -9,6 +9,7 @@ from activlake.llm import (
     lm_scoring,
     packing,
     pii,
+    prefix_trie,
     quality,
     simhash,
     substrings,
@@ -22,6 +23,7 @@ QUERIES = {
     "op10_personal_data": pii.op10_personal_data,
     "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op12_substring_dedup": substrings.op12_substring_dedup,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
     "op2_decontamination": decontamination.op2_decontamination,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_toxicity": toxicity.op4_toxicity,
@@ -33,7 +35,8 @@ QUERIES = {
 }
 
 ORACLE = {
-    "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_substring_dedup": substrings.OP12_SQL,
+    "op13_prefix_trie": prefix_trie.OP13_SQL,
     "op2_decontamination": decontamination.OP2_SQL,
     "op5_quality_rules": quality.OP5_SQL,
     "op9_chat_format": chat.OP9_SQL,

@@ -464,3 +464,24 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "t1", "t2", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
     return _joined(documents, "text", kept, F.col("doc_id"))
+
+
+OP12_SQL = r"""
+WITH split AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents),
+starts AS (
+    SELECT r, i, sha256(array_to_string(words[i:i + 34], ' ')) AS h
+    FROM split, unnest(range(1, len(words) - 33)) AS s(i)),
+twice AS (SELECT h FROM starts GROUP BY h HAVING count(*) > 1),
+gone AS (
+    SELECT r, list(DISTINCT i + o) AS places
+    FROM starts JOIN twice USING (h), unnest(range(35)) AS o(o) GROUP BY r),
+kept AS (
+    SELECT doc_id, words,
+           list_filter(words, lambda w, i: NOT coalesce(list_contains(places, i), false)) AS rest
+    FROM split LEFT JOIN gone USING (r))
+SELECT doc_id, len(words) AS n_words, len(words) - len(rest) AS n_removed,
+       sha256(array_to_string(rest, ' ')) AS kept_sha256
+FROM kept"""
