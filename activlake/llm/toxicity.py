@@ -41,7 +41,6 @@ TOKEN = re.compile(r"[^\W\d_]+")
 BEGINNINGS = range(4, 9)
 HEAD = min(BEGINNINGS)
 AROUND = 4
-LONGEST_WINDOW = 40
 
 
 def features(word: str) -> list[str]:
@@ -222,7 +221,9 @@ def _lexicon(
     }
 
 
-def _windows(sample: DataFrame, lexicon: dict[str, float], most: int) -> list:
+def _windows(
+    sample: DataFrame, lexicon: dict[str, float], most: int
+) -> list[tuple[list[str], int]]:
     """Windows of labelled tokens around the tokens with features, and some without."""
     finder = Model(weights=lexicon)
 
@@ -243,28 +244,32 @@ def _windows(sample: DataFrame, lexicon: dict[str, float], most: int) -> list:
                 yield pd.DataFrame(rows, columns=["key", "start", "tokens", "toxic"])
 
     schema = "key long, start int, tokens array<string>, toxic int"
-    return sample.mapInPandas(cut, schema).orderBy("key", "start").limit(most).collect()
+    chosen = sample.mapInPandas(cut, schema).orderBy("key", "start").limit(most)
+    found = chosen.select("tokens", "toxic").toArrow()
+    return list(zip(found["tokens"].to_pylist(), found["toxic"].to_pylist(), strict=True))
 
 
-def _fit_field(windows: list, lexicon: dict[str, float], rounds: int = 150) -> Model:
+def _fit_field(
+    windows: list[tuple[list[str], int]], lexicon: dict[str, float], rounds: int = 150
+) -> Model:
     """Maximum likelihood with a small penalty, by adaptive gradient ascent."""
     names = list(lexicon)
     # Words whose beginning is in the lexicon get a weight of their own: they may be innocent.
     seen = Counter(
-        "=" + w for r in windows for w in r.tokens if any(f in lexicon for f in features(w)[1:])
+        "=" + w for own, _ in windows for w in own if any(f in lexicon for f in features(w)[1:])
     )
     names += [f for f, n in sorted(seen.items()) if n >= 3 and f not in lexicon]
     index = {f: i for i, f in enumerate(names)}
-    rows, length = len(windows), LONGEST_WINDOW
+    rows, length = len(windows), max((len(own) for own, _ in windows), default=1)
     tag = np.zeros((rows, length))
     real = np.zeros((rows, length))
     r_at, t_at, f_at = [], [], []
-    for r, window in enumerate(windows):
-        for t, word in enumerate(window.tokens[:length]):
+    for r, (tokens, toxic_text) in enumerate(windows):
+        for t, word in enumerate(tokens):
             real[r, t] = 1
             own = [f for f in features(word) if f in index]
             lean = next((lexicon[f] for f in own if f in lexicon), 0.0)
-            tag[r, t] = float(window.toxic and lean > 0)
+            tag[r, t] = float(toxic_text and lean > 0)
             for f in own:
                 r_at.append(r), t_at.append(t), f_at.append(index[f])
     r_at, t_at, f_at = (np.array(x, dtype=int) for x in (r_at, t_at, f_at))
@@ -361,9 +366,8 @@ def train(
                 columns=["a", "b", "c", "d", "toxic"],
             )
 
-    rows = np.array(
-        sample.mapInPandas(measure, "a double, b double, c double, d double, toxic int").collect()
-    )
+    measured = sample.mapInPandas(measure, "a double, b double, c double, d double, toxic int")
+    rows = np.column_stack([column.to_numpy() for column in measured.toArrow().columns])
     model.curve = _fit_curve(rows[:, :4], rows[:, 4])
     model.share = share
     return model
