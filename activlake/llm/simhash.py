@@ -18,7 +18,8 @@ Components of the links are found in rounds of joins; nothing is collected.
 Edge cases: a null, empty or blank text has fingerprint zero and links like any other; texts with
 fewer words than a shingle hash their whole word sequence; repeated rows and ids give repeated
 results; a component whose ids are all null has a null id; an empty table gives an empty result;
-other columns are ignored by ``fingerprints`` and kept by ``deduplicate``.
+other columns are ignored by ``fingerprints`` and kept by ``deduplicate``, which names a row by its id
+and two hashes of all its columns, so that rows of one id with different texts stay apart.
 """
 
 from __future__ import annotations
@@ -159,6 +160,13 @@ def _dense_links(fps: DataFrame, distance: int) -> DataFrame:
     )
 
 
+def _rooted(nodes: DataFrame, distance: int, segments: int, dense: int) -> DataFrame:
+    """The rows of ``nodes`` (one for each ``fp``) with the ``root`` of their component."""
+    roots = components(links(nodes.select("fp"), distance, segments, dense))
+    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left")
+    return rooted.select(*(nodes[c] for c in nodes.columns), F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     documents: DataFrame,
     key: str = "doc_id",
@@ -171,44 +179,80 @@ def near_duplicates(
     """``doc_id, fp, component_id`` of every document."""
     rows = checkpointed(fingerprints(documents, key, text, shingle))
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(nodes.select("fp"), distance, segments, dense))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(nodes, distance, segments, dense)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(documents: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The documents without near-duplicates: of each component, the one with the smallest id.
+def _row_hashes(df: DataFrame) -> tuple[Column, Column]:
+    """Two hashes of a whole row; maps, which have no order, are hashed as text."""
+    columns = [
+        by_name(df, f.name).cast("string") if "map<" in f.dataType.simpleString() else by_name(df, f.name)
+        for f in df.schema
+    ]
+    return F.xxhash64(*columns), F.xxhash64(F.lit(7), *columns)
+
 
-    Of several rows with that id one stays, the smallest row. A row without id cannot be named as
-    a survivor: such rows stay, their exact repeats go.
+def deduplicate(
+    documents: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    distance: int = 2,
+    segments: int = 7,
+    dense: int = 64,
+) -> DataFrame:
+    """One document of each component of near-duplicates: the one with the smallest id.
+
+    Of several rows with that id the one with the smallest row hashes stays, and of rows that are
+    equal in every column a single one. A row without id cannot be named as a survivor: such rows
+    stay, their exact repeats go.
     """
-    found = near_duplicates(documents, key=key, **options)
-    survivors = checkpointed(
-        found.where((F.col("doc_id") == F.col("component_id")) | F.col("doc_id").isNull())
-        .groupBy("doc_id")
+    names = {n: free_name(documents, n) for n in ("kept_id", "h1", "h2", "row_copies")}
+    h1, h2 = _row_hashes(documents)
+
+    @F.pandas_udf("long")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+
+    rows = checkpointed(
+        documents.select(
+            by_name(documents, key).alias("id"),
+            h1.alias("h1"),
+            h2.alias("h2"),
+            of(by_name(documents, text)).alias("fp"),
+        )
+        .groupBy("id", "h1", "h2", "fp")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    mark, same = free_name(documents, "n_rows_of_id"), free_name(documents, "kept_id")
-    own = by_name(documents, key)
-    kept = documents.join(
-        survivors.select(F.col("doc_id").alias(same), F.col("n").alias(mark)),
-        own.eqNullSafe(F.col(same)),
-    ).drop(same)
-    if survivors.where("n > 1").isEmpty():
-        return kept.drop(mark)
-    # Rows that share an id are rare; only they are grouped, whole rows as keys.
-    once = kept.where(F.col(mark) == 1).drop(mark)
-    repeated = kept.where(F.col(mark) > 1).drop(mark)
-    row = F.struct(*(by_name(repeated, c) for c in repeated.columns))
-    own = by_name(repeated, key)
-    grouped = repeated.select(row.alias("_row"), own.alias("_id")).groupBy(
-        "_id", F.when(F.col("_id").isNull(), F.col("_row")).alias("_same")
+    named = F.when(F.col("id").isNotNull(), F.struct("id", "h1", "h2", "n"))
+    rooted = _rooted(rows.groupBy("fp").agg(F.min(named).alias("best")), distance, segments, dense)
+    best = rooted.groupBy("root").agg(F.min("best").alias("best")).where("best IS NOT NULL")
+    survivors = checkpointed(
+        best.select("best.*").union(rows.where("id IS NULL").select("id", "h1", "h2", "n"))
     )
-    return once.unionByName(grouped.agg(F.min("_row").alias("_row")).select("_row.*"))
+    kept = survivors.select(
+        F.col("id").alias(names["kept_id"]),
+        F.col("h1").alias(names["h1"]),
+        F.col("h2").alias(names["h2"]),
+        F.col("n").alias(names["row_copies"]),
+    )
+    found = documents.join(
+        kept,
+        (h1 == F.col(names["h1"]))
+        & (h2 == F.col(names["h2"]))
+        & by_name(documents, key).eqNullSafe(F.col(names["kept_id"])),
+    )
+    copies = F.col(names["row_copies"])
+    single = found.where(copies == 1).drop(*names.values())
+    if survivors.where("n > 1").isEmpty():
+        return single
+    # Survivors that stand more than once are rare; of them one row each is numbered and kept.
+    repeated = found.where(copies > 1).drop(names["row_copies"], names["kept_id"])
+    row = F.struct(*(by_name(repeated, c) for c in documents.columns)).alias("row")
+    one = repeated.groupBy(names["h1"], names["h2"]).agg(F.first(row).alias("row"))
+    return single.unionByName(one.select("row.*"))
 
 
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

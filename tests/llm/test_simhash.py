@@ -83,8 +83,9 @@ def test_components_of_chains_and_stars(spark):
     edges += [(i, i) for i in range(3)] + [(5, 4), (5, 4)]
     rng.shuffle(edges)
     df = spark.createDataFrame(edges, "a long, b long")
-    got = {r.node: r.root for r in components(df).collect()}
-    assert got == groups({x for e in edges for x in e}, edges)
+    want = groups({x for e in edges for x in e}, edges)
+    for block in (200_000, 40, 7):  # one block, and blocks that need rounds of joins
+        assert {r.node: r.root for r in components(df, block=block).collect()} == want
     assert components(df.limit(0)).count() == 0
 
 
@@ -131,3 +132,31 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert kept == [("4", "a b c d"), ("5", None), ("None", "a b c d"), ("None", "other words here")]
     assert near_duplicates(df.limit(0)).count() == deduplicate(df.limit(0)).count() == 0
     assert got.where(F.col("fp") == 0).count() == 1
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    texts = ["one two three four", "five six seven eight", "nine ten eleven twelve", "alpha beta gamma delta"]
+    rows = [(1, texts[0], 1, "x"), (2, texts[1], 1, "x"), (1, texts[2], 1, "x"), (3, texts[0], 1, "x"),
+            (1, texts[3], 1, "x"), (4, texts[1], 1, "y"), (1, texts[3], 1, "x")]
+    kept = deduplicate(spark.createDataFrame(rows, SCHEMA))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(
+        [(1, texts[0]), (2, texts[1]), (1, texts[2]), (1, texts[3])]
+    )
+
+
+def test_an_id_on_a_third_of_the_rows(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdefghijklmnop", k=30)) for _ in range(40)]
+    rows = [(7 if i % 3 == 0 else 100 + i, texts[i % 40], i, "x") for i in range(240)]
+    kept = deduplicate(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    prints = {t: fingerprint(t) for t in texts}
+    linked = [(a, b) for a in texts for b in texts if a < b and off(prints[a], prints[b]) <= 2]
+    group = groups(texts, linked)
+    assert sorted(group[r.text] for r in kept) == sorted(set(group.values()))
+    assert {r.doc_id for r in kept} == {min(r[0] for r in rows if group[r[1]] == g) for g in set(group.values())}
+
+
+def test_columns_that_have_no_order_stay(spark):
+    schema = "doc_id long, text string, h1 map<string,int>, kept_id array<int>"
+    df = spark.createDataFrame([(1, "a b c", {"x": 1}, [1]), (2, "a b c", {"x": 1}, None)] * 2, schema)
+    assert [(r.doc_id, r.h1, r.kept_id) for r in deduplicate(df).collect()] == [(1, {"x": 1}, [1])]
