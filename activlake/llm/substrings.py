@@ -13,12 +13,13 @@ hashes choose buckets and nothing else.
 3. The other super-k-mers travel to their buckets and are counted there, weighted by copies.
 4. The places of repeated windows go back to their texts, which drop the covered words.
 
-A bucket of more than ``full`` super-k-mers (a passage that very many texts share) is split by its
-windows: each window is a key of its own, which Spark counts with partial sums in the tasks, so equal
-windows of a task travel once. The counts are the same.
+A bucket of more than ``full`` super-k-mers (a passage that very many texts share) first makes equal
+strings one, with partial sums in the tasks; what is found for a string goes back to all its places. If
+more than ``distinct`` strings are left, the bucket is split by its windows: each window is a key of its
+own. The counts are the same on every way.
 
 Memory: a task holds one batch of texts, slabs of ``SLAB`` words, and in step 3 one bucket of at most
-``full`` strings of at most ``RUN + window`` words. Packed words have at most 65 bytes: a longer one
+``distinct`` strings of at most ``RUN + window`` words. Packed words have at most 65 bytes: a longer one
 stands as a tab, which no word holds, and its SHA-256.
 
 Edge cases: null, empty and blank texts have no words and keep none; a text of fewer words than a
@@ -231,7 +232,8 @@ def _minimisers(k: int, m: int) -> Callable:
 def _marked(texts: DataFrame, k: int, m: int, full: int) -> DataFrame:
     """For each text its minimisers that occur elsewhere too, apart those of full buckets."""
     keys = texts.select("t1", "t2", "text").mapInArrow(_minimisers(k, m), "t1 long, t2 long, h long")
-    counted = keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Stored, so that the join below reads two plain shuffles, of which Spark splits hot keys.
+    counted = checkpointed(keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     return (
         keys.join(counted, "h")
         .groupBy("t1", "t2")
@@ -254,13 +256,13 @@ def _chosen(
         yield found, np.flatnonzero(wanted[near] == found.minimiser)
 
 
-def _strings(k: int, m: int) -> Callable:
-    """The super-k-mers that travel."""
+def _strings(k: int, m: int, column: str) -> Callable:
+    """The super-k-mers that travel: those with a minimiser in ``column``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t1, t2, copies = (_numbers(batch, c) for c in ("t1", "t2", "copies"))
-            for found, at in _chosen(batch, "some", k, m):
+            for found, at in _chosen(batch, column, k, m):
                 text, first = found.text[at], found.first[at]
                 low = found.begins[first].tolist()
                 high = found.ends[first + found.windows[at] + k - 2].tolist()
@@ -273,24 +275,25 @@ def _strings(k: int, m: int) -> Callable:
     return cut
 
 
-def _windows(k: int, m: int) -> Callable:
-    """Every window of the super-k-mers of full buckets."""
+def _cut(words: bytes, k: int) -> list[bytes]:
+    """The windows of a packed string."""
+    spaces = np.flatnonzero(np.frombuffer(words, dtype=np.uint8) == 32)
+    begins, ends = [0, *(spaces + 1).tolist()], [*spaces.tolist(), len(words)]
+    return [words[begins[j] : ends[j + k - 1]] for j in range(len(begins) - k + 1)]
+
+
+def _windows(k: int) -> Callable:
+    """Every window of packed strings, with its place."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            t1, t2, copies = (_numbers(batch, c) for c in ("t1", "t2", "copies"))
-            for found, at in _chosen(batch, "many", k, m):
-                n = found.windows[at]
-                within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                first = np.repeat(found.first[at], n) + within
-                low, high = found.begins[first].tolist(), found.ends[first + k - 1].tolist()
-                held = [found.buffer[a:b] for a, b in zip(low, high, strict=True)]
-                text = np.repeat(found.text[at], n)
-                place = np.repeat(found.place[at], n) + within
-                yield _arrays(
-                    t1=t1[text], t2=t2[text], copies=copies[text],
-                    place=place.astype(np.int32), words=pa.array(held, pa.binary()),
-                )
+            held = [_cut(w, k) for w in batch.column("words").to_pylist()]
+            own = np.repeat(np.arange(len(held)), [len(x) for x in held])
+            yield _arrays(
+                **{c: _numbers(batch, c)[own] for c in ("t1", "t2", "copies")},
+                place=np.array([j for x in held for j in range(len(x))], dtype=np.int32),
+                words=pa.array([w for x in held for w in x], pa.binary()),
+            )
 
     return cut
 
@@ -299,12 +302,9 @@ def repeated(rows: list[tuple[bytes, int]], k: int = WINDOW) -> list[list[int]]:
     """For each packed string of a bucket (with its copies) the windows that occur twice or more."""
     windows, owners = [], []
     for number, (words, _) in enumerate(rows):
-        spaces = np.flatnonzero(np.frombuffer(words, dtype=np.uint8) == 32)
-        begins = [0, *(spaces + 1).tolist()]
-        ends = [*spaces.tolist(), len(words)]
-        for j in range(len(begins) - k + 1):
-            windows.append(words[begins[j] : ends[j + k - 1]])
-            owners.append((number, j))
+        own = _cut(words, k)
+        windows += own
+        owners += [(number, j) for j in range(len(own))]
     found: list[list[int]] = [[] for _ in rows]
     order = sorted(range(len(windows)), key=windows.__getitem__)
     for _, same in groupby(order, key=windows.__getitem__):
@@ -364,12 +364,51 @@ _ROW = "t1 long, t2 long, copies long, place int, words binary"
 _RANGE = "t1 long, t2 long, start int, end int"
 
 
+def _in_buckets(strings: DataFrame, k: int) -> DataFrame:
+    """``t1, t2, start, end`` of what repeated windows cover in ``h, t1, t2, copies, place, words``."""
+    dealt = strings.repartition("h").sortWithinPartitions("h")
+    return dealt.mapInArrow(_counted(k), _RANGE)
+
+
+def _in_full_buckets(pieces: DataFrame, k: int, distinct: int) -> DataFrame:
+    """The same, with each distinct string counted once and windows apart where many are left."""
+    name = [F.xxhash64("words").alias("w1"), F.xxhash64(F.lit(7), "words").alias("w2")]
+    strings = checkpointed(pieces.groupBy("h", "words").agg(F.sum("copies").alias("copies")))
+    sizes = checkpointed(strings.groupBy("h").agg(F.count(F.lit(1)).alias("n")))
+    sized = strings.join(sizes, "h").select(
+        "h", *(c.alias(t) for c, t in zip(name, ("t1", "t2"), strict=True)), "copies",
+        F.lit(0).alias("place"), "words", "n",
+    )
+    found = _in_buckets(sized.where(F.col("n") <= distinct).drop("n"), k)
+    if not sizes.where(F.col("n") > distinct).isEmpty():
+        # Counted as bytes; two hashes then name the repeated ones to the places.
+        windows = sized.where(F.col("n") > distinct).mapInArrow(_windows(k), _ROW)
+        twice = windows.groupBy("words").agg(F.sum("copies").alias("n")).where("n > 1")
+        places = windows.select(*name, "t1", "t2", "place").join(
+            twice.select(*name), ["w1", "w2"], "left_semi"
+        )
+        start = F.col("place").alias("start")
+        found = found.union(places.select("t1", "t2", start, (start + k).alias("end")))
+    by_string = (
+        found.groupBy(F.col("t1").alias("w1"), F.col("t2").alias("w2"))
+        .agg(F.collect_list(F.struct("start", "end")).alias("ranges"))  # of one string
+    )
+    place = F.col("place")
+    return (
+        pieces.select("t1", "t2", "place", *name)
+        .join(checkpointed(by_string), ["w1", "w2"])
+        .select("t1", "t2", "place", F.inline("ranges"))
+        .select("t1", "t2", (place + F.col("start")).alias("start"), (place + F.col("end")).alias("end"))
+    )
+
+
 def repeats(
     documents: DataFrame,
     text: str = "text",
     window: int = WINDOW,
     minimiser: int = MINIMISER,
     full: int = 1_024,
+    distinct: int = 4_096,
 ) -> DataFrame:
     """Each distinct text (``t1, t2, text, copies``) with the ``ranges`` of words that its repeated
     windows cover; for a text with copies that is all of it, without ranges."""
@@ -377,22 +416,16 @@ def repeats(
         raise ValueError("a minimiser has one word at least and a window at most")
     texts = _texts(documents, text)
     marked = checkpointed(_marked(texts, window, minimiser, full))
-    held = texts.join(marked.hint("shuffle_hash"), ["t1", "t2"])
-    found = (
-        held.mapInArrow(_strings(window, minimiser), f"h long, {_ROW}")
-        .repartition("h")
-        .sortWithinPartitions("h")
-        .mapInArrow(_counted(window), _RANGE)
-    )
-    if not marked.where(F.size("many") > 0).isEmpty():
-        many = held.where(F.size("many") > 0).mapInArrow(_windows(window, minimiser), _ROW)
-        # Counted as bytes; two hashes then name the repeated ones to the places.
-        names = [F.xxhash64("words").alias("w1"), F.xxhash64(F.lit(7), "words").alias("w2")]
-        twice = many.groupBy("words").agg(F.sum("copies").alias("n")).where("n > 1").select(*names)
-        places = many.select(*names, "t1", "t2", "place").join(twice, ["w1", "w2"], "left_semi")
-        found = found.union(
-            places.select("t1", "t2", F.col("place").alias("start"), (F.col("place") + window).alias("end"))
+
+    def travelling(column: str) -> DataFrame:
+        some = marked.where(F.size(column) > 0).hint("shuffle_hash")
+        return texts.join(some, ["t1", "t2"]).mapInArrow(
+            _strings(window, minimiser, column), f"h long, {_ROW}"
         )
+
+    found = _in_buckets(travelling("some"), window)
+    if not marked.where(F.size("many") > 0).isEmpty():
+        found = found.union(_in_full_buckets(travelling("many"), window, distinct))
     ranges = found.groupBy("t1", "t2").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     return texts.join(ranges.hint("shuffle_hash"), ["t1", "t2"], "left")
 

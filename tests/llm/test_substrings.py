@@ -52,15 +52,15 @@ def passages(seed, n):
     return texts + [rng.choice(texts) for _ in range(n // 3)] + ["a " * 50, "b a " * 30, "a " * 9]
 
 
-@pytest.mark.parametrize("full", [1, 3, 1_024])
+@pytest.mark.parametrize("full,distinct", [(1, 1), (1, 4), (3, 100), (1_024, 1_024)])
 @pytest.mark.parametrize("k,m", [(6, 2), (9, 9), (5, 1)])
-def test_against_all_windows(spark, k, m, full):
+def test_against_all_windows(spark, k, m, full, distinct):
     texts = passages(k, 60)
     rows = [(i, t, "row", 1) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept string, t1 int").repartition(5)
     got = {
         r.doc_id: r
-        for r in deduplicate(docs, window=k, minimiser=m, full=full).collect()
+        for r in deduplicate(docs, window=k, minimiser=m, full=full, distinct=distinct).collect()
     }
     assert len(got) == len(texts)
     for i, (_, kept) in enumerate(brute(texts, k)):
