@@ -6,12 +6,15 @@ import argparse
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from activlake.operators import quality
 from activlake.plans import medallion
 from activlake.plans.medallion import LakePaths
 from activlake.session import get_session, shuffle_partitions
 from activlake.sources.cdc import read_cdc_files, read_cdc_kafka
-from activlake.streaming import start_bronze, start_notifications
+from activlake.sinks.lots import lot_counts
+from activlake.streaming import start_bronze, start_bronze_lots, start_notifications
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -49,6 +52,12 @@ def _parser() -> argparse.ArgumentParser:
     commands.add_parser("create", help="create the operational tables")
     ingest = commands.add_parser("ingest", help="validate posted bodies and store them")
     ingest.add_argument("--bodies", required=True, help="Parquet of id and body")
+    ingest.add_argument("--lot", help="name of these bodies; sent again, they replace themselves")
+    requests = commands.add_parser("requests", help="list the distances that have to be asked for")
+    requests.add_argument("--hr", required=True)
+    requests.add_argument("--format", default="csv")
+    daily = commands.add_parser("daily", help="build the daily partials")
+    daily.add_argument("--days", nargs="*", type=date.fromisoformat, help="replace these only")
     compact = commands.add_parser("compact", help="merge the small files of Bronze")
     compact.add_argument("--files", type=int, required=True, help="files, or files per day")
     clean = commands.add_parser("clean", help="delete runs that are no longer current")
@@ -63,6 +72,9 @@ def _parser() -> argparse.ArgumentParser:
         stream.add_argument("--trigger", help='interval such as "1 minute", or "available"')
         stream.add_argument("--max-per-trigger", type=int, help="messages or files per batch")
     commands.choices["bronze"].add_argument("--by-day", action="store_true")
+    commands.choices["bronze"].add_argument(
+        "--by-lot", action="store_true", help="a folder per batch, with quality counts"
+    )
 
     silver = commands.add_parser("silver", help="rebuild Silver")
     silver.add_argument("--by-day", action="store_true")
@@ -76,6 +88,7 @@ def _parser() -> argparse.ArgumentParser:
         stage.add_argument("--columns", nargs="*", help="columns of the CSV export")
         stage.add_argument("--export-files", type=int, help="CSV files; one per task by default")
     gold.add_argument("--from-bronze", action="store_true", help="count without a Silver table")
+    gold.add_argument("--from-daily", action="store_true", help="add up the daily partials")
 
     for layer in ("bronze", "silver", "gold"):
         commands.add_parser(f"check-{layer}", help=f"quality report of {layer}")
@@ -103,11 +116,26 @@ def main(argv: list[str] | None = None) -> None:
         case "create":
             medallion.create_tables(spark, paths)
         case "ingest":
-            medallion.run_ingest(spark, paths, spark.read.parquet(args.bodies))
+            medallion.run_ingest(spark, paths, spark.read.parquet(args.bodies), args.lot)
+        case "requests":
+            medallion.run_requests(spark, paths, args.hr, args.format)
+        case "daily":
+            medallion.run_daily(spark, paths, args.days or None)
         case "compact":
             medallion.compact_bronze(spark, paths, args.files)
         case "clean":
             medallion.clean_up(spark, paths, args.keep)
+        case "bronze" if args.by_lot:
+            rules = quality.generator_rules()
+            start_bronze_lots(
+                _messages(spark, args),
+                paths.lots,
+                paths.checkpoint("bronze_lots"),
+                args.trigger,
+                args.by_day,
+                counts={name: F.count_if(bad) for name, bad in rules.items()},
+                counted=lot_counts(paths.counts("bronze")),
+            ).awaitTermination()
         case "bronze":
             start_bronze(
                 _messages(spark, args),
@@ -135,6 +163,7 @@ def main(argv: list[str] | None = None) -> None:
                 export_columns=args.columns,
                 export_files=args.export_files,
                 from_bronze=args.from_bronze,
+                from_daily=args.from_daily,
             )
         case "check-bronze":
             _show(medallion.check_bronze(spark, paths))

@@ -69,8 +69,12 @@ def activity_counts_from_bronze(bronze: DataFrame, reference: DataFrame) -> Data
     sorted and no other column is read. An employee with several lookup rows
     counts each activity once per row, as the Silver join would.
     """
-    per_employee = employee_counts(bronze)
-    alerts = (
+    return with_alerts(employee_counts(bronze), alert_rows(reference))
+
+
+def alert_rows(reference: DataFrame) -> DataFrame:
+    """Lookup rows per employee, and those whose declaration is in order."""
+    return (
         reference_lookup(reference)
         .groupBy("id_salarie_rh")
         .agg(
@@ -78,6 +82,10 @@ def activity_counts_from_bronze(bronze: DataFrame, reference: DataFrame) -> Data
             F.count_if(F.col("alerte_transport") == "OK").alias("ok_rows"),
         )
     )
+
+
+def with_alerts(per_employee: DataFrame, alerts: DataFrame) -> DataFrame:
+    """Counts of ``activities`` per employee as total and valid ones."""
     joined = per_employee.join(
         alerts, per_employee.id_salarie == alerts.id_salarie_rh, "left"
     )

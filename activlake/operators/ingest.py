@@ -10,6 +10,7 @@ from activlake.schemas import ACTIVITES, INGEST_BODY, INGEST_REQUIRED
 
 # The answers of the endpoint, here and in the checks below.
 STORED = "activity stored"
+REPEATED = "Duplicate key: id"
 
 
 def _first_missing() -> Column:
@@ -69,18 +70,13 @@ def validate(bodies: DataFrame) -> DataFrame:
     return _judged(bodies).withColumns(answers).drop("_keys", "_body", "_problem")
 
 
-def stored_rows(bodies: DataFrame) -> DataFrame:
-    """Accepted bodies as activity-table rows.
-
-    ``id`` comes with the input (its offset or sequence number): a gap-free
-    counter would need a single writer. The duration is not stored; Bronze
-    derives it from the dates.
-    """
+def _activity() -> list[Column]:
+    """Columns of the activity table, from the decoded body."""
 
     def given(name: str, value: Column, default: str | float) -> Column:
         return F.when(F.array_contains("_keys", name), value).otherwise(F.lit(default))
 
-    return _judged(bodies).filter(F.col("_problem").isNull()).select(
+    return [
         F.col("id").try_cast("bigint").alias("id"),
         _typed("id_salarie").alias("id_salarie"),
         _typed("type_sport").alias("type_sport"),
@@ -90,4 +86,33 @@ def stored_rows(bodies: DataFrame) -> DataFrame:
         _typed("date_fin").alias("date_fin"),
         given("commentaire", F.col("_body.commentaire"), "").alias("commentaire"),
         F.current_timestamp().alias("created_at"),
-    )
+    ]
+
+
+def stored_rows(bodies: DataFrame) -> DataFrame:
+    """Accepted bodies as activity-table rows.
+
+    ``id`` comes with the input (its offset or sequence number): a gap-free
+    counter would need a single writer. The duration is not stored; Bronze
+    derives it from the dates.
+    """
+    return _judged(bodies).filter(F.col("_problem").isNull()).select(*_activity())
+
+
+def judged(bodies: DataFrame) -> DataFrame:
+    """Bodies with ``status``, ``message``, their activity ``row`` and a unique ``arrival`` number.
+
+    Everything a later step needs, so that a stored copy is read instead of parsing again. A body
+    without a usable id has no key and is refused.
+    """
+    rows = _judged(bodies)
+    keyless = F.when(F.col("id").try_cast("bigint").isNull(), F.lit("Null value: id"))
+    problem = F.coalesce("_problem", keyless)
+    return rows.withColumns(
+        {
+            "status": F.when(problem.isNull(), F.lit("ok")).otherwise(F.lit("error")),
+            "message": F.coalesce(problem, F.lit(STORED)),
+            "row": F.when(problem.isNull(), F.struct(*_activity())),
+            "arrival": F.monotonically_increasing_id(),
+        }
+    ).drop("_keys", "_body", "_problem")

@@ -72,9 +72,12 @@ FRAUD_COLUMNS = (
 )
 
 
+def silver_report_rules() -> dict[str, Column]:
+    return {**silver_rules(), **not_null_rules("id_salarie", "type_sport")}
+
+
 def silver_report(silver: DataFrame) -> DataFrame:
-    rules = {**silver_rules(), **not_null_rules("id_salarie", "type_sport")}
-    return count_violations(silver, rules)
+    return count_violations(silver, silver_report_rules())
 
 
 def bronze_report(bronze: DataFrame, bounds: GeneratorBounds = GeneratorBounds()) -> DataFrame:

@@ -89,6 +89,46 @@ def with_distance(
     return employees.withColumn(DISTANCE, F.coalesce(*candidates)).drop("_km0", "_km1")
 
 
+def _asked(employees: DataFrame, rules: BusinessRules) -> DataFrame:
+    """Employees with the address and travel mode a provider is asked about."""
+    mode = travel_mode(F.col("moyen_transport"), rules)
+    return employees.withColumn("mode_trajet", mode)
+
+
+def distance_requests(
+    employees: DataFrame, cache: DataFrame | None = None, rules: BusinessRules = BusinessRules()
+) -> DataFrame:
+    """Which distances have to be asked for: ``domicile_address, mode_trajet, nb_salaries``.
+
+    Employees whose distance the cache knows are left out; of the others, those of one address and
+    mode share a request. Without an address there is nothing to ask. ``employees`` come from
+    :func:`clean_hr`.
+    """
+    if cache is not None:
+        known = known_distances(cache).select("employee_id")
+        employees = employees.join(known, "employee_id", "left_anti")
+    return (
+        _asked(employees, rules)
+        .filter(F.col("domicile_address").isNotNull())
+        .groupBy("domicile_address", "mode_trajet")
+        .agg(F.count(F.lit(1)).alias("nb_salaries"))
+    )
+
+
+def responses_of_answers(
+    employees: DataFrame, answers: DataFrame, rules: BusinessRules = BusinessRules()
+) -> DataFrame:
+    """Answers (``domicile_address, mode_trajet, response``) handed to every employee who shares the
+    request, as the ``employee_id, response`` rows a reference build takes.
+
+    The join is an inner one of two plain tables, of which Spark splits an address that very many
+    employees share.
+    """
+    keys = ["domicile_address", "mode_trajet"]
+    asked = _asked(employees, rules).select("employee_id", *keys)
+    return asked.join(answers.select(*keys, "response"), keys).select("employee_id", "response")
+
+
 def flag_declarations(employees: DataFrame, rules: BusinessRules = BusinessRules()) -> DataFrame:
     flag = transport_anomaly(F.col("moyen_transport"), F.col(DISTANCE), rules)
     return employees.withColumn("erreur_declaration_transport", flag)

@@ -77,7 +77,13 @@ def to_silver(
     that the join shuffles, and AQE splits a partition that one employee fills.
     """
     activities = unique_activities(_needed(bronze, columns) if columns else bronze)
-    lookup = reference_lookup(reference)
+    return silver_rows(activities, reference_lookup(reference), columns)
+
+
+def silver_rows(
+    activities: DataFrame, lookup: DataFrame, columns: tuple[str, ...] | None = None
+) -> DataFrame:
+    """Silver rows of activities without copies and the employee lookup."""
     joined = activities.join(lookup, activities.id_salarie == lookup.id_salarie_rh, "left")
     unknown, none = F.lit(UNKNOWN_ALERT), F.lit(0)
     made = {

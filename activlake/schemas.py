@@ -118,6 +118,13 @@ SILVER = _struct(
     ("commentaire", TEXT),
 )
 
+DAILY = _struct(
+    ("id_salarie", LONG),
+    ("activities", LONG),
+    ("metres", DOUBLE),
+    ("jour_debut", T.DateType()),
+)
+
 # The row image a notification reads. Two spellings exist for sport, employee and
 # dates; ``distance`` is text because the amount may be unreadable.
 NOTIFY_AFTER = _struct(

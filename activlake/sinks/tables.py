@@ -5,12 +5,15 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from activlake.session import lake_format
 
+#: Partition column of tables that are written lot by lot.
+LOT = "lot"
+
 _RUN_LOG = T.StructType(
     [
         T.StructField("path", T.StringType(), False),
@@ -43,17 +46,64 @@ def _by_partition(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
 
 
 def overwrite_table(
-    df: DataFrame, path: str, fmt: str | None = None, partition_by: tuple[str, ...] = ()
-) -> None:
-    """Replace a whole table; its schema may change."""
+    df: DataFrame,
+    path: str,
+    fmt: str | None = None,
+    partition_by: tuple[str, ...] = (),
+    counts: dict[str, Column] | None = None,
+) -> dict[str, int]:
+    """Replace a whole table; its schema may change.
+
+    ``counts`` are aggregates that Spark takes while it writes, without reading a row again; they are
+    returned by name. They stand above the last shuffle, in the tasks that write, so a repeated
+    shuffle task is not counted twice.
+    """
+    dealt, observed = _by_partition(df, partition_by), None
+    if counts:
+        observed = Observation()
+        dealt = dealt.observe(observed, *(c.alias(n) for n, c in counts.items()))
     writer = (
-        _by_partition(df, partition_by)
-        .write.format(fmt or lake_format(df.sparkSession))
+        dealt.write.format(fmt or lake_format(df.sparkSession))
         .mode("overwrite")
         .option("overwriteSchema", True)
         .option("partitionOverwriteMode", "static")
     )
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+    return observed.get if observed else {}
+
+
+def overwrite_lot(df: DataFrame, path: str, lot: str, fmt: str | None = None) -> None:
+    """Replace one lot of a table. A lot that is written again leaves nothing of its first attempt."""
+    fmt = fmt or lake_format(df.sparkSession)
+    if fmt != "delta":
+        overwrite_table(df, f"{path}/{LOT}={lot}", fmt)
+        return
+    (
+        df.withColumn(LOT, F.lit(lot))
+        .write.format(fmt)
+        .mode("overwrite")
+        .option("replaceWhere", f"{LOT} = '{lot}'")
+        .partitionBy(LOT)
+        .save(path)
+    )
+
+
+def write_bucketed(
+    df: DataFrame, name: str, path: str, buckets: int, key: str, order: tuple[str, ...] = ()
+) -> DataFrame:
+    """Store a table in ``buckets`` files by ``key``, sorted, under a name of the catalog.
+
+    Tables with equal bucket counts join on the key, and group by it, without a shuffle.
+    """
+    (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .bucketBy(buckets, key)
+        .sortBy(key, *order)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
 
 
 def overwrite_partitions(
@@ -163,23 +213,52 @@ def read_current(
 ) -> DataFrame:
     """The current version of a Parquet table, refreshed days in place of the older ones.
 
-    The day filters are on the partition column, so a replaced day is never read.
+    The day filters are on the partition column, so a replaced day is never read. Each run is read
+    with its own schema and merged by column name: a column that some runs lack is null there, and
+    a type that was widened holds for all (Spark refuses types that have no common one).
     """
     runs = versions(spark, table) or [(table, None)]
     replaced = sorted({d for _, days in runs if days for d in days})
     found = None
     for path, days in runs:
-        # A refresh that found no rows left no file to infer from.
-        reader = spark.read if found is None else spark.read.schema(found.schema)
-        part = reader.parquet(path)
+        part = _read_run(spark, path, found)
         if days is not None:
             part = part.filter(F.col(day).isin(days))
         elif replaced:
             part = part.filter(~F.col(day).isin(replaced) | F.col(day).isNull())
-        found = part if found is None else found.unionByName(part)
+        found = part if found is None else found.unionByName(part, allowMissingColumns=True)
     return found if schema is None else found.select(*schema.fieldNames())
 
 
+def _read_run(spark: SparkSession, path: str, before: DataFrame | None) -> DataFrame:
+    """One run. A refresh that found no rows left no file, so the runs before it tell its schema."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as empty:
+        if before is None or empty.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+    return spark.read.schema(before.schema).parquet(path)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, sorted; none if it does not exist."""
+    files, root = _folder(spark, path)
+    if not files.exists(root):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(root) if s.isDirectory())
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to this folder has ended."""
+    files, root = _folder(spark, f"{path}/_SUCCESS")
+    return files.exists(root)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, root = _folder(spark, path)
+    files.delete(root, True)
+
+
 def _folder(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)

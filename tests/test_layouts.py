@@ -1,0 +1,125 @@
+"""Daily partials and the layout by employee."""
+
+from datetime import date
+
+import pytest
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+
+from activlake.operators import colocated, daily, gold
+from activlake.operators.bronze import DAY, with_start_day
+from activlake.operators.silver import to_silver
+from activlake.plans import medallion
+from activlake.plans.medallion import LakePaths
+from activlake.schemas import BRONZE
+from activlake.sinks.tables import overwrite_table, publish
+
+START, ONE_DAY = 1743898597000000, 86400000000
+PEOPLE = (
+    "employee_id long, Nom string, salaire_brut double, moyen_transport string, "
+    "distance_domicile_entreprise_km double, erreur_declaration_transport boolean"
+)
+
+
+def reference(spark):
+    data = [(i, f"N{i}", 1000.0, "VÉLO", 3.0, i % 2 == 0) for i in range(1, 12)]
+    return spark.createDataFrame([*data, (3, "N3", 1000.0, "MARCHE", 3.0, False)], PEOPLE)
+
+
+def activities(spark, n=400):
+    """A third of one employee; copies, unreadable starts, rows without id or employee."""
+    data = []
+    for i in range(n):
+        who = 1 if i % 3 == 0 else (None if i % 41 == 0 else i % 13)
+        start = "soon" if i % 37 == 0 else str(START + (i % 50) * ONE_DAY)
+        data.append((None if i % 29 == 0 else i, who, "JUDO", float(i), start, None, "c", 60))
+    return spark.createDataFrame(data, BRONZE)
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    paths = LakePaths(str(tmp_path / "lake"))
+    path = f"{paths.reference}/run=0"
+    overwrite_table(reference(spark), f"{path}/table", "parquet")
+    publish(spark, paths.reference, path)
+    return paths
+
+
+@pytest.mark.parametrize("as_of", [None, date(2026, 4, 20)])
+def test_sums_of_days_equal_a_count_of_all(spark, lake, as_of):
+    bronze = with_start_day(activities(spark))
+    overwrite_table(bronze, lake.bronze, "parquet", (DAY,))
+    medallion.run_daily(spark, lake)
+    partials = medallion.load_daily(spark, lake)
+    people = reference(spark)
+    assert rows(daily.gold_from_daily(partials, people, as_of)) == rows(
+        gold.gold_from_bronze(bronze, people, as_of)
+    )
+    if as_of is None:
+        assert rows(daily.distances_from_daily(partials)) == rows(
+            gold.distance_totals_from_bronze(bronze)
+        )
+
+
+def test_replaced_days_and_late_rows(spark, lake):
+    whole = with_start_day(activities(spark))
+    days = [date(2025, 4, 6), date(2025, 5, 1)]
+    early = whole.filter(~F.col(DAY).isin(days) | (F.col("id") % 2 == 0) | F.col(DAY).isNull())
+    overwrite_table(early, lake.bronze, "parquet", (DAY,))
+    medallion.run_daily(spark, lake)
+    overwrite_table(whole, lake.bronze, "parquet", (DAY,))
+    refreshed = rows(medallion.run_daily(spark, lake, days))
+    assert refreshed == rows(medallion.run_daily(spark, lake, days))  # the same day again
+    assert refreshed == rows(medallion.run_daily(spark, lake))
+    made = medallion.run_gold(spark, lake, from_daily=True)
+    assert rows(made) == rows(medallion.run_gold(spark, lake, from_bronze=True))
+    assert rows(medallion.run_distances(spark, lake, from_daily=True)) == rows(
+        medallion.run_distances(spark, lake)
+    )
+
+
+def test_a_rolling_year_prunes_days_and_reads_no_activity(spark, lake):
+    overwrite_table(with_start_day(activities(spark)), lake.bronze, "parquet", (DAY,))
+    partials = medallion.run_daily(spark, lake)
+    plan = plan_of(daily.gold_from_daily(partials, reference(spark), date(2026, 4, 20)))
+    filters = [x for x in plan.splitlines() if x.startswith("PartitionFilters")]
+    assert any("2025-04-20" in x and DAY in x for x in filters)
+    assert "bronze" not in plan and "ReadSchema: struct<id_salarie:bigint,activities:bigint>" in plan
+    with pytest.raises(ValueError, match="Bronze"):
+        overwrite_table(activities(spark), lake.bronze, "parquet")
+        medallion.run_daily(spark, lake, [date(2025, 4, 6)])
+
+
+@pytest.fixture
+def layout(spark, tmp_path):
+    name = f"t{abs(hash(str(tmp_path)))}"
+    return colocated.store_by_employee(
+        activities(spark), reference(spark), name, str(tmp_path / "by"), 4, 100
+    )
+
+
+def test_the_layout_gives_the_same_rows(spark, layout):
+    bronze, people = activities(spark), reference(spark)
+    assert rows(colocated.counts(layout)) == rows(gold.activity_counts_from_bronze(bronze, people))
+    silver = to_silver(bronze, people)
+    assert rows(colocated.silver(layout), *silver.columns) == rows(silver)
+
+
+def test_hot_employees_and_rows_without_one_are_apart(spark, layout):
+    assert {r[0] for r in rows(layout.hot.select("id_salarie").distinct())} == {None, 1}
+    assert layout.bucketed.filter("id_salarie = 1 OR id_salarie IS NULL").count() == 0
+    assert layout.bucketed.count() + layout.hot.count() == 400
+
+
+@pytest.mark.parametrize("made", [colocated.bucketed_counts, colocated.bucketed_silver])
+def test_no_exchange_between_scan_and_result(layout, made):
+    plan = plan_of(made(layout))
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert plan.count("SortMergeJoin") >= 1 and "HashAggregate" in plan or "SortAggregate" in plan
+
+
+def test_empty_layouts(spark, tmp_path):
+    empty = colocated.store_by_employee(
+        activities(spark).limit(0), reference(spark), "t_empty", str(tmp_path / "by"), 3, 5
+    )
+    assert colocated.counts(empty).count() == colocated.silver(empty).count() == 0

@@ -200,3 +200,58 @@ def test_from_bodies_to_gold(spark, lake):
     cli.main([*root, "clean", "--keep", "0"])
     assert rows(medallion.load(spark, paths.gold)) == direct
     assert len(list((tmp / "lake" / "gold" / "indicateurs_rh").glob("run=*"))) == 1
+
+
+def test_requests_command_lists_what_the_last_reference_lacks(spark, lake):
+    paths, tmp = lake
+    root = ["--lake", paths.root, "--input-gb", "0.1"]
+    cli.main([*root, "requests", "--hr", str(tmp / "hr.csv")])
+    asked = medallion.load(spark, paths.requests)
+    assert rows(asked, "domicile_address", "mode_trajet") == [
+        ("1, rue A", "driving"), ("2, rue B", "bicycling"), ("3, rue C", "driving"),
+    ]
+    ok = '{"status":"OK","rows":[{"elements":[{"status":"OK","distance":{"value":4000}}]}]}'
+    answers = spark.createDataFrame([(1, ok)], "employee_id long, response string")
+    medallion.run_reference(spark, paths, str(tmp / "hr.csv"), str(tmp / "sport.csv"), responses=answers)
+    cli.main([*root, "requests", "--hr", str(tmp / "hr.csv")])
+    assert rows(medallion.load(spark, paths.requests), "domicile_address") == [("2, rue B",), ("3, rue C",)]
+
+
+def test_many_refreshes_are_folded(spark, lake, monkeypatch):
+    paths, tmp = lake
+    monkeypatch.setattr(medallion, "FOLD_RUNS", 2)
+    medallion.run_reference(spark, paths, str(tmp / "hr.csv"), str(tmp / "sport.csv"))
+    inbox = str(tmp / "in")
+    land(spark, inbox, [activity(i, 1, i) for i in range(4)])
+    stream(spark, paths, inbox, "--by-day")
+    whole = rows(medallion.run_silver(spark, paths, by_day=True), *SILVER.fieldNames())
+    for day in (6, 7, 8):
+        got = medallion.refresh_silver(spark, paths, [date(2025, 4, day)])
+        assert rows(got, *SILVER.fieldNames()) == whole
+        assert len(medallion.versions(spark, paths.silver)) <= 2
+
+
+def test_batches_daily_partials_and_lots_from_the_command_line(spark, lake):
+    paths, tmp = lake
+    root = ["--lake", paths.root, "--input-gb", "0.1"]
+    cli.main([*root, "reference", "--hr", str(tmp / "hr.csv"), "--sport", str(tmp / "sport.csv")])
+    inbox = str(tmp / "in")
+    for i in range(3):
+        land(spark, inbox, [activity(10 * i + d, 1 + d, d) for d in range(3)])
+        stream(spark, paths, inbox, "--by-day", "--by-lot")
+    cli.main([*root, "compact", "--files", "1"])
+    cli.main([*root, "daily"])
+    cli.main([*root, "gold", "--from-daily"])
+    direct = rows(medallion.load(spark, paths.gold))
+    assert len(direct) == 3
+    cli.main([*root, "daily", "--days", "2025-04-06", "2025-04-07"])
+    cli.main([*root, "gold", "--from-bronze"])
+    assert rows(medallion.load(spark, paths.gold)) == direct
+    cli.main([*root, "silver", "--by-day"])
+    cli.main([*root, "check-silver"])
+    assert rows(medallion.silver_counts(spark, paths)) == rows(
+        medallion.check_silver(spark, paths)["rapport"]
+    )
+    cli.main([*root, "clean"])
+    assert rows(medallion.load_bronze(spark, paths), "id") == [(i,) for i in sorted(
+        [10 * i + d for i in range(3) for d in range(3)], key=str)]

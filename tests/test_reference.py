@@ -102,3 +102,35 @@ def test_merge_with_a_hot_employee_on_each_side(spark):
         F.count("*"), F.count_if(F.col("pratique_sport") == "AUCUN")
     )
     assert rows(counts) == [(None, 1, 1), (1, 2000, 0), (2, 1, 1)]
+
+
+def test_requests_are_asked_once_and_answers_reach_everyone(spark):
+    shape = "employee_id long, domicile_address string, moyen_transport string"
+    people = spark.createDataFrame(
+        [(i, "1, rue A", "VÉLO") for i in range(20)]  # one address for most
+        + [(20, "1, rue A", "MARCHE"), (21, "2, rue B", "VOITURE"), (22, "2, rue B", "BUS"), (23, None, "VÉLO")],
+        shape,
+    )
+    cache = spark.createDataFrame(
+        [(0, 3.0), (0, None), (21, None), (None, 1.0)], "employee_id long, distance_domicile_entreprise_km double"
+    )
+    requests = ref.distance_requests(people, cache)
+    assert rows(requests) == [
+        ("1, rue A", "bicycling", 19), ("1, rue A", "walking", 1), ("2, rue B", "driving", 2),
+    ]
+    assert ref.distance_requests(people).where("nb_salaries = 20").count() == 1
+    ok = '{"status":"OK","rows":[{"elements":[{"status":"OK","distance":{"value":%d}}]}]}'
+    answers = spark.createDataFrame(
+        [("1, rue A", "bicycling", ok % 4000), ("2, rue B", "driving", '{"status":"DENIED"}')],
+        "domicile_address string, mode_trajet string, response string",
+    )
+    responses = ref.responses_of_answers(people, answers)
+    assert responses.count() == 22
+    known = ref.with_distance(people, cache, responses)
+    got = dict(rows(known, "employee_id", "distance_domicile_entreprise_km"))
+    assert got == {0: 3.0, **{i: 4.0 for i in range(1, 20)}, 20: None, 21: None, 22: None, 23: None}
+    # What was not answered is asked again.
+    again = known.select("employee_id", "distance_domicile_entreprise_km")
+    assert rows(ref.distance_requests(people, again)) == [
+        ("1, rue A", "walking", 1), ("2, rue B", "driving", 2),
+    ]

@@ -172,3 +172,36 @@ def test_publish_switches_readers(spark, tmp_path):
 def test_preview(spark):
     assert rows(sources.preview(spark.range(100), 3, "id")) == [(0,), (1,), (2,)]
     assert sources.preview(spark.range(100), 3).count() == 3
+
+
+def test_runs_whose_schema_changed_are_merged_by_name(spark, tmp_path):
+    table, first, second, third = str(tmp_path / "t"), *(date(2025, 1, d) for d in (1, 2, 3))
+
+    def run(name, data, shape, days=None):
+        path = f"{table}/run={name}"
+        sinks.overwrite_table(spark.createDataFrame(data, shape), path, partition_by=("day",))
+        sinks.publish(spark, table, path, days)
+
+    run("a", [(1, 1.5, "x", first), (2, 2.5, "y", second)], "id int, km float, gone string, day date")
+    run("b", [(2**40, 0.1, "new", second)], "id long, km double, note string, day date", [second])
+    run("c", [], "id long, km double, note string, day date", [third])
+    current = sinks.read_current(spark, table, day="day")
+    assert dict(current.dtypes) == {
+        "id": "bigint", "km": "double", "gone": "string", "note": "string", "day": "date",
+    }
+    assert rows(current, "id", "km", "gone", "note", "day") == [
+        (1, 1.5, "x", None, first), (2**40, 0.1, None, "new", second),
+    ]
+    run("d", [([1], 1.0, third)], "id array<int>, km double, day date", [third])
+    with pytest.raises(Exception, match="INCOMPATIBLE_COLUMN_TYPE"):
+        sinks.read_current(spark, table, day="day").collect()
+
+
+def test_counts_taken_in_a_write(spark, tmp_path):
+    df = spark.range(0, 100, 1, 5).selectExpr("id", "id % 4 AS part")
+    rules = {"odd": F.count_if(F.col("id") % 2 == 1), "all": F.count(F.lit(1))}
+    for by in ((), ("part",)):
+        found = sinks.overwrite_table(df, str(tmp_path / f"t{len(by)}"), "parquet", by, rules)
+        assert found == {"odd": 50, "all": 100}
+    assert sinks.overwrite_table(df.limit(0), str(tmp_path / "e"), "parquet", (), rules)["all"] == 0
+    assert sinks.overwrite_table(df, str(tmp_path / "n"), "parquet") == {}

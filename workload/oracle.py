@@ -75,6 +75,18 @@ bronze AS (
            floor(o_totalprice)::BIGINT % 7200 AS duration_sec, o_orderpriority AS commentaire
     FROM orders)"""
 
+_HOT_ORDERS = _ORDERS.replace(
+    "o_custkey::BIGINT AS", "CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey::BIGINT END AS"
+)
+
+_ASKED = """
+asked AS (
+    SELECT hr.employee_id, domicile_address, cached, CASE
+           WHEN moyen_transport IN ('VÉLO', 'TROTTINETTE') THEN 'bicycling'
+           WHEN moyen_transport IN ('MARCHE', 'COURSE À PIED', 'RUNNING') THEN 'walking'
+           ELSE 'driving' END AS mode_trajet
+    FROM hr LEFT JOIN cache USING (employee_id))"""
+
 _EVENTS = f"""
 bronze AS (
     SELECT event_id::BIGINT AS id, user_id::BIGINT AS id_salarie,
@@ -101,6 +113,7 @@ silver AS (
     FROM uniq LEFT JOIN lookup ON id_salarie = id_salarie_rh)"""
 
 _SILVER_ORDERS = f"WITH {_CUSTOMERS}, {_ORDERS}, {_SILVER}"
+_SILVER_HOT = f"WITH {_CUSTOMERS}, {_HOT_ORDERS}, {_SILVER}"
 _SILVER_EVENTS = f"WITH {_SUPPLIERS}, {_EVENTS}, {_SILVER}"
 
 
@@ -266,7 +279,78 @@ ORACLE: dict[str, str] = {
         SELECT event_id + 3000000000 AS id,
                CASE WHEN problem IS NULL THEN 'ok' ELSE 'error' END AS status,
                coalesce(problem, 'activity stored') AS message
-        FROM validated, (SELECT unnest([1, 2]))""",
+        FROM validated
+        UNION ALL SELECT event_id + 3000000000, 'error', coalesce(problem, 'Duplicate key: id')
+        FROM validated""",
+    "ingest_keyed": f"""{_VALIDATED},
+        keyed AS (
+            SELECT lot, problem, event_type, CASE WHEN k = 5 THEN NULL
+                   WHEN event_type = 'click' THEN 7 WHEN event_type = 'view' AND lot = 'b'
+                   THEN event_id + 1003000000000 ELSE event_id + 3000000000 END AS id
+            FROM validated, (VALUES ('a'), ('b')) AS lots(lot)),
+        judged AS (
+            SELECT *, CASE WHEN problem IS NOT NULL THEN problem WHEN id IS NULL THEN 'Null value: id'
+                   WHEN row_number() OVER (PARTITION BY id, problem IS NULL ORDER BY lot) > 1
+                   THEN 'Duplicate key: id' END AS reason
+            FROM keyed)
+        SELECT lot, id::VARCHAR AS id, CASE WHEN reason IS NULL THEN 'ok' ELSE 'error' END AS status,
+               coalesce(reason, 'activity stored') AS message
+        FROM judged""",
+    "gold_daily": f"""{_SILVER_EVENTS},
+        counts AS (
+            SELECT id_salarie, count(id_evenement) AS nb_total_activites,
+                   count_if(alerte_transport = 'OK')::BIGINT AS nb_activites_valides,
+                   round(sum(distance_metres), 3) AS distance_totale_metres
+            FROM silver WHERE date_debut >= TIMESTAMP '2024-01-15' GROUP BY id_salarie)
+        SELECT id_salarie, nb_total_activites, nb_activites_valides,
+               CASE WHEN moyen_transport IN ('VÉLO/TROTTINETTE/AUTRES', 'MARCHE/RUNNING')
+                    THEN salaire_brut * 0.05::DOUBLE ELSE 0.0::DOUBLE END AS montant_prime_sportive,
+               nb_total_activites >= 15 AS eligible_jours_bien_etre, distance_totale_metres
+        FROM counts JOIN ref ON id_salarie = employee_id""",
+    "gold_colocated": f"""{_SILVER_HOT}
+        SELECT id_salarie, count(id_evenement) AS nb_total_activites,
+               count_if(alerte_transport = 'OK')::BIGINT AS nb_activites_valides
+        FROM silver GROUP BY id_salarie""",
+    "silver_colocated": f"{_SILVER_HOT} SELECT * FROM silver",
+    "dq_observed": f"""{_REPORT_SILVER}
+        SELECT * FROM report
+        UNION ALL SELECT 'id_salarie_null', count_if(id_salarie IS NULL)::BIGINT FROM silver
+        UNION ALL SELECT 'type_sport_null', count_if(type_sport IS NULL)::BIGINT FROM silver""",
+    "table_evolution": """
+        WITH days AS (SELECT *, ts::DATE AS day, max(ts::DATE) OVER () AS last FROM events)
+        SELECT CASE WHEN day = last THEN event_id + 3000000000 ELSE event_id END AS id, value,
+               CASE WHEN day = last THEN event_type END AS note, day::VARCHAR AS day
+        FROM days""",
+    "distance_worklist": f"""WITH {_HR_CUSTOMERS}, {_ASKED}
+        SELECT domicile_address, mode_trajet, count(*) AS nb_salaries
+        FROM asked WHERE cached IS NULL GROUP BY ALL""",
+    "distance_answered": f"""WITH {_HR_CUSTOMERS}, {_ASKED},
+        asked_for AS (
+            SELECT DISTINCT domicile_address, mode_trajet FROM asked WHERE cached IS NULL)
+        SELECT employee_id, coalesce(cached, CASE WHEN f.mode_trajet <> 'bicycling'
+               THEN length(domicile_address)::DOUBLE END) AS distance_domicile_entreprise_km
+        FROM asked LEFT JOIN asked_for AS f USING (domicile_address, mode_trajet)""",
+    "join_multiplicity": f"""WITH {_HOT_ORDERS},
+        l AS (SELECT id_salarie AS key, count(*) AS left_rows FROM bronze GROUP BY 1),
+        r AS (SELECT user_id::BIGINT AS key, count(*) AS right_rows FROM events GROUP BY 1)
+        SELECT key, left_rows, coalesce(right_rows, 0) AS right_rows,
+               left_rows * greatest(coalesce(right_rows, 0), 1) AS joined_rows,
+               left_rows * greatest(coalesce(right_rows, 0), 1) - left_rows AS added_rows
+        FROM l LEFT JOIN r USING (key)""",
+    "stream_lots": _CDC_BRONZE,
+    "stream_observed": f"""
+        WITH facts AS (
+            SELECT {K} AS k, value, ts, event_type,
+                   CASE WHEN event_type = 'click' AND {K} < 10 THEN NULL
+                        ELSE ({K}::BIGINT * 61500000) // 1000000 END AS seconds
+            FROM events WHERE event_type <> 'error')
+        SELECT 'duree_hors_bornes' AS rule,
+               count_if(coalesce(seconds NOT BETWEEN 1200 AND 7200, true))::BIGINT AS n_bad FROM facts
+        UNION ALL SELECT 'distance_hors_bornes', count_if(value NOT BETWEEN 20 AND 80)::BIGINT FROM facts
+        UNION ALL SELECT 'debut_hors_periode', count_if(ts NOT BETWEEN
+            TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20')::BIGINT FROM facts
+        UNION ALL SELECT 'fin_differente_du_debut_plus_duree',
+            count_if(coalesce(k::BIGINT * 61500000 <> seconds * 1000000, true))::BIGINT FROM facts""",
     "dq_silver": f"""{_REPORT_SILVER}
         SELECT * FROM report
         UNION ALL SELECT 'id_salarie_null', count_if(id_salarie IS NULL)::BIGINT FROM silver

@@ -14,27 +14,61 @@ from activlake.functions.distance import metres_to_km, provider_distance_km
 from activlake.functions.rules import activity_distance
 from activlake.functions.text import activity_comment, label, normalize_headers
 from activlake.functions.timing import end_time, event_date_text, minutes_between, parse_event_date
-from activlake.operators import bronze, gold, ingest, notify, quality, reference, silver
+from activlake.operators import (
+    bronze,
+    colocated,
+    daily,
+    gold,
+    ingest,
+    keyed,
+    notify,
+    quality,
+    reference,
+    silver,
+)
 from activlake.plans.medallion import (
     LakePaths,
+    compact_bronze,
     create_tables,
+    load_bronze,
+    load_daily,
     load_reference,
     refresh_silver,
+    run_daily,
     run_ingest,
     run_reference,
     run_silver,
+    silver_counts,
+    stream_counts,
 )
 from activlake.rules import GeneratorBounds
 from activlake.schemas import ACTIVITES, BRONZE, NOTIFICATION, SILVER
-from activlake.sinks.tables import append_table, export_csv, overwrite_table, publish, write_csv
+from activlake.sinks.lots import lot_counts
+from activlake.sinks.tables import (
+    LOT,
+    append_table,
+    export_csv,
+    overwrite_table,
+    publish,
+    read_current,
+    write_csv,
+)
 from activlake.sources.tables import preview, read_csv, read_reference, read_table
-from activlake.streaming import start_bronze, start_notifications
+from activlake.streaming import start_bronze, start_bronze_lots, start_notifications
 from workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters that the SQL oracle repeats.
 AS_OF = date(2001, 8, 1)
+AS_OF_EVENTS = date(2025, 1, 15)
+VIEWS_LATER = 10**12
+EVENT_BOUNDS = GeneratorBounds(
+    min_distance_m=20,
+    max_distance_m=80,
+    first_start=datetime(2024, 1, 10),
+    last_start=datetime(2024, 1, 20),
+)
 ORDER_BOUNDS = GeneratorBounds(
     stationary_sports=("F",),
     first_start=datetime(1996, 1, 1),
@@ -317,6 +351,39 @@ def stream_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return as_text(read_table(spark, f"{base}/table", BRONZE, "parquet"), "duration_sec")
 
 
+def _lot_lake(spark: SparkSession, sf: str) -> LakePaths:
+    """Bronze streamed in several batches, a folder each, with its quality counts."""
+    paths = LakePaths(scratch(spark, "lots"))
+    events = t.table(spark, sf, "events")
+    inbox = f"{paths.root}/inbox"
+    events.repartition(4).write.parquet(inbox)
+    rules = quality.generator_rules(EVENT_BOUNDS)
+    for _ in range(2):  # the second run resumes from the checkpoint and finds nothing new
+        source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+        start_bronze_lots(
+            t.cdc_messages(source.parquet(inbox)),
+            paths.lots,
+            paths.checkpoint("lots"),
+            trigger="available",
+            by_day=True,
+            counts={name: F.count_if(bad) for name, bad in rules.items()},
+            counted=lot_counts(paths.counts("bronze")),
+        ).awaitTermination()
+    return paths
+
+
+def stream_lots(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze in lots, its closed ones compacted."""
+    paths = _lot_lake(spark, sf)
+    compact_bronze(spark, paths, 2)
+    return as_text(load_bronze(spark, paths).select(*BRONZE.fieldNames()), "duration_sec")
+
+
+def stream_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality counts that the stream took in the writes of its batches."""
+    return stream_counts(spark, _lot_lake(spark, sf))
+
+
 def stream_notifications(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch(spark, "stream-notifications")
     start_notifications(
@@ -357,7 +424,8 @@ def reference_from_sheets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ingest_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    """Tables created, the same bodies ingested twice, refused ones kept beside the stored ones."""
+    """Tables created, the same bodies ingested as two lots: each id is stored once, and the refused
+    bodies of both lots are kept with the reason."""
     paths = LakePaths(scratch(spark, "operations"))
     create_tables(spark, paths)
     for _ in range(2):
@@ -369,6 +437,112 @@ def ingest_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return stored.unionByName(refused)
 
 
+def ingest_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    """Bodies without ids and with a hot one, sent twice as one lot, then in another lot with new
+    ids for some: what each lot stored and refused."""
+    paths = LakePaths(scratch(spark, "keyed"))
+    for lot, shift in (("a", 0), ("a", 0), ("b", VIEWS_LATER)):
+        run_ingest(spark, paths, t.keyed_bodies(spark, sf, shift), lot)
+    lots = read_table(spark, paths.activities, fmt="parquet").filter(F.col(LOT) != "0")
+    stored = lots.select(LOT, "id", F.lit("ok").alias("status"), F.lit(ingest.STORED).alias("message"))
+    refused = read_table(spark, paths.refused, fmt="parquet").select(LOT, "id", "status", "message")
+    return as_text(stored.unionByName(refused), "id")
+
+
+def _event_lake(spark: SparkSession, sf: str, name: str) -> LakePaths:
+    """A lake with the stored reference of suppliers."""
+    paths = LakePaths(scratch(spark, name))
+    path = f"{paths.reference}/run=0"
+    overwrite_table(_suppliers(spark, sf), f"{path}/table", "parquet")
+    publish(spark, paths.reference, path)
+    return paths
+
+
+def gold_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily partials of a Bronze that lacks late rows of two days; these come and the days are
+    replaced. Gold and distances of a rolling year are then sums of partials."""
+    paths = _event_lake(spark, sf, "daily")
+    rows = bronze.with_start_day(t.bronze_events(spark, sf))
+    days = list(rows.agg(F.min(bronze.DAY), F.max(bronze.DAY)).first())
+    early = rows.filter(~F.col(bronze.DAY).isin(days) | (F.col("id") % 2 == 0))
+    for arrived, replaced in ((early, None), (rows, days)):
+        overwrite_table(arrived, paths.bronze, "parquet", (bronze.DAY,))
+        run_daily(spark, paths, replaced)
+    partials = load_daily(spark, paths)
+    metres = daily.distances_from_daily(partials, AS_OF_EVENTS)
+    made = daily.gold_from_daily(partials, load_reference(spark, paths), AS_OF_EVENTS)
+    return made.join(metres, "id_salarie").select(
+        "id_salarie",
+        "nb_total_activites",
+        "nb_activites_valides",
+        "montant_prime_sportive",
+        "eligible_jours_bien_etre",
+        F.round("distance_totale_metres", 3).alias("distance_totale_metres"),
+    )
+
+
+def _layout(spark: SparkSession, sf: str) -> colocated.Layout:
+    name = f"orders_{uuid.uuid4().hex}"
+    return colocated.store_by_employee(
+        t.hot_orders(spark, sf), _stored_customers(spark, sf), name, scratch(spark, name), 8, 1_000
+    )
+
+
+def gold_colocated(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts per employee over bucketed tables; one employee has a third of the rows."""
+    return colocated.counts(_layout(spark, sf))
+
+
+def silver_colocated(spark: SparkSession, sf: str) -> DataFrame:
+    return ntz(colocated.silver(_layout(spark, sf)), "date_debut", "date_fin")
+
+
+def dq_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The Silver report as Spark counts it while Silver is written."""
+    paths = _event_lake(spark, sf, "observed")
+    overwrite_table(t.bronze_events(spark, sf), paths.bronze, "parquet")
+    run_silver(spark, paths)
+    return silver_counts(spark, paths)
+
+
+def table_evolution(spark: SparkSession, sf: str) -> DataFrame:
+    """A table by day whose last day is refreshed with wider ids and a column more."""
+    events = t.table(spark, sf, "events").withColumn(bronze.DAY, F.to_date("ts"))
+    last = events.agg(F.max(bronze.DAY)).first()[0]
+    path = scratch(spark, "evolution")
+    first = events.select(F.col("event_id").cast("int").alias("id"), "value", bronze.DAY)
+    later = events.filter(F.col(bronze.DAY) == last).select(
+        (F.col("event_id") + t.WIDE).alias("id"), "value", F.col("event_type").alias("note"), bronze.DAY
+    )
+    for run, rows, days in (("0", first, None), ("1", later, [last])):
+        overwrite_table(rows, f"{path}/run={run}", "parquet", (bronze.DAY,))
+        publish(spark, path, f"{path}/run={run}", days)
+    current = read_current(spark, path, day=bronze.DAY)
+    return current.select("id", "value", "note", F.col(bronze.DAY).cast("string").alias("day"))
+
+
+def distance_worklist(spark: SparkSession, sf: str) -> DataFrame:
+    """Distances to ask for: employees the cache does not know, one request per address and mode."""
+    hr = reference.clean_hr(t.hr_customers(spark, sf))
+    return reference.distance_requests(hr, t.cache_events(spark, sf))
+
+
+def distance_answered(spark: SparkSession, sf: str) -> DataFrame:
+    """The answers to these requests, given back to every employee who shares one."""
+    hr = reference.clean_hr(t.hr_customers(spark, sf))
+    cache = t.cache_events(spark, sf)
+    answers = t.distance_answers(reference.distance_requests(hr, cache))
+    responses = reference.responses_of_answers(hr, answers)
+    known = reference.with_distance(hr, cache, responses)
+    return known.select("employee_id", "distance_domicile_entreprise_km")
+
+
+def join_multiplicity(spark: SparkSession, sf: str) -> DataFrame:
+    """What a join of activities with a table of many rows per employee would do to their number."""
+    lookup = t.cache_events(spark, sf)
+    return keyed.fan_out(t.hot_orders(spark, sf), lookup, "id_salarie", "employee_id")
+
+
 def silver_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """Silver built in full from half of Bronze, then refreshed for the days of the other half."""
     paths = LakePaths(scratch(spark, "refresh"))
@@ -429,6 +603,17 @@ QUERIES: dict[str, Query] = {
         ingest_validate,
         ingest_store,
         ingest_pipeline,
+        ingest_keyed,
+        gold_daily,
+        gold_colocated,
+        silver_colocated,
+        dq_observed,
+        table_evolution,
+        distance_worklist,
+        distance_answered,
+        join_multiplicity,
+        stream_lots,
+        stream_observed,
         dq_silver,
         dq_issue_total,
         dq_bronze_bounds,

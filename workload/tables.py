@@ -171,6 +171,24 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows of orders, a third of them of one employee."""
+    who = F.when(F.col("id") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("id_salarie"))
+    return bronze_orders(spark, sf_dir).withColumn("id_salarie", who)
+
+
+def distance_answers(requests: DataFrame) -> DataFrame:
+    """Provider answers to distance requests; none for bicycles, and metres told by the address."""
+    metres = F.length("domicile_address").cast("bigint") * 1000
+    status = F.when(F.col("mode_trajet") == "bicycling", "ZERO_RESULTS").otherwise("OK")
+    element = F.struct(status.alias("status"), F.struct(metres.alias("value")).alias("distance"))
+    body = F.struct(
+        F.lit("OK").alias("status"),
+        F.array(F.struct(F.array(element).alias("elements"))).alias("rows"),
+    )
+    return requests.select("domicile_address", "mode_trajet", F.to_json(body).alias("response"))
+
+
 def faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows of orders, of which some end at another time than they say, some have an
     unreadable start and some have no duration."""
@@ -284,7 +302,20 @@ def notification_messages(events: DataFrame) -> DataFrame:
     return with_k(events).select(text.cast("binary").alias("value"))
 
 
-def ingest_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def keyed_bodies(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
+    """Posted bodies of which some have no id, all click events have the same one, and the ids of
+    view events are ``shift`` further on."""
+    kind, own = F.col("event_type"), F.col("event_id") + WIDE
+    key = (
+        F.when(F.col("k") == 5, F.lit(None).cast("bigint"))
+        .when(kind == "click", F.lit(7).cast("bigint"))
+        .when(kind == "view", own + shift)
+        .otherwise(own)
+    )
+    return ingest_bodies(spark, sf_dir, key)
+
+
+def ingest_bodies(spark: SparkSession, sf_dir: str, key: Column | None = None) -> DataFrame:
     """Posted JSON bodies: complete, with missing keys, null values or unreadable ones."""
     kind = F.col("event_type")
     start = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
@@ -310,6 +341,7 @@ def ingest_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(kind == "view", with_nulls).when(
         (kind == "purchase") & (F.col("k") == 13), F.lit("not json")
     )
+    own = F.col("event_id") + WIDE if key is None else key
     return with_k(table(spark, sf_dir, "events")).select(
-        (F.col("event_id") + WIDE).alias("id"), F.coalesce(text, F.to_json(body)).alias("body")
+        own.alias("id"), F.coalesce(text, F.to_json(body)).alias("body")
     )
