@@ -12,10 +12,13 @@ comes first. The search of one sequence ends at a filling without waste or after
 steps with the best found. A filling is repeated while its lengths last, so that every step uses
 up a length.
 
-Where that plan misses the lower bound and there are at most ``DEEPEST`` lengths, a second search
-branches over the fillings of the largest length, repeated as often as they go or taken once, with
-the plan as incumbent, and prunes by the lower bound of the pieces left. It ends at the bound or
-after ``max_plans`` states with the best plan found.
+Where that plan misses the lower bound, its sequences are searched again, those that waste most first,
+in groups that hold ``DEEPEST`` lengths at most (a plan with no more lengths is one group). A group
+is worth it if it wastes a sequence's room and lies above its own lower bound. The search branches over
+the fillings of the largest length, repeated as often as they go or taken once, with the group's
+sequences as incumbent, and prunes by the lower bound of the pieces left. It ends at the bound; after
+``max_plans`` states in all, or when no group can be bettered, the best plan found stands. ``Plan.gap``
+tells how many sequences it lies above the bound of any packing.
 
 Pieces then get numbers within their length (counted in chunks, so that a length with a third of
 all pieces is spread over all tasks) and look up their place in the plan.
@@ -44,7 +47,7 @@ from activlake.llm.tokens import encode, vocabulary_path
 
 CAPACITY = 2048
 END_ID = 0
-#: Lengths up to which whole plans are searched; with more, only single sequences are.
+#: Lengths of a group of sequences that is searched as a whole.
 DEEPEST = 64
 
 
@@ -130,6 +133,11 @@ class Plan:
     sequences: int
     bound: int
 
+    @property
+    def gap(self) -> int:
+        """Sequences above the lower bound; with 0 the plan is known to be the best."""
+        return self.sequences - self.bound
+
     def place(self, lengths: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(_key(self.length, self.first_rank), _key(lengths, ranks), "right") - 1
         return self.first_sequence[at] + ranks - self.first_rank[at], self.offset[at]
@@ -159,8 +167,7 @@ def _fillings(room: int, left: dict[int, int], lengths: list[int], steps: int) -
             out = min(skipped, x) if n < left[x] else skipped
             extend(at - 1, rest - n * x, chosen + [x] * n, out)
 
-    if len(lengths) <= DEEPEST:
-        extend(len(lengths) - 1, room, [], room + 1)
+    extend(len(lengths) - 1, room, [], room + 1)
     return [chosen for _, chosen in sorted(found, key=lambda f: f[0])]
 
 
@@ -188,9 +195,10 @@ def _complete(
 
 def _search(
     counts: dict[int, int], capacity: int, best: list[tuple[list[int], int]], max_plans: int
-) -> list[tuple[list[int], int]]:
+) -> tuple[list[tuple[list[int], int]], int]:
     """Branch over the fillings of the largest length, each as often as it goes and once, with
-    ``best`` as incumbent; ends at the bound or after ``max_plans`` states."""
+    ``best`` as incumbent; ends at the bound or after ``max_plans`` states. Also returns how many
+    of these are left."""
     fewest, bound = sum(n for _, n in best), lower_bound(counts, capacity)
     seen: dict[tuple, int] = {}
 
@@ -227,7 +235,46 @@ def _search(
         path.append(option)
         used = total
         stack.append((after, children(after)))
-    return best
+    return best, max_plans
+
+
+def _improve(
+    patterns: list[tuple[list[int], int]], capacity: int, bound: int, max_plans: int
+) -> list[tuple[list[int], int]]:
+    """Search groups of sequences anew, the most wasteful first, while the plan misses its bound."""
+
+    def waste(pattern: tuple[list[int], int]) -> int:
+        return capacity - sum(pattern[0])
+
+    # A piece beside which not even the smallest fits is alone in any packing.
+    least = min(x for pattern, _ in patterns for x in pattern)
+    fixed = [p for p in patterns if len(p[0]) == 1 and p[0][0] + least > capacity]
+    bound -= sum(n for _, n in fixed)
+    best = [p for p in patterns if len(p[0]) > 1 or p[0][0] + least <= capacity]
+    best.sort(key=waste, reverse=True)
+    start = 0
+    while start < len(best) and max_plans > 0 and sum(n for _, n in best) > bound:
+        lengths: set[int] = set()
+        stop = start
+        while stop < len(best) and len(lengths | set(best[stop][0])) <= max(DEEPEST, len(best[start][0])):
+            lengths |= set(best[stop][0])
+            stop += 1
+        group = best[start:stop]
+        if sum(waste(p) * p[1] for p in group) < capacity and start == 0 and stop == len(best):
+            break
+        counts: Counter = Counter()
+        for pattern, times in group:
+            for x in pattern:
+                counts[x] += times
+        found, max_plans = _search(dict(counts), capacity, group, max_plans)
+        if sum(n for _, n in found) < sum(n for _, n in group):
+            best = sorted([*best[:start], *found, *best[stop:]], key=waste, reverse=True)
+            start = 0
+        elif stop == len(best):
+            break
+        else:
+            start += max(1, (stop - start) // 2)
+    return fixed + best
 
 
 def make_plan(
@@ -236,12 +283,12 @@ def make_plan(
     max_nodes: int = 4_000,
     max_plans: int = 5_000,
 ) -> Plan:
-    """The completion of the largest lengths in turn and, where it misses the bound, the best plan
-    of a branch and bound over the fillings; that one is for at most ``DEEPEST`` lengths."""
+    """The completion of the largest lengths in turn and, where it misses the bound, what a branch and
+    bound over the fillings makes of its sequences."""
     left = {int(x): int(c) for x, c in counts.items() if c > 0}
-    patterns = _complete(left, capacity, max_nodes)
-    if len(left) <= DEEPEST and sum(n for _, n in patterns) > lower_bound(left, capacity):
-        patterns = _search(left, capacity, patterns, max_plans)
+    patterns, bound = _complete(left, capacity, max_nodes), lower_bound(left, capacity)
+    if sum(n for _, n in patterns) > bound:
+        patterns = _improve(patterns, capacity, bound, max_plans)
     ranks = dict.fromkeys(left, 0)
     slots, sequences = [], 0
     for pattern, times in patterns:
@@ -253,9 +300,7 @@ def make_plan(
         sequences += times
     slots.sort()
     columns = np.array(slots, dtype=np.int64).reshape(-1, 4).T
-    return Plan(
-        columns[1], columns[0], columns[2], columns[3], sequences, lower_bound(counts, capacity)
-    )
+    return Plan(columns[1], columns[0], columns[2], columns[3], sequences, bound)
 
 
 def pieces(

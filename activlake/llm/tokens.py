@@ -2,7 +2,8 @@
 
 A file is named by its path, which is a parameter; every worker process reads it once.
 ``*.tiktoken`` files hold ranks; a ``*.json`` file is read for its vocabulary and encodes through
-the same ranks, which gives the ids of its own library (tested) several times faster.
+the same ranks, which gives the ids of its own library (tested) several times faster. As there, the
+string of an added token of the file, such as ``<|endoftext|>``, is that one token wherever it stands.
 """
 
 from __future__ import annotations
@@ -31,36 +32,45 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def _ranks(path: str) -> dict[bytes, int]:
+def _ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Ranks of the ordinary tokens and ids of the added ones."""
     if path.endswith(".tiktoken"):
         lines = (line.split() for line in Path(path).read_bytes().splitlines() if line)
-        return {base64.b64decode(token): int(rank) for token, rank in lines}
+        return {base64.b64decode(token): int(rank) for token, rank in lines}, {}
     model = json.loads(Path(path).read_text(encoding="utf-8"))
-    special = {t["content"] for t in model.get("added_tokens", ())}
+    added = {t["content"]: t["id"] for t in model.get("added_tokens", ())}
     letters = _byte_letters()
     return {
         bytes(letters[c] for c in token): rank
         for token, rank in model["model"]["vocab"].items()
-        if token not in special
-    }
+        if token not in added
+    }, added
 
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
     """The encoder of a vocabulary file and the byte length of every token."""
-    ranks = _ranks(path)
-    lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+    ranks, added = _ranks(path)
+    lengths = np.zeros(max([*ranks.values(), *added.values()]) + 1, dtype=np.int64)
     for token, rank in ranks.items():
         lengths[rank] = len(token)
+    for token, rank in added.items():
+        lengths[rank] = len(token.encode())
     found = tiktoken.Encoding(
-        Path(path).name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        Path(path).name,
+        pat_str=public_tokenizers.PATTERN,
+        mergeable_ranks=ranks,
+        special_tokens=added,
     )
     return found, lengths
 
 
 def encode(text: str, path: str) -> np.ndarray:
-    """Ids of a whole text; strings of special tokens are ordinary text."""
-    return np.asarray(encoder(path)[0].encode_to_numpy(text, disallowed_special=()), dtype=np.int64)
+    """Ids of a whole text."""
+    found = encoder(path)[0]
+    added = {token for token in found.special_tokens_set if token in text}
+    ids = found.encode_to_numpy(text, allowed_special=added, disallowed_special=())
+    return np.asarray(ids, dtype=np.int64)
 
 
 def char_spans(text: str, ids: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:

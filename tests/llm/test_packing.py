@@ -10,7 +10,6 @@ from activlake.llm.packing import cut, lower_bound, make_plan, pack, sequences
 from activlake.llm.tokens import vocabulary_path
 
 TOKENIZER = Tokenizer.from_file(vocabulary_path())
-TOKENIZER.encode_special_tokens = True
 
 
 def placed(counts, capacity, **options):
@@ -132,3 +131,27 @@ def test_small_plans_have_the_fewest(seed):
     rng = random.Random(1000 + seed)
     lengths = [rng.randint(3, 18) for _ in range(rng.randint(6, 11))]
     assert placed(dict(Counter(lengths)), 30).sequences == fewest(lengths, 30)
+
+
+def test_plans_of_many_lengths_are_searched_too():
+    hard = {1020: 1, 884: 3, 680: 1, 544: 2, 408: 1}
+    assert placed(hard, 2048).sequences == 3
+    alone = {n: 1 for n in range(1988, 2048)}  # 60 pieces that nothing fits beside
+    plan = placed({**hard, **alone}, 2048)
+    assert plan.sequences == 63 and plan.gap == 0
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_hard_pieces_among_many_lengths_have_the_fewest(seed):
+    rng = random.Random(50 + seed)
+    pieces = [rng.randint(300, 1200) for _ in range(9)]
+    many = {n: rng.randint(1, 3) for n in range(1800, 2049)}  # 249 lengths beside which none fits
+    plan = placed({**many, **Counter(pieces)}, 2048)
+    assert plan.sequences == sum(many.values()) + fewest(pieces, 2048)
+
+
+def test_ids_are_those_of_the_library():
+    from activlake.llm.tokens import encode
+
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext|", "<|end"):
+        assert encode(text, vocabulary_path()).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids

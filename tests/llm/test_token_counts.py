@@ -9,7 +9,6 @@ from activlake.llm.tokens import char_spans, encode, vocabulary_path
 
 PATH = vocabulary_path()
 TOKENIZER = Tokenizer.from_file(PATH)
-TOKENIZER.encode_special_tokens = True
 
 
 @settings(max_examples=150, deadline=None)
@@ -25,8 +24,12 @@ def test_ids_and_offsets_equal_the_tokenizers_library(text):
 def test_special_strings_and_both_files_of_the_vocabulary():
     text = "<|endoftext|> It's 12 o'clock\n\n  🙂🙂 naïve"
     assert encode(text, PATH).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
-    other = vocabulary_path("byte_bpe_50k.tiktoken")
-    assert encode(text, PATH).tolist() == encode(text, other).tolist()
+    assert 50256 in encode(text, PATH).tolist()
+    starts, ends = char_spans(text, encode(text, PATH), PATH)
+    assert (starts[0], ends[0]) == (0, 13)
+    other, plain = vocabulary_path("byte_bpe_50k.tiktoken"), text.replace("<|endoftext|>", "<|end|>")
+    assert encode(plain, PATH).tolist() == encode(plain, other).tolist()
+    assert 50256 not in encode(text, other).tolist()  # this file has no added tokens
 
 
 def test_rules_for_tokens_that_cross():
