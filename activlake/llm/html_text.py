@@ -9,13 +9,13 @@ characters per tag:
 with C characters and T tags of the subtree, LC and LT those inside links (zeros count as one).
 A node's sum is the sum of its children's densities. The threshold of a page is the smallest
 density on the path from its densest node to the body; of the nodes that reach it, the one with the
-largest sum is selected, together with the article or main element around it. Elements that are
-never article text (menus, headers and footers of the page, side bars, notices, adverts, forms,
-scripts, comments), told by tag, role or whole names in class or id, are left out of the tree
-beforehand, unless a form or a named element is the one around the page's text. Of sibling articles
-all that reach the threshold are returned. Nothing else
-of a selected article or main element is dropped; of another subtree, blocks of several links below
-the threshold are (menus without a name), but no headings, paragraphs, list items and cells.
+largest sum is selected. If it lies in an article or main element, or if such elements hold at least
+``SHARE`` of its unlinked text, all outermost articles of the page are returned in page order, else
+the selected subtree. Elements that are never article text (menus, headers and footers of the page,
+side bars, notices, adverts, forms, scripts, comments), told by tag, role or names in class or id, are
+left out of the tree beforehand, unless a form or a named element is the one around the page's text.
+Nothing else of an article or main element is dropped; of another subtree, blocks of several links
+below the threshold are (menus without a name), but no headings, paragraphs, list items and cells.
 
 One page is one row and one call; pages are dealt by the scan, nothing is shuffled.
 
@@ -86,6 +86,15 @@ NEVER_MOST = frozenset(
     "ad ads adv advert adverts advertisement advertising comment comments consent cookie cookies "
     "disqus gdpr replies reply respond responses".split()
 )
+#: Names of reader comments, alone or beside any other word, as in ``user-comments``.
+COMMENTS = frozenset("comment comments replies".split())
+#: Words that make such a name tell about an article, as in ``has-comments`` or ``comments-closed``.
+ABOUT_COMMENTS = frozenset(
+    "has have with no not without allow allows allowed open opened closed enabled disabled count "
+    "counter number total can show hide".split()
+)
+#: Articles are returned if they hold at least this share of the densest part's unlinked text.
+SHARE = 0.25
 ARTICLE_HINTS = frozenset("article content entry main post story".split())
 #: A start tag ends open elements of these kinds within the nearest barrier.
 ENDS = {
@@ -129,31 +138,33 @@ def _never_text(tag: str, attributes: str, in_article: bool) -> tuple[bool, froz
             if value != "form":
                 return True, frozenset()
             named.add(value)
-        if name in ("class", "id") and tag not in HOLDS_ARTICLE:
+        if name in ("class", "id"):
             for token in value.split():
                 said = set(re.split(r"[-_]+", token)) - {""}
-                hints = said & NEVER_HINTS
-                if said <= NEVER_HINTS | BESIDE_HINTS and not (
+                if said & COMMENTS and not said & ABOUT_COMMENTS:
+                    named.add("comments")
+                if tag in HOLDS_ARTICLE:
+                    named |= {"comments"} if said == {"reply"} else set()
+                elif said <= NEVER_HINTS | BESIDE_HINTS and not (
                     said & ARTICLE_HINTS and said & {"header"}
                 ):
-                    named |= hints
-        elif name in ("class", "id"):
-            if {"comment", "comments", "reply"} & set(re.split(r"[-_\s]+", value)):
-                return True, frozenset()
+                    named |= said & NEVER_HINTS
     return False, frozenset(named)
 
 
 def _settle(root: Node) -> None:
     """Drop the elements that hints name, except the one around the page's article: it holds an
-    article or main with no less text than those outside of such elements or, without any of
-    these, most of the page's unlinked text."""
+    article or main, itself without a hint, with no less text than those outside of such elements
+    or, without any of these, most of the page's unlinked text. An article that is named as a
+    comment is one unless the page has no other."""
     order = _in_order(root)
     if not any(n.named for n in order):
         return
     text = {id(n): n.chars - n.link_chars for n in order}
     held: dict[int, int] = dict.fromkeys(text, 0)
+    only = not any(n.tag in HOLDS_ARTICLE and not n.named for n in order)
     for n in reversed(order):
-        if n.tag in HOLDS_ARTICLE:
+        if n.tag in HOLDS_ARTICLE and (only or not n.named):
             held[id(n)] = max(held[id(n)], text[id(n)])
         if n.parent is not None:
             text[id(n.parent)] += text[id(n)]
@@ -275,37 +286,30 @@ def measure(root: Node) -> list[Node]:
 
 
 def select(root: Node) -> tuple[Node, float]:
-    """The subtree with the main text and the page's threshold."""
+    """The subtree with the largest sum of those that reach the page's threshold, and that."""
     order = measure(root)
-    holders = [n for n in order if n.tag in HOLDS_ARTICLE and n.chars]
-    allowed = order
-    if holders:
-        held = set(map(id, holders))
-        allowed = []
-        for n in order:  # parents come first
-            if id(n) in held or (n.parent is not None and id(n.parent) in held):
-                held.add(id(n))
-                allowed.append(n)
-    densest = max(allowed, key=lambda n: n.density)
+    densest = max(order, key=lambda n: n.density)
     threshold, node = densest.density, densest
     while node is not None:
         threshold, node = min(threshold, node.density), node.parent
-    best = max((n for n in allowed if n.density >= threshold), key=lambda n: n.total)
-    outer = node = best
-    while node is not None:
-        if node.tag in HOLDS_ARTICLE:
-            outer = node
-        node = node.parent
-    return outer, threshold
+    return max((n for n in order if n.density >= threshold), key=lambda n: n.total), threshold
 
 
-def parts_of_text(node: Node, threshold: float) -> list[Node]:
-    """The selected subtree or, if it is one of several sibling articles, all that reach the
-    threshold, in page order."""
-    if node.tag not in HOLDS_ARTICLE or node.parent is None:
-        return [node]
-    beside = (n for n in node.parent.children() if n.tag in HOLDS_ARTICLE and n.chars)
-    return [n for n in beside if n is node or (not n.dropped and n.density >= threshold)]
+def articles(root: Node, best: Node) -> list[Node]:
+    """The outermost articles of the page in page order, if the selected subtree lies in one of them
+    or they hold enough text beside it; else none."""
+    found, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if node.tag in HOLDS_ARTICLE and node.chars:
+            found.append(node)
+        else:
+            stack.extend(c for c in reversed(list(node.children())) if not c.dropped)
+    node: Node | None = best
+    while node is not None and node.tag not in HOLDS_ARTICLE:
+        node = node.parent
+    text = sum(n.chars - n.link_chars for n in found)
+    return found if node is not None or text >= SHARE * (best.chars - best.link_chars) else []
 
 
 def _menu(node: Node, threshold: float) -> bool:
@@ -336,8 +340,9 @@ def main_text(page: str | None) -> str:
     """The main text of one page."""
     if not page:
         return ""
-    node, threshold = select(parse(page))
-    parts = parts_of_text(node, threshold)
+    root = parse(page)
+    node, threshold = select(root)
+    parts = articles(root, node) or [node]
     return " ".join(b for part in parts for b in _blocks(part, threshold) if b)
 
 

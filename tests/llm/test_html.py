@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from activlake.llm.html_text import extract, main_text, op8_html_text, parse, select
+from activlake.llm.html_text import extract, main_text, measure, op8_html_text, parse, select
 
 PAGES = {
     "": "",
@@ -123,3 +123,100 @@ def test_sibling_articles_are_all_returned_in_page_order():
     one, two = f"<article><p>{first}</p></article>", f"<article>{STORY}</article>"
     page = f"<body><nav><a href=/>Home</a></nav>{one}<div class=ads>Buy</div>{two}</body>"
     assert main_text(page) == f"{first} {SAID}"
+
+
+@pytest.mark.parametrize("named", ["post has-comments", "comments-closed", "entry no-comments", "comment"])
+def test_an_article_that_tells_about_its_comments_stays(named):
+    page = f"<body><nav><a href=/>Home</a></nav><article class='{named}'>{STORY}</article></body>"
+    assert main_text(page) == SAID
+
+
+@pytest.mark.parametrize("named", ["user-comments", "reader-comments", "comments-2", "story_comments_list"])
+@pytest.mark.parametrize("tag", ["div", "section", "article"])
+def test_reader_comments_go_whatever_else_their_name_says(named, tag):
+    long = "<p>What a long and thoughtful comment, longer than anything.</p>" * 20
+    inside = f"<body><article>{STORY}<{tag} class='{named}'>{long}</{tag}></article></body>"
+    beside = f"<body><article>{STORY}</article><{tag} id='{named}'>{long}</{tag}></body>"
+    nested = f"<body><article>{STORY}<div class='{named}'><article>{long}</article></div></article></body>"
+    assert main_text(inside) == main_text(beside) == main_text(nested) == SAID
+
+
+def test_articles_in_two_wrappers_and_short_ones_are_returned():
+    short = "<article><p>Short.</p></article>"
+    page = f"<body><div><article>{STORY}</article></div><div class=x>{short}</div></body>"
+    assert main_text(page) == f"{SAID} Short."
+    page = f"<body><div>{short}</div><section><div><article>{STORY}</article></div></section></body>"
+    assert main_text(page) == f"Short. {SAID}"
+
+
+def test_density_decides_where_articles_hold_little():
+    teaser = "<article><p>Read on.</p></article>"
+    assert main_text(f"<body>{teaser}<div>{STORY}</div></body>") == SAID
+    enough = "<article><p>A short article, though it is no teaser: it has a text of its own.</p></article>"
+    assert main_text(f"<body>{enough}<div><p>{'Advert text. ' * 8}</p></div></body>").startswith("A short")
+
+
+def brute(node):
+    """Characters, tags and both within links of every element, from the tree alone."""
+    chars = len("".join(p for p in node["text"]).replace(" ", ""))
+    total = [chars, 0, chars if node["tag"] == "a" else 0, 0]
+    for child in node["children"]:
+        own = brute(child)
+        total[0] += own[0]
+        total[1] += own[1] + 1
+        total[2] += own[0] if node["tag"] == "a" else own[2]
+        total[3] += own[3] + (child["tag"] == "a")
+    node["counts"] = total
+    return total
+
+
+def test_densities_against_the_formula():
+    """A small DOM, its counts taken by recursion and the formula written out."""
+    from html.parser import HTMLParser
+    from math import e, log
+
+    page = (
+        "<body><div><a>Home</a><a>News and more</a></div><div><p>One paragraph of plain words.</p>"
+        "<p>Another, with <a>a link</a> and <b>bold</b> words.</p><div><p>Deep.</p></div></div></body>"
+    )
+    root = {"tag": "body", "text": [], "children": []}
+    stack = [root]
+
+    class Tree(HTMLParser):
+        def handle_starttag(self, tag, attributes):
+            if tag != "body":
+                stack[-1]["children"].append({"tag": tag, "text": [], "children": []})
+                stack.append(stack[-1]["children"][-1])
+
+        def handle_endtag(self, tag):
+            if tag != "body":
+                stack.pop()
+
+        def handle_data(self, data):
+            stack[-1]["text"].append(data)
+
+    Tree().feed(page)
+    brute(root)
+    c_body, _, lc_body, _ = root["counts"]
+
+    def density(node):
+        c, t, lc, lt = node["counts"]
+        base = log(c * lc / max(c - lc, 1) + lc_body * c / c_body + e)
+        return c / max(t, 1) * max(log(c * max(t, 1) / (max(lc, 1) * max(lt, 1))), 0) / base
+
+    def blocks(node):
+        return [c for c in node["children"] if c["tag"] not in ("a", "b")]
+
+    def walk(mine, node):
+        assert (mine.tag, mine.chars, mine.tags) == (node["tag"], node["counts"][0], node["counts"][1])
+        assert (mine.link_chars, mine.link_tags) == tuple(node["counts"][2:])
+        assert mine.density == pytest.approx(density(node))
+        inner = [density(x) for x in blocks(node)]
+        assert mine.total == pytest.approx(sum(inner) or density(node))
+        for own, other in zip(mine.children(), blocks(node), strict=True):
+            walk(own, other)
+
+    tree = parse(page)
+    measure(tree)
+    walk(tree, root)
+    assert main_text(page) == "One paragraph of plain words. Another, with a link and bold words. Deep."
