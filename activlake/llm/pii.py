@@ -2,7 +2,9 @@
 
 Base kinds (email, ip, card, phone) are patterns with exact checks. Beyond them the texts are
 searched for candidates: long mixed identifiers (``secret``), national numbers, local phone
-numbers, account numbers, and base matches that failed their check. Labelers vote on every
+numbers, account numbers, and base matches of ten characters or more that failed their check (digit
+runs: of ten digits or more). All of these hold digits: names, addresses and secrets without a digit
+are not looked for. Labelers vote on every
 candidate with 1, 0 or abstain (-1): patterns look at its shape, gazetteers at the words before
 it, context rules at the characters around it. Expectation-maximisation over the vote patterns
 estimates how reliable each labeler is and how likely each pattern is personal; a logistic
@@ -39,7 +41,7 @@ BASE = {
         "@",
     ),
     "ip": (r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]"),
-    "card": (r"[0-9](?:[\x20-]?[0-9])++", r"[0-9](?:[\x20-]?[0-9]){13}"),
+    "card": (r"[0-9](?:[\x20-]?[0-9])++", r"[0-9](?:[\x20-]?[0-9]){9}"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
 }
 CANDIDATE = "|".join(
@@ -194,11 +196,14 @@ def _searched(documents: DataFrame, text: str, kept: dict[str, str]) -> DataFram
     named = "named_struct('start', x.start, 'end', x.end, 'value', x.value, 'before', x.before, 'after', x.after, 'kind', {})"
     failed = [
         F.expr(
-            f"transform(filter({k}, x -> length(x.value) > 9 AND NOT ({_valid(k)})"
+            f"transform(filter({k}, x -> {size} > 9 AND NOT ({_valid(k)})"
             " AND NOT (x.before RLIKE '[A-Za-z0-9]$' OR x.after RLIKE '^[A-Za-z0-9]')),"
             f" x -> {named.format(repr('failed'))})"
         )
-        for k in ("card", "phone")
+        for k, size in (
+            ("card", "length(regexp_replace(x.value, '[^0-9]', ''))"),
+            ("phone", "length(x.value)"),
+        )
     ]
     df = once(
         df.select(

@@ -132,3 +132,11 @@ def test_redaction_keeps_rows_and_columns(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert find(df).count() == redact(df).count() == 0
+
+
+def test_failed_numbers_are_candidates_whatever_else_the_text_holds(spark):
+    texts = ["phone: 5551234567", "phone: 5551234567 and 12345678901234", "n 1234567890123", "n 123456789", "1 2 3 4 5 6"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(c.kind, c.start, c.end) for c in r.candidates] for r in candidates(df).collect()}
+    assert got[0] == [("failed", 7, 17)] and got[0][0] in got[1]
+    assert got[2] == [("failed", 2, 15)] and got[3] == got[4] == []
