@@ -1,29 +1,24 @@
 """Language-model scoring by prediction by partial matching over bytes.
 
 A text is its lower-cased tokens (A to Z; words between white space) and one end. A token is coded
-as its bytes and a closing space, the end as a line feed. In ``score_in_context``, which the query
-calls, a context is the last ``order`` bytes of the text whatever tokens they belong to; a text
-starts in the context of one space. In ``score`` contexts never reach beyond the space before a
-token, so that a text scores the same in any order of its tokens.
+as its bytes and a closing space, the end as a line feed. A context is the last ``order`` bytes of the
+text whatever tokens they belong to; a text starts in the context of one space.
 
 The trie is a table: the count of every byte string of up to ``order + 1`` bytes in the training
 texts. A symbol with count n in a context with T symbols in all and D distinct ones has
 probability (2n - 1) / 2T, the escape D / 2T (method D). After an escape the context loses its
 first byte, and the symbols seen in the longer context are excluded from the counts of the shorter
 one; as the seen sets are nested, these remainders are two numbers for each context. Below the empty context
-all bytes not yet seen are equally likely. The probabilities of the tokens sum to one.
+all bytes not yet seen are equally likely. The probabilities of the texts sum to one.
 
-Jobs of ``score_in_context``: count tokens (for the base score) and windows, which are a context and
-its symbol (partial counts in the tasks; a window of up to seven bytes and its length are one 64-bit
-key); count the suffixes of the windows; join the table with itself for totals and remainders; walk
-the escape chain for windows that training never saw; and sum over each document. At most
-``window_head`` of the windows, the most frequent ones, travel with the tasks.
-
-Jobs of ``score``: count tokens; count byte strings of the vocabulary; join the table with its own
-suffixes; walk the escape chains; sum over each token; and sum over each document. In its sums, what makes up
-at least one part in ``head`` of all rows (so at most ``head`` strings or tokens) travels with the
-tasks, and only rarer ones are shuffled: most rows never move, and no frequent key is hot. All
-tables grow with the corpus, stay in Spark and are written to the shared folder between the jobs.
+Jobs: count tokens (for the base score) and windows, which are a context and its symbol (a window of
+up to seven bytes and its length are one 64-bit key; a task sorts slabs of windows and merges their
+counts before it hands them on); count the suffixes of the windows; join the table with itself for
+totals and remainders; walk the escape chain for windows that training never saw; and sum over each
+document. The most frequent windows (``window_head`` at most) and tokens (what makes up at least one
+part in ``head`` of all, so ``head`` at most) travel with the tasks, and only rarer ones are shuffled:
+most rows never move, and no frequent key is hot. All tables grow with the corpus, stay in Spark and
+are written to the shared folder between the jobs.
 
 Edge cases: a null, empty or blank text is the end alone; rows with a null id are training rows;
 repeated rows are scored each; with no training rows all bytes are equally likely and the base
@@ -38,11 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from activlake.llm.common import by_name, crc32_mod, once, stored, table
+from activlake.llm.common import by_name, crc32_mod, stored, table
 
 ORDER = 6
 HEAD = 400_000
@@ -53,8 +48,11 @@ MOST_COUNTED = 500_000
 LONGEST = 64
 #: Windows that travel with the tasks, 16 bytes each.
 WINDOW_HEAD = 2_000_000
-#: Bytes of text whose windows are made at once, and windows that are sorted at once.
-SLICE, SLAB = 1 << 20, 1 << 21
+#: Bytes of text whose windows are made at once, windows that are sorted at once, and rows of a batch
+#: that are held as Python objects at once.
+SLICE, SLAB, ROWS = 1 << 18, 1 << 21, 512
+#: Counts of windows that a task holds before it merges them and, if most are distinct, hands them on.
+MOST_WINDOWS = 1 << 21
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -71,9 +69,9 @@ def vocabulary(documents: DataFrame, text: str, training: Column) -> DataFrame:
         other: Counter = Counter()
 
         def counted() -> pa.RecordBatch:
-            words = list(learned.keys() | other.keys())
-            c = [learned[w] for w in words]
-            n = [x + other[w] for x, w in zip(c, words, strict=True)]
+            words = [*learned, *other]  # a token of both has two rows
+            c = [*learned.values(), *(0 for _ in other)]
+            n = [*learned.values(), *other.values()]
             learned.clear(), other.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.binary()), pa.array(c, pa.int64()), pa.array(n, pa.int64())],
@@ -101,103 +99,6 @@ def often_used(head: int, total: int) -> Column:
     return (F.col("n") * head >= total) & (F.octet_length("word") <= LONGEST)
 
 
-def closed(word: bytes) -> bytes:
-    """The bytes of a coded token, with the space before it."""
-    return b" " + word if word == END else b" " + word + b" "
-
-
-def _strings(words: DataFrame, order: int) -> DataFrame:
-    """The longest byte string (context and symbol) at every place of every token."""
-    whole = F.expr("CASE WHEN word = X'0A' THEN X'200A' ELSE concat(X'20', word, X'20') END")
-    cut = (
-        "transform(sequence(2, octet_length(b)), i -> substring(b, greatest(1, i - {k}),"
-        " least({k}, i - 1) + 1))"
-    )
-    return once(words, b=whole).select(
-        *words.columns, F.explode(F.expr(cut.format(k=order))).alias("g")
-    )
-
-
-def trie(vocab: DataFrame, order: int = ORDER) -> DataFrame:
-    """``g``, ``n`` and ``k``: every context followed by a symbol, of all lengths, with its count
-    and with the number of places of distinct tokens where it is the longest string."""
-    longest = (
-        _strings(vocab.where("c > 0").select("word", "c"), order)
-        .groupBy("g")
-        .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("k"))
-    )
-    suffixes = F.expr("transform(sequence(1, octet_length(g)), j -> substring(g, j))")
-    return (
-        longest.select(F.posexplode(suffixes).alias("j", "g"), "n", "k")
-        .groupBy("g")
-        .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("j") == 0, F.col("k")).otherwise(0)).alias("k"))
-    )
-
-
-def placed(grams: DataFrame) -> DataFrame:
-    """The strings with the totals of their context: ``t`` symbols, ``d`` distinct ones, and ``s``,
-    the count of these in the next shorter context. A context has 256 strings at most."""
-    split = grams.select(
-        "g",
-        "n",
-        "k",
-        F.expr("substring(g, 1, octet_length(g) - 1)").alias("ctx"),
-        F.expr("substring(g, 2)").alias("shorter"),
-    )
-    below = grams.select(F.col("g").alias("shorter"), F.col("n").alias("n_shorter"))
-    of = Window.partitionBy("ctx")
-    return (
-        split.join(below, "shorter", "left")  # of one byte, the shorter one is empty: no match
-        .withColumns(
-            {
-                "t": F.sum("n").over(of),
-                "d": F.count(F.lit(1)).over(of),
-                "s": F.coalesce(F.sum("n_shorter").over(of), F.lit(0)),
-                "first": F.row_number().over(of.orderBy("g")) == 1,
-            }
-        )
-        .select("g", "n", "k", "ctx", "t", "d", "s", "first")
-    )
-
-
-def contexts(strings: DataFrame) -> DataFrame:
-    """``ctx`` with its totals ``t`` and ``d``, and ``tx`` and ``dx``: what the next shorter
-    context holds besides the symbols seen in this one."""
-    own = strings.where("first").select("ctx", "t", "d", "s")
-    shorter = own.select(
-        F.col("ctx").alias("shorter"), F.col("t").alias("t_below"), F.col("d").alias("d_below")
-    )
-    remainders = (
-        own.where("octet_length(ctx) > 0")
-        .withColumn("shorter", F.expr("substring(ctx, 2)"))
-        .join(shorter, "shorter", "left")
-        .select(
-            "ctx",
-            "t",
-            "d",
-            (F.col("t_below") - F.col("s")).alias("tx"),
-            (F.col("d_below") - F.col("d")).alias("dx"),
-        )
-    )
-    zero = F.lit(0).cast("long")
-    return remainders.union(own.where("octet_length(ctx) = 0").select("ctx", "t", "d", zero, zero))
-
-
-def _novel(strings: DataFrame, grams: DataFrame, held: DataFrame) -> DataFrame:
-    """``g`` and ``lp`` of strings that training never saw, along their escape chains."""
-    links = strings.select(
-        F.col("g").alias("whole"),
-        F.posexplode(
-            F.expr("transform(sequence(1, octet_length(g)), j -> substring(g, j))")
-        ).alias("j", "g"),
-    ).withColumn("ctx", F.expr("substring(g, 1, octet_length(g) - 1)"))
-    chain = (
-        links.join(grams, "g", "left")
-        .join(held, "ctx", "left")
-    )
-    return _walked(chain)
-
-
 def _walked(links: DataFrame) -> DataFrame:
     """``g`` and ``lp`` from the strings and contexts along the escape chain of each ``whole``."""
     chain = links.groupBy("whole").agg(
@@ -226,206 +127,6 @@ def _walked(links: DataFrame) -> DataFrame:
     return chain.select(F.col("whole").alias("g"), F.expr(walk).alias("lp"))
 
 
-def _batch(ids: list[int], keys: list[bytes], lps: list[float]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(lps, pa.float64())],
-        names=["id", "g", "own"],
-    )
-
-
-def word_scores(vocab: DataFrame, order: int = ORDER, head: int = HEAD) -> DataFrame:
-    """``word``, ``c``, ``n`` and ``lp``, the log10 probability of the token; ``vocab`` is stored
-    with a number ``id`` for each token."""
-    strings = stored(placed(stored(trie(vocab, order), "lm_trie")), "lm_strings")
-    unseen = (
-        _strings(vocab.where("c = 0").select("word"), order)
-        .select("g")
-        .distinct()
-        .join(strings.select("g"), "g", "left_anti")
-    )
-    known = strings.select(
-        "g", "k", (F.log10(2 * F.col("n") - 1) - F.log10(2 * F.col("t"))).alias("lp")
-    )
-    novel = _novel(unseen, strings.select("g", "n"), contexts(strings)).select(
-        "g", F.lit(0).cast("long").alias("k"), "lp"
-    )
-    places = strings.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first().k
-    frequent = (F.col("k") > 0) & (F.col("k") * head >= places)  # at most ``head`` strings
-    top = known.where(frequent).select("g", "lp").toPandas()
-    common = {bytes(g): lp for g, lp in zip(top["g"], top["lp"], strict=True)}
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, keys, lps = [], [], []
-            for number, word in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
-                b, total = closed(word), 0.0
-                for i in range(1, len(b)):
-                    g = b[max(0, i - order) : i + 1]
-                    lp = common.get(g)
-                    if lp is None:
-                        ids.append(number), keys.append(g), lps.append(0.0)
-                    else:
-                        total += lp
-                # No string starts with two spaces: this key joins nothing and spreads well.
-                ids.append(number), keys.append(b"  %d" % number), lps.append(total)
-                if len(ids) > MOST_COUNTED:
-                    yield _batch(ids, keys, lps)
-                    ids, keys, lps = [], [], []
-            yield _batch(ids, keys, lps)
-
-    summed = (
-        vocab.select("id", "word")
-        .mapInArrow(sums, "id long, g binary, own double")
-        .join(known.where(~frequent).union(novel).select("g", "lp"), "g", "left")
-        .groupBy("id")
-        .agg(F.sum(F.col("own") + F.coalesce("lp", F.lit(0.0))).alias("lp"))
-    )
-    return vocab.join(summed, "id").select("word", "c", "n", "lp")
-
-
-def score(
-    documents: DataFrame,
-    training: Column,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    order: int = ORDER,
-    head: int = HEAD,
-) -> DataFrame:
-    """For each document ``doc_id, n_tokens, n_known, train_tokens, base_score, score`` and
-    ``training``; ``training`` marks the rows to learn from."""
-    vocab = vocabulary(documents, text, training)
-    vocab = stored(vocab.withColumn("id", F.monotonically_increasing_id()), "lm_vocabulary")
-    totals = vocab.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("c"),
-        F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0)).alias("v"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-    ).first()
-    below = totals.c + totals.v + 1
-    scored = stored(word_scores(vocab, order, head), "lm_words")
-    frequent = often_used(head, totals.n)
-    top = scored.where(frequent).select("word", "c", "lp").toPandas()
-    common = {
-        bytes(w): (int(c > 0), math.log10((c + 1) / below), lp)
-        for w, c, lp in zip(top["word"], top["c"], top["lp"], strict=True)
-    }
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, texts = (batch.column(i).to_pylist() for i in (1, 2))
-            ids: list[int] = []
-            words: list[bytes] = []
-            counts: list[int] = []
-            heads: list[tuple] = []  # place, number of tokens, known ones, base and model score
-            for i, (row, text) in enumerate(zip(rows, texts, strict=True)):
-                found = tokens(text)
-                known, base, lp = 0, 0.0, 0.0
-                for word, n in Counter(found).items():
-                    held = common.get(word)
-                    if held is None:
-                        ids.append(row), words.append(word), counts.append(n)
-                    else:
-                        known += n * held[0]
-                        base += n * held[1]
-                        lp += n * held[2]
-                # No token has a line feed and more: this key joins nothing and spreads well.
-                heads.append((len(ids), i, len(found), known, base, lp))
-                ids.append(row), words.append(b"\n%d" % row), counts.append(0)
-                if len(ids) > MOST_COUNTED:
-                    yield _sums_batch(batch, ids, words, counts, heads)
-                    ids, words, counts, heads = [], [], [], []
-            yield _sums_batch(batch, ids, words, counts, heads)
-
-    rare = scored.where(~frequent).select(
-        "word",
-        (F.col("c") > 0).cast("long").alias("w_known"),
-        (F.log10(F.col("c") + 1) - math.log10(below)).alias("w_base"),
-        F.col("lp").alias("w_lp"),
-    )
-    return _document_sums(documents, training, doc_id, text, sums, rare, totals.c)
-
-
-def _document_sums(
-    documents: DataFrame,
-    training: Column,
-    doc_id: str,
-    text: str,
-    sums,
-    rare: DataFrame,
-    train_tokens: int,
-) -> DataFrame:
-    """Sums over each document of what ``sums`` makes of its batches, joined with ``rare``."""
-    # A row is numbered by its place in the scan, which a repeated task finds again.
-    given = documents.select(
-        by_name(documents, doc_id).alias("doc_id"),
-        F.monotonically_increasing_id().alias("row"),
-        by_name(documents, text).alias("text"),
-        training.alias("training"),
-    )
-    schema = T.StructType(
-        [
-            T.StructField("row", T.LongType()),
-            T.StructField("word", T.BinaryType()),
-            T.StructField("n", T.LongType()),
-            T.StructField("doc_id", given.schema["doc_id"].dataType),
-            T.StructField("training", T.BooleanType()),
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("known", T.LongType()),
-            T.StructField("base", T.DoubleType()),
-            T.StructField("lp", T.DoubleType()),
-        ]
-    )
-
-    def total(own: str) -> Column:
-        return F.sum(F.coalesce(F.col(own), F.col("n") * F.col(f"w_{own}"))).alias(own)
-
-    return (
-        given.mapInArrow(sums, schema)
-        .join(rare.hint("shuffle_hash"), "word", "left")  # distinct words: the rows need no sort
-        .groupBy("row")
-        .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max("training").alias("training"),
-            F.max("n_tokens").alias("n_tokens"),
-            *(total(own) for own in ("known", "base", "lp")),
-        )
-        .select(
-            "doc_id",
-            "training",
-            "n_tokens",
-            F.col("known").alias("n_known"),
-            F.lit(train_tokens).cast("long").alias("train_tokens"),
-            F.col("base").alias("base_score"),
-            F.col("lp").alias("score"),
-        )
-    )
-
-
-def _sums_batch(
-    batch: pa.RecordBatch, ids: list[int], words: list[bytes], counts: list[int], heads: list[tuple]
-) -> pa.RecordBatch:
-    """Rows of rare tokens, and one row for each document with what the frequent ones add up to;
-    the columns of the latter are null in the former."""
-    places: list[int | None] = [None] * len(ids)
-    sums: list[list] = [[None] * len(ids) for _ in range(4)]
-    for at, place, *own in heads:
-        places[at] = place
-        for column, value in zip(sums, own, strict=True):
-            column[at] = value
-    taken = pa.array(places, pa.int64())
-    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids, pa.int64()),
-            pa.array(words, pa.binary()),
-            pa.array(counts, pa.int64()),
-            batch.column(0).take(taken),
-            batch.column(3).take(taken),
-            *(pa.array(c, k) for c, k in zip(sums, kinds, strict=True)),
-        ],
-        names=["row", "word", "n", "doc_id", "training", "n_tokens", "known", "base", "lp"],
-    )
-
-
 def coded(found: list[bytes]) -> bytes:
     """The bytes of a text of these tokens, with the space before it."""
     return b" " + b" ".join(found)
@@ -438,61 +139,91 @@ def windows(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.nda
     """
     data = np.frombuffer(b"".join(texts), np.uint8)
     edges = np.cumsum([0, *map(len, texts)])
+    whole = np.uint64((1 << (8 * (order + 1))) - 1)
     for a in range(0, len(data), SLICE):
         b = min(a + SLICE, len(data))
         first, last = np.searchsorted(edges, a, "right") - 1, np.searchsorted(edges, b, "left")
         held = np.diff(np.clip(edges[first : last + 1], a, b))
-        text = np.repeat(np.arange(first, last), held)
-        place = np.arange(a, b) - edges[text]
-        lead = min(a, order)
-        wide = data[a - lead : b].astype(np.uint64)
-        key = np.zeros(b - a, np.uint64)
-        for back in range(order + 1):
-            skip = max(0, back - lead)
-            if skip < b - a:
-                key[skip:] |= wide[lead + skip - back : lead + b - a - back] << np.uint64(8 * back)
-        length = (np.minimum(place, order) + 1).astype(np.uint64)
-        early = np.flatnonzero(place < order)
-        key[early] &= (np.uint64(1) << (np.uint64(8) * length[early])) - np.uint64(1)
-        key |= length << np.uint64(56)
-        coded_places = place > 0
+        text = np.repeat(np.arange(first, last, dtype=np.int32), held)
+        lead = min(a, 7)
+        raw = np.zeros(7 + b - a, np.uint8)
+        raw[7 - lead :] = data[a - lead : b]
+        # Two, four and seven bytes that end at a place, the last one lowest.
+        two = raw[1:].astype(np.uint16) | raw[:-1].astype(np.uint16) << np.uint16(8)
+        four = two[2:].astype(np.uint32) | two[:-2].astype(np.uint32) << np.uint32(16)
+        key = four[4:].astype(np.uint64) | four[:-4].astype(np.uint64) << np.uint64(32)
+        key &= whole
+        key |= np.uint64((order + 1) << 56)
+        begins, ends = edges[first:last], np.minimum(edges[first + 1 : last + 1], b)
+        for place in range(order):  # fewer bytes come before the first places of a text
+            at = begins + place
+            at = at[(at >= a) & (at < ends)] - a
+            key[at] &= np.uint64((1 << (8 * (place + 1))) - 1)
+            key[at] |= np.uint64((place + 1) << 56)
+        coded_places = np.ones(b - a, dtype=bool)
+        coded_places[begins[begins >= a] - a] = False
         yield text[coded_places], key[coded_places]
 
 
 def window_counts(documents: DataFrame, text: str, training: Column, order: int) -> DataFrame:
     """``g`` (key of a window), ``c`` (count in training rows) and ``n`` (count in all rows)."""
 
-    def counted(texts: list[bytes], own: bool) -> Iterator[pa.RecordBatch]:
-        def batch() -> pa.RecordBatch:
+    def counted(texts: list[bytes], own: bool) -> Iterator[tuple[np.ndarray, ...]]:
+        """Sorted keys of slabs of windows with their counts."""
+
+        def slab() -> tuple[np.ndarray, ...]:
             keys = np.concatenate(held)
             keys.sort()
             starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             n = np.diff(np.append(starts, len(keys)))
-            columns = [keys[starts].astype(np.int64), n if own else np.zeros_like(n), n]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["g", "c", "n"])
+            return keys[starts], n if own else np.zeros_like(n), n
 
         held: list[np.ndarray] = []
         for _, key in windows(texts, order):
             held.append(key)
             if sum(map(len, held)) >= SLAB:
-                yield batch()
+                yield slab()
                 held = []
         if held:
-            yield batch()
+            yield slab()
+
+    def merged(runs: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        keys = np.concatenate([r[0] for r in runs])
+        by = np.argsort(keys, kind="stable")  # merges sorted runs
+        keys = keys[by]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        c, n = (np.add.reduceat(np.concatenate([r[x] for r in runs])[by], starts) for x in (1, 2))
+        return keys[starts], c, n
+
+    def handed(run: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        columns = [run[0].astype(np.int64), *run[1:]]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["g", "c", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: dict[bool, list[bytes]] = {True: [], False: []}
         sizes = {True: 0, False: 0}
+        runs: list[tuple[np.ndarray, ...]] = []
+
+        def add(own: bool) -> Iterator[pa.RecordBatch]:
+            for run in counted(texts[own], own):
+                runs.append(run)
+                if sum(len(r[0]) for r in runs) > MOST_WINDOWS:
+                    runs[:] = [merged(runs)]
+                    if len(runs[0][0]) > MOST_WINDOWS // 2:
+                        yield handed(runs.pop())
+            texts[own], sizes[own] = [], 0
+
         for batch in batches:
             for text, own in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
                 own = bool(own)
                 texts[own].append(coded(tokens(text)))
                 sizes[own] += len(texts[own][-1])
                 if sizes[own] >= SLAB:
-                    yield from counted(texts[own], own)
-                    texts[own], sizes[own] = [], 0
+                    yield from add(own)
         for own in (True, False):
-            yield from counted(texts[own], own)
+            yield from add(own)
+        if runs:
+            yield handed(merged(runs))
 
     given = documents.select(by_name(documents, text).alias("text"), training.alias("training"))
     return (
@@ -523,16 +254,19 @@ SUFFIXES = (
 )
 
 
-def window_strings(counts: DataFrame) -> DataFrame:
-    """Every context followed by a symbol, ``g``, of all lengths, with its count ``n`` and the
-    columns ``ctx, t, d, s, first`` of ``placed``."""
-    grams = (
-        counts.where("c > 0")
-        .select(F.explode(F.expr(SUFFIXES)).alias("g"), "c")
-        .groupBy("g")
-        .agg(F.sum("c").alias("n"))
-    )
-    grams = stored(grams, "lm_trie")
+def window_strings(counts: DataFrame, order: int) -> DataFrame:
+    """Every context followed by a symbol, ``g``, of all lengths, with its count ``n``, its context
+    ``ctx`` and the totals of that: ``t`` symbols, ``d`` distinct ones, and ``s``, the count of these
+    in the next shorter context. A context has 256 strings at most; ``first`` marks one of them."""
+    # From the longest strings down: each length adds up the distinct strings of the length above.
+    trained = counts.where("c > 0").select("g", F.col("c").alias("n"))
+    grams = above = trained.where(f"{_length('g')} = {order + 1}")
+    for m in range(order, 0, -1):
+        shorter = above.select(F.expr(_last("g", str(m))).alias("g"), "n")
+        own = trained.where(f"{_length('g')} = {m}")  # at the starts of texts
+        level = own.union(shorter).groupBy("g").agg(F.sum("n").alias("n"))
+        above = stored(level, f"lm_trie_{m}")
+        grams = grams.union(above)
     split = grams.select(
         "g",
         "n",
@@ -541,7 +275,8 @@ def window_strings(counts: DataFrame) -> DataFrame:
     )
     below = grams.select(F.col("g").alias("shorter"), F.col("n").alias("n_shorter"))
     of = Window.partitionBy("ctx")
-    return split.join(below, "shorter", "left").select(
+    # Keys are distinct on the hinted sides, so that neither side of these joins is sorted.
+    return split.join(below.hint("shuffle_hash"), "shorter", "left").select(
         "g",
         "n",
         "ctx",
@@ -553,7 +288,8 @@ def window_strings(counts: DataFrame) -> DataFrame:
 
 
 def window_contexts(strings: DataFrame) -> DataFrame:
-    """``contexts`` for keys."""
+    """``ctx`` with its totals ``t`` and ``d``, and ``tx`` and ``dx``: what the next shorter
+    context holds besides the symbols seen in this one."""
     own = strings.where("first").select("ctx", "t", "d", "s")
     shorter = own.select(
         F.col("ctx").alias("shorter"), F.col("t").alias("t_below"), F.col("d").alias("d_below")
@@ -561,7 +297,7 @@ def window_contexts(strings: DataFrame) -> DataFrame:
     remainders = (
         own.where("ctx != 0")
         .withColumn("shorter", F.expr(_last("ctx", _length("ctx") + " - 1")))
-        .join(shorter, "shorter", "left")
+        .join(shorter.hint("shuffle_hash"), "shorter", "left")
         .select(
             "ctx",
             "t",
@@ -574,9 +310,9 @@ def window_contexts(strings: DataFrame) -> DataFrame:
     return remainders.union(own.where("ctx = 0").select("ctx", "t", "d", zero, zero))
 
 
-def window_scores(counts: DataFrame) -> DataFrame:
+def window_scores(counts: DataFrame, order: int) -> DataFrame:
     """``g``, ``n`` and ``lp``, the log10 probability of the symbol in its context."""
-    strings = stored(window_strings(counts), "lm_strings")
+    strings = stored(window_strings(counts, order), "lm_strings")
     known = strings.select("g", (F.log10(2 * F.col("n") - 1) - F.log10(2 * F.col("t"))).alias("lp"))
     unseen = counts.where("c = 0").select("g").join(strings.select("g"), "g", "left_anti")
     links = unseen.select(
@@ -590,15 +326,18 @@ def window_scores(counts: DataFrame) -> DataFrame:
         .join(F.broadcast(grams.where(short[0])), "g", "left")
         .join(F.broadcast(held.where(short[1])), "ctx", "left")
         .unionByName(
-            links.where(f"NOT {short[0]}").join(grams, "g", "left").join(held, "ctx", "left")
+            links.where(f"NOT {short[0]}")
+            .join(grams.hint("shuffle_hash"), "g", "left")
+            .join(held.hint("shuffle_hash"), "ctx", "left")
         )
     )
     novel = _walked(chain)
-    return counts.select("g", "n").join(known.union(novel), "g")
+    return counts.select("g", "n").join(known.union(novel).hint("shuffle_hash"), "g")
 
 
 class Held:
-    """Numbers by key, in a table that looks up whole arrays (open addressing; no key is zero)."""
+    """Numbers by key, in a table that looks up whole arrays (open addressing; no key is zero). Of
+    keys that want the same slot the last one gets it, so the most frequent ones should come last."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.bits = max(4, (2 * len(keys)).bit_length())
@@ -655,7 +394,8 @@ def score_in_context(
     head: int = HEAD,
     window_head: int = WINDOW_HEAD,
 ) -> DataFrame:
-    """The columns of ``score``, with contexts that reach across tokens; ``order`` is at most 6."""
+    """For each document ``doc_id, training, n_tokens, n_known, train_tokens, base_score, score``;
+    ``training`` marks the rows to learn from, and ``order`` is at most 6."""
     if not 0 <= order <= 6:
         raise ValueError("a window of order + 1 bytes and its length must fit in 64 bits")
     vocab = stored(vocabulary(documents, text, training), "lm_vocabulary")
@@ -666,82 +406,154 @@ def score_in_context(
     ).first()
     below = totals.c + totals.v + 1
     counts = stored(window_counts(documents, text, training, order), "lm_windows")
-    scored = stored(window_scores(counts), "lm_scores")
+    scored = stored(window_scores(counts, order), "lm_scores")
     frequent = often_used(head, totals.n)
     top = vocab.where(frequent).select("word", "c").toArrow()
-    common = {
-        w: (int(c > 0), math.log10((c + 1) / below))
-        for w, c in zip(*(top[x].to_pylist() for x in ("word", "c")), strict=True)
-    }
+    often_words = top["word"].combine_chunks()
+    often_bases = np.log10((top["c"].to_numpy() + 1) / below)
+    unknown = float(np.log10(1 / below))
     often = _most_frequent(scored, window_head)
-    top = scored.where(often).select("g", "lp").toArrow()  # as rows it would fill the driver
+    # By number, so that the most frequent ones get their first slots; as rows it would fill the driver.
+    top = scored.where(often).orderBy("n").select("g", "lp").toArrow()
     keys, lps = top["g"].to_numpy().astype(np.uint64), top["lp"].to_numpy()
+    del top
+    # A row is numbered by its place in the scan, which a repeated task finds again.
+    own = F.struct(by_name(documents, doc_id).alias("doc_id"), training.alias("training"))
+    given = documents.select(
+        F.monotonically_increasing_id().alias("row"),
+        by_name(documents, text).alias("text"),
+        F.to_json(own).alias("own"),
+    )
+    kind = documents.schema[doc_id].dataType.simpleString()
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Held(keys, lps)
-        for batch in batches:
-            rows, texts = (batch.column(i).to_pylist() for i in (1, 2))
-            ids: list[int] = []
-            words: list[bytes] = []
-            numbers: list[int] = []
-            heads: list[tuple] = []  # place, row in batch, tokens, known ones, base and model score
-            group: list[tuple] = []  # row in batch, coded text, tokens, known ones, base score
-            size = 0
-            for i, (row, text) in enumerate(zip(rows, texts, strict=True)):
+        # Base scores of the tokens: those of unknown ones are ``unknown``, all others are larger.
+        common = dict(zip(often_words.to_pylist(), often_bases.tolist(), strict=True))
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
+            numbers = batch.column(0).to_numpy()
+            words: list[tuple[int, bytes, int]] = []  # row in batch, rare token, its count
+            heads: list[tuple] = []  # tokens, known ones, base and model score of each row
+            group: list[bytes] = []  # coded texts from row ``first`` on
+            first = size = 0
+            for i, text in enumerate(batch.column(1).to_pylist()):
                 found = tokens(text)
                 known, base = 0, 0.0
                 for word, n in Counter(found).items():
                     own = common.get(word)
                     if own is None:
-                        ids.append(row), words.append(word), numbers.append(n)
+                        words.append((i, word, n))
                     else:
-                        known += n * own[0]
-                        base += n * own[1]
-                group.append((i, coded(found), len(found), known, base))
-                size += len(group[-1][1])
-                if size < SLICE and i + 1 < len(rows):
+                        base += n * own
+                        if own > unknown:
+                            known += n
+                heads.append((len(found), known, base))
+                group.append(coded(found))
+                size += len(group[-1])
+                if size < SLICE and i + 1 < batch.num_rows:
                     continue
                 total = np.zeros(len(group))
-                for at, key in windows([x[1] for x in group], order):
+                for at, key in windows(group, order):
                     lp, absent = held.find(key)
                     total += np.bincount(at, lp, len(group))
-                    at, key = at[absent], key[absent]
-                    by = np.lexsort((key, at))
-                    at, key = at[by], key[by]
-                    new = (at[1:] != at[:-1]) | (key[1:] != key[:-1])
-                    starts = np.flatnonzero(np.append(True, new)) if len(at) else at
-                    ids.extend(rows[group[x][0]] for x in at[starts].tolist())
-                    whole = key[starts].astype(">u8").tobytes()
-                    # No token has a line feed and more.
-                    words.extend(b"\n\0" + whole[k : k + 8] for k in range(0, len(whole), 8))
-                    numbers.extend(np.diff(np.append(starts, len(at))).tolist())
-                for (j, _, *own), lp in zip(group, total.tolist(), strict=True):
-                    # This key joins nothing and spreads well.
-                    heads.append((len(ids), j, *own, lp))
-                    ids.append(rows[j]), words.append(b"\n%d" % rows[j]), numbers.append(0)
-                group, size = [], 0
-                if len(ids) > MOST_COUNTED:
-                    yield _sums_batch(batch, ids, words, numbers, heads)
-                    ids, words, numbers, heads = [], [], [], []
-            yield _sums_batch(batch, ids, words, numbers, heads)
+                    yield _rare_windows(numbers[first:], at[absent], key[absent])
+                heads[first:] = [(*h, lp) for h, lp in zip(heads[first:], total.tolist(), strict=True)]
+                group, first, size = [], i + 1, 0
+            yield _rare_words(numbers, words)
+            yield _heads(numbers, heads, batch.column(2).to_pylist())
 
     rare_words = vocab.where(~frequent).select(
+        F.xxhash64("word").alias("key"),
         "word",
         (F.col("c") > 0).cast("long").alias("w_known"),
         (F.log10(F.col("c") + 1) - math.log10(below)).alias("w_base"),
         F.lit(0.0).alias("w_lp"),
     )
     rare_windows = scored.where(~often).select(
-        F.expr("concat(X'0A00', unhex(lpad(hex(g), 16, '0')))").alias("word"),
+        F.col("g").alias("key"),
+        F.expr("X''").alias("word"),
         F.lit(0).cast("long").alias("w_known"),
         F.lit(0.0).alias("w_base"),
         F.col("lp").alias("w_lp"),
     )
-    return _document_sums(
-        documents, training, doc_id, text, sums, rare_words.union(rare_windows), totals.c
+    rare = rare_words.union(rare_windows)
+
+    # A document's own row tells its sums as text, numbers to the last digit.
+    told = F.split(F.when(F.startswith("word", F.lit(HEAD_MARK)), F.col("word").cast("string")), " ", 5)
+    doc = F.from_json(told[4], f"doc_id {kind}, training boolean")
+
+    def total(name: str, own: Column) -> Column:
+        return F.sum(F.coalesce(own, F.col("n") * F.col(f"w_{name}"))).alias(name)
+
+    return (
+        given.mapInArrow(sums, "row long, key long, word binary, n int")
+        .join(rare.hint("shuffle_hash"), ["key", "word"], "left")  # distinct keys: no sort
+        .groupBy("row")
+        .agg(
+            F.max(doc.doc_id).alias("doc_id"),
+            F.max(doc.training).alias("training"),
+            F.max(told[0].substr(3, 20).cast("long")).alias("n_tokens"),
+            total("known", told[1].cast("long")),
+            total("base", told[2].cast("double")),
+            total("lp", told[3].cast("double")),
+        )
+        .select(
+            "doc_id",
+            "training",
+            "n_tokens",
+            F.col("known").alias("n_known"),
+            F.lit(totals.c).cast("long").alias("train_tokens"),
+            F.col("base").alias("base_score"),
+            F.col("lp").alias("score"),
+        )
+    )
+
+
+def _summands(row: np.ndarray, key: np.ndarray, word: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(row), pa.array(key), word, pa.array(n.astype(np.int32))],
+        names=["row", "key", "word", "n"],
     )
 
 
+def _no_words(n: int) -> pa.Array:
+    """Empty byte strings."""
+    edges = pa.py_buffer(np.zeros(n + 1, np.int32))
+    return pa.Array.from_buffers(pa.binary(), n, [None, edges, pa.py_buffer(b"")])
+
+
+def _rare_windows(rows: np.ndarray, at: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+    """A row for each text and window, under the window's key."""
+    by = np.lexsort((key, at))
+    at, key = at[by], key[by]
+    new = (at[1:] != at[:-1]) | (key[1:] != key[:-1])
+    starts = np.flatnonzero(np.append(True, new)) if len(at) else at
+    n = np.diff(np.append(starts, len(at)))
+    return _summands(rows[at[starts]], key[starts].astype(np.int64), _no_words(len(n)), n)
+
+
+def _rare_words(rows: np.ndarray, words: list[tuple[int, bytes, int]]) -> pa.RecordBatch:
+    """A row for each text and rare token, under the token's hash."""
+    at, found, n = zip(*words, strict=True) if words else ((), (), ())
+    key = np.array([xxhash.xxh64_intdigest(w, 42) for w in found], dtype=np.uint64).view(np.int64)
+    rows = rows[np.array(at, dtype=np.int64)]
+    return _summands(rows, key, pa.array(found, pa.binary()), np.array(n, dtype=np.int64))
+
+
+#: Begins what a document's own row tells; no token has a line feed and more.
+HEAD_MARK = b"\n\n"
+
+
+def _heads(rows: np.ndarray, heads: list[tuple], own: list[str]) -> pa.RecordBatch:
+    """A row for each document with what its frequent tokens and windows add up to. Its key, the
+    row's number, spreads well, and it joins nothing."""
+    told = [
+        HEAD_MARK + f"{n} {known} {base!r} {lp!r} {doc}".encode()
+        for (n, known, base, lp), doc in zip(heads, own, strict=True)
+    ]
+    return _summands(rows, rows, pa.array(told, pa.binary()), np.zeros(len(rows), dtype=np.int64))
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram and byte-context scores of every document, learned from the training share."""
     held_out = F.coalesce(crc32_mod(F.col("doc_id"), 7) == 2, F.lit(False))

@@ -6,15 +6,11 @@ from pyspark.sql import functions as F
 
 from activlake.llm.lm_scoring import (
     ORDER,
-    closed,
     coded,
     often_used,
-    score,
     score_in_context,
     tokens,
-    vocabulary,
     windows,
-    word_scores,
 )
 
 
@@ -23,14 +19,13 @@ class Brute:
 
     def __init__(self, texts, order=ORDER):
         self.order, self.words = order, Counter()
+        self.seen = defaultdict(Counter)
         for t in texts:
             self.words.update(tokens(t))
-        self.seen = defaultdict(Counter)
-        for word, c in self.words.items():
-            b = closed(word)
+            b = coded(tokens(t))
             for i in range(1, len(b)):
                 for j in range(max(0, i - order), i + 1):
-                    self.seen[b[j:i]][b[i]] += c
+                    self.seen[b[j:i]][b[i]] += 1
 
     def symbol(self, context, x):
         lp, excluded = 0.0, set()
@@ -47,15 +42,12 @@ class Brute:
             excluded |= counts.keys()
         return lp - math.log10(256 - len(excluded))
 
-    def word(self, word):
-        b = closed(word)
-        return sum(self.symbol(b[max(0, i - self.order) : i], b[i]) for i in range(1, len(b)))
-
     def row(self, text):
         n, v = sum(self.words.values()), len(self.words)
-        own = tokens(text)
+        own, b = tokens(text), coded(tokens(text))
         base = sum(math.log10((self.words[w] + 1) / (n + v + 1)) for w in own)
-        return len(own), sum(w in self.words for w in own), n, base, sum(map(self.word, own))
+        lp = sum(self.symbol(b[max(0, i - self.order) : i], b[i]) for i in range(1, len(b)))
+        return len(own), sum(w in self.words for w in own), n, base, lp
 
 
 TRAIN = ["the cat sat on the mat", "The dog\tsat\n\non a log", "", None, "é café naïve 🙂 the", "a" * 3000]
@@ -65,72 +57,22 @@ OTHER = ["the cat barks", "zebra Ünder the\x0bmats", "", "🙂  x", "logs logs
 def frame(spark):
     rows = [(i, t, True, 1) for i, t in enumerate(TRAIN)]
     rows += [(100 + i, t, False, 1) for i, t in enumerate(OTHER)]
-    rows += [(100, OTHER[0], False, 1), (None, OTHER[1], False, 1)]
+    rows += [(100, OTHER[0], False, 1), (None, OTHER[1], False, 1), (2**60 + 1, OTHER[2], False, 1)]
     return spark.createDataFrame(rows, "doc_id long, text string, learn boolean, n_tokens int"), rows
 
 
-@pytest.mark.parametrize("order,head", [(ORDER, 200_000), (ORDER, 3), (2, 0), (1, 5)])
-def test_scores_against_dictionaries(spark, order, head):
-    df, rows = frame(spark)
-    model = Brute(TRAIN, order)
-    got = score(df, F.col("learn"), order=order, head=head).collect()
-    key = lambda r: (str(r[0]), r[1])
-    want = sorted(((i, *model.row(t)) for i, t, *_ in rows), key=key)
-    have = sorted(
-        ((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got),
-        key=key,
-    )
-    assert [w[:4] for w in want] == [h[:4] for h in have]
-    for w, h in zip(want, have, strict=True):
-        assert h[4:] == pytest.approx(w[4:], rel=1e-9)
-
-
 def test_symbols_of_a_context_sum_to_one():
     model = Brute(TRAIN)
     for context in (b" ", b" t", b" th", b" zz", b"at", b""):
         assert sum(10 ** model.symbol(context, x) for x in range(256)) == pytest.approx(1)
 
 
-def test_training_makes_seen_tokens_likelier(spark):
-    df, _ = frame(spark)
-    vocab = vocabulary(df, "text", F.col("learn"))
-    vocab = vocab.withColumn("id", F.monotonically_increasing_id())
-    got = {bytes(r.word): r.lp for r in word_scores(vocab).collect()}
-    assert got[b"the"] > got[b"cat"] > got[b"barks"] > got["Ünder".encode()]
-
-
-def test_without_training_rows_and_without_rows(spark):
-    df, rows = frame(spark)
-    got = score(df, F.lit(False)).where("doc_id = 102").collect()  # an empty text
-    assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(1, 0, 0, 0.0)]
-    assert got[0].score == pytest.approx(-math.log10(256))
-    assert score(df.limit(0), F.lit(True)).count() == 0
-
-
-class InContext(Brute):
-    """The same model with contexts that reach across tokens."""
-
-    def __init__(self, texts, order=ORDER):
-        super().__init__([], order)
-        for t in texts:
-            self.words.update(tokens(t))
-            b = coded(tokens(t))
-            for i in range(1, len(b)):
-                for j in range(max(0, i - order), i + 1):
-                    self.seen[b[j:i]][b[i]] += 1
-
-    def row(self, text):
-        b = coded(tokens(text))
-        lp = sum(self.symbol(b[max(0, i - self.order) : i], b[i]) for i in range(1, len(b)))
-        return (*super().row(text)[:4], lp)
-
-
 @pytest.mark.parametrize(
     "order,head,window_head", [(ORDER, 400_000, 2_000_000), (ORDER, 3, 20), (2, 0, 0), (0, 5, 5)]
 )
 def test_contexts_across_tokens_against_dictionaries(spark, order, head, window_head):
     df, rows = frame(spark)
-    model = InContext(TRAIN, order)
+    model = Brute(TRAIN, order)
     got = score_in_context(df, F.col("learn"), order=order, head=head, window_head=window_head)
     key = lambda r: (str(r[0]), r[1])
     want = sorted(((i, *model.row(t)) for i, t, *_ in rows), key=key)
@@ -154,6 +96,23 @@ def test_order_of_words_counts(spark):
     assert got[10] > got[11] + 1
 
 
+@pytest.mark.parametrize("most", [1, 50, 1 << 21])
+def test_counts_merged_in_the_tasks(spark, monkeypatch, most):
+    from activlake.llm import lm_scoring
+
+    df, rows = frame(spark)
+    monkeypatch.setattr(lm_scoring, "MOST_WINDOWS", most)
+    monkeypatch.setattr(lm_scoring, "SLAB", 64)
+    got = lm_scoring.window_counts(df.coalesce(1), "text", F.col("learn"), 6).collect()
+    want = defaultdict(lambda: [0, 0])
+    for _, text, learn, *_ in rows:
+        for _, key in windows([coded(tokens(text))], 6):
+            for g in key.tolist():
+                want[g][0] += learn
+                want[g][1] += 1
+    assert {r.g: [r.c, r.n] for r in got} == dict(want)
+
+
 def test_windows_in_slices(monkeypatch):
     texts = [coded(tokens(t)) for t in TRAIN + OTHER]
     want = [
