@@ -12,8 +12,8 @@ one; as the seen sets are nested, these remainders are two numbers for each cont
 all bytes not yet seen are equally likely. The probabilities of the texts sum to one.
 
 Jobs: count tokens (for the base score) and windows, which are a context and its symbol (a window of
-up to seven bytes and its length are one 64-bit key; a task sorts slabs of windows and merges their
-counts before it hands them on); count the suffixes of the windows; join the table with itself for
+up to seven bytes and its length are one 64-bit key; a task sorts slabs of windows, merges their
+counts and hands them on packed by bucket of the key, so that one row holds many); count the suffixes of the windows; join the table with itself for
 totals and remainders; walk the escape chain for windows that training never saw; and sum over each
 document. The most frequent windows (``window_head`` at most) and tokens (what makes up at least one
 part in ``head`` of all, so ``head`` at most) travel with the tasks, and only rarer ones are shuffled:
@@ -53,6 +53,11 @@ WINDOW_HEAD = 2_000_000
 SLICE, SLAB, ROWS = 1 << 18, 1 << 21, 512
 #: Counts of windows that a task holds before it merges them and, if most are distinct, hands them on.
 MOST_WINDOWS = 1 << 21
+#: Windows of the corpus for each bucket in which their counts are added up.
+PLACES = 1 << 20
+#: The odd number that spreads keys (a fixed value), and the columns of packed counts.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+PARTS = ("packed_keys", "packed_c", "packed_n")
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -165,14 +170,71 @@ def windows(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.nda
         yield text[coded_places], key[coded_places]
 
 
-def window_counts(documents: DataFrame, text: str, training: Column, order: int) -> DataFrame:
-    """``g`` (key of a window), ``c`` (count in training rows) and ``n`` (count in all rows)."""
+def spread(keys: np.ndarray) -> np.ndarray:
+    """Keys by whose highest bits buckets fill evenly."""
+    return keys * SPREAD
+
+
+def gathered(spread_keys: np.ndarray) -> np.ndarray:
+    """The keys again."""
+    return spread_keys * np.uint64(pow(int(SPREAD), -1, 1 << 64))
+
+
+def _merged(runs: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """One run of sorted distinct keys, with their counts, out of several."""
+    if len(runs) == 1:
+        return runs[0]
+    keys = np.concatenate([r[0] for r in runs])
+    by = np.argsort(keys, kind="stable")  # merges sorted runs
+    keys = keys[by]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    c, n = (np.add.reduceat(np.concatenate([r[x] for r in runs])[by], starts) for x in (1, 2))
+    return keys[starts], c, n
+
+
+def _packed(run: tuple[np.ndarray, ...], bits: int) -> pa.RecordBatch:
+    """A row for each bucket of a run, with its part of each array as bytes."""
+    bucket = (run[0] >> np.uint64(64 - bits)).astype(np.int64)
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    edges = pa.py_buffer((np.append(starts, len(bucket)) * 8).astype(np.int32))
+    parts = [
+        pa.Array.from_buffers(pa.binary(), len(starts), [None, edges, pa.py_buffer(x)])
+        for x in (run[0], run[1].astype(np.int64), run[2].astype(np.int64))
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *parts], names=["bucket", *PARTS])
+
+
+def _bucket_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of a bucket, however many runs it comes in: merged whenever new rows are as many
+    as the distinct keys so far, and at the end."""
+    runs: list[tuple[np.ndarray, ...]] = []
+    most = MOST_WINDOWS // 8
+    for batch in batches:
+        for packed in zip(*(batch.column(x) for x in PARTS), strict=True):
+            keys, c, n = (np.frombuffer(x.as_buffer(), np.int64) for x in packed)
+            runs.append((keys.view(np.uint64), c, n))
+            if sum(len(r[0]) for r in runs) > most:
+                runs = [_merged(runs)]
+                most = max(MOST_WINDOWS // 8, 2 * len(runs[0][0]))
+    keys, c, n = _merged(runs)
+    columns = [gathered(keys).view(np.int64), c, n]
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["g", "c", "n"])
+
+
+def window_counts(
+    documents: DataFrame, text: str, training: Column, order: int, places: int
+) -> DataFrame:
+    """``g`` (key of a window), ``c`` (count in training rows) and ``n`` (count in all rows).
+
+    ``places``, about the number of windows in all rows, sets the number of buckets, so that a
+    bucket's distinct windows stay few. Counts travel as one row for each run and bucket."""
+    bits = min(32, max(6, math.ceil(math.log2(max(places, 1) / PLACES))))
 
     def counted(texts: list[bytes], own: bool) -> Iterator[tuple[np.ndarray, ...]]:
-        """Sorted keys of slabs of windows with their counts."""
+        """Sorted keys, spread, of slabs of windows with their counts."""
 
         def slab() -> tuple[np.ndarray, ...]:
-            keys = np.concatenate(held)
+            keys = spread(np.concatenate(held))
             keys.sort()
             starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             n = np.diff(np.append(starts, len(keys)))
@@ -184,21 +246,9 @@ def window_counts(documents: DataFrame, text: str, training: Column, order: int)
             if sum(map(len, held)) >= SLAB:
                 yield slab()
                 held = []
-        if held:
+        if sum(map(len, held)):
             yield slab()
 
-    def merged(runs: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-        keys = np.concatenate([r[0] for r in runs])
-        by = np.argsort(keys, kind="stable")  # merges sorted runs
-        keys = keys[by]
-        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        c, n = (np.add.reduceat(np.concatenate([r[x] for r in runs])[by], starts) for x in (1, 2))
-        return keys[starts], c, n
-
-    def handed(run: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-        columns = [run[0].astype(np.int64), *run[1:]]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["g", "c", "n"])
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: dict[bool, list[bytes]] = {True: [], False: []}
         sizes = {True: 0, False: 0}
@@ -208,9 +258,9 @@ def window_counts(documents: DataFrame, text: str, training: Column, order: int)
             for run in counted(texts[own], own):
                 runs.append(run)
                 if sum(len(r[0]) for r in runs) > MOST_WINDOWS:
-                    runs[:] = [merged(runs)]
+                    runs[:] = [_merged(runs)]
                     if len(runs[0][0]) > MOST_WINDOWS // 2:
-                        yield handed(runs.pop())
+                        yield _packed(runs.pop(), bits)
             texts[own], sizes[own] = [], 0
 
         for batch in batches:
@@ -223,13 +273,14 @@ def window_counts(documents: DataFrame, text: str, training: Column, order: int)
         for own in (True, False):
             yield from add(own)
         if runs:
-            yield handed(merged(runs))
+            yield _packed(_merged(runs), bits)
 
     given = documents.select(by_name(documents, text).alias("text"), training.alias("training"))
+    packed = ", ".join(f"{x} binary" for x in PARTS)
     return (
-        given.mapInArrow(count, "g long, c long, n long")
-        .groupBy("g")
-        .agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
+        given.mapInArrow(count, f"bucket long, {packed}")
+        .groupBy("bucket")
+        .applyInArrow(_bucket_sums, "g long, c long, n long")
     )
 
 
@@ -353,8 +404,7 @@ class Held:
             at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        mixed = keys * np.uint64(0x9E3779B97F4A7C15)
-        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+        return (spread(keys) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers, zero for absent keys, and which keys are absent."""
@@ -403,9 +453,10 @@ def score_in_context(
         F.coalesce(F.sum("c"), F.lit(0)).alias("c"),
         F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0)).alias("v"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.col("n") * (F.octet_length("word") + 1)), F.lit(0)).alias("places"),
     ).first()
     below = totals.c + totals.v + 1
-    counts = stored(window_counts(documents, text, training, order), "lm_windows")
+    counts = stored(window_counts(documents, text, training, order, totals.places), "lm_windows")
     scored = stored(window_scores(counts, order), "lm_scores")
     frequent = often_used(head, totals.n)
     top = vocab.where(frequent).select("word", "c").toArrow()
@@ -524,7 +575,8 @@ def _no_words(n: int) -> pa.Array:
 
 def _rare_windows(rows: np.ndarray, at: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
     """A row for each text and window, under the window's key."""
-    by = np.lexsort((key, at))
+    # One sort by text and most bits of the key: what these bits mix up is only not added up here.
+    by = np.argsort((at.astype(np.uint64) << np.uint64(48)) | (spread(key) >> np.uint64(16)))
     at, key = at[by], key[by]
     new = (at[1:] != at[:-1]) | (key[1:] != key[:-1])
     starts = np.flatnonzero(np.append(True, new)) if len(at) else at

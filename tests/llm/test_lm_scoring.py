@@ -103,7 +103,7 @@ def test_counts_merged_in_the_tasks(spark, monkeypatch, most):
     df, rows = frame(spark)
     monkeypatch.setattr(lm_scoring, "MOST_WINDOWS", most)
     monkeypatch.setattr(lm_scoring, "SLAB", 64)
-    got = lm_scoring.window_counts(df.coalesce(1), "text", F.col("learn"), 6).collect()
+    got = lm_scoring.window_counts(df.coalesce(1), "text", F.col("learn"), 6, 40_000).collect()
     want = defaultdict(lambda: [0, 0])
     for _, text, learn, *_ in rows:
         for _, key in windows([coded(tokens(text))], 6):
