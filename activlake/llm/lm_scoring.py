@@ -50,13 +50,15 @@ LONGEST = 64
 WINDOW_HEAD = 2_000_000
 #: Bytes of text whose windows are made at once, windows that are sorted at once, and rows of a batch
 #: that are held as Python objects at once.
-SLICE, SLAB, ROWS = 1 << 18, 1 << 21, 512
+SLICE, SLAB, ROWS = 1 << 18, 1 << 22, 512
 #: Counts of windows that a task holds before it merges them and, if most are distinct, hands them on.
-MOST_WINDOWS = 1 << 21
+MOST_WINDOWS = 1 << 22
 #: Windows of the corpus for each bucket in which their counts are added up.
 PLACES = 1 << 20
-#: The odd number that spreads keys (a fixed value), and the columns of packed counts.
+#: The odd number whose multiples fill buckets evenly (a fixed value), and its inverse.
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
+GATHER = np.uint64(pow(int(SPREAD), -1, 1 << 64))
+#: Columns of packed counts.
 PARTS = ("packed_keys", "packed_c", "packed_n")
 
 
@@ -170,16 +172,6 @@ def windows(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.nda
         yield text[coded_places], key[coded_places]
 
 
-def spread(keys: np.ndarray) -> np.ndarray:
-    """Keys by whose highest bits buckets fill evenly."""
-    return keys * SPREAD
-
-
-def gathered(spread_keys: np.ndarray) -> np.ndarray:
-    """The keys again."""
-    return spread_keys * np.uint64(pow(int(SPREAD), -1, 1 << 64))
-
-
 def _merged(runs: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """One run of sorted distinct keys, with their counts, out of several."""
     if len(runs) == 1:
@@ -217,7 +209,7 @@ def _bucket_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 runs = [_merged(runs)]
                 most = max(MOST_WINDOWS // 8, 2 * len(runs[0][0]))
     keys, c, n = _merged(runs)
-    columns = [gathered(keys).view(np.int64), c, n]
+    columns = [(keys * GATHER).view(np.int64), c, n]
     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["g", "c", "n"])
 
 
@@ -233,21 +225,23 @@ def window_counts(
     def counted(texts: list[bytes], own: bool) -> Iterator[tuple[np.ndarray, ...]]:
         """Sorted keys, spread, of slabs of windows with their counts."""
 
-        def slab() -> tuple[np.ndarray, ...]:
-            keys = spread(np.concatenate(held))
+        def slab(keys: np.ndarray) -> tuple[np.ndarray, ...]:
+            keys *= SPREAD
             keys.sort()
             starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             n = np.diff(np.append(starts, len(keys)))
             return keys[starts], n if own else np.zeros_like(n), n
 
-        held: list[np.ndarray] = []
+        held = np.empty(min(SLAB + SLICE, sum(map(len, texts))), np.uint64)
+        used = 0
         for _, key in windows(texts, order):
-            held.append(key)
-            if sum(map(len, held)) >= SLAB:
-                yield slab()
-                held = []
-        if sum(map(len, held)):
-            yield slab()
+            held[used : used + len(key)] = key
+            used += len(key)
+            if used >= SLAB:
+                yield slab(held[:used])
+                used = 0
+        if used:
+            yield slab(held[:used])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: dict[bool, list[bytes]] = {True: [], False: []}
@@ -259,7 +253,7 @@ def window_counts(
                 runs.append(run)
                 if sum(len(r[0]) for r in runs) > MOST_WINDOWS:
                     runs[:] = [_merged(runs)]
-                    if len(runs[0][0]) > MOST_WINDOWS // 2:
+                    if len(runs[0][0]) > MOST_WINDOWS * 3 // 4:
                         yield _packed(runs.pop(), bits)
             texts[own], sizes[own] = [], 0
 
@@ -404,7 +398,7 @@ class Held:
             at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return (spread(keys) >> np.uint64(64 - self.bits)).astype(np.int64)
+        return (keys * SPREAD >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers, zero for absent keys, and which keys are absent."""
@@ -576,7 +570,7 @@ def _no_words(n: int) -> pa.Array:
 def _rare_windows(rows: np.ndarray, at: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
     """A row for each text and window, under the window's key."""
     # One sort by text and most bits of the key: what these bits mix up is only not added up here.
-    by = np.argsort((at.astype(np.uint64) << np.uint64(48)) | (spread(key) >> np.uint64(16)))
+    by = np.argsort((at.astype(np.uint64) << np.uint64(48)) | (key * SPREAD >> np.uint64(16)))
     at, key = at[by], key[by]
     new = (at[1:] != at[:-1]) | (key[1:] != key[:-1])
     starts = np.flatnonzero(np.append(True, new)) if len(at) else at
