@@ -398,14 +398,15 @@ class Held:
             at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * SPREAD >> np.uint64(64 - self.bits)).astype(np.int64)
+        return (keys * SPREAD >> np.uint64(64 - self.bits)).view(np.int64)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers, zero for absent keys, and which keys are absent."""
         at = self._slots(keys)
-        seen = self.keys[at]
+        seen = self.keys.take(at)
         absent = seen != keys
-        found = np.where(absent, 0.0, self.values[at])
+        found = self.values.take(at)
+        found[absent] = 0.0
         left = np.flatnonzero(absent & (seen != 0))
         while len(left):
             at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
