@@ -50,9 +50,9 @@ LONGEST = 64
 WINDOW_HEAD = 2_000_000
 #: Bytes of text whose windows are made at once, windows that are sorted at once, and rows of a batch
 #: that are held as Python objects at once.
-SLICE, SLAB, ROWS = 1 << 18, 1 << 22, 512
+SLICE, SLAB, ROWS = 1 << 18, 1 << 21, 512
 #: Counts of windows that a task holds before it merges them and, if most are distinct, hands them on.
-MOST_WINDOWS = 1 << 22
+MOST_WINDOWS = 3 << 20
 #: Windows of the corpus for each bucket in which their counts are added up.
 PLACES = 1 << 20
 #: The odd number whose multiples fill buckets evenly (a fixed value), and its inverse.
@@ -180,8 +180,12 @@ def _merged(runs: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     by = np.argsort(keys, kind="stable")  # merges sorted runs
     keys = keys[by]
     starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    c, n = (np.add.reduceat(np.concatenate([r[x] for r in runs])[by], starts) for x in (1, 2))
-    return keys[starts], c, n
+    keys = keys[starts]
+    sums = (
+        np.add.reduceat(np.concatenate([r[x] for r in runs])[by], starts, dtype=runs[0][x].dtype)
+        for x in (1, 2)
+    )
+    return keys, *sums
 
 
 def _packed(run: tuple[np.ndarray, ...], bits: int) -> pa.RecordBatch:
@@ -229,7 +233,7 @@ def window_counts(
             keys *= SPREAD
             keys.sort()
             starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            n = np.diff(np.append(starts, len(keys)))
+            n = np.diff(np.append(starts, len(keys))).astype(np.uint32)
             return keys[starts], n if own else np.zeros_like(n), n
 
         held = np.empty(min(SLAB + SLICE, sum(map(len, texts))), np.uint64)
@@ -247,21 +251,30 @@ def window_counts(
         texts: dict[bool, list[bytes]] = {True: [], False: []}
         sizes = {True: 0, False: 0}
         runs: list[tuple[np.ndarray, ...]] = []
+        added = 0  # the counts of a run are of 32 bits
 
         def add(own: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal added
+            added += sizes[own]
             for run in counted(texts[own], own):
                 runs.append(run)
                 if sum(len(r[0]) for r in runs) > MOST_WINDOWS:
                     runs[:] = [_merged(runs)]
                     if len(runs[0][0]) > MOST_WINDOWS * 3 // 4:
                         yield _packed(runs.pop(), bits)
+                        added = sizes[own]
             texts[own], sizes[own] = [], 0
 
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             for text, own in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
                 own = bool(own)
-                texts[own].append(coded(tokens(text)))
-                sizes[own] += len(texts[own][-1])
+                coded_text = coded(tokens(text))
+                if runs and added + sizes[True] + sizes[False] + len(coded_text) >= 1 << 32:
+                    yield _packed(_merged(runs), bits)
+                    runs.clear()
+                    added = 0
+                texts[own].append(coded_text)
+                sizes[own] += len(coded_text)
                 if sizes[own] >= SLAB:
                     yield from add(own)
         for own in (True, False):
