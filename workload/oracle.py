@@ -337,6 +337,30 @@ ORACLE: dict[str, str] = {
                left_rows * greatest(coalesce(right_rows, 0), 1) AS joined_rows,
                left_rows * greatest(coalesce(right_rows, 0), 1) - left_rows AS added_rows
         FROM l LEFT JOIN r USING (key)""",
+    "rules_dated": f"""WITH {_ORDERS},
+        n AS (SELECT *, s_suppkey::INT AS n, DATE '1992-01-01' + n * 37 % 2400 AS begins FROM supplier),
+        rules AS (
+            SELECT ['F', 'O', 'DEFAULT', 'X'][n % 4 + 1] AS key, s_name AS label, s_acctbal AS rate,
+                   CASE WHEN n % 50 <> 0 THEN begins ELSE DATE '0001-01-01' END AS valid_from,
+                   CASE WHEN n % 9 <> 0 THEN begins + (n % 90 + 1) END AS valid_to
+            FROM n),
+        versions AS (
+            SELECT * FROM rules QUALIFY row_number() OVER (PARTITION BY key, valid_from
+                ORDER BY valid_to DESC NULLS FIRST, label DESC, rate DESC) = 1),
+        own AS (
+            SELECT b.id, b.type_sport, b.debut::DATE AS day, v.label, v.rate,
+                   v.key IS NOT NULL AND (v.valid_to IS NULL OR b.debut::DATE < v.valid_to) AS holds
+            FROM bronze b ASOF LEFT JOIN versions v
+                ON b.type_sport = v.key AND b.debut::DATE >= v.valid_from)
+        SELECT id, type_sport,
+               CASE WHEN holds THEN own.label WHEN fits THEN d.label END AS label,
+               CASE WHEN holds THEN own.rate WHEN fits THEN d.rate END AS rate,
+               CASE WHEN holds THEN 'own' WHEN fits THEN 'default' END AS level
+        FROM (SELECT own.*, d.label AS l2, d.valid_from AS since FROM own
+              ASOF LEFT JOIN (SELECT * FROM versions WHERE key = 'DEFAULT') d
+              ON own.day >= d.valid_from) AS own
+        LEFT JOIN (SELECT * FROM versions WHERE key = 'DEFAULT') d ON d.valid_from = own.since,
+        LATERAL (SELECT d.key IS NOT NULL AND (d.valid_to IS NULL OR own.day < d.valid_to) AS fits)""",
     "stream_lots": _CDC_BRONZE,
     "stream_observed": f"""
         WITH facts AS (

@@ -9,7 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activlake.functions.casting import integer, number
+from activlake.functions.casting import integer, micros_timestamp, number
 from activlake.functions.distance import metres_to_km, provider_distance_km
 from activlake.functions.rules import activity_distance
 from activlake.functions.text import activity_comment, label, normalize_headers
@@ -18,6 +18,7 @@ from activlake.operators import (
     bronze,
     colocated,
     daily,
+    dated,
     gold,
     ingest,
     keyed,
@@ -543,6 +544,17 @@ def join_multiplicity(spark: SparkSession, sf: str) -> DataFrame:
     return keyed.fan_out(t.hot_orders(spark, sf), lookup, "id_salarie", "employee_id")
 
 
+def rules_dated(spark: SparkSession, sf: str) -> DataFrame:
+    """Activities with the rule of their sport on their day, or the default sport's."""
+    activities = t.bronze_orders(spark, sf).withColumn("debut", micros_timestamp(F.col("date_debut")))
+    found = dated.with_dated_rule(
+        activities, t.dated_rules(spark, sf), F.col("type_sport"), F.to_date("debut")
+    )
+    return found.select(
+        "id", "type_sport", "rule.label", "rule.rate", F.col("rule_level").alias("level")
+    )
+
+
 def silver_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """Silver built in full from half of Bronze, then refreshed for the days of the other half."""
     paths = LakePaths(scratch(spark, "refresh"))
@@ -612,6 +624,7 @@ QUERIES: dict[str, Query] = {
         distance_worklist,
         distance_answered,
         join_multiplicity,
+        rules_dated,
         stream_lots,
         stream_observed,
         dq_silver,

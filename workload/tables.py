@@ -177,6 +177,21 @@ def hot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_orders(spark, sf_dir).withColumn("id_salarie", who)
 
 
+def dated_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule of a sport for each supplier: some since ever, some open, many that replace others;
+    one sport has none."""
+    n = F.col("s_suppkey").cast("int")
+    sport = F.element_at(F.array(*map(F.lit, ("F", "O", "DEFAULT", "X"))), n % 4 + 1)
+    begins = F.date_add(F.lit("1992-01-01").cast("date"), n * 37 % 2400)
+    return table(spark, sf_dir, "supplier").select(
+        sport.alias("key"),
+        F.when(n % 50 != 0, begins).alias("valid_from"),
+        F.when(n % 9 != 0, F.date_add(begins, n % 90 + 1)).alias("valid_to"),
+        F.col("s_name").alias("label"),
+        F.col("s_acctbal").alias("rate"),
+    )
+
+
 def distance_answers(requests: DataFrame) -> DataFrame:
     """Provider answers to distance requests; none for bicycles, and metres told by the address."""
     metres = F.length("domicile_address").cast("bigint") * 1000
