@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from activlake.llm.common import by_name, crc32_mod, stored, table
+from activlake.llm.common import by_name, crc32_mod, shuffles_released, stored, table
 
 ORDER = 6
 HEAD = 400_000
@@ -456,26 +456,27 @@ def score_in_context(
     ``training`` marks the rows to learn from, and ``order`` is at most 6."""
     if not 0 <= order <= 6:
         raise ValueError("a window of order + 1 bytes and its length must fit in 64 bits")
-    vocab = stored(vocabulary(documents, text, training), "lm_vocabulary")
-    totals = vocab.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("c"),
-        F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0)).alias("v"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.col("n") * (F.octet_length("word") + 1)), F.lit(0)).alias("places"),
-    ).first()
-    below = totals.c + totals.v + 1
-    counts = stored(window_counts(documents, text, training, order, totals.places), "lm_windows")
-    scored = stored(window_scores(counts, order), "lm_scores")
-    frequent = often_used(head, totals.n)
-    top = vocab.where(frequent).select("word", "c").toArrow()
-    often_words = top["word"].combine_chunks()
-    often_bases = np.log10((top["c"].to_numpy() + 1) / below)
-    unknown = float(np.log10(1 / below))
-    often = _most_frequent(scored, window_head)
-    # By number, so that the most frequent ones get their first slots; as rows it would fill the driver.
-    top = scored.where(often).orderBy("n").select("g", "lp").toArrow()
-    keys, lps = top["g"].to_numpy().astype(np.uint64), top["lp"].to_numpy()
-    del top
+    with shuffles_released(documents.sparkSession):
+        vocab = stored(vocabulary(documents, text, training), "lm_vocabulary")
+        totals = vocab.agg(
+            F.coalesce(F.sum("c"), F.lit(0)).alias("c"),
+            F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0)).alias("v"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+            F.coalesce(F.sum(F.col("n") * (F.octet_length("word") + 1)), F.lit(0)).alias("places"),
+        ).first()
+        below = totals.c + totals.v + 1
+        counts = stored(window_counts(documents, text, training, order, totals.places), "lm_windows")
+        scored = stored(window_scores(counts, order), "lm_scores")
+        frequent = often_used(head, totals.n)
+        top = vocab.where(frequent).select("word", "c").toArrow()
+        often_words = top["word"].combine_chunks()
+        often_bases = np.log10((top["c"].to_numpy() + 1) / below)
+        unknown = float(np.log10(1 / below))
+        often = _most_frequent(scored, window_head)
+        # By number, so that the most frequent ones get their first slots; as rows it would fill the driver.
+        top = scored.where(often).orderBy("n").select("g", "lp").toArrow()
+        keys, lps = top["g"].to_numpy().astype(np.uint64), top["lp"].to_numpy()
+        del top
     # A row is numbered by its place in the scan, which a repeated task finds again.
     own = F.struct(by_name(documents, doc_id).alias("doc_id"), training.alias("training"))
     given = documents.select(

@@ -1,9 +1,11 @@
 import math
+import time
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from activlake.llm.common import RELEASE, shuffles_released
 from activlake.llm.lm_scoring import (
     ORDER,
     coded,
@@ -142,3 +144,37 @@ def test_long_tokens_do_not_travel_with_the_tasks(spark):
     df = spark.createDataFrame(rows, "word binary, n long")
     got = df.where(often_used(10, 60)).collect()
     assert [bytes(r.word) for r in got] == [b"a" * 64]
+
+
+def shuffle_files(spark):
+    held = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    names = [held.apply(i).getName() for i in range(held.size())]
+    return {x for x in names if x.startswith("shuffle_")}
+
+
+def test_jobs_leave_no_shuffle_files(spark):
+    df, rows = frame(spark)
+    before = shuffle_files(spark)
+    got = score_in_context(df, F.col("learn"))
+    end = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < end:  # deleted in the background
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(RELEASE, None) is None
+    # The frame that the caller gets keeps its shuffles: it may run more than once.
+    assert len(got.collect()) == len(rows)
+    assert shuffle_files(spark) - before
+    assert len(got.collect()) == len(rows)
+
+
+@pytest.mark.parametrize("own", [None, "true", "false"])
+def test_the_setting_of_the_session_is_put_back(spark, own):
+    if own:
+        spark.conf.set(RELEASE, own)
+    try:
+        with pytest.raises(ValueError, match="inside"), shuffles_released(spark):
+            assert spark.conf.get(RELEASE) == "true"
+            raise ValueError("inside")
+        assert spark.conf.get(RELEASE, None) == own
+    finally:
+        spark.conf.unset(RELEASE)
