@@ -51,6 +51,8 @@ WINDOW_HEAD = 2_000_000
 #: Bytes of text whose windows are made at once, windows that are sorted at once, and rows of a batch
 #: that are held as Python objects at once.
 SLICE, SLAB, ROWS = 1 << 18, 1 << 21, 512
+#: Windows that a task enters at once in the table of those that travel with it.
+PORTION = 1 << 17
 #: Counts of windows that a task holds before it merges them and, if most are distinct, hands them on.
 MOST_WINDOWS = 3 << 20
 #: Windows of the corpus for each bucket in which their counts are added up.
@@ -401,6 +403,12 @@ class Held:
         self.bits = max(4, (2 * len(keys)).bit_length())
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.values = np.zeros(1 << self.bits)
+        # A part at a time: arrays of slots for all keys would be larger than the table.
+        for end in range(len(keys), 0, -PORTION):
+            part = slice(max(0, end - PORTION), end)
+            self._add(keys[part], values[part])
+
+    def _add(self, keys: np.ndarray, values: np.ndarray) -> None:
         at, left = self._slots(keys), np.arange(len(keys))
         while len(left):
             free = left[self.keys[at[left]] == 0]
@@ -475,7 +483,10 @@ def score_in_context(
         often = _most_frequent(scored, window_head)
         # By number, so that the most frequent ones get their first slots; as rows it would fill the driver.
         top = scored.where(often).orderBy("n").select("g", "lp").toArrow()
-        keys, lps = top["g"].to_numpy().astype(np.uint64), top["lp"].to_numpy()
+        # A variable of its own is one copy in a worker; within the function it would be two in each task.
+        of_windows = documents.sparkSession.sparkContext.broadcast(
+            (top["g"].to_numpy().astype(np.uint64), top["lp"].to_numpy())
+        )
         del top
     # A row is numbered by its place in the scan, which a repeated task finds again.
     own = F.struct(by_name(documents, doc_id).alias("doc_id"), training.alias("training"))
@@ -487,7 +498,7 @@ def score_in_context(
     kind = documents.schema[doc_id].dataType.simpleString()
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Held(keys, lps)
+        held = Held(*of_windows.value)
         # Base scores of the tokens: those of unknown ones are ``unknown``, all others are larger.
         common = dict(zip(often_words.to_pylist(), often_bases.tolist(), strict=True))
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):

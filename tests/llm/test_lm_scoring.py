@@ -1,13 +1,16 @@
 import math
 import time
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from activlake.llm.common import RELEASE, shuffles_released
 from activlake.llm.lm_scoring import (
     ORDER,
+    Held,
     coded,
     often_used,
     score_in_context,
@@ -178,3 +181,18 @@ def test_the_setting_of_the_session_is_put_back(spark, own):
         assert spark.conf.get(RELEASE, None) == own
     finally:
         spark.conf.unset(RELEASE)
+
+
+def test_a_table_of_windows_takes_little_more_than_itself():
+    keys = np.arange(1, 1_000_001, dtype=np.uint64) * np.uint64(2**40 + 12_345)
+    values = np.arange(1_000_000) / 7
+    tracemalloc.start()
+    try:
+        held = Held(keys, values)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1.4 * (held.keys.nbytes + held.values.nbytes)
+    found, absent = held.find(np.concatenate([keys, keys + np.uint64(1)]))
+    assert (found[:1_000_000] == values).all() and not absent[:1_000_000].any()
+    assert absent[1_000_000:].all() and not found[1_000_000:].any()
