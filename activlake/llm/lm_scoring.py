@@ -15,9 +15,10 @@ Jobs: count tokens (for the base score) and windows, which are a context and its
 up to seven bytes and its length are one 64-bit key; a task sorts slabs of windows, merges their
 counts and hands them on packed by bucket of the key, so that one row holds many); count the suffixes of the windows; join the table with itself for
 totals and remainders; walk the escape chain for windows that training never saw; and sum over each
-document. The most frequent windows (``window_head`` at most) and tokens (what makes up at least one
-part in ``head`` of all, so ``head`` at most) travel with the tasks, and only rarer ones are shuffled:
-most rows never move, and no frequent key is hot. All tables grow with the corpus, stay in Spark and
+document. The most frequent windows (``window_head`` at most) and tokens (``head`` at most, among them
+what makes up at least one part in ``head`` of all) travel with the tasks, and only rarer ones are shuffled:
+most rows never move, and no frequent key is hot. Tasks split, count and look up the tokens of many
+texts at once as Arrow arrays. All tables grow with the corpus, stay in Spark and
 are written to the shared folder between the jobs.
 
 Edge cases: a null, empty or blank text is the end alone; rows with a null id are training rows;
@@ -28,12 +29,12 @@ score is zero; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,8 +43,10 @@ from activlake.llm.common import by_name, crc32_mod, shuffles_released, stored,
 ORDER = 6
 HEAD = 400_000
 END = b"\n"
-#: Tokens that a task holds before it hands them on.
+#: Distinct tokens that a task holds before it hands them on, and rows between two merges of them.
 MOST_COUNTED = 500_000
+#: Bytes of texts whose tokens are split at once.
+PART = 1 << 23
 #: Bytes of a token that may travel with the tasks.
 LONGEST = 64
 #: Windows that travel with the tasks, 16 bytes each.
@@ -70,29 +73,60 @@ def tokens(text: str | None) -> list[bytes]:
     return found
 
 
+def _parts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where their texts pass a multiple of ``most`` bytes."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        passed = np.cumsum(sizes, dtype=np.int64) // most
+        cuts = [0, *(np.flatnonzero(np.diff(passed)) + 1).tolist(), batch.num_rows]
+        yield from (batch.slice(a, b - a) for a, b in pairwise(cuts) if b > a)
+
+
+def _words(texts: pa.Array) -> tuple[pa.ListArray, pa.DictionaryArray, np.ndarray]:
+    """What ``tokens`` finds before the end: lists of the words of texts, of which a blank text has an
+    empty one; all words but those, as codes; and the number of the text of each."""
+    lists = pc.ascii_split_whitespace(
+        pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    )
+    words, at = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
+    filled = pc.binary_length(words).to_numpy() > 0
+    if not filled.all():
+        words, at = words.filter(pa.array(filled)), at[filled]
+    return lists, words.dictionary_encode(), at
+
+
+def _counts(words: pa.Array, c: np.ndarray, n: np.ndarray) -> pa.Table:
+    return pa.table({"word": words, "c": c.astype(np.int64), "n": n.astype(np.int64)})
+
+
+def _added_up(runs: list[pa.Table]) -> pa.Table:
+    """One row for each token of the runs."""
+    sums = pa.concat_tables(runs).group_by("word", use_threads=False)
+    found = sums.aggregate([("c", "sum"), ("n", "sum")]).select(["word", "c_sum", "n_sum"])
+    return found.rename_columns(["word", "c", "n"])
+
+
 def vocabulary(documents: DataFrame, text: str, training: Column) -> DataFrame:
     """``word``, ``c`` (count in training rows) and ``n`` (count in all rows)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned: Counter = Counter()
-        other: Counter = Counter()
-
-        def counted() -> pa.RecordBatch:
-            words = [*learned, *other]  # a token of both has two rows
-            c = [*learned.values(), *(0 for _ in other)]
-            n = [*learned.values(), *other.values()]
-            learned.clear(), other.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(c, pa.int64()), pa.array(n, pa.int64())],
-                names=["word", "c", "n"],
-            )
-
-        for batch in batches:
-            for text, own in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
-                (learned if own else other).update(tokens(text))
-                if len(learned) + len(other) > MOST_COUNTED:
-                    yield counted()
-        yield counted()
+        runs: list[pa.Table] = []
+        fresh = 0  # rows since the last merge
+        for part in _parts(batches, PART):
+            _, words, at = _words(part.column("text"))
+            own = pc.fill_null(part.column("training"), False).to_numpy(zero_copy_only=False)
+            codes, distinct = words.indices.to_numpy(), len(words.dictionary)
+            c = np.bincount(codes[own[at]], minlength=distinct)
+            n = np.bincount(codes, minlength=distinct)
+            runs.append(_counts(words.dictionary.cast(pa.binary()), c, n))
+            runs.append(_counts(pa.array([END]), np.array([own.sum()]), np.array([len(own)])))
+            fresh += distinct + 1
+            if fresh > MOST_COUNTED:
+                runs, fresh = [_added_up(runs)], 0
+                if runs[0].num_rows > MOST_COUNTED:
+                    yield from runs.pop().to_batches()
+        if runs:
+            yield from _added_up(runs).to_batches()
 
     given = documents.select(by_name(documents, text).alias("text"), training.alias("training"))
     return (
@@ -108,6 +142,13 @@ def often_used(head: int, total: int) -> Column:
     return (F.col("n") * head >= total) & (F.octet_length("word") <= LONGEST)
 
 
+def frequent_tokens(vocab: DataFrame, head: int, total: int) -> Column:
+    """Tokens of ``vocab`` that travel with the tasks: the most frequent ones that are not long. Either
+    condition marks all short tokens from some count on, ``head`` at most, and so does the wider one."""
+    short = F.octet_length("word") <= LONGEST
+    return often_used(head, total) | (_most_frequent(vocab.where(short), head) & short)
+
+
 def _walked(links: DataFrame) -> DataFrame:
     """``g`` and ``lp`` from the strings and contexts along the escape chain of each ``whole``."""
     chain = links.groupBy("whole").agg(
@@ -475,19 +516,17 @@ def score_in_context(
         below = totals.c + totals.v + 1
         counts = stored(window_counts(documents, text, training, order, totals.places), "lm_windows")
         scored = stored(window_scores(counts, order), "lm_scores")
-        frequent = often_used(head, totals.n)
+        frequent = frequent_tokens(vocab, head, totals.n)
         top = vocab.where(frequent).select("word", "c").toArrow()
-        often_words = top["word"].combine_chunks()
-        often_bases = np.log10((top["c"].to_numpy() + 1) / below)
-        unknown = float(np.log10(1 / below))
+        often_words, often_c = top["word"].combine_chunks(), top["c"].to_numpy()
         often = _most_frequent(scored, window_head)
         # By number, so that the most frequent ones get their first slots; as rows it would fill the driver.
         top = scored.where(often).orderBy("n").select("g", "lp").toArrow()
         # A variable of its own is one copy in a worker; within the function it would be two in each task.
-        of_windows = documents.sparkSession.sparkContext.broadcast(
-            (top["g"].to_numpy().astype(np.uint64), top["lp"].to_numpy())
+        of_frequent = documents.sparkSession.sparkContext.broadcast(
+            (top["g"].to_numpy().astype(np.uint64), top["lp"].to_numpy(), often_words, often_c)
         )
-        del top
+        del top, often_words, often_c
     # A row is numbered by its place in the scan, which a repeated task finds again.
     own = F.struct(by_name(documents, doc_id).alias("doc_id"), training.alias("training"))
     given = documents.select(
@@ -498,40 +537,41 @@ def score_in_context(
     kind = documents.schema[doc_id].dataType.simpleString()
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Held(*of_windows.value)
-        # Base scores of the tokens: those of unknown ones are ``unknown``, all others are larger.
-        common = dict(zip(often_words.to_pylist(), often_bases.tolist(), strict=True))
-        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
-            numbers = batch.column(0).to_numpy()
-            words: list[tuple[int, bytes, int]] = []  # row in batch, rare token, its count
-            heads: list[tuple] = []  # tokens, known ones, base and model score of each row
+        top_keys, top_lps, often_words, often_c = of_frequent.value
+        held = Held(top_keys, top_lps)
+        # What a token adds to its text; the last place is that of the rare ones, which add nothing yet.
+        bases = np.append(np.log10((often_c + 1) / below), 0.0)
+        learned = np.append(often_c > 0, False)
+        end = pc.index(often_words, pa.scalar(END)).as_py()
+        for part in _parts(batches, PART):
+            numbers = part.column("row").to_numpy()
+            lists, words, at = _words(part.column("text"))
+            known_words = pc.index_in(words.dictionary.cast(pa.binary()), value_set=often_words)
+            codes = words.indices.to_numpy()
+            place = pc.fill_null(known_words, -1).to_numpy()[codes]
+            n_tokens = np.bincount(at, minlength=len(numbers)) + 1
+            known = np.bincount(at[learned[place]], minlength=len(numbers)) + learned[end]
+            base = np.bincount(at, bases[place], len(numbers)) + bases[end]
+            rare = place < 0
+            yield _rare_words(numbers, at[rare], codes[rare], words.dictionary)
+            if end < 0:
+                yield _rare_words(numbers, np.arange(len(numbers)), np.zeros_like(numbers), pa.array([END]))
+            lp = np.zeros(len(numbers))
             group: list[bytes] = []  # coded texts from row ``first`` on
             first = size = 0
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                found = tokens(text)
-                known, base = 0, 0.0
-                for word, n in Counter(found).items():
-                    own = common.get(word)
-                    if own is None:
-                        words.append((i, word, n))
-                    else:
-                        base += n * own
-                        if own > unknown:
-                            known += n
-                heads.append((len(found), known, base))
-                group.append(coded(found))
+            joined = pc.binary_join(lists, " ").cast(pa.binary())
+            for i, text in enumerate(joined.to_pylist()):
+                group.append(coded([text, END] if text else [END]))
                 size += len(group[-1])
-                if size < SLICE and i + 1 < batch.num_rows:
+                if size < SLICE and i + 1 < len(numbers):
                     continue
-                total = np.zeros(len(group))
-                for at, key in windows(group, order):
-                    lp, absent = held.find(key)
-                    total += np.bincount(at, lp, len(group))
-                    yield _rare_windows(numbers[first:], at[absent], key[absent])
-                heads[first:] = [(*h, lp) for h, lp in zip(heads[first:], total.tolist(), strict=True)]
+                for row, key in windows(group, order):
+                    found, absent = held.find(key)
+                    lp[first : i + 1] += np.bincount(row, found, len(group))
+                    yield _rare_windows(numbers[first:], row[absent], key[absent])
                 group, first, size = [], i + 1, 0
-            yield _rare_words(numbers, words)
-            yield _heads(numbers, heads, batch.column(2).to_pylist())
+            told = (x.tolist() for x in (n_tokens, known, base, lp))
+            yield _heads(numbers, zip(*told, strict=True), part.column("own").to_pylist())
 
     rare_words = vocab.where(~frequent).select(
         F.xxhash64("word").alias("key"),
@@ -558,6 +598,7 @@ def score_in_context(
 
     return (
         given.mapInArrow(sums, "row long, key long, word binary, n int")
+        .withColumn("key", F.coalesce("key", F.xxhash64("word")))
         .join(rare.hint("shuffle_hash"), ["key", "word"], "left")  # distinct keys: no sort
         .groupBy("row")
         .agg(
@@ -580,9 +621,11 @@ def score_in_context(
     )
 
 
-def _summands(row: np.ndarray, key: np.ndarray, word: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+def _summands(
+    row: np.ndarray, key: np.ndarray | pa.Array, word: pa.Array, n: np.ndarray
+) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(row), pa.array(key), word, pa.array(n.astype(np.int32))],
+        [pa.array(row), key if isinstance(key, pa.Array) else pa.array(key), word, pa.array(n.astype(np.int32))],
         names=["row", "key", "word", "n"],
     )
 
@@ -604,19 +647,21 @@ def _rare_windows(rows: np.ndarray, at: np.ndarray, key: np.ndarray) -> pa.Recor
     return _summands(rows[at[starts]], key[starts].astype(np.int64), _no_words(len(n)), n)
 
 
-def _rare_words(rows: np.ndarray, words: list[tuple[int, bytes, int]]) -> pa.RecordBatch:
-    """A row for each text and rare token, under the token's hash."""
-    at, found, n = zip(*words, strict=True) if words else ((), (), ())
-    key = np.array([xxhash.xxh64_intdigest(w, 42) for w in found], dtype=np.uint64).view(np.int64)
-    rows = rows[np.array(at, dtype=np.int64)]
-    return _summands(rows, key, pa.array(found, pa.binary()), np.array(n, dtype=np.int64))
+def _rare_words(
+    rows: np.ndarray, at: np.ndarray, codes: np.ndarray, words: pa.Array
+) -> pa.RecordBatch:
+    """A row for each text and rare token, whose hash Spark makes its key."""
+    found, n = np.unique(at.astype(np.int64) * len(words) + codes, return_counts=True)
+    at, codes = np.divmod(found, max(len(words), 1))
+    word = words.take(pa.array(codes)).cast(pa.binary())
+    return _summands(rows[at], pa.nulls(len(at), pa.int64()), word, n)
 
 
 #: Begins what a document's own row tells; no token has a line feed and more.
 HEAD_MARK = b"\n\n"
 
 
-def _heads(rows: np.ndarray, heads: list[tuple], own: list[str]) -> pa.RecordBatch:
+def _heads(rows: np.ndarray, heads: Iterable[tuple], own: list[str]) -> pa.RecordBatch:
     """A row for each document with what its frequent tokens and windows add up to. Its key, the
     row's number, spreads well, and it joins nothing."""
     told = [

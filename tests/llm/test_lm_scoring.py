@@ -4,9 +4,11 @@ import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from activlake.llm import lm_scoring
 from activlake.llm.common import RELEASE, shuffles_released
 from activlake.llm.lm_scoring import (
     ORDER,
@@ -196,3 +198,60 @@ def test_a_table_of_windows_takes_little_more_than_itself():
     found, absent = held.find(np.concatenate([keys, keys + np.uint64(1)]))
     assert (found[:1_000_000] == values).all() and not absent[:1_000_000].any()
     assert absent[1_000_000:].all() and not found[1_000_000:].any()
+
+
+def test_the_most_frequent_tokens_travel_with_the_tasks(spark):
+    # One token makes up nearly all of the text: of the others, none is a twentieth of it.
+    rows = [(b"the", 100_000), (b"x" * 65, 5_000)] + [(b"w%d" % i, 1000 - 9 * i) for i in range(100)]
+    df = spark.createDataFrame(rows, "word binary, n long")
+    total = sum(n for _, n in rows)
+    got = {bytes(r.word) for r in df.where(lm_scoring.frequent_tokens(df, 20, total)).collect()}
+    assert b"the" in got and b"x" * 65 not in got
+    assert 10 < len(got) <= 20
+    assert got == {w for w, _ in sorted((r for r in rows if len(r[0]) < 65), key=lambda r: -r[1])[: len(got)]}
+    # Of equal counts all or none travel by number, and still those that make up their share.
+    even = spark.createDataFrame([(b"%d" % i, 2) for i in range(20)], "word binary, n long")
+    assert even.where(lm_scoring.frequent_tokens(even, 19, 40)).count() == 0
+    assert even.where(lm_scoring.frequent_tokens(even, 20, 40)).count() == 20
+
+
+ODD = [" \t a\x0b\x0cB\r\nb  ", "", None, "  ", "\x1c\x85\xa0\u2003É é", "Z[@`{z", "🙂 " * 9, "\x00 \x00"]
+
+
+def test_words_of_many_texts_at_once_are_those_of_each():
+    texts = TRAIN + OTHER + ODD
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    lists, words, at = lm_scoring._words(batch.slice(1).column("text"))
+    got = [[] for _ in texts[1:]]
+    for i, word in zip(at.tolist(), words.to_pylist(), strict=True):
+        got[i].append(word.encode())
+    assert [[*words, b"\n"] for words in got] == [tokens(t) for t in texts[1:]]
+    assert [[w.encode() for w in x if w] for x in lists.to_pylist()] == got
+
+
+@pytest.mark.parametrize("most,part", [(1, 1), (5, 20), (500_000, 1 << 23)])
+def test_tokens_are_counted_by_parts(spark, monkeypatch, most, part):
+    df, rows = frame(spark)
+    rows += [(200 + i, t, i % 3 == 0, 1) for i, t in enumerate(ODD)]
+    rows += [(300, "learned or not is not known", None, 1)]
+    monkeypatch.setattr(lm_scoring, "MOST_COUNTED", most)
+    monkeypatch.setattr(lm_scoring, "PART", part)
+    df = spark.createDataFrame(rows, df.schema).coalesce(1)
+    got = lm_scoring.vocabulary(df, "text", F.col("learn")).collect()
+    want = defaultdict(lambda: [0, 0])
+    for _, text, learn, *_ in rows:
+        for word in tokens(text):
+            want[word][0] += bool(learn)
+            want[word][1] += 1
+    assert {bytes(r.word): [r.c, r.n] for r in got} == dict(want)
+
+
+def test_texts_are_scored_by_parts(spark, monkeypatch):
+    df, rows = frame(spark)
+    monkeypatch.setattr(lm_scoring, "PART", 30)
+    monkeypatch.setattr(lm_scoring, "SLICE", 64)
+    model = Brute(TRAIN)
+    got = score_in_context(df.coalesce(1), F.col("learn"), head=2, window_head=10).collect()
+    have = sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got)
+    for w, h in zip(sorted(model.row(t) for _, t, *_ in rows), have, strict=True):
+        assert h == pytest.approx(w, rel=1e-9)
